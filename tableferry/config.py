@@ -74,11 +74,14 @@ class TableSpec:
 
     ``logical_types`` names column types that the Spark schema no longer shows,
     such as ``{"uv": "bitmap"}``; letter case of the type does not matter.
+    ``source_options`` add to the reader options of the run, for instance to
+    split the scan of a large table.
     """
 
     source: str
     sink: str | None = None
     logical_types: Mapping[str, str] = field(default_factory=dict)
+    source_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def sink_name(self) -> str:
@@ -166,6 +169,7 @@ SOURCE_FORMAT = "spark.source.format"
 SOURCE_TABLE_KEY = "spark.source.table.key"
 SOURCE_TABLE_VALUES = "spark.source.table.values"
 SOURCE_OPTION_PREFIX = "spark.source.connector."
+SOURCE_TABLE_OPTION_PREFIX = "spark.source.table.option."
 SOURCE_LOGICAL_PREFIX = "spark.source.logical."
 FILTER_QUERY = "spark.filter.query"
 SINK_PREFIX = "spark.sink."
@@ -200,6 +204,22 @@ def options_under(settings: Mapping[str, str], prefix: str) -> dict[str, str]:
     return {k[len(prefix) :]: v for k, v in settings.items() if k.startswith(prefix)}
 
 
+def _per_table(
+    settings: Mapping[str, str], prefix: str, tables: Sequence[str]
+) -> dict[str, dict[str, str]]:
+    """Settings named ``<prefix><table>.<rest>`` as ``{table: {rest: value}}``.
+
+    Table names may hold dots; the longest one that fits is meant.
+    """
+    found: dict[str, dict[str, str]] = {name: {} for name in tables}
+    for name, value in options_under(settings, prefix).items():
+        table = max((t for t in tables if name.startswith(t + ".")), key=len, default=None)
+        if table is None:
+            raise ConfigError(f"setting {prefix}{name} is for a table that is not copied")
+        found[table][name[len(table) + 1 :]] = value
+    return found
+
+
 def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -> TransferConfig:
     """Build the configuration from flat string settings."""
     sink = options_under(settings, sink_prefix)
@@ -221,20 +241,17 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
         except ValueError:
             raise ConfigError(f"{sink_prefix}{key}={sink[key]!r} is not a whole number") from None
 
-    logical: dict[str, dict[str, str]] = {}
-    for name, kind in options_under(settings, SOURCE_LOGICAL_PREFIX).items():
-        table, _, column = name.rpartition(".")
-        logical.setdefault(table, {})[column] = kind
     names = table_list(required(SOURCE_TABLE_VALUES))
-    unknown = sorted(set(logical) - set(names))
-    if unknown:
-        raise ConfigError(f"logical types given for tables that are not copied: {unknown}")
-
+    logical = _per_table(settings, SOURCE_LOGICAL_PREFIX, names)
+    options = _per_table(settings, SOURCE_TABLE_OPTION_PREFIX, names)
     optional = {}
     if number("max.concurrent") is not None:
         optional["max_concurrent"] = number("max.concurrent")
     return TransferConfig(
-        tables=[TableSpec(n, logical_types=logical.get(n, {})) for n in names],
+        tables=[
+            TableSpec(name, logical_types=logical[name], source_options=options[name])
+            for name in names
+        ],
         source_format=required(SOURCE_FORMAT),
         source_table_key=required(SOURCE_TABLE_KEY),
         source_options=options_under(settings, SOURCE_OPTION_PREFIX),

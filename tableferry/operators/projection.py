@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
+from tableferry.config import ConfigError
 from tableferry.functions.bitmap import bytes_to_text, text_cast_to_bytes, text_to_bytes
 from tableferry.functions.names import quote
 from tableferry.sources.logical import BITMAP, logical_type
 
 
 def bitmap_text_columns(rows: DataFrame) -> list[str]:
-    """Bitmap columns that hold text and so can be converted to bytes."""
-    return [
-        f.name
-        for f in rows.schema.fields
-        if logical_type(f) == BITMAP and isinstance(f.dataType, StringType)
-    ]
+    """Bitmap columns that hold text and so can be converted to bytes.
+
+    Those that are bytes already need nothing; any other type means that the
+    source does not deliver bitmaps as text.
+    """
+    found = []
+    for f in rows.schema.fields:
+        if logical_type(f) != BITMAP or isinstance(f.dataType, BinaryType):
+            continue
+        if not isinstance(f.dataType, StringType):
+            raise ConfigError(
+                f"bitmap column {f.name!r} has type {f.dataType.simpleString()}, not text; "
+                "let the source deliver it as text or switch bitmap_to_binary off"
+            )
+        found.append(f.name)
+    return found
 
 
 def project(rows: DataFrame, bitmap_to_binary: bool = True) -> DataFrame:

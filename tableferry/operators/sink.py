@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, NullType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from tableferry.config import ConfigError, TransferConfig
 from tableferry.functions.names import identifier_parts, qualified, quote
 
 ROWS = "rows"
 
-# Text formats write milliseconds by default, which would cut off microseconds.
-_TEXT_FORMATS = ("json", "csv")
+# Formats that cannot give every value back: csv has no binary and rewrites line
+# ends inside text, text files hold one string column split at line ends.
+_LOSSY_FORMATS = ("csv", "text")
+
+# JSON files get milliseconds by default, which would cut off microseconds.
 _FULL_PRECISION = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
@@ -32,13 +35,11 @@ def sink_is_empty(spark: SparkSession, sink: str) -> bool:
     return spark.table(sink).isEmpty()
 
 
-def check_format(sink_format: str, schema: StructType) -> None:
-    """Refuse formats that would corrupt a column."""
-    if sink_format.lower() != "csv":
-        return
-    broken = [f.name for f in schema.fields if isinstance(f.dataType, (BinaryType, NullType))]
-    if broken:
-        raise ConfigError(f"csv cannot hold the binary or untyped columns {broken}")
+def check_format(sink_format: str) -> None:
+    if sink_format.lower() in _LOSSY_FORMATS:
+        raise ConfigError(
+            f"a {sink_format} sink would change values; use a format such as parquet, orc or json"
+        )
 
 
 def create_sink(
@@ -49,9 +50,10 @@ def create_sink(
     The API takes option values as they are, where SQL text would need quoting
     and would end up in logs.
     """
-    check_format(config.sink_format, schema)
-    text = config.sink_format.lower() in _TEXT_FORMATS
-    options = {**(_FULL_PRECISION if text else {}), **config.sink_options}
+    check_format(config.sink_format)
+    options = dict(config.sink_options)
+    if config.sink_format.lower() == "json":
+        options = {**_FULL_PRECISION, **options}
     if config.sink_table_key:
         options[config.sink_table_key] = name
     if config.rows_per_file:

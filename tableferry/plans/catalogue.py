@@ -18,7 +18,7 @@ from tableferry.functions.bitmap import bytes_to_text
 from tableferry.functions.names import qualified, quote
 from tableferry.operators.projection import compare_conversions
 from tableferry.operators.verify import verification_counts
-from tableferry.plans.report import FAILED, RunReport
+from tableferry.plans.report import RunReport
 from tableferry.plans.run import run
 from tableferry.plans.workspace import new_database
 from tableferry.sources.logical import tag_logical_types
@@ -221,7 +221,8 @@ def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query(
     """
-    SELECT o_orderpriority, COUNT(*) AS n_orders, CAST(SUM(o_totalprice) AS DECIMAL(30, 2)) AS total
+    SELECT o_orderpriority, COUNT(*) AS n_orders,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DECIMAL(30, 2)) AS total
     FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority"""
 )
 def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -600,19 +601,15 @@ def failure_isolation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT COUNT(*) AS total, COUNT(*) FILTER (status <> '{FAILED}') AS succeeded,
-           COUNT(*) FILTER (status = '{FAILED}') AS failed,
-           ROUND(CAST(100.0 * COUNT(*) FILTER (status <> '{FAILED}') / COUNT(*) AS DOUBLE), 1)
-               AS success_pct
-    FROM (SELECT unnest(['{"', '".join(TABLES)}', 'no_such_table']) AS t)
-    JOIN (SELECT 'copied' AS status, 'orders' AS good) ON TRUE
-    """.replace("status <> 'failed'", "t = good").replace("status = 'failed'", "t <> good")
+    SELECT COUNT(*) AS total,
+           COUNT(*) FILTER (t = 'orders') AS succeeded,
+           COUNT(*) FILTER (t <> 'orders') AS failed,
+           ROUND(100e0 * COUNT(*) FILTER (t = 'orders') / COUNT(*), 1) AS success_pct
+    FROM (SELECT unnest({[*TABLES, "no_such_table"]}) AS t)"""
 )
 def run_totals_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and success rate of a run."""
-    return _run_with_failures(spark, sf_dir).totals(spark).withColumn(
-        "success_pct", F.col("success_pct").cast("double")
-    )
+    return _run_with_failures(spark, sf_dir).totals(spark)
 
 
 # --- sink formats ----------------------------------------------------------

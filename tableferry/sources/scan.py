@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tableferry.config import TableSpec, TransferConfig
 from tableferry.operators.rowfilter import apply_filter
-from tableferry.sources.logical import tag_logical_types
+from tableferry.sources.logical import native_schema, tag_logical_types
 
 log = logging.getLogger(__name__)
 
@@ -41,13 +41,26 @@ def open_source(spark: SparkSession, config: TransferConfig, spec: TableSpec) ->
         config.source_format,
         spec.source,
         config.source_table_key,
-        dict(config.source_options),
+        {**config.source_options, **spec.source_options},
     )
     tagged = tag_logical_types(table, spec.logical_types)
     log.info("schema of %s:\n%s", spec.source, tagged.schema.treeString())
     return apply_filter(tagged, config.filter)
 
 
+def schema_report(spark: SparkSession, config: TransferConfig) -> DataFrame:
+    """The columns of every source table as rows ``(table, position, column, type)``.
+
+    The type is the logical one where the Spark schema does not show it.
+    """
+    rows = [
+        (spec.source, position, name, kind)
+        for spec in config.tables
+        for position, (name, kind) in enumerate(native_schema(open_source(spark, config, spec)), 1)
+    ]
+    return spark.createDataFrame(rows, "table string, position int, column string, type string")
+
+
 def register_view(rows: DataFrame, name: str) -> str:
     """Make rows available to SQL as ``source_<name>``; returns the view name."""
     view = f"source_{name}"

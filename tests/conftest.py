@@ -4,6 +4,8 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
+from .ledger_source import LedgerSource
+
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 
 
@@ -11,7 +13,7 @@ sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,4]")  # failed tasks are retried
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -20,7 +22,8 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
+    session.dataSource.register(LedgerSource)
     yield session
     session.stop()
 
@@ -31,3 +34,15 @@ def database(spark):
 
     yield new_database(spark)
     release(spark)
+
+
+@pytest.fixture
+def write_source(spark, tmp_path):
+    """Write rows as parquet and return the path, as a source table."""
+
+    def write(rows, schema, name="t"):
+        path = str(tmp_path / f"{name}.parquet")
+        spark.createDataFrame(rows, schema).write.parquet(path)
+        return path
+
+    return write

@@ -1,0 +1,196 @@
+import pytest
+
+from tableferry import (
+    ConfigError,
+    OnEmpty,
+    SaveMode,
+    TableSpec,
+    TransferConfig,
+    Verify,
+    config_report,
+    from_settings,
+    from_spark_conf,
+)
+from tableferry.config import options_under, table_list
+
+BASE = {
+    "spark.source.format": "parquet",
+    "spark.source.table.key": "path",
+    "spark.source.table.values": "db.a, db.b,,",
+    "spark.sink.schema": "target",
+}
+
+
+def settings(**more):
+    return BASE | {k.replace("__", "."): v for k, v in more.items()}
+
+
+def test_defaults():
+    config = from_settings(BASE)
+    assert [t.source for t in config.tables] == ["db.a", "db.b"]
+    assert [t.sink_name for t in config.tables] == ["a", "b"]
+    assert config.save_mode is SaveMode.OVERWRITE
+    assert config.verify is Verify.OFF
+    assert config.on_empty is OnEmpty.SKIP
+    assert config.bitmap_to_binary is True
+    assert config.concurrent is False
+    assert config.filter is None
+    assert config.sink_options == {"schema": "target"}
+
+
+@pytest.mark.parametrize("key", list(BASE))
+def test_missing_setting(key):
+    with pytest.raises(ConfigError, match=key):
+        from_settings({k: v for k, v in BASE.items() if k != key})
+
+
+@pytest.mark.parametrize(
+    "text, mode",
+    [
+        ("append", SaveMode.APPEND),
+        ("Overwrite", SaveMode.OVERWRITE),
+        ("ERRORIFEXISTS", SaveMode.ERROR_IF_EXISTS),
+        (" Ignore ", SaveMode.IGNORE),
+    ],
+)
+def test_save_modes(text, mode):
+    assert from_settings(settings(**{"spark.sink.save.mode": text})).save_mode is mode
+
+
+def test_unknown_save_mode():
+    typo = settings(**{"spark.sink.save.mode": "apend"})
+    with pytest.raises(ConfigError, match="apend"):
+        from_settings(typo)
+    lenient = from_settings(typo | {"spark.sink.save.mode.lenient": "true"})
+    assert lenient.save_mode is SaveMode.OVERWRITE
+
+
+def test_prefix_routing():
+    config = from_settings(
+        settings(
+            **{
+                "spark.source.connector.fenodes": "h:1",
+                "spark.source.connector.with-hyphen": "it's",
+                "spark.sink.url": "jdbc:x",
+                "spark.sink.enable.results.verify": "true",
+                "spark.sink.enable.concurrent.copy": "TRUE",
+                "spark.sink.max.concurrent": "3",
+                "spark.sink.enable.bitmap_to_binary": "false",
+                "spark.sink.format": "orc",
+                "spark.sink.location": "/x",
+                "spark.sink.rows.per.file": "10",
+                "spark.filter.query": "dt > 0",
+                "spark.other": "1",
+            }
+        )
+    )
+    assert config.source_options == {"fenodes": "h:1", "with-hyphen": "it's"}
+    assert config.sink_options == {"schema": "target", "url": "jdbc:x"}
+    assert config.verify is Verify.OBSERVED
+    assert config.concurrent and config.max_concurrent == 3
+    assert not config.bitmap_to_binary
+    assert (config.sink_format, config.sink_location, config.rows_per_file) == ("orc", "/x", 10)
+    assert config.filter == "dt > 0"
+
+
+def test_another_sink_prefix():
+    own = {k: v for k, v in BASE.items() if k != "spark.sink.schema"}
+    config = from_settings(
+        own | {"spark.vendor.sdk.schema": "s", "spark.vendor.sdk.save.mode": "append"},
+        sink_prefix="spark.vendor.sdk.",
+    )
+    assert config.sink_schema == "s" and config.save_mode is SaveMode.APPEND
+
+
+def test_per_table_settings():
+    config = from_settings(
+        settings(
+            **{
+                "spark.source.table.values": "db.a,db.a.b",
+                "spark.source.logical.db.a.uv": "BITMAP",
+                "spark.source.table.option.db.a.b.numPartitions": "64",
+                "spark.source.table.option.db.a.fetchsize": "9",
+            }
+        )
+    )
+    a, b = config.tables
+    assert a.logical_types == {"uv": "BITMAP"} and b.logical_types == {}
+    assert a.source_options == {"fetchsize": "9"} and b.source_options == {"numPartitions": "64"}
+    with pytest.raises(ConfigError, match="not copied"):
+        from_settings(settings(**{"spark.source.logical.db.c.uv": "bitmap"}))
+
+
+@pytest.mark.parametrize(
+    "key, value",
+    [
+        ("spark.sink.enable.results.verify", "yes"),
+        ("spark.sink.rows.per.file", "many"),
+        ("spark.sink.rows.per.file", "0"),
+        ("spark.sink.max.concurrent", "0"),
+        ("spark.sink.on.empty", "drop"),
+    ],
+)
+def test_bad_values(key, value):
+    with pytest.raises(ConfigError):
+        from_settings(settings(**{key: value}))
+
+
+def test_bad_verify_method():
+    with pytest.raises(ConfigError, match="verify"):
+        from_settings(
+            settings(
+                **{
+                    "spark.sink.enable.results.verify": "true",
+                    "spark.sink.verify.method": "hope",
+                }
+            )
+        )
+
+
+@pytest.mark.parametrize("text", ["", " , ,"])
+def test_empty_table_list(text):
+    with pytest.raises(ConfigError, match="no tables"):
+        from_settings(settings(**{"spark.source.table.values": text}))
+
+
+def test_two_sources_for_one_sink():
+    with pytest.raises(ConfigError, match="a.nation.*b.Nation"):
+        TransferConfig(["a.nation", "b.Nation"], "parquet", "s")
+    TransferConfig(["a.nation", TableSpec("b.nation", "nation_b")], "parquet", "s")
+
+
+def test_blank_filter_is_no_filter():
+    assert TransferConfig(["t"], "parquet", "s", filter=" \t").filter is None
+
+
+def test_small_parsers():
+    assert table_list(" a ,, b.c ,") == ["a", "b.c"]
+    assert options_under({"p.a": "1", "q.b": "2", "p.": "3"}, "p.") == {"a": "1", "": "3"}
+
+
+def test_from_spark_conf_and_report(spark):
+    given = settings(
+        **{
+            "spark.source.connector.password": "hunter2",
+            "spark.sink.url": "jdbc:x://u:hunter2@h/db?password=hunter2",
+            "spark.source.connector.user": "me",
+        }
+    )
+    for key, value in given.items():
+        spark.conf.set(key, value)
+    try:
+        config = from_spark_conf(spark)
+        assert config.source_options == {"password": "hunter2", "user": "me"}
+        rows = config_report(spark, config).collect()
+    finally:
+        for key in given:
+            spark.conf.unset(key)
+    assert not any("hunter2" in r.value for r in rows)
+    shown = {(r.section, r.key): r.value for r in rows}
+    assert shown["source options", "user"] == "me"
+    assert shown["source options", "password"] == "***"
+    assert shown["tables", "00002"] == "db.b"
+    for section in {r.section for r in rows}:
+        keys = [r.key for r in rows if r.section == section]
+        if section != "run":
+            assert keys == sorted(keys)

@@ -1,0 +1,61 @@
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tableferry.functions.masking import MASK, mask_text, mask_value
+from tableferry.functions.names import identifier_parts, qualified, quote, short_name
+
+NAMES = st.text(st.characters(blacklist_categories=["Cs", "Cc"]), min_size=1, max_size=12)
+
+
+@pytest.mark.parametrize(
+    "identifier, name",
+    [
+        ("orders", "orders"),
+        ("db.orders", "orders"),
+        ("catalog.db.orders", "orders"),
+        ("`db`.`or.ders`", "or.ders"),
+        ("/data/sf0.1/orders.parquet", "orders"),
+        ("s3a://bucket/v1.2/orders/", "orders"),
+    ],
+)
+def test_short_name(identifier, name):
+    assert short_name(identifier) == name
+
+
+@given(st.lists(NAMES, min_size=1, max_size=4))
+def test_quoted_parts_come_back(parts):
+    assert identifier_parts(qualified(*parts)) == parts
+
+
+def test_quote_doubles_back_ticks():
+    assert quote("a`b") == "`a``b`"
+
+
+@pytest.mark.parametrize(
+    "key", ["db.password", "PASSWORD", "api_token", "secret.key", "credentials"]
+)
+def test_secret_keys_are_masked_whole(key):
+    assert mask_value(key, "anything") == MASK
+
+
+@pytest.mark.parametrize(
+    "text, masked",
+    [
+        ("jdbc:x://h:1/db?user=u&password=p%23&use_http=true", "jdbc:x://h:1/db?user=u&password=***&use_http=true"),
+        ("jdbc:x://h:1/db;Password = p;a=b", "jdbc:x://h:1/db;Password = ***;a=b"),
+        ("jdbc:x://user:p@ss@host:1/db", "jdbc:x://user:***@host:1/db"),
+        ("s3a://bucket/path", "s3a://bucket/path"),
+        ("http://host:8080/a", "http://host:8080/a"),
+        ("dt between '2022-01-01' and '2022-12-31'", "dt between '2022-01-01' and '2022-12-31'"),
+    ],
+)
+def test_secrets_inside_values(text, masked):
+    assert mask_text(text) == masked
+    assert mask_value("url", text) == masked
+
+
+@given(st.text(st.characters(whitelist_categories=["L", "N"]), min_size=1))
+def test_password_parameter_never_shows(secret):
+    shown = mask_text(f"jdbc:x://h/db?password={secret}&a=1")
+    assert shown == f"jdbc:x://h/db?password={MASK}&a=1"
