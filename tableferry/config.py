@@ -141,6 +141,8 @@ class TransferConfig:
             raise ConfigError("max_concurrent must be at least 1")
         if self.rows_per_file is not None and self.rows_per_file < 1:
             raise ConfigError("rows_per_file must be at least 1")
+        if any(k.lower() == "path" for k in self.sink_options):
+            raise ConfigError("one path cannot serve several sink tables; use sink_location")
         taken: dict[str, str] = {}
         for spec in self.tables:
             if not spec.source.strip() or not spec.sink_name:

@@ -1,8 +1,9 @@
-"""The row filter of a run."""
+"""The row filter of a run and the emptiness test."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def apply_filter(rows: DataFrame, condition: str | Column | None) -> DataFrame:
@@ -14,3 +15,12 @@ def apply_filter(rows: DataFrame, condition: str | Column | None) -> DataFrame:
     if condition is None or (isinstance(condition, str) and not condition.strip()):
         return rows
     return rows.filter(condition)
+
+
+def is_empty(rows: DataFrame) -> bool:
+    """Whether there is no row, reading no more of the source than it takes to tell.
+
+    ``take`` starts with one partition and goes on to more only while it finds
+    nothing; ``DataFrame.isEmpty`` would start a task for every partition.
+    """
+    return not rows.select(F.lit(1)).take(1)

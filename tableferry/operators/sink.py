@@ -22,6 +22,9 @@ _FULL_PRECISION = {
 }
 
 
+_ARGUMENTS = ("tableName", "source", "schema", "description")
+
+
 def sink_identifier(config: TransferConfig, name: str) -> str:
     return qualified(*identifier_parts(config.sink_schema), name)
 
@@ -30,11 +33,6 @@ def sink_exists(spark: SparkSession, sink: str) -> bool:
     return spark.catalog.tableExists(sink)
 
 
-def sink_is_empty(spark: SparkSession, sink: str) -> bool:
-    """Whether the sink has no row: stops at the first one instead of counting."""
-    return spark.table(sink).isEmpty()
-
-
 def check_format(sink_format: str) -> None:
     if sink_format.lower() in _LOSSY_FORMATS:
         raise ConfigError(
@@ -58,15 +56,19 @@ def create_sink(
         options[config.sink_table_key] = name
     if config.rows_per_file:
         options["maxRecordsPerFile"] = str(config.rows_per_file)
-    if config.sink_location:
-        options["path"] = f"{config.sink_location.rstrip('/')}/{name}"
+    path = f"{config.sink_location.rstrip('/')}/{name}" if config.sink_location else None
     declared = None
     if config.declare_sink_schema:
         # later loads may bring NULLs that this one has not
         declared = StructType(
             [StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields]
         )
-    spark.catalog.createTable(sink, source=config.sink_format, schema=declared, **options)
+    # Spark ignores the case of option names, Python does not: this keeps options
+    # apart from arguments of the call
+    options = {k.upper() if k in _ARGUMENTS else k: v for k, v in options.items()}
+    spark.catalog.createTable(
+        sink, path=path, source=config.sink_format, schema=declared, **options
+    )
 
 
 def align_by_name(rows: DataFrame, sink: DataFrame) -> DataFrame:

@@ -41,10 +41,14 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
 
     numbered = list(enumerate(config.tables, 1))
     if config.concurrent:
-        # the pool's threads get the caller's Spark properties, such as job tags
-        target = inheritable_thread_target(spark)(isolated)
         with ThreadPoolExecutor(min(config.max_concurrent, len(numbered))) as pool:
-            outcomes = list(pool.map(target, *zip(*numbered)))
+            # each table gets its own copy of the caller's Spark properties: a shared
+            # one would mix up the job labels of tables that run at the same time
+            waiting = [
+                pool.submit(inheritable_thread_target(spark)(isolated), order, spec)
+                for order, spec in numbered
+            ]
+            outcomes = [w.result() for w in waiting]
     else:
         outcomes = [isolated(order, spec) for order, spec in numbered]
 

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tableferry.config import OnEmpty, SaveMode, TableSpec, TransferConfig, Verify
 from tableferry.operators import verify
 from tableferry.operators.projection import bitmap_text_columns, project
+from tableferry.operators.rowfilter import is_empty
 from tableferry.operators.sink import (
     create_sink,
     insert,
     sink_exists,
     sink_identifier,
-    sink_is_empty,
 )
 from tableferry.plans.labels import labelled
 from tableferry.plans.report import (
@@ -61,7 +61,7 @@ def transfer_table(
         occupied = (
             exists
             and config.save_mode is not SaveMode.APPEND
-            and not sink_is_empty(spark, sink)
+            and not is_empty(spark.table(sink))
         )
         may_truncate = (
             exists
@@ -70,7 +70,7 @@ def transfer_table(
         )
         if (not exists or occupied) and not may_truncate:
             step("Probing")
-            if rows.isEmpty():
+            if is_empty(rows):
                 return outcome(SKIPPED_EMPTY, source_rows=0)
         if occupied and config.save_mode is SaveMode.IGNORE:
             return outcome(SKIPPED_EXISTS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableferry import ConfigError, TableSpec, TransferConfig
 from tableferry.functions.bitmap import bytes_to_text, text_cast_to_bytes, text_to_bytes
 from tableferry.operators.projection import compare_conversions, project, restore_text
-from tableferry.operators.rowfilter import apply_filter
+from tableferry.operators.rowfilter import apply_filter, is_empty
 from tableferry.operators.verify import sink_rows, verification_counts
 from tableferry.sources.logical import native_schema, tag_logical_types
 from tableferry.sources.scan import (
@@ -20,7 +20,7 @@ from tableferry.sources.scan import (
     schema_report,
 )
 
-from .ledger_source import FORMAT, KEY
+from .ledger_source import FORMAT, KEY, reads
 from .oracle import SF_DIR
 
 TEXTS = [None, "", "1,2,3", "héllo, wörld", "数据🙂", "x" * 100_000, "line\nbreak\t\x00"]
@@ -214,3 +214,15 @@ def test_schema_report(spark, write_source):
         (path, 1, "i", "int"),
         (path, 2, "uv", "bitmap"),
     ]
+
+
+def test_emptiness_reads_as_little_as_it_can(spark, tmp_path):
+    log = tmp_path / "log"
+    options = {"ledger.log": str(log), "ledger.rows": "10", "ledger.partitions": "60"}
+    rows = read_table(spark, FORMAT, "db.t", KEY, options)
+    assert not is_empty(rows)
+    assert reads(log, "db.t") == 1
+    assert not is_empty(rows.filter("id >= 3000000"))  # first found in partition 3
+    assert reads(log, "db.t") == 1 + 1 + 4
+    assert is_empty(rows.filter("id < 0"))
+    assert reads(log, "db.t") == 1 + 1 + 4 + 60

@@ -1,0 +1,195 @@
+"""Save modes, empty sources, verification and scan counts of single transfers."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry import SinkNotEmpty, TableSpec, TransferConfig, transfer_table
+from tableferry.plans import transfer as transfer_module
+
+from .ledger_source import FORMAT, KEY, reads
+from .oracle import SF_DIR
+
+NATION = f"{SF_DIR}/nation.parquet"
+
+
+def nation(database, **settings):
+    return TransferConfig([TableSpec(NATION, "nation")], "parquet", database, **settings)
+
+
+def copy(spark, config):
+    return transfer_table(spark, config, config.tables[0])
+
+
+def prepare(spark, database, before):
+    """The sink as it is before the load: absent, empty or full (25 rows)."""
+    if before != "absent":
+        copy(spark, nation(database))
+    if before == "empty":
+        spark.sql(f"TRUNCATE TABLE {database}.nation")
+
+
+@pytest.mark.parametrize("before", ["absent", "empty", "full"])
+@pytest.mark.parametrize(
+    "mode, status_if_full, rows_if_full",
+    [
+        ("append", "copied", 50),
+        ("overwrite", "copied", 25),
+        ("ignore", "skipped_exists", 25),
+        ("errorifexists", "failed", 25),
+    ],
+)
+@pytest.mark.parametrize("verify", ["off", "observed"])
+def test_save_modes(spark, database, mode, status_if_full, rows_if_full, before, verify):
+    prepare(spark, database, before)
+    config = nation(database, save_mode=mode, verify=verify)
+    if before == "full" and status_if_full == "failed":
+        with pytest.raises(SinkNotEmpty, match="nation"):
+            copy(spark, config)
+    else:
+        got = copy(spark, config)
+        assert got.status == (status_if_full if before == "full" else "copied")
+        if got.status == "copied":
+            assert got.source_rows == 25
+            assert got.verified is (True if verify == "observed" else None)
+    assert spark.table(f"{database}.nation").count() == (rows_if_full if before == "full" else 25)
+
+
+@pytest.mark.parametrize("before, left", [("absent", None), ("empty", 0), ("full", 25)])
+@pytest.mark.parametrize("mode", ["append", "overwrite", "ignore", "errorifexists"])
+def test_empty_source_is_skipped_before_the_mode_matters(spark, database, mode, before, left):
+    prepare(spark, database, before)
+    config = nation(database, save_mode=mode, filter="n_nationkey < 0", verify="observed")
+    got = copy(spark, config)
+    assert (got.status, got.source_rows) == ("skipped_empty", 0)
+    if left is None:
+        assert not spark.catalog.tableExists(f"{database}.nation")
+    else:
+        assert spark.table(f"{database}.nation").count() == left
+
+
+def test_truncate_on_empty(spark, database):
+    prepare(spark, database, "full")
+    config = nation(database, filter="n_nationkey < 0", on_empty="truncate", verify="observed")
+    got = copy(spark, config)
+    assert (got.status, got.source_rows, got.verified) == ("copied", 0, True)
+    assert spark.table(f"{database}.nation").count() == 0
+
+
+@pytest.mark.parametrize("verify", ["observed", "recount"])
+def test_verification_of_an_append_counts_new_rows_under_the_filter(spark, database, verify):
+    prepare(spark, database, "full")
+    config = nation(database, save_mode="append", filter="n_regionkey = 1", verify=verify)
+    got = copy(spark, config)
+    assert (got.source_rows, got.rows_before, got.sink_rows, got.verified) == (5, 5, 10, True)
+
+
+def test_filter_on_a_converted_column_verifies(spark, database, write_source):
+    path = write_source([(1, "a"), (2, "bb")], "i int, uv string")
+    spec = TableSpec(path, "t", {"uv": "BITMAP"})
+    config = TransferConfig(
+        [spec], "parquet", database, filter="uv < 'b'", verify="recount", save_mode="append"
+    )
+    for load in (1, 2):
+        got = copy(spark, config)
+        assert got.verified and got.sink_rows == load
+    assert bytes(spark.table(f"{database}.t").first().uv) == b"a"
+
+
+def test_mismatch_is_reported_and_data_stays(spark, database, monkeypatch):
+    real = transfer_module.insert
+
+    def loses_rows(spark, rows, *rest):
+        return real(spark, rows, *rest) + 3
+
+    monkeypatch.setattr(transfer_module, "insert", loses_rows)
+    got = copy(spark, nation(database, verify="observed"))
+    assert (got.status, got.verified) == ("failed", False)
+    assert got.error == "verification failed: 28 source rows, 25 new sink rows"
+    assert spark.table(f"{database}.nation").count() == 25
+
+
+def test_existing_sink_keeps_its_definition(spark, database):
+    source = spark.read.parquet(NATION)
+    spark.catalog.createTable(
+        f"{database}.nation",
+        source="orc",
+        schema=source.select("n_regionkey", "n_nationkey", "n_name").schema,
+    )
+    copy(spark, nation(database))
+    sink = spark.table(f"{database}.nation")
+    assert sink.columns == ["n_regionkey", "n_nationkey", "n_name"]
+    assert all(f.endswith(".orc") for f in sink.inputFiles())
+    assert sink.select(*source.columns).exceptAll(source).isEmpty()
+
+
+def test_bitmap_metadata_reaches_the_sink(spark, database, write_source):
+    spec = TableSpec(write_source([(1, "1,2")], "i int, uv string"), "t", {"uv": "bitmap"})
+    copy(spark, TransferConfig([spec], "parquet", database))
+    field = spark.table(f"{database}.t").schema["uv"]
+    assert (field.dataType.simpleString(), field.metadata["logical_type"]) == ("binary", "bitmap")
+
+
+def test_overwriting_the_source_is_refused(spark, database):
+    copy(spark, nation(database))
+    itself = TransferConfig([f"{database}.nation"], "catalog", database)
+    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
+        copy(spark, itself)
+    assert spark.table(f"{database}.nation").count() == 25
+
+
+def test_source_view(spark, database):
+    copy(spark, nation(database, register_source_views=True, filter="n_regionkey = 1"))
+    assert spark.table("source_nation").count() == 5
+
+
+def ledger(database, tmp_path, **settings):
+    options = {
+        "ledger.log": str(tmp_path / "log"),
+        "ledger.partitions": "6",
+        "ledger.rows": "50",
+        **settings.pop("options", {}),
+    }
+    return TransferConfig(
+        ["db.t"], FORMAT, database, source_table_key=KEY, source_options=options, **settings
+    )
+
+
+@pytest.mark.parametrize("verify, scans", [("off", 1), ("observed", 1), ("recount", 2)])
+def test_full_scans_of_the_source(spark, database, tmp_path, verify, scans):
+    """Six partitions a scan; the probe before a new sink takes one partition more."""
+    first = ledger(database, tmp_path, verify=verify, save_mode="append")
+    assert copy(spark, first).source_rows == 300
+    assert reads(tmp_path / "log", "db.t") == 6 * scans + 1
+    # an existing sink is appended to without a probe
+    copy(spark, first)
+    assert reads(tmp_path / "log", "db.t") == 12 * scans + 1
+    assert spark.table(f"{database}.t").count() == 600
+
+
+def test_observed_count_is_exact_when_a_task_is_retried(spark, database, tmp_path):
+    config = ledger(
+        database, tmp_path, options={"ledger.fail_first": "3"}, verify="observed", save_mode="append"
+    )
+    got = copy(spark, config)
+    # the probe read partition 0, partition 3 was read twice
+    assert reads(tmp_path / "log", "db.t") == 8
+    assert (got.status, got.source_rows, got.sink_rows) == ("copied", 300, 300)
+    assert spark.table(f"{database}.t").select("id").distinct().count() == 300
+
+
+def test_recount_notices_a_source_that_changed(spark, database, tmp_path):
+    changing = ledger(database, tmp_path, options={"ledger.grow": "1"}, verify="recount")
+    got = copy(spark, changing)
+    assert (got.status, got.verified) == ("failed", False)
+    assert spark.table(f"{database}.t").count() == got.sink_rows > 0
+    # counting the rows that were written is not misled
+    other = ledger(database, tmp_path, options={"ledger.grow": "1"}, verify="observed")
+    assert copy(spark, other).verified
+
+
+def test_bytes_conversion_from_a_connector(spark, database, tmp_path):
+    config = ledger(database, tmp_path)
+    spec = TableSpec("db.t", logical_types={"uv": "bitmap"})
+    transfer_table(spark, config, spec)
+    wrong = F.decode("uv", "UTF-8") != F.concat_ws(",", "id", F.col("id") + 1)
+    assert spark.table(f"{database}.t").filter(wrong).isEmpty()
