@@ -134,6 +134,11 @@ class TransferConfig:
             put("filter", None)
         self._check()
 
+    @property
+    def sink_outside_catalog(self) -> bool:
+        """Whether a sink may hold rows although the catalog does not know it yet."""
+        return bool(self.sink_location or self.sink_table_key or not self.declare_sink_schema)
+
     def _check(self) -> None:
         if not self.tables:
             raise ConfigError("no tables to copy")

@@ -48,7 +48,11 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
                 pool.submit(inheritable_thread_target(spark)(isolated), order, spec)
                 for order, spec in numbered
             ]
-            outcomes = [w.result() for w in waiting]
+            try:
+                outcomes = [w.result() for w in waiting]
+            except BaseException:  # an interrupt: tables not yet begun stay undone
+                pool.shutdown(wait=False, cancel_futures=True)
+                raise
     else:
         outcomes = [isolated(order, spec) for order, spec in numbered]
 

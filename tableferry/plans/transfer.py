@@ -39,15 +39,17 @@ def transfer_table(
     """Copy one table. Errors are raised, a failed verification is an outcome.
 
     The source is opened once, so that every job sees the same listing of it,
-    and is scanned in full once. An emptiness probe (a limit-1 job) runs only
-    where an empty source must leave the sink alone: before creating a sink and
-    before a sink with rows is overwritten, refused or skipped. Elsewhere
-    writing no rows changes nothing, and the count from the write tells.
+    and is scanned in full once. An emptiness probe runs only where an empty
+    source must leave the sink alone: before a sink is created and before one
+    with rows is overwritten, refused or skipped. Elsewhere writing no rows
+    changes nothing, and the count from the write tells.
     """
     total = len(config.tables)
     with labelled(spark.sparkContext, spec.source, order, total) as step:
         step("Reading")
         rows = open_source(spark, config, spec)
+        projected = project(rows, config.bitmap_to_binary)
+        converted = bitmap_text_columns(rows) if config.bitmap_to_binary else []
         sink = sink_identifier(config, spec.sink_name)
 
         def outcome(status: str, **found) -> TableOutcome:
@@ -58,39 +60,35 @@ def transfer_table(
 
         step("Checking sink of")
         exists = sink_exists(spark, sink)
+        if not exists:
+            if is_empty(rows):
+                return outcome(SKIPPED_EMPTY, source_rows=0)
+            create_sink(spark, config, sink, spec.sink_name, projected.schema)
+        may_hold_rows = exists or config.sink_outside_catalog
         occupied = (
-            exists
+            may_hold_rows
             and config.save_mode is not SaveMode.APPEND
             and not is_empty(spark.table(sink))
         )
         may_truncate = (
-            exists
-            and config.save_mode is SaveMode.OVERWRITE
-            and config.on_empty is OnEmpty.TRUNCATE
+            config.save_mode is SaveMode.OVERWRITE and config.on_empty is OnEmpty.TRUNCATE
         )
-        if (not exists or occupied) and not may_truncate:
-            step("Probing")
-            if is_empty(rows):
-                return outcome(SKIPPED_EMPTY, source_rows=0)
+        if exists and occupied and not may_truncate and is_empty(rows):
+            return outcome(SKIPPED_EMPTY, source_rows=0)
         if occupied and config.save_mode is SaveMode.IGNORE:
             return outcome(SKIPPED_EXISTS)
         if occupied and config.save_mode is SaveMode.ERROR_IF_EXISTS:
             raise SinkNotEmpty(f"{sink} holds rows and the save mode is errorifexists")
-
         if config.register_source_views:
             register_view(rows, spec.sink_name)
-        projected = project(rows, config.bitmap_to_binary)
-        if not exists:
-            create_sink(spark, config, sink, spec.sink_name, projected.schema)
 
-        converted = bitmap_text_columns(rows) if config.bitmap_to_binary else []
         checking = config.verify is not Verify.OFF
         rows_before = 0 if checking else None
         if checking:
             step("Counting sink of")
             # analysed before anything is written, so a filter the sink cannot take fails here
             before = verify.sink_rows(spark, sink, config.filter, converted)
-            if exists and config.save_mode is SaveMode.APPEND:
+            if may_hold_rows and config.save_mode is SaveMode.APPEND:
                 rows_before = verify.count_rows(before)
 
         overwrite = config.save_mode is SaveMode.OVERWRITE

@@ -1,6 +1,7 @@
 """Runs over several tables: order, isolation, labels, totals, the command line."""
 
 import threading
+import time
 
 import pytest
 
@@ -109,13 +110,19 @@ def test_secrets_in_errors_are_masked(spark, config, monkeypatch):
     assert "cannot reach" in report.outcomes[0].error
 
 
-def test_interrupts_are_not_swallowed(spark, config, monkeypatch):
-    def interrupted(*_):
+@pytest.mark.parametrize("concurrent", [False, True])
+def test_an_interrupt_ends_the_run(spark, config, monkeypatch, concurrent):
+    begun = []
+
+    def interrupted(spark, config, spec, order):
+        begun.append(order)
+        time.sleep(0.2)
         raise KeyboardInterrupt
 
     monkeypatch.setattr(run_module, "transfer_table", interrupted)
     with pytest.raises(KeyboardInterrupt):
-        run(spark, config("nation"))
+        run(spark, config(*"abcdefgh", concurrent=concurrent, max_concurrent=1))
+    assert len(begun) < 4
 
 
 def test_concurrency_is_bounded(spark, config, monkeypatch):

@@ -170,3 +170,17 @@ def test_formats_that_change_values_are_refused(spark, database, rows, sink_form
 def test_one_path_for_all_tables_is_refused(database):
     with pytest.raises(ConfigError, match="sink_location"):
         config_for(database, sink_options={"Path": "/x"})
+
+
+def test_provider_that_knows_its_schema(spark, database, rows, tmp_path):
+    """Without a declared schema the provider resolves it, here from files that exist."""
+    rows.select("twice", "id").write.parquet(str(tmp_path / "t"))
+    sink = qualified(database, "t")
+    config = config_for(
+        database, sink_location=str(tmp_path), sink_table_key="table", declare_sink_schema=False
+    )
+    create_sink(spark, config, sink, "t", rows.schema)
+    assert spark.table(sink).columns == ["twice", "id"]
+    assert "'table' = 't'" in spark.sql(f"SHOW CREATE TABLE {sink}").first()[0]
+    assert insert(spark, rows, sink) == 100
+    assert spark.table(sink).filter("twice = 2 * id").count() == 200

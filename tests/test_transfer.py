@@ -108,6 +108,24 @@ def test_mismatch_is_reported_and_data_stays(spark, database, monkeypatch):
     assert spark.table(f"{database}.nation").count() == 25
 
 
+@pytest.mark.parametrize(
+    "mode, status, left",
+    [("append", "copied", 50), ("overwrite", "copied", 25), ("ignore", "skipped_exists", 25)],
+)
+def test_sink_rows_that_the_catalog_does_not_know(spark, database, tmp_path, mode, status, left):
+    """A sink at a location of its own holds rows from an earlier session."""
+    settings = dict(sink_location=str(tmp_path / "out"), save_mode=mode, verify="observed")
+    copy(spark, nation(database, **settings))
+    spark.sql(f"DROP TABLE {database}.nation")
+    got = copy(spark, nation(database, **settings))
+    assert got.status == status
+    assert spark.table(f"{database}.nation").count() == left
+    spark.sql(f"DROP TABLE {database}.nation")
+    with pytest.raises(SinkNotEmpty):
+        copy(spark, nation(database, **settings | {"save_mode": "errorifexists"}))
+    assert spark.read.parquet(str(tmp_path / "out" / "nation")).count() == left
+
+
 def test_existing_sink_keeps_its_definition(spark, database):
     source = spark.read.parquet(NATION)
     spark.catalog.createTable(
