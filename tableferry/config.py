@@ -176,6 +176,7 @@ SOURCE_FORMAT = "spark.source.format"
 SOURCE_TABLE_KEY = "spark.source.table.key"
 SOURCE_TABLE_VALUES = "spark.source.table.values"
 SOURCE_OPTION_PREFIX = "spark.source.connector."
+SOURCE_TABLE_SINK_PREFIX = "spark.source.table.sink."
 SOURCE_TABLE_OPTION_PREFIX = "spark.source.table.option."
 SOURCE_LOGICAL_PREFIX = "spark.source.logical."
 FILTER_QUERY = "spark.filter.query"
@@ -251,12 +252,13 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
     names = table_list(required(SOURCE_TABLE_VALUES))
     logical = _per_table(settings, SOURCE_LOGICAL_PREFIX, names)
     options = _per_table(settings, SOURCE_TABLE_OPTION_PREFIX, names)
+    sinks = options_under(settings, SOURCE_TABLE_SINK_PREFIX)
     optional = {}
     if number("max.concurrent") is not None:
         optional["max_concurrent"] = number("max.concurrent")
     return TransferConfig(
         tables=[
-            TableSpec(name, logical_types=logical[name], source_options=options[name])
+            TableSpec(name, sinks.get(name), logical[name], options[name])
             for name in names
         ],
         source_format=required(SOURCE_FORMAT),

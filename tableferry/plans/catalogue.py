@@ -17,10 +17,10 @@ from tableferry.config import SaveMode, TableSpec, TransferConfig, Verify
 from tableferry.functions.bitmap import bytes_to_text
 from tableferry.functions.names import qualified, quote
 from tableferry.operators.projection import compare_conversions
-from tableferry.operators.verify import verification_counts
+from tableferry.operators.verify import count_rows, verification_counts
 from tableferry.plans.report import RunReport
 from tableferry.plans.run import run
-from tableferry.plans.workspace import new_database
+from tableferry.plans.workspace import new_database, shared_folder
 from tableferry.sources.logical import tag_logical_types
 from tableferry.sources.scan import CATALOG, open_source, preview, read_table
 
@@ -198,10 +198,18 @@ def transfer_nested_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ODD_NAMES = {
+    "event_id": "event.id",
+    "ts": "event time",
+    "value": "va`lue",
+    "event_type": "SELECT",
+}
+
+
 @query(
-    """
-    SELECT event_id AS "event.id", CAST(ts AS VARCHAR) AS "event time",
-           "value" AS "va`lue", event_type AS "SELECT"
+    f"""
+    SELECT event_id, CAST(ts AS VARCHAR) AS ts, "value", event_type,
+           '{"|".join(_ODD_NAMES.values())}' AS sink_columns
     FROM events"""
 )
 def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,14 +217,17 @@ def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame
     database = new_database(spark)
     view = f"{database}_odd_events"
     read_table(spark, "parquet", f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("event.id"),
-        F.col("ts").alias("event time"),
-        F.col("value").alias("va`lue"),
-        F.col("event_type").alias("SELECT"),
+        *[F.col(name).alias(odd) for name, odd in _ODD_NAMES.items()]
     ).createOrReplaceTempView(view)
     config = TransferConfig([TableSpec(view, "odd_events")], CATALOG, database)
     run(spark, config)
-    return _times_as_text(_sink(spark, config, "odd_events"))
+    sink = _sink(spark, config, "odd_events")
+    return _times_as_text(
+        sink.select(
+            *[F.col(quote(odd)).alias(name) for name, odd in _ODD_NAMES.items()],
+            F.lit("|".join(sink.columns)).alias("sink_columns"),
+        )
+    )
 
 
 @query(
@@ -407,10 +418,9 @@ def append_filtered_recounted(spark: SparkSession, sf_dir: str) -> DataFrame:
         verify=Verify.RECOUNT,
     )
     report = run(spark, config).to_df(spark)
-    total = _sink(spark, config, "orders").agg(F.count(F.lit(1)).alias("rows_in_sink"))
-    # one row each
-    return report.select("source_rows", "rows_before", "sink_rows", "verified").join(
-        F.broadcast(total), F.lit(True)
+    in_sink = count_rows(_sink(spark, config, "orders"))
+    return report.select("source_rows", "rows_before", "sink_rows", "verified").withColumn(
+        "rows_in_sink", F.lit(in_sink).cast("long")
     )
 
 
@@ -617,6 +627,7 @@ def run_totals_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_ORDERS_SQL)
 def sink_format_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ORC files."""
     return _times_as_text(_copy(spark, sf_dir, "orders", sink_format="orc"))
 
 
@@ -626,6 +637,29 @@ def sink_format_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times_as_text(_copy(spark, sf_dir, "events", sink_format="json"))
 
 
+@query(_ORDERS_SQL)
+def transfer_between_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any format to any format: parquet files to orc files to a json table to a parquet table."""
+    database = new_database(spark)
+    folder = f"{shared_folder(spark)}/{database}/files"
+
+    def step(source: str, source_format: str, sink: str, sink_format: str, **settings) -> None:
+        config = TransferConfig(
+            [TableSpec(source, sink)],
+            source_format,
+            database,
+            sink_format=sink_format,
+            verify=Verify.OBSERVED,
+            **settings,
+        )
+        run(spark, config)
+
+    step(f"{sf_dir}/orders.parquet", "parquet", "as_orc", "orc", sink_location=folder)
+    step(f"{folder}/as_orc", "orc", "as_json", "json")
+    step(qualified(database, "as_json"), CATALOG, "as_parquet", "parquet")
+    return _times_as_text(spark.table(qualified(database, "as_parquet")))
+
+
 @query(
     f"""SELECT dt, event_type, id_range, hex(encode(uv_bitmap)) AS uv_bitmap_hex
     FROM ({_BITMAP_SQL})"""

@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tableferry.config import TableSpec, TransferConfig
+from tableferry.functions.names import quote
 from tableferry.operators.rowfilter import apply_filter
 from tableferry.sources.logical import native_schema, tag_logical_types
 
@@ -64,7 +65,7 @@ def schema_report(spark: SparkSession, config: TransferConfig) -> DataFrame:
 def register_view(rows: DataFrame, name: str) -> str:
     """Make rows available to SQL as ``source_<name>``; returns the view name."""
     view = f"source_{name}"
-    rows.createOrReplaceTempView(view)
+    rows.createOrReplaceTempView(quote(view))
     return view
 
 

@@ -159,6 +159,14 @@ def test_two_sources_for_one_sink():
     TransferConfig(["a.nation", TableSpec("b.nation", "nation_b")], "parquet", "s")
 
 
+def test_sink_names_from_settings():
+    same = settings(**{"spark.source.table.values": "a.nation,b.nation"})
+    with pytest.raises(ConfigError, match="another sink name"):
+        from_settings(same)
+    config = from_settings(same | {"spark.source.table.sink.b.nation": "nation_b"})
+    assert [t.sink_name for t in config.tables] == ["nation", "nation_b"]
+
+
 def test_blank_filter_is_no_filter():
     assert TransferConfig(["t"], "parquet", "s", filter=" \t").filter is None
 

@@ -108,6 +108,22 @@ def test_predicate_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in shown
 
 
+def test_partitions_are_pruned_below_the_conversion(spark, tmp_path):
+    path = str(tmp_path / "days.parquet")
+    days = spark.range(100).selectExpr(
+        "id", "string(id) AS uv", "date_add(DATE'2022-01-01', int(id % 10)) AS dt"
+    )
+    days.write.partitionBy("dt").parquet(path)
+    spec = TableSpec(path, logical_types={"uv": "bitmap"})
+    condition = "dt between '2022-01-03' and '2022-01-04' AND uv < '5'"
+    config = TransferConfig([spec], "parquet", "s", filter=condition)
+    rows = project(open_source(spark, config, spec))
+    shown = plan(rows)
+    assert "PartitionFilters: [isnotnull(dt" in shown
+    assert "PushedFilters: [IsNotNull(uv), LessThan(uv,5)]" in shown
+    assert len(rows.inputFiles()) > 0 and rows.count() == 10
+
+
 def test_transfer_plan_is_one_stage_in_codegen(spark):
     spec = TableSpec(f"{SF_DIR}/documents.parquet", logical_types={"text": "bitmap"})
     config = TransferConfig([spec], "parquet", "s", filter="doc_id > 3")
@@ -205,6 +221,8 @@ def test_preview_and_view(spark, small):
     assert "TakeOrderedAndProject" in plan(preview(small, 2, ["id"]))
     assert register_view(small, "small") == "source_small"
     assert spark.sql("SELECT count(*) AS n FROM source_small WHERE id > 1").first().n == 2
+    assert register_view(small, "a-b c") == "source_a-b c"
+    assert spark.table("`source_a-b c`").count() == 3
 
 
 def test_schema_report(spark, write_source):
