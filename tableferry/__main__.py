@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     arguments = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
 
     own_session = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName("tableferry").getOrCreate()
