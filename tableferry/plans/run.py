@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -15,6 +16,14 @@ from tableferry.plans.transfer import transfer_table
 
 log = logging.getLogger(__name__)
 
+_JVM_FRAME = re.compile(r"^\t+(at |\.\.\. |Suppressed: ).*\n?", re.MULTILINE)
+
+
+def describe(error: Exception) -> str:
+    """Class and message, without the frames of the JVM and without secrets."""
+    text = _JVM_FRAME.sub("", f"{type(error).__name__}: {error}")
+    return mask_text(text.strip())
+
 
 def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True) -> RunReport:
     """Copy every table; one that fails does not stop the others.
@@ -29,14 +38,15 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
         try:
             return transfer_table(spark, config, spec, order)
         except Exception as error:
-            log.error("%s failed: %s", spec.source, mask_text(str(error)))
+            reason = describe(error)
+            log.error("%s failed: %s", spec.source, reason)
             return TableOutcome(
                 order,
                 spec.source,
                 spec.sink_name,
                 config.save_mode.value,
                 FAILED,
-                error=mask_text(f"{type(error).__name__}: {error}"),
+                error=reason,
             )
 
     numbered = list(enumerate(config.tables, 1))

@@ -100,6 +100,13 @@ def test_totals_round_and_handle_nothing(spark):
     assert tuple(run_totals(spark.createDataFrame([], REPORT_SCHEMA)).first()) == (0, 0, 0, None)
 
 
+def test_errors_are_short(spark, database):
+    report = run(spark, TransferConfig(["t"], "no.such.format", database), fail_on_error=False)
+    error = report.outcomes[0].error
+    assert "DATA_SOURCE_NOT_FOUND" in error and "no.such.format" in error
+    assert "\tat " not in error and len(error) < 2000
+
+
 def test_secrets_in_errors_are_masked(spark, config, monkeypatch):
     def broken(*_):
         raise RuntimeError("cannot reach jdbc:x://u:hunter2@h/db?password=hunter2")
