@@ -1,7 +1,9 @@
-"""Sink tables: creation, emptiness and by-name writes."""
+"""Sink tables: creation and by-name writes."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -10,6 +12,7 @@ from tableferry.config import ConfigError, TransferConfig
 from tableferry.functions.names import identifier_parts, qualified, quote
 
 ROWS = "rows"
+OBSERVATION_WAIT = 60.0  # seconds
 
 # Formats that cannot give every value back: csv has no binary and rewrites line
 # ends inside text, text files hold one string column split at line ends.
@@ -21,7 +24,6 @@ _FULL_PRECISION = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
-
 _ARGUMENTS = ("tableName", "source", "schema", "description")
 
 
@@ -103,9 +105,11 @@ def insert(
     sink: str,
     overwrite: bool = False,
     rebalance: bool = False,
-) -> int:
+) -> int | None:
     """Write rows by column name into an existing table; returns how many were written.
 
+    None means that Spark did not tell, see :func:`_value`.
+
     One job without a shuffle: the count is taken by an observation on the rows
     that go to the writer. It sits directly under the write, in the result
     stage, where Spark counts each task once however often it is retried;
@@ -121,4 +125,18 @@ def insert(
     aligned.observe(written, F.count(F.lit(1)).alias(ROWS)).write.insertInto(
         sink, overwrite=overwrite
     )
-    return written.get[ROWS]
+    return _value(written)
+
+
+def _value(written: Observation) -> int | None:
+    """The observed count, or None if it does not come although the write is done.
+
+    Spark delivers it through its event queue, which drops events under heavy
+    load, and not at all for providers that run the rows in a query of their
+    own; ``Observation.get`` would then wait for ever.
+    """
+    found = []
+    waiter = threading.Thread(target=lambda: found.append(written.get[ROWS]), daemon=True)
+    waiter.start()
+    waiter.join(OBSERVATION_WAIT)
+    return found[0] if found else None

@@ -39,12 +39,15 @@ def transfer_table(
     """Copy one table. Errors are raised, a failed verification is an outcome.
 
     The source is opened once, so that every job sees the same listing of it,
-    and is scanned in full once. An emptiness probe runs only where an empty
-    source must leave the sink alone: before a sink is created and before one
-    with rows is overwritten, refused or skipped. Elsewhere writing no rows
-    changes nothing, and the count from the write tells.
+    and is scanned in full once.
     """
     total = len(config.tables)
+    mode = config.save_mode
+
+    def outcome(status: str, **found) -> TableOutcome:
+        log.info("%s (%d/%d): %s", spec.source, order, total, status)
+        return TableOutcome(order, spec.source, spec.sink_name, mode.value, status, **found)
+
     with labelled(spark.sparkContext, spec.source, order, total) as step:
         step("Reading")
         rows = open_source(spark, config, spec)
@@ -52,76 +55,89 @@ def transfer_table(
         converted = bitmap_text_columns(rows) if config.bitmap_to_binary else []
         sink = sink_identifier(config, spec.sink_name)
 
-        def outcome(status: str, **found) -> TableOutcome:
-            log.info("%s (%d/%d): %s", spec.source, order, total, status)
-            return TableOutcome(
-                order, spec.source, spec.sink_name, config.save_mode.value, status, **found
-            )
-
-        step("Checking sink of")
+        step("Preparing the sink of")
         exists = sink_exists(spark, sink)
-        if not exists:
-            if is_empty(rows):
-                return outcome(SKIPPED_EMPTY, source_rows=0)
-            create_sink(spark, config, sink, spec.sink_name, projected.schema)
         may_hold_rows = exists or config.sink_outside_catalog
-        occupied = (
-            may_hold_rows
-            and config.save_mode is not SaveMode.APPEND
-            and not is_empty(spark.table(sink))
-        )
-        may_truncate = (
-            config.save_mode is SaveMode.OVERWRITE and config.on_empty is OnEmpty.TRUNCATE
-        )
-        if exists and occupied and not may_truncate and is_empty(rows):
-            return outcome(SKIPPED_EMPTY, source_rows=0)
-        if occupied and config.save_mode is SaveMode.IGNORE:
-            return outcome(SKIPPED_EXISTS)
-        if occupied and config.save_mode is SaveMode.ERROR_IF_EXISTS:
-            raise SinkNotEmpty(f"{sink} holds rows and the save mode is errorifexists")
+        skipped = _prepare(spark, config, spec, sink, exists, rows, projected)
+        if skipped == SKIPPED_EMPTY:
+            return outcome(skipped, source_rows=0)
+        if skipped:
+            return outcome(skipped)
         if config.register_source_views:
             register_view(rows, spec.sink_name)
 
-        checking = config.verify is not Verify.OFF
-        rows_before = 0 if checking else None
-        if checking:
-            step("Counting sink of")
+        rows_before = None
+        if config.verify is not Verify.OFF:
+            step("Counting the sink of")
             # analysed before anything is written, so a filter the sink cannot take fails here
             before = verify.sink_rows(spark, sink, config.filter, converted)
-            if may_hold_rows and config.save_mode is SaveMode.APPEND:
-                rows_before = verify.count_rows(before)
+            counts = may_hold_rows and mode is SaveMode.APPEND
+            rows_before = verify.count_rows(before) if counts else 0
 
-        overwrite = config.save_mode is SaveMode.OVERWRITE
+        overwrite = mode is SaveMode.OVERWRITE
         step("Writing", f"INSERT {'OVERWRITE' if overwrite else 'INTO'} {sink} {rows.columns}")
         source_rows = insert(spark, projected, sink, overwrite, config.rebalance)
-        if source_rows == 0 and not may_truncate:
+        if source_rows is None:
+            log.warning("%s: the write gave no row count, counting the source", spec.source)
+            source_rows = verify.count_rows(rows)
+        if source_rows == 0 and not _may_truncate(config):
             return outcome(SKIPPED_EMPTY, source_rows=0)
-        if not checking:
+        if config.verify is Verify.OFF:
             return outcome(COPIED, source_rows=source_rows)
 
         step("Verifying")
-        source_rows, sink_rows = _counts(spark, config, rows, sink, converted, source_rows)
-        found = dict(source_rows=source_rows, rows_before=rows_before, sink_rows=sink_rows)
-        if sink_rows - rows_before == source_rows:
-            return outcome(COPIED, verified=True, **found)
+        after = verify.sink_rows(spark, sink, config.filter, converted)
+        if config.verify is Verify.RECOUNT:
+            source_rows, sink_rows = verify.count_both(rows, after)
+        else:
+            sink_rows = verify.count_rows(after)
+        added = sink_rows - rows_before
+        verified = added == source_rows
         return outcome(
-            FAILED,
-            verified=False,
-            error=f"verification failed: {source_rows} source rows, "
-            f"{sink_rows - rows_before} new sink rows",
-            **found,
+            COPIED if verified else FAILED,
+            source_rows=source_rows,
+            rows_before=rows_before,
+            sink_rows=sink_rows,
+            verified=verified,
+            error=None
+            if verified
+            else f"verification failed: {source_rows} source rows, {added} new sink rows",
         )
 
 
-def _counts(
+def _may_truncate(config: TransferConfig) -> bool:
+    return config.save_mode is SaveMode.OVERWRITE and config.on_empty is OnEmpty.TRUNCATE
+
+
+def _prepare(
     spark: SparkSession,
     config: TransferConfig,
-    rows: DataFrame,
+    spec: TableSpec,
     sink: str,
-    converted: list[str],
-    observed: int,
-) -> tuple[int, int]:
-    after = verify.sink_rows(spark, sink, config.filter, converted)
-    if config.verify is Verify.RECOUNT:
-        return verify.count_both(rows, after)
-    return observed, verify.count_rows(after)
+    exists: bool,
+    rows: DataFrame,
+    projected: DataFrame,
+) -> str | None:
+    """Create the sink if it is absent; returns a status if the table must be skipped.
+
+    The source is probed for rows only where an empty one must leave the sink
+    alone: before a sink is created and before one with rows is overwritten,
+    refused or skipped. Elsewhere writing no rows changes nothing, and the count
+    from the write tells.
+    """
+    truncate = _may_truncate(config)
+    if not exists:
+        if not (truncate and config.sink_outside_catalog) and is_empty(rows):
+            return SKIPPED_EMPTY
+        create_sink(spark, config, sink, spec.sink_name, projected.schema)
+        if not config.sink_outside_catalog:
+            return None
+    if config.save_mode is SaveMode.APPEND or is_empty(spark.table(sink)):
+        return None
+    if exists and not truncate and is_empty(rows):
+        return SKIPPED_EMPTY
+    if config.save_mode is SaveMode.IGNORE:
+        return SKIPPED_EXISTS
+    if config.save_mode is SaveMode.ERROR_IF_EXISTS:
+        raise SinkNotEmpty(f"{sink} holds rows and the save mode is errorifexists")
+    return None

@@ -1,9 +1,13 @@
 """Save modes, empty sources, verification and scan counts of single transfers."""
 
+import threading
+
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tableferry import SinkNotEmpty, TableSpec, TransferConfig, transfer_table
+from tableferry.operators import sink as sink_module
 from tableferry.plans import transfer as transfer_module
 
 from .ledger_source import FORMAT, KEY, reads
@@ -160,6 +164,29 @@ def test_source_view(spark, database):
     assert spark.table("source_nation").count() == 5
 
 
+def test_a_count_that_never_comes(spark, database, monkeypatch):
+    """The write is done, but its observation is not delivered: the source is counted."""
+
+    class Lost(Observation):
+        get = property(lambda self: threading.Event().wait())
+
+    monkeypatch.setattr(sink_module, "Observation", Lost)
+    monkeypatch.setattr(sink_module, "OBSERVATION_WAIT", 0.2)
+    got = copy(spark, nation(database, verify="observed"))
+    assert (got.status, got.source_rows, got.sink_rows, got.verified) == ("copied", 25, 25, True)
+    got = copy(spark, nation(database, save_mode="append", filter="n_nationkey < 0"))
+    assert (got.status, got.source_rows) == ("skipped_empty", 0)
+
+
+def test_truncate_reaches_rows_outside_the_catalog(spark, database, tmp_path):
+    settings = dict(sink_location=str(tmp_path / "out"), on_empty="truncate")
+    copy(spark, nation(database, **settings))
+    spark.sql(f"DROP TABLE {database}.nation")
+    got = copy(spark, nation(database, filter="n_nationkey < 0", **settings))
+    assert (got.status, got.source_rows) == ("copied", 0)
+    assert spark.table(f"{database}.nation").count() == 0
+
+
 def ledger(database, tmp_path, **settings):
     options = {
         "ledger.log": str(tmp_path / "log"),
