@@ -323,7 +323,8 @@ def utf8_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, text FROM documents")
 def binary_decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoding the sink's bytes gives the source's text back."""
-    return _document_bytes(spark, sf_dir).select("doc_id", bytes_to_text(F.col("text")).alias("text"))
+    sink = _document_bytes(spark, sf_dir)
+    return sink.select("doc_id", bytes_to_text(F.col("text")).alias("text"))
 
 
 # --- runs over all tables, with verification -------------------------------

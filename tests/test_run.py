@@ -22,7 +22,13 @@ from tableferry.plans.report import REPORT_SCHEMA
 
 from .oracle import SF_DIR
 
-LABELS = ["spark.jobGroup.id", "spark.job.description", "callSite.short", "callSite.long", "spark.scheduler.pool"]
+LABELS = [
+    "spark.jobGroup.id",
+    "spark.job.description",
+    "callSite.short",
+    "callSite.long",
+    "spark.scheduler.pool",
+]
 
 
 def files(*names):
@@ -86,9 +92,10 @@ def test_skips_are_successes(spark, config):
 
 def test_report_rows(spark, config):
     report = run(spark, config("nation", verify="observed"))
-    row = report.to_df(spark).first()
-    assert tuple(row) == (1, f"{SF_DIR}/nation.parquet", "nation", "overwrite", "copied", 25, 0, 25, True, None)
-    assert report.to_df(spark).schema.simpleString() == spark.createDataFrame([], REPORT_SCHEMA).schema.simpleString()
+    rows = report.to_df(spark)
+    copied = (1, f"{SF_DIR}/nation.parquet", "nation", "overwrite", "copied", 25, 0, 25, True, None)
+    assert tuple(rows.first()) == copied
+    assert rows.schema == spark.createDataFrame([], REPORT_SCHEMA).schema
 
 
 def test_totals_round_and_handle_nothing(spark):
@@ -193,7 +200,8 @@ def test_concurrent_tables_have_their_own_labels(spark, config, monkeypatch):
 
     monkeypatch.setattr(transfer_module, "insert", watching)
     run(spark, config("region", "nation", "supplier", concurrent=True, max_concurrent=2))
-    assert {k: v.split("-")[1] for k, v in seen.items()} == {"region": "1", "nation": "2", "supplier": "3"}
+    orders = {name: group.split("-")[1] for name, group in seen.items()}
+    assert orders == {"region": "1", "nation": "2", "supplier": "3"}
     assert sc.getLocalProperty("spark.jobGroup.id") is None
 
 

@@ -42,7 +42,8 @@ def test_create_declares_the_schema(spark, database, rows):
 def test_option_values_and_keys_are_taken_as_they_are(spark, database, rows):
     sink = qualified(database, "t")
     odd = {"owner-name": "it's \"quoted\"", "schema": "s", "compression": "zstd"}
-    create_sink(spark, config_for(database, sink_options=odd, sink_table_key="table"), sink, "t", rows.schema)
+    config = config_for(database, sink_options=odd, sink_table_key="table")
+    create_sink(spark, config, sink, "t", rows.schema)
     assert insert(spark, rows, sink) == 100
     stored = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {sink}").collect()}
     assert "owner-name=it's \"quoted\"" in stored["Storage Properties"]
@@ -153,7 +154,8 @@ VALUES = [
 def test_every_type_passes_through(spark, database, tmp_path, sink_format):
     path = str(tmp_path / "t.parquet")
     spark.createDataFrame(VALUES, ALL_TYPES).coalesce(1).write.parquet(path)
-    run(spark, TransferConfig([path], "parquet", database, sink_format=sink_format, verify="observed"))
+    config = TransferConfig([path], "parquet", database, sink_format=sink_format)
+    run(spark, config)
     source, sink = spark.read.parquet(path), spark.table(f"{database}.t")
     assert sink.dtypes == source.dtypes
     assert repr(sorted(sink.collect(), key=repr)) == repr(sorted(source.collect(), key=repr))

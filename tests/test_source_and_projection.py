@@ -50,10 +50,8 @@ def test_filter_takes_any_spark_sql(spark, small):
 
 
 def test_date_range_ends_at_midnight(spark):
-    rows = spark.createDataFrame(
-        [(dt.datetime(2022, 12, 31),), (dt.datetime(2022, 12, 31, 10),), (dt.datetime(2021, 1, 1),)],
-        "dt timestamp_ntz",
-    )
+    times = [dt.datetime(2022, 12, 31), dt.datetime(2022, 12, 31, 10), dt.datetime(2021, 1, 1)]
+    rows = spark.createDataFrame([(t,) for t in times], "dt timestamp_ntz")
     kept = apply_filter(rows, "dt between '2022-01-01' and '2022-12-31'").collect()
     assert [r.dt for r in kept] == [dt.datetime(2022, 12, 31)]
 
@@ -143,7 +141,8 @@ def test_logical_types(spark, small):
 
 
 def test_conversion_of_bitmap_columns(spark):
-    rows = spark.createDataFrame([(i, t, t) for i, t in enumerate(TEXTS)], "i int, uv string, s string")
+    texts = [(i, t, t) for i, t in enumerate(TEXTS)]
+    rows = spark.createDataFrame(texts, "i int, uv string, s string")
     tagged = tag_logical_types(rows, {"uv": "bitmap"})
     converted = project(tagged)
     assert converted.columns == ["i", "uv", "s"]
@@ -166,7 +165,8 @@ def test_conversion_off_or_not_needed(spark):
 
 
 def test_bitmap_that_is_not_text_is_refused(spark):
-    rows = tag_logical_types(spark.createDataFrame([(1, [2])], "i int, uv array<int>"), {"uv": "bitmap"})
+    arrays = spark.createDataFrame([(1, [2])], "i int, uv array<int>")
+    rows = tag_logical_types(arrays, {"uv": "bitmap"})
     with pytest.raises(ConfigError, match="array<int>"):
         project(rows)
     assert project(rows, bitmap_to_binary=False).columns == ["i", "uv"]
@@ -202,7 +202,8 @@ def test_sink_predicate_sees_text_again(spark, database, small):
     tagged = tag_logical_types(small, {"value": "bitmap"})
     project(tagged).write.saveAsTable(f"{database}.t")
     # a predicate on text that bytes would not pass
-    assert sink_rows(spark, f"{database}.t", "value = concat('test', id) AND id < 3", ["value"]).count() == 2
+    condition = "value = concat('test', id) AND id < 3"
+    assert sink_rows(spark, f"{database}.t", condition, ["value"]).count() == 2
     # one that does not touch the converted column still reaches the scan alone
     shown = plan(sink_rows(spark, f"{database}.t", "id > 1", ["value"]).groupBy().count())
     assert "GreaterThan(id,1)" in shown and "ReadSchema: struct<id:int>" in shown

@@ -212,9 +212,8 @@ def test_full_scans_of_the_source(spark, database, tmp_path, verify, scans):
 
 
 def test_observed_count_is_exact_when_a_task_is_retried(spark, database, tmp_path):
-    config = ledger(
-        database, tmp_path, options={"ledger.fail_first": "3"}, verify="observed", save_mode="append"
-    )
+    breaks_off = {"ledger.fail_first": "3"}
+    config = ledger(database, tmp_path, options=breaks_off, verify="observed", save_mode="append")
     got = copy(spark, config)
     # the probe read partition 0, partition 3 was read twice
     assert reads(tmp_path / "log", "db.t") == 8
