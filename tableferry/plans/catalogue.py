@@ -233,7 +233,7 @@ def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame
 @query(
     """
     SELECT o_orderpriority, COUNT(*) AS n_orders,
-           CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DECIMAL(30, 2)) AS total
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DOUBLE) AS total
     FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority"""
 )
 def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +250,7 @@ def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         f"""
         SELECT o_orderpriority, COUNT(*) AS n_orders,
-               CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DECIMAL(30, 2)) AS total
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DOUBLE) AS total
         FROM source_{name} GROUP BY o_orderpriority"""
     )
 
@@ -592,9 +592,9 @@ def _run_with_failures(spark: SparkSession, sf_dir: str) -> RunReport:
         f"SELECT {i} AS run_order, '{t}' AS sink, "
         + (
             "'copied' AS status, COUNT(*) FILTER (o_orderstatus = 'F') AS source_rows, "
-            "CAST(NULL AS VARCHAR) AS reason FROM orders"
+            "'' AS reason FROM orders"
             if t == "orders"
-            else "'failed' AS status, CAST(NULL AS BIGINT) AS source_rows, "
+            else "'failed' AS status, CAST(0 AS BIGINT) AS source_rows, "
             f"'{'PATH_NOT_FOUND' if t == 'no_such_table' else 'UNRESOLVED_COLUMN'}' AS reason"
         )
         for i, t in enumerate((*TABLES, "no_such_table"), 1)
@@ -602,11 +602,17 @@ def _run_with_failures(spark: SparkSession, sf_dir: str) -> RunReport:
 )
 def failure_isolation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables that fail do not stop the one that can be copied."""
-    reason = F.nullif(F.regexp_extract("error", r"\[([A-Z_]+)", 1), F.lit(""))
+    reason = F.regexp_extract(F.coalesce("error", F.lit("")), r"\[([A-Z_]+)", 1)
     return (
         _run_with_failures(spark, sf_dir)
         .to_df(spark)
-        .select("run_order", "sink", "status", "source_rows", reason.alias("reason"))
+        .select(
+            "run_order",
+            "sink",
+            "status",
+            F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
+            reason.alias("reason"),
+        )
     )
 
 
