@@ -1,0 +1,77 @@
+"""Random sequences of loads into one sink, against a model of what it should hold."""
+
+from collections import Counter
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tableferry import TableSpec, TransferConfig, run
+from tableferry.functions.names import qualified
+from tableferry.plans.workspace import new_database, release
+
+LOADS = st.lists(
+    st.fixed_dictionaries(
+        {
+            "first": st.integers(0, 30),
+            "filter_below": st.one_of(st.none(), st.integers(-5, 35)),
+            "mode": st.sampled_from(["append", "overwrite", "errorifexists", "ignore"]),
+            "on_empty": st.sampled_from(["skip", "truncate"]),
+            "verify": st.sampled_from(["off", "observed", "recount"]),
+            "rebalance": st.booleans(),
+        }
+    ),
+    min_size=1,
+    max_size=4,
+)
+
+
+def expected(sink, load):
+    """Status and contents after a load; contents are None while there is no sink."""
+    below = load["filter_below"]
+    rows = Counter(i for i in range(load["first"], 30) if below is None or i < below)
+    truncates = load["mode"] == "overwrite" and load["on_empty"] == "truncate"
+    if not rows and not (truncates and sink is not None):
+        return "skipped_empty", sink
+    if load["mode"] == "overwrite":
+        return "copied", rows
+    if load["mode"] == "append" or not sink:
+        return "copied", (sink or Counter()) + rows
+    return ("skipped_exists" if load["mode"] == "ignore" else "failed"), sink
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(LOADS)
+def test_sequences_of_loads(spark, loads):
+    database = new_database(spark)
+    name = qualified(database, "t")
+    sink = None
+    for number, load in enumerate(loads):
+        view = f"{database}_{number}"
+        source = spark.range(load["first"], 30, numPartitions=3).selectExpr("id", "string(id) AS uv")
+        source.createOrReplaceTempView(view)
+        below = load["filter_below"]
+        config = TransferConfig(
+            [TableSpec(view, "t", {"uv": "bitmap"})],
+            "catalog",
+            database,
+            # on the converted column, so verification has to read it as text
+            filter=None if below is None else f"int(uv) < {below}",
+            save_mode=load["mode"],
+            on_empty=load["on_empty"],
+            verify=load["verify"],
+            rebalance=load["rebalance"],
+        )
+        outcome = run(spark, config, fail_on_error=False).outcomes[0]
+        status, sink = expected(sink, load)
+        assert outcome.status == status, outcome
+        if status == "copied" and load["verify"] != "off":
+            assert outcome.verified is True
+        assert spark.catalog.tableExists(name) == (sink is not None)
+        if sink is not None:
+            held = spark.table(name).collect()
+            assert Counter(r.id for r in held) == sink
+            assert all(bytes(r.uv) == str(r.id).encode() for r in held)
+        spark.catalog.dropTempView(view)
+    release(spark)
