@@ -37,6 +37,8 @@ def project(rows: DataFrame, bitmap_to_binary: bool = True) -> DataFrame:
     The converted column keeps its metadata: an expression alone would lose it.
     """
     convert = set(bitmap_text_columns(rows)) if bitmap_to_binary else set()
+    if not convert:
+        return rows
     return rows.select(
         *[
             text_to_bytes(F.col(quote(f.name))).alias(f.name, metadata=f.metadata)

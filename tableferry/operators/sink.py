@@ -78,6 +78,8 @@ def align_by_name(rows: DataFrame, sink: DataFrame) -> DataFrame:
 
     A positional insert would silently swap columns of equal type.
     """
+    if rows.columns == sink.columns:
+        return rows
     sensitive = rows.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     have = {c if sensitive else c.lower() for c in rows.columns}
     want = {c if sensitive else c.lower() for c in sink.columns}

@@ -45,7 +45,8 @@ def open_source(spark: SparkSession, config: TransferConfig, spec: TableSpec) ->
         {**config.source_options, **spec.source_options},
     )
     tagged = tag_logical_types(table, spec.logical_types)
-    log.info("schema of %s:\n%s", spec.source, tagged.schema.treeString())
+    if log.isEnabledFor(logging.INFO):
+        log.info("schema of %s:\n%s", spec.source, tagged.schema.treeString())
     return apply_filter(tagged, config.filter)
 
 
