@@ -369,7 +369,7 @@ def copy_all_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL
     SELECT 'sink' AS side, COUNT(*) AS "rows" FROM orders WHERE o_totalprice > 100000"""
 )
-def filtered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sink_count_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source and sink rows under the same predicate, counted by one plan over a whole copy."""
     condition = "o_totalprice > 100000"
     sink = _copy(spark, sf_dir, "orders")

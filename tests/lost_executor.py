@@ -1,0 +1,55 @@
+"""Copies a table on three executors, one of which dies halfway through its part of it.
+
+Run as a program of its own, with the folder to work in; prints the outcomes as JSON.
+"""
+
+import json
+import sys
+from dataclasses import asdict
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from tableferry import TransferConfig, run
+from tableferry.plans.workspace import new_database
+from tests.ledger_source import FORMAT, KEY, LedgerSource
+
+
+def main(folder: str) -> None:
+    spark = (
+        SparkSession.builder.master("local-cluster[3,1,1024]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "6")
+        .config("spark.checkpoint.dir", f"{folder}/shared")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    spark.dataSource.register(LedgerSource)
+    found = []
+    for rebalance in (False, True):
+        database = new_database(spark)
+        config = TransferConfig(
+            ["db.t"],
+            FORMAT,
+            database,
+            source_table_key=KEY,
+            source_options={
+                "ledger.log": f"{folder}/log-{rebalance}",
+                "ledger.partitions": "9",
+                "ledger.rows": "20000",
+                "ledger.kill_executor": "7",
+            },
+            verify="observed",
+            rebalance=rebalance,
+        )
+        outcome = run(spark, config, fail_on_error=False).outcomes[0]
+        ids = spark.table(f"{database}.t").agg(F.count_distinct("id").alias("n")).first().n
+        found.append(asdict(outcome) | {"distinct": ids})
+    spark.stop()
+    print(json.dumps(found))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])

@@ -1,0 +1,30 @@
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+from .ledger_source import reads
+
+REPO = Path(__file__).parent.parent
+
+
+def test_copy_survives_the_loss_of_an_executor(tmp_path):
+    """Counts and contents are exact, with and without a shuffle before the write."""
+    done = subprocess.run(
+        [sys.executable, "-m", "tests.lost_executor", str(tmp_path)],
+        cwd=REPO,
+        env=os.environ | {"PYTHONPATH": str(REPO)},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    plain, rebalanced = json.loads(done.stdout.splitlines()[-1])
+    for outcome in (plain, rebalanced):
+        assert outcome["status"] == "copied" and outcome["verified"] is True
+        assert outcome["source_rows"] == outcome["sink_rows"] == outcome["distinct"] == 180_000
+    for log in ("log-False", "log-True"):
+        # nine partitions and the probe's; some were read again
+        assert reads(tmp_path / log, "db.t") > 10
+        assert (tmp_path / log).read_text().count("db.t:7\n") > 1
