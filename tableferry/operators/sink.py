@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,15 @@ def sink_identifier(config: TransferConfig, name: str) -> str:
 
 
 def sink_exists(spark: SparkSession, sink: str) -> bool:
-    return spark.catalog.tableExists(sink)
+    """Whether the catalog has the sink; if so, its files are listed anew.
+
+    Spark keeps the listing of a table from earlier use, but other sessions may
+    have loaded or emptied the sink since.
+    """
+    if not spark.catalog.tableExists(sink):
+        return False
+    spark.catalog.refreshTable(sink)
+    return True
 
 
 def check_format(sink_format: str) -> None:
@@ -124,9 +133,14 @@ def insert(
     if rebalance:
         aligned = aligned.hint("rebalance")
     written = Observation()
-    aligned.observe(written, F.count(F.lit(1)).alias(ROWS)).write.insertInto(
-        sink, overwrite=overwrite
-    )
+    observed = aligned.observe(written, F.count(F.lit(1)).alias(ROWS))
+    try:
+        observed.write.insertInto(sink, overwrite=overwrite)
+    except Exception:
+        # an overwrite removes the old files first: forget the listing that has them
+        with suppress(Exception):
+            spark.catalog.refreshTable(sink)
+        raise
     return _value(written)
 
 

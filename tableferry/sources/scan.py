@@ -27,10 +27,12 @@ def read_table(
 
     A predicate that the source itself should evaluate is one more reader
     option; filters on the result are pushed down by Spark where the source
-    supports it.
+    supports it. The files of a table are listed anew, since Spark would
+    otherwise go by the listing of an earlier use in the same session.
     """
     reader = spark.read.options(**(options or {}))
     if source_format == CATALOG:
+        spark.catalog.refreshTable(table)
         return reader.table(table)
     return reader.format(source_format).option(table_key, table).load()
 

@@ -4,7 +4,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tableferry import ConfigError, TransferConfig, run
+from tableferry import ConfigError, TableSpec, TransferConfig, run
 from tableferry.functions.names import qualified
 from tableferry.operators.rowfilter import is_empty
 from tableferry.operators.sink import (
@@ -186,3 +186,50 @@ def test_provider_that_knows_its_schema(spark, database, rows, tmp_path):
     assert "'table' = 't'" in spark.sql(f"SHOW CREATE TABLE {sink}").first()[0]
     assert insert(spark, rows, sink) == 100
     assert spark.table(sink).filter("twice = 2 * id").count() == 200
+
+
+def test_char_and_varchar_columns(spark, database):
+    source = qualified(database, "source")
+    spark.sql(f"CREATE TABLE {source} (c CHAR(4), v VARCHAR(5), s STRING) USING parquet")
+    spark.sql(f"INSERT INTO {source} VALUES ('ab', 'abc', 'x'), (NULL, NULL, NULL)")
+    for _ in range(2):
+        run(spark, TransferConfig([TableSpec(source, "t")], "catalog", database, verify="recount"))
+    sink = spark.table(f"{database}.t")
+    assert sorted(map(tuple, sink.collect()), key=repr) == [("ab  ", "abc", "x"), (None, None, None)]
+
+
+def test_a_failed_overwrite_is_reported(spark, database, rows):
+    """Spark clears file tables before it writes; what is left can be read and loaded again."""
+    source = qualified(database, "source")
+    rows.write.saveAsTable(source)
+    config = TransferConfig([TableSpec(source, "t")], "catalog", database)
+    run(spark, config)
+    breaks = "id < 99 OR raise_error('broken') IS NULL"
+    failing = TransferConfig([TableSpec(source, "t")], "catalog", database, filter=breaks)
+    outcome = run(spark, failing, fail_on_error=False).outcomes[0]
+    assert outcome.status == "failed" and "broken" in outcome.error
+    assert spark.table(f"{database}.t").count() == 0
+    assert run(spark, config).outcomes[0].source_rows == 100
+    assert spark.table(f"{database}.t").count() == 100
+
+
+def test_rows_of_another_session_are_seen(spark, database, rows):
+    """Spark keeps file listings; a sink is judged by what it holds now."""
+    source = qualified(database, "source")
+    rows.write.saveAsTable(source)
+    sink = qualified(database, "t")
+    create_sink(spark, config_for(database), sink, "t", rows.schema)
+    assert is_empty(spark.table(sink))
+    location = next(
+        r.data_type
+        for r in spark.sql(f"DESCRIBE EXTENDED {sink}").collect()
+        if r.col_name == "Location"
+    )
+    rows.write.mode("append").parquet(location)  # behind the catalog's back
+    config = TransferConfig([TableSpec(source, "t")], "catalog", database, save_mode="ignore")
+    assert run(spark, config).outcomes[0].status == "skipped_exists"
+    config = TransferConfig(
+        [TableSpec(source, "t")], "catalog", database, save_mode="append", verify="observed"
+    )
+    outcome = run(spark, config).outcomes[0]
+    assert (outcome.rows_before, outcome.sink_rows, outcome.verified) == (100, 200, True)

@@ -96,6 +96,22 @@ def test_table_options_override_run_options(spark, tmp_path):
 def test_catalog_source(spark, small, database):
     small.write.saveAsTable(f"{database}.small")
     assert read_table(spark, CATALOG, f"{database}.small").count() == 3
+    # rows that another session adds are read too
+    location = next(
+        r.data_type
+        for r in spark.sql(f"DESCRIBE EXTENDED {database}.small").collect()
+        if r.col_name == "Location"
+    )
+    small.write.mode("append").parquet(location)
+    assert read_table(spark, CATALOG, f"{database}.small").count() == 6
+
+
+def test_view_source(spark, small, tmp_path):
+    small.write.parquet(str(tmp_path / "t"))
+    spark.read.parquet(str(tmp_path / "t")).createOrReplaceTempView("small_files")
+    assert read_table(spark, CATALOG, "small_files").count() == 3
+    small.write.mode("append").parquet(str(tmp_path / "t"))
+    assert read_table(spark, CATALOG, "small_files").count() == 6
 
 
 def test_predicate_and_columns_reach_the_scan(spark):
