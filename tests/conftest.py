@@ -6,7 +6,10 @@ from pyspark.sql import SparkSession
 
 from .ledger_source import LedgerSource
 
-sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__)))]
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Spark's Python workers import the test source from wherever the tests are started
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")
