@@ -218,6 +218,18 @@ def test_full_scans_of_the_source(spark, database, tmp_path, verify, scans):
     assert spark.table(f"{database}.t").count() == 600
 
 
+def test_a_load_is_one_job_of_one_stage(spark, database, tmp_path):
+    config = ledger(database, tmp_path, save_mode="append")
+    copy(spark, config)
+    tracker = spark.sparkContext.statusTracker()
+    group = "table-1-db_t"
+    earlier = set(tracker.getJobIdsForGroup(group))
+    copy(spark, config)
+    jobs = set(tracker.getJobIdsForGroup(group)) - earlier
+    stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert [s.numTasks for s in stages] == [6]
+
+
 def test_observed_count_is_exact_when_a_task_is_retried(spark, database, tmp_path):
     breaks_off = {"ledger.fail_first": "3"}
     config = ledger(database, tmp_path, options=breaks_off, verify="observed", save_mode="append")
