@@ -1,0 +1,53 @@
+"""Arbitrary values through every sink format."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tableferry import TableSpec, TransferConfig, run
+from tableferry.functions.bitmap import bytes_to_text
+from tableferry.plans.workspace import new_database, release
+
+SCHEMA = "i long, s string, b binary, d double, f float, day date, ts timestamp_ntz, a array<string>"
+TEXT = st.text(st.characters(blacklist_categories=["Cs"]), max_size=30)
+TIMES = st.datetimes(dt.datetime(1, 1, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999))
+
+
+def maybe(values):
+    return st.one_of(st.none(), values)
+
+
+ROWS = st.lists(
+    st.tuples(
+        maybe(st.integers(-(2**63), 2**63 - 1)),
+        maybe(TEXT),
+        maybe(st.binary(max_size=30)),
+        maybe(st.floats()),
+        maybe(st.floats(width=32)),
+        maybe(st.dates()),
+        maybe(TIMES),
+        maybe(st.lists(maybe(TEXT), max_size=3)),
+    ),
+    min_size=1,
+    max_size=20,
+)
+
+
+@pytest.mark.parametrize("sink_format", ["parquet", "orc", "json"])
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(rows=ROWS)
+def test_any_value_comes_back(spark, tmp_path_factory, sink_format, rows):
+    database = new_database(spark)
+    path = str(tmp_path_factory.mktemp("values") / "t")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
+    spec = TableSpec(path, "t", {"s": "bitmap"})
+    run(spark, TransferConfig([spec], "parquet", database, sink_format=sink_format))
+    sink = spark.table(f"{database}.t").withColumn("s", bytes_to_text(F.col("s")))
+    source = spark.read.parquet(path)
+    assert sorted(map(repr, sink.collect())) == sorted(map(repr, source.collect()))
+    release(spark)
