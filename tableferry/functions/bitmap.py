@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 
 def text_to_bytes(text: Column) -> Column:
-    """UTF-8 bytes of a string: what the transfer writes for a bitmap column."""
+    """UTF-8 bytes of a string: what the transfer writes for a bitmap column.
+
+    Bytes of the string that are not valid UTF-8 become U+FFFD.
+    """
     return F.encode(text, "UTF-8")
 
 
 def text_cast_to_bytes(text: Column) -> Column:
-    """The cast variant, kept to compare against :func:`text_to_bytes`."""
+    """The cast variant, kept to compare against :func:`text_to_bytes`.
+
+    The same for valid text; other bytes stay as they are.
+    """
     return text.cast("binary")
 
 

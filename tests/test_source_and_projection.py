@@ -195,6 +195,16 @@ def test_both_conversions_agree(spark):
     assert rows.filter(other | lost).count() == 0
 
 
+def test_text_that_is_not_valid_utf8(spark):
+    """The conversion always gives UTF-8, as a string of the JVM would; the cast keeps the bytes."""
+    rows = spark.createDataFrame([(b"a\xffb",)], "b binary").select(F.col("b").cast("string"))
+    row = rows.select(
+        text_to_bytes(F.col("b")).alias("converted"), text_cast_to_bytes(F.col("b")).alias("cast")
+    ).first()
+    assert bytes(row.converted) == "a\ufffdb".encode()
+    assert bytes(row["cast"]) == b"a\xffb"
+
+
 def test_compare_conversions(spark):
     rows = tag_logical_types(
         spark.createDataFrame([(1, "é"), (2, None)], "i int, `u.v` string"), {"u.v": "bitmap"}
