@@ -297,6 +297,31 @@ def _surviving(a, b, similarity: int, same: bool):
             yield (int(cls_a[i]), int(cls_b[j])) if cls_a[i] < cls_b[j] else (int(cls_b[j]), int(cls_a[i]))
 
 
+def _within_bound(similarity: int):
+    """The pairs whose counts leave a link possible."""
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+        a, b = (
+            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(len(n_a), -1)
+            for i in (4, 5)
+        )
+        bound = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+        chosen = pa.array(bound >= enough(n_a, n_b, similarity))
+        return pa.record_batch([batch.column(i).filter(chosen) for i in (0, 1)], ["a", "b"])
+
+    return convert
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    a, b = (
+        classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
+        for x in ("a", "b")
+    )
+    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "point_a", "point_b")
+    return batches(rows, _within_bound(similarity), "a long, b long")
+
+
 def _pack(block) -> bytes:
     cls, n, comp, points = block
     return b"".join(x.tobytes() for x in (cls, n, comp, points.astype(np.int64)))
@@ -491,7 +516,8 @@ def near_duplicates(
         .agg(F.max(F.struct("times", "centre")).alias("best"))
         .select(F.col("cls").alias("a"), F.col("best.centre").alias("b"))
     )
-    stars = _verified(scratch.keep(nearest, "nearest"), texts, classes, scratch, "star", shingle, similarity)
+    nearest = scratch.keep(_plausible(nearest, classes, similarity), "nearest")
+    stars = _verified(nearest, texts, classes, scratch, "star", shingle, similarity)
     comps = components(stars, scratch, "star-components")
     candidates = _tree_pairs(cells.select("cell", "n", "cls"), classes, comps, scratch, similarity, groups)
     links = _verified(candidates, texts, classes, scratch, "tree", shingle, similarity)
