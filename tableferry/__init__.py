@@ -6,6 +6,7 @@ from tableferry.config import (
     SaveMode,
     TableSpec,
     TransferConfig,
+    TypesRelation,
     Verify,
     config_report,
     from_settings,
@@ -25,6 +26,7 @@ __all__ = [
     "TableSpec",
     "TransferConfig",
     "TransferFailed",
+    "TypesRelation",
     "Verify",
     "config_report",
     "from_settings",

@@ -75,19 +75,39 @@ class TableSpec:
     ``logical_types`` names column types that the Spark schema no longer shows,
     such as ``{"uv": "bitmap"}``; letter case of the type does not matter.
     ``source_options`` add to the reader options of the run, for instance to
-    split the scan of a large table.
+    split the scan of a large table. ``schema`` is DDL text for readers that
+    would otherwise scan the rows once more to infer one.
     """
 
     source: str
     sink: str | None = None
     logical_types: Mapping[str, str] = field(default_factory=dict)
     source_options: Mapping[str, str] = field(default_factory=dict)
+    schema: str | None = None
 
     @property
     def sink_name(self) -> str:
         return self.sink or short_name(self.source)
 
 
+@dataclass(frozen=True)
+class TypesRelation:
+    """A relation that lists the source's own column types, such as ``information_schema.columns``.
+
+    Read by Spark like any table. ``table_column`` holds the table ids of the run, or,
+    with ``schema_column``, the part of them after the schema's name and a dot.
+    """
+
+    source_format: str
+    table: str
+    table_key: str = "path"
+    options: Mapping[str, str] = field(default_factory=dict)
+    table_column: str = "table_name"
+    column_column: str = "column_name"
+    type_column: str = "data_type"
+    schema_column: str | None = None
+
+
 @dataclass(frozen=True)
 class TransferConfig:
     """A run: a list of tables between one source and one sink.
@@ -121,6 +141,7 @@ class TransferConfig:
     rows_per_file: int | None = None
     rebalance: bool = False
     register_source_views: bool = False
+    types: TypesRelation | None = None
 
     def __post_init__(self) -> None:
         def put(name: str, value: object) -> None:
@@ -179,6 +200,8 @@ SOURCE_OPTION_PREFIX = "spark.source.connector."
 SOURCE_TABLE_SINK_PREFIX = "spark.source.table.sink."
 SOURCE_TABLE_OPTION_PREFIX = "spark.source.table.option."
 SOURCE_LOGICAL_PREFIX = "spark.source.logical."
+SOURCE_SCHEMA_PREFIX = "spark.source.schema."
+SOURCE_TYPES_PREFIX = "spark.source.types."
 FILTER_QUERY = "spark.filter.query"
 SINK_PREFIX = "spark.sink."
 # Names under the sink prefix that steer the job and are not sink options.
@@ -202,6 +225,20 @@ SINK_CONTROL_KEYS = frozenset(
 )
 
 
+# First words of control names: no sink option starts with them, so such a name is a typo.
+_CONTROL_STARTS = ("save.", "enable.", "verify.", "on.", "max.")
+
+_TYPES_KEYS = {
+    "format": "source_format",
+    "table": "table",
+    "table.key": "table_key",
+    "table.column": "table_column",
+    "column.column": "column_column",
+    "type.column": "type_column",
+    "schema.column": "schema_column",
+}
+
+
 def table_list(text: str) -> list[str]:
     """``"db.a, db.b,,"`` to ``["db.a", "db.b"]``."""
     return [name.strip() for name in text.split(",") if name.strip()]
@@ -228,6 +265,30 @@ def _per_table(
     return found
 
 
+def _one_per_table(settings: Mapping[str, str], prefix: str, tables: Sequence[str]) -> dict[str, str]:
+    """Settings named ``<prefix><table>``."""
+    found = options_under(settings, prefix)
+    for name in found:
+        if name not in tables:
+            raise ConfigError(f"setting {prefix}{name} is for a table that is not copied")
+    return found
+
+
+def _types_relation(settings: Mapping[str, str]) -> TypesRelation | None:
+    given = options_under(settings, SOURCE_TYPES_PREFIX)
+    options = options_under(given, "option.")
+    fields = {k: v for k, v in given.items() if not k.startswith("option.")}
+    if not given:
+        return None
+    for key in fields:
+        if key not in _TYPES_KEYS:
+            raise ConfigError(f"unknown setting {SOURCE_TYPES_PREFIX}{key}")
+    for key in ("format", "table"):
+        if key not in fields:
+            raise ConfigError(f"setting {SOURCE_TYPES_PREFIX}{key} is required with the others")
+    return TypesRelation(**{_TYPES_KEYS[k]: v for k, v in fields.items()}, options=options)
+
+
 def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -> TransferConfig:
     """Build the configuration from flat string settings."""
     sink = options_under(settings, sink_prefix)
@@ -249,16 +310,20 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
         except ValueError:
             raise ConfigError(f"{sink_prefix}{key}={sink[key]!r} is not a whole number") from None
 
+    for key in sink:
+        if key.startswith(_CONTROL_STARTS) and key not in SINK_CONTROL_KEYS:
+            raise ConfigError(f"unknown setting {sink_prefix}{key}")
     names = table_list(required(SOURCE_TABLE_VALUES))
     logical = _per_table(settings, SOURCE_LOGICAL_PREFIX, names)
     options = _per_table(settings, SOURCE_TABLE_OPTION_PREFIX, names)
-    sinks = options_under(settings, SOURCE_TABLE_SINK_PREFIX)
+    sinks = _one_per_table(settings, SOURCE_TABLE_SINK_PREFIX, names)
+    schemas = _one_per_table(settings, SOURCE_SCHEMA_PREFIX, names)
     optional = {}
     if number("max.concurrent") is not None:
         optional["max_concurrent"] = number("max.concurrent")
     return TransferConfig(
         tables=[
-            TableSpec(name, sinks.get(name), logical[name], options[name])
+            TableSpec(name, sinks.get(name), logical[name], options[name], schemas.get(name))
             for name in names
         ],
         source_format=required(SOURCE_FORMAT),
@@ -285,6 +350,7 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
         rows_per_file=number("rows.per.file"),
         rebalance=flag("rebalance", False),
         register_source_views=True,
+        types=_types_relation(settings),
         **optional,
     )
 
@@ -317,8 +383,9 @@ def config_report(spark: SparkSession, config: TransferConfig) -> DataFrame:
         "sink options": config.sink_options,
         "spark": {k: v for k, v in dict(spark.conf.getAll).items() if k.startswith("spark.")},
     }
+    own = spark.conf.get("spark.redaction.regex", None)
     rows = [
-        (section, key, mask_value(key, str(entries[key])))
+        (section, key, mask_value(key, str(entries[key]), own))
         for section, entries in sections.items()
         for key in sorted(entries)
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +25,20 @@ def is_empty(rows: DataFrame) -> bool:
     nothing; ``DataFrame.isEmpty`` would start a task for every partition.
     """
     return not rows.select(F.lit(1)).take(1)
+
+
+def is_repeatable(rows: DataFrame, condition: str | Column | None) -> bool:
+    """Whether the filter picks the same rows whenever it is evaluated; nothing is run to tell.
+
+    Spark refuses expressions such as ``rand()`` as arguments of aggregates.
+    """
+    if condition is None:
+        return True
+    column = F.expr(condition) if isinstance(condition, str) else condition
+    try:
+        rows.agg(F.count_if(column))
+    except AnalysisException as error:
+        if "NONDETERMINISTIC" in str(error.getCondition() or ""):
+            return False
+        raise
+    return True

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-import threading
+import re
+import uuid
 from contextlib import suppress
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    MapType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tableferry.config import ConfigError, TransferConfig
 from tableferry.functions.names import identifier_parts, qualified, quote
+from tableferry.operators.types import fits
 
 ROWS = "rows"
-OBSERVATION_WAIT = 60.0  # seconds
+# looks at a count that Spark has not delivered yet, each of a tenth of a second
+OBSERVATION_LOOKS = 100
 
 # Formats that cannot give every value back: csv has no binary and rewrites line
 # ends inside text, text files hold one string column split at line ends.
@@ -25,6 +36,9 @@ _FULL_PRECISION = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
+# properties that the catalog writes itself
+_OWN_PROPERTIES = ("spark.sql.", "option.", "transient", "comment", "owner")
+
 _ARGUMENTS = ("tableName", "source", "schema", "description")
 
 
@@ -77,26 +91,77 @@ def create_sink(
     # Spark ignores the case of option names, Python does not: this keeps options
     # apart from arguments of the call
     options = {k.upper() if k in _ARGUMENTS else k: v for k, v in options.items()}
-    spark.catalog.createTable(
-        sink, path=path, source=config.sink_format, schema=declared, **options
-    )
+    try:
+        spark.catalog.createTable(
+            sink, path=path, source=config.sink_format, schema=declared, **options
+        )
+    except Exception:
+        # another job may have made it since; the checks before a write then hold for it
+        if not sink_exists(spark, sink):
+            raise
+
+
+def _described(spark: SparkSession, sink: str) -> dict[str, str]:
+    """What the catalog says of a table beside its columns."""
+    rows = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {sink}").collect()]
+    names = [name for name, _ in rows]
+    begin = names.index("# Detailed Table Information") if "# Detailed Table Information" in names else 0
+    return {name: value for name, value in rows[begin:] if name}
+
+
+def _holds_times(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_holds_times(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _holds_times(kind.elementType)
+    if isinstance(kind, MapType):
+        return _holds_times(kind.keyType) or _holds_times(kind.valueType)
+    return isinstance(kind, (TimestampType, TimestampNTZType))
+
+
+def check_existing(spark: SparkSession, sink: str, rows: DataFrame) -> None:
+    """Refuse a sink that the catalog has already if its files would change values of the rows."""
+    known = _described(spark, sink)
+    check_format(known.get("Provider", ""))
+    if known.get("Provider", "").lower() == "json" and _holds_times(rows.schema):
+        found = known.get("Storage Properties", "")
+        for name in _FULL_PRECISION:
+            if not re.search(rf"\b{name}=[^,]*SSSSSS", found, re.IGNORECASE):
+                raise ConfigError(
+                    f"{sink} is a json table without {name} to the microsecond: "
+                    "times would be cut off"
+                )
 
 
 def align_by_name(rows: DataFrame, sink: DataFrame) -> DataFrame:
-    """The columns in sink order; both sides must have the same names.
+    """The columns in sink order; both sides must have the same names and fitting types.
 
-    A positional insert would silently swap columns of equal type.
+    A positional insert would silently swap columns of equal type, and Spark
+    would narrow values to the sink's types: fractions, times of day and
+    digits would be lost.
     """
-    if rows.columns == sink.columns:
-        return rows
     sensitive = rows.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
-    have = {c if sensitive else c.lower() for c in rows.columns}
-    want = {c if sensitive else c.lower() for c in sink.columns}
-    if have != want:
+
+    def key(name: str) -> str:
+        return name if sensitive else name.lower()
+
+    have = {key(f.name): f.dataType for f in rows.schema}
+    want = {key(f.name): f.dataType for f in sink.schema}
+    if set(have) != set(want):
         raise ConfigError(
             "source and sink columns differ: "
-            f"only in source {sorted(have - want)}, only in sink {sorted(want - have)}"
+            f"only in source {sorted(set(have) - set(want))}, "
+            f"only in sink {sorted(set(want) - set(have))}"
         )
+    narrower = [
+        f"{name} ({have[name].simpleString()} into {kind.simpleString()})"
+        for name, kind in want.items()
+        if not fits(have[name], kind)
+    ]
+    if narrower:
+        raise ConfigError(f"the sink's types would change values: {', '.join(narrower)}")
+    if rows.columns == sink.columns:
+        return rows
     return rows.select(*[F.col(quote(c)) for c in sink.columns])
 
 
@@ -144,15 +209,73 @@ def insert(
     return _value(written)
 
 
+def can_be_swapped(spark: SparkSession, sink: str) -> bool:
+    """Whether the catalog can put another table in the sink's place.
+
+    That takes a managed table of the session catalog. Tables at a location of
+    their own stay where their readers look for them, and other catalogs commit
+    an overwrite as a whole themselves, or not at all.
+    """
+    known = _described(spark, sink)
+    return known.get("Type") == "MANAGED" and known.get("Catalog", "spark_catalog") == "spark_catalog"
+
+
+def replace(spark: SparkSession, rows: DataFrame, sink: str, rebalance: bool = False) -> int | None:
+    """Overwrite a sink that holds rows; they are there until the new ones are written.
+
+    The rows go to a table of the same definition beside the sink, which then
+    takes its name. If anything fails the sink is as it was. Sinks that cannot be
+    swapped are overwritten in place.
+    """
+    if not can_be_swapped(spark, sink):
+        return insert(spark, rows, sink, overwrite=True, rebalance=rebalance)
+    align_by_name(rows, spark.table(sink))  # before a table is made
+    *place, name = identifier_parts(sink)
+    mark = uuid.uuid4().hex
+    incoming = qualified(*place, f"{name}__incoming_{mark}")
+    retired = qualified(*place, f"{name}__retired_{mark}")
+    spark.sql(f"CREATE TABLE {incoming} LIKE {sink}")
+    try:
+        _copy_properties(spark, sink, incoming)
+        written = insert(spark, rows, incoming, rebalance=rebalance)
+        spark.sql(f"ALTER TABLE {sink} RENAME TO {retired}")
+        try:
+            spark.sql(f"ALTER TABLE {incoming} RENAME TO {sink}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {retired} RENAME TO {sink}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+        raise
+    spark.sql(f"DROP TABLE {retired}")
+    spark.catalog.refreshTable(sink)
+    return written
+
+
+def _copy_properties(spark: SparkSession, sink: str, to: str) -> None:
+    """The comment and properties of a table, which CREATE TABLE LIKE leaves out."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    if comment := _described(spark, sink).get("Comment"):
+        spark.sql(f"COMMENT ON TABLE {to} IS {text(comment)}")
+    own = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {sink}").collect()}
+    own = {k: v for k, v in own.items() if not k.startswith(_OWN_PROPERTIES)}
+    if own:
+        listed = ", ".join(f"{text(k)} = {text(v)}" for k, v in own.items())
+        spark.sql(f"ALTER TABLE {to} SET TBLPROPERTIES ({listed})")
+
+
 def _value(written: Observation) -> int | None:
     """The observed count, or None if it does not come although the write is done.
 
     Spark delivers it through its event queue, which drops events under heavy
     load, and not at all for providers that run the rows in a query of their
-    own; ``Observation.get`` would then wait for ever.
+    own; ``Observation.get`` would then wait for ever. So this looks, a bounded
+    number of times, whether it has come.
     """
-    found = []
-    waiter = threading.Thread(target=lambda: found.append(written.get[ROWS]), daemon=True)
-    waiter.start()
-    waiter.join(OBSERVATION_WAIT)
-    return found[0] if found else None
+    for _ in range(OBSERVATION_LOOKS):
+        if not written._jo.getOrEmpty().isEmpty():  # waits a tenth of a second at most
+            return written.get[ROWS]
+    return None

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from tableferry.config import SaveMode, TableSpec, TransferConfig, Verify
+from tableferry.config import SaveMode, TableSpec, TransferConfig, TypesRelation, Verify
 from tableferry.functions.bitmap import bytes_to_text
 from tableferry.functions.names import qualified, quote
 from tableferry.operators.projection import compare_conversions
@@ -201,14 +201,16 @@ def transfer_nested_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ODD_NAMES = {
     "event_id": "event.id",
     "ts": "event time",
-    "value": "va`lue",
+    "user_id": "user-id;",
     "event_type": "SELECT",
+    "value": "va`lue",
+    "props": "props {}",
 }
 
 
 @query(
     f"""
-    SELECT event_id, CAST(ts AS VARCHAR) AS ts, "value", event_type,
+    SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type, "value", props,
            '{"|".join(_ODD_NAMES.values())}' AS sink_columns
     FROM events"""
 )
@@ -231,13 +233,16 @@ def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query(
-    """
-    SELECT o_orderpriority, COUNT(*) AS n_orders,
+    " UNION ALL ".join(
+        f"""
+    SELECT '{read}' AS "read", o_orderpriority, COUNT(*) AS n_orders,
            CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DOUBLE) AS total
     FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority"""
+        for read in ("view", "sink")
+    )
 )
 def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A filter given as a Column; the source view of the run is then queried with SQL."""
+    """A filter given as a Column; the source view of the run and the sink are queried with SQL."""
     name = f"orders_{new_database(spark)}"
     config = _config(
         spark,
@@ -247,11 +252,19 @@ def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         register_source_views=True,
     )
     run(spark, config)
-    return spark.sql(
-        f"""
-        SELECT o_orderpriority, COUNT(*) AS n_orders,
+    return _union(
+        [
+            spark.sql(
+                f"""
+        SELECT '{read}' AS read, o_orderpriority, COUNT(*) AS n_orders,
                CAST(SUM(CAST(o_totalprice AS DECIMAL(20, 2))) AS DOUBLE) AS total
-        FROM source_{name} GROUP BY o_orderpriority"""
+        FROM {table} GROUP BY o_orderpriority"""
+            )
+            for read, table in (
+                ("view", f"source_{name}"),
+                ("sink", qualified(config.sink_schema, name)),
+            )
+        ]
     )
 
 
@@ -300,6 +313,38 @@ def conversion_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times_as_text(compare_conversions(source))
 
 
+@query(
+    f"""SELECT dt, event_type, id_range, hex(encode(uv_bitmap)) AS uv_bitmap_hex
+    FROM ({_BITMAP_SQL})"""
+)
+def bitmap_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nobody names the bitmap column: the source's own list of columns tells."""
+    database = new_database(spark)
+    given = _bitmap_source(spark, sf_dir, database)
+    source = spark.table(given.source)
+    bitmaps = given.logical_types
+    listed = [
+        (database, "pv_bitmap_source", f.name, bitmaps.get(f.name, f.dataType.simpleString()))
+        for f in source.schema
+    ]
+    spark.createDataFrame(
+        [*listed, (database, "another", "uv_bitmap", "BITMAP")],
+        "table_schema string, table_name string, column_name string, data_type string",
+    ).write.saveAsTable(qualified(database, "columns"))
+    config = TransferConfig(
+        [TableSpec(f"{database}.pv_bitmap_source", "pv_bitmap")],
+        CATALOG,
+        database,
+        types=TypesRelation(CATALOG, qualified(database, "columns"), schema_column="table_schema"),
+    )
+    run(spark, config)
+    return _times_as_text(
+        _sink(spark, config, "pv_bitmap").select(
+            "dt", "event_type", "id_range", F.hex("uv_bitmap").alias("uv_bitmap_hex")
+        )
+    )
+
+
 def _document_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with the text, much of it not ASCII, converted to bytes."""
     spec = TableSpec(f"{sf_dir}/documents.parquet", "documents", {"text": "bitmap"})
@@ -363,6 +408,73 @@ def copy_all_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copy_all(spark, sf_dir, verify=Verify.OBSERVED)
 
 
+# Whole numbers, texts and one fraction of each table that no other query shows, in one shape:
+# (table, two numbers, three texts, a fraction)
+_CONTENTS = {
+    "region": ("r_regionkey", "NULL", "r_name", "NULL", "NULL", "NULL"),
+    "nation": ("n_nationkey", "n_regionkey", "n_name", "NULL", "NULL", "NULL"),
+    "customer": ("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "NULL", "c_acctbal"),
+    "supplier": ("s_suppkey", "s_nationkey", "s_name", "NULL", "NULL", "s_acctbal"),
+    "part": ("p_partkey", "p_size", "p_name", "p_brand", "p_type", "p_retailprice"),
+    "pages": ("page_id", "NULL", "url", "html", "NULL", "NULL"),
+    "benchmark": ("item_id", "NULL", "text", "NULL", "NULL", "NULL"),
+    "labels": ("doc_id", "quality", "NULL", "NULL", "NULL", "toxic"),
+    "conversations": ("conv_id", "turn", "role", "text", "NULL", "NULL"),
+}
+
+
+def _contents_sql(table: str, source: str, text: str) -> str:
+    """Valid in Spark and in DuckDB, which name the text type differently."""
+    kinds = ("BIGINT", "BIGINT", text, text, text, "DOUBLE")
+    names = ("number_1", "number_2", "text_1", "text_2", "text_3", "fraction")
+    columns = ", ".join(
+        f"CAST({c} AS {kind}) AS {name}" for c, kind, name in zip(_CONTENTS[table], kinds, names)
+    )
+    return f"SELECT '{table}' AS sink, {columns} FROM {source}"
+
+
+@query(" UNION ALL ".join(_contents_sql(t, t, "VARCHAR") for t in _CONTENTS))
+def copy_all_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the sinks of a concurrent run over all tables."""
+    config = _config(spark, sf_dir, {t: t for t in TABLES}, concurrent=True, verify=Verify.OBSERVED)
+    run(spark, config)
+    return _union(
+        [
+            spark.sql(_contents_sql(t, qualified(config.sink_schema, t), "STRING"))
+            for t in _CONTENTS
+        ]
+    )
+
+
+@query(
+    """
+    SELECT o_orderstatus, COUNT(*) AS n_rows, MIN(o_orderkey) AS first_key,
+           any_value(n) AS source_rows, CAST(0 AS BIGINT) AS rows_before, any_value(n) AS sink_rows,
+           TRUE AS verified
+    FROM orders, (SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'F')
+    WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus"""
+)
+def copy_filtered_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overwrite under a filter, of a sink whose old rows the filter does not meet."""
+    first = _config(spark, sf_dir, {"orders": "orders"}, filter="o_orderstatus = 'F'")
+    run(spark, first)
+    config = _config(
+        spark,
+        sf_dir,
+        {"orders": "orders"},
+        sink_schema=first.sink_schema,
+        filter="o_orderstatus <> 'F'",
+        verify=Verify.OBSERVED,
+    )
+    report = run(spark, config).to_df(spark)
+    found = _sink(spark, config, "orders").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("first_key")
+    )
+    # the report is one row
+    counts = report.select("source_rows", "rows_before", "sink_rows", "verified").first()
+    return found.withColumns({k: F.lit(v).cast("long" if k != "verified" else "boolean") for k, v in counts.asDict().items()})
+
+
 @query(
     """
     SELECT 'source' AS side, COUNT(*) AS "rows" FROM orders WHERE o_totalprice > 100000
@@ -524,6 +636,69 @@ def insert_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink(spark, config, "customer")
 
 
+@query(
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_partkey, l_suppkey,
+           CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_extendedprice, l_discount,
+           l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
+    FROM lineitem"""
+)
+def insert_into_wider_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink with wider types takes every value as it is."""
+    database = new_database(spark)
+    source = read_table(spark, "parquet", f"{sf_dir}/lineitem.parquet")
+    wider = source.withColumns(
+        {
+            "l_orderkey": F.col("l_orderkey").cast("decimal(20,0)"),
+            "l_linenumber": F.col("l_linenumber").cast("long"),
+        }
+    )
+    spark.catalog.createTable(qualified(database, "lineitem"), source="parquet", schema=wider.schema)
+    config = _config(
+        spark, sf_dir, {"lineitem": "lineitem"}, sink_schema=database, save_mode=SaveMode.APPEND
+    )
+    run(spark, config)
+    sink = _sink(spark, config, "lineitem")
+    return _times_as_text(sink.withColumn("l_orderkey", F.col("l_orderkey").cast("string")))
+
+
+@query(
+    """
+    SELECT "mode", 'failed' AS status, TRUE AS names_columns, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+           CAST(o_totalprice AS INTEGER) AS o_totalprice
+    FROM orders, (SELECT unnest(['append', 'overwrite']) AS "mode")"""
+)
+def insert_into_narrower_sink_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink whose types would cut values off is refused and keeps its rows."""
+    database = new_database(spark)
+    old = read_table(spark, "parquet", f"{sf_dir}/orders.parquet").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        F.round("o_totalprice").cast("int").alias("o_totalprice"),
+        F.to_date("o_orderdate").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+    old.write.saveAsTable(qualified(database, "orders"))
+    found = []
+    for mode in (SaveMode.APPEND, SaveMode.OVERWRITE):
+        config = _config(
+            spark, sf_dir, {"orders": "orders"}, sink_schema=database, save_mode=mode
+        )
+        outcome = run(spark, config, fail_on_error=False).outcomes[0]
+        named = all(c in (outcome.error or "") for c in ("o_totalprice", "o_orderdate"))
+        found.append(
+            _sink(spark, config, "orders").select(
+                F.lit(mode.value).alias("mode"),
+                F.lit(outcome.status).alias("status"),
+                F.lit(named).alias("names_columns"),
+                "o_orderkey",
+                "o_totalprice",
+            )
+        )
+    return _union(found)
+
+
 # --- empty sources, failures, totals ---------------------------------------
 
 _NOTHING = "l_quantity < 0"
@@ -616,17 +791,28 @@ def failure_isolation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# every table and whether it has rows with the column of the predicate
+_HAS_ROWS = " UNION ALL ".join(
+    f"SELECT '{t}' AS t, COUNT(*) AS n FROM {t}" for t in TABLES
+)
+
+
 @query(
     f"""
-    SELECT COUNT(*) AS total,
+    SELECT COUNT(*) + 1 AS total,
            COUNT(*) FILTER (t = 'orders') AS succeeded,
-           COUNT(*) FILTER (t <> 'orders') AS failed,
-           ROUND(100e0 * COUNT(*) FILTER (t = 'orders') / COUNT(*), 1) AS success_pct
-    FROM (SELECT unnest({[*TABLES, "no_such_table"]}) AS t)"""
+           COUNT(*) FILTER (t <> 'orders') + 1 AS failed,
+           ROUND(100e0 * COUNT(*) FILTER (t = 'orders') / (COUNT(*) + 1), 1) AS success_pct,
+           CAST(SUM(n) FILTER (t = 'orders') AS BIGINT) AS rows_copied
+    FROM (SELECT t, CASE WHEN t = 'orders' THEN
+              (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') ELSE n END AS n
+          FROM ({_HAS_ROWS}))"""
 )
 def run_totals_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals and success rate of a run."""
-    return _run_with_failures(spark, sf_dir).totals(spark)
+    """Totals and success rate of a run, and the rows that it copied."""
+    report = _run_with_failures(spark, sf_dir)
+    copied = report.to_df(spark).agg(F.sum("source_rows").alias("rows_copied")).first()[0]
+    return report.totals(spark).withColumn("rows_copied", F.lit(copied).cast("long"))
 
 
 # --- sink formats ----------------------------------------------------------

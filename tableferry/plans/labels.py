@@ -1,4 +1,4 @@
-"""Job labels, so that each table's jobs can be told apart in the Spark UI."""
+"""Names for the jobs of each table in the Spark UI."""
 
 from __future__ import annotations
 
@@ -7,43 +7,27 @@ from contextlib import contextmanager
 
 from pyspark import SparkContext
 
-_PROPERTIES = (
-    "spark.jobGroup.id",
-    "spark.job.description",
-    "spark.job.interruptOnCancel",
-    "spark.scheduler.pool",
-    "callSite.short",
-    "callSite.long",
-)
-_LONGEST = 200
-
-
-def shorten(text: str) -> str:
-    flat = " ".join(text.split())
-    return flat if len(flat) <= _LONGEST else flat[: _LONGEST - 3] + "..."
+GROUP = "spark.jobGroup.id"
+DESCRIPTION = "spark.job.description"
+POOL = "spark.scheduler.pool"
 
 
 @contextmanager
-def labelled(sc: SparkContext, table: str, order: int, total: int) -> Iterator[Callable]:
-    """Label the jobs of this thread; the caller's own labels come back at the end.
+def labelled(sc: SparkContext, table: str, order: int, total: int) -> Iterator[Callable[[str], None]]:
+    """Name the jobs of this thread after the table until the block ends.
 
-    Yields ``step(description, detail)``, to be called before each step. The
-    group is also the scheduler pool, which lets tables share the cluster evenly
-    under ``spark.scheduler.mode=FAIR``.
+    Yields a function that takes what the next jobs do. Under
+    ``spark.scheduler.mode=FAIR`` each table is a pool, so large and small ones
+    share the cluster.
     """
-    before = {key: sc.getLocalProperty(key) for key in _PROPERTIES}
-    group = f"table-{order}-{table.replace('.', '_')}"
-    place = f"{table} ({order}/{total})"
-
-    def step(what: str, detail: str = "") -> None:
-        sc.setLocalProperty("spark.job.description", f"{what} {table}")
-        sc.setLocalProperty("callSite.short", f"{what} {table}")
-        sc.setLocalProperty("callSite.long", shorten(f"{place} {detail}"))
-
+    own = f"tableferry-{order}"
+    earlier = {key: sc.getLocalProperty(key) for key in (GROUP, DESCRIPTION, POOL)}
+    sc.setLocalProperty(GROUP, own)
+    sc.setLocalProperty(POOL, own)
     try:
-        sc.setJobGroup(group, f"Processing {place}", interruptOnCancel=False)
-        sc.setLocalProperty("spark.scheduler.pool", group)
-        yield step
+        yield lambda doing: sc.setLocalProperty(
+            DESCRIPTION, f"table {order} of {total}, {table}: {doing}"
+        )
     finally:
-        for key, value in before.items():
+        for key, value in earlier.items():
             sc.setLocalProperty(key, value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import re
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ from tableferry.config import TableSpec, TransferConfig
 from tableferry.functions.masking import mask_text
 from tableferry.plans.report import FAILED, RunReport, TableOutcome, TransferFailed
 from tableferry.plans.transfer import transfer_table
+from tableferry.sources.logical import discovered
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +36,9 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
     ``fail_on_error`` is off.
     """
 
+    if config.types:
+        config = replace(config, tables=discovered(spark, config.types, config.tables), types=None)
+
     def isolated(order: int, spec: TableSpec) -> TableOutcome:
         try:
             return transfer_table(spark, config, spec, order)

@@ -6,13 +6,15 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.config import OnEmpty, SaveMode, TableSpec, TransferConfig, Verify
+from tableferry.config import ConfigError, OnEmpty, SaveMode, TableSpec, TransferConfig, Verify
 from tableferry.operators import verify
 from tableferry.operators.projection import bitmap_text_columns, project
-from tableferry.operators.rowfilter import is_empty
+from tableferry.operators.rowfilter import apply_filter, is_empty, is_repeatable
 from tableferry.operators.sink import (
+    check_existing,
     create_sink,
     insert,
+    replace,
     sink_exists,
     sink_identifier,
 )
@@ -24,7 +26,7 @@ from tableferry.plans.report import (
     SKIPPED_EXISTS,
     TableOutcome,
 )
-from tableferry.sources.scan import open_source, register_view
+from tableferry.sources.scan import open_table, register_view
 
 log = logging.getLogger(__name__)
 
@@ -49,14 +51,18 @@ def transfer_table(
         return TableOutcome(order, spec.source, spec.sink_name, mode.value, status, **found)
 
     with labelled(spark.sparkContext, spec.source, order, total) as step:
-        step("Reading")
-        rows = open_source(spark, config, spec)
+        step("looking at the source")
+        table = open_table(spark, config, spec)
+        rows = apply_filter(table, config.filter)
         projected = project(rows, config.bitmap_to_binary)
         converted = bitmap_text_columns(rows) if config.bitmap_to_binary else []
         sink = sink_identifier(config, spec.sink_name)
+        _check_verification(config, table)
 
-        step("Preparing the sink of")
+        step("looking at the sink")
         exists = sink_exists(spark, sink)
+        if exists:
+            check_existing(spark, sink, projected)
         may_hold_rows = exists or config.sink_outside_catalog
         skipped = _prepare(spark, config, spec, sink, exists, rows, projected)
         if skipped == SKIPPED_EMPTY:
@@ -66,35 +72,45 @@ def transfer_table(
         if config.register_source_views:
             register_view(rows, spec.sink_name)
 
+        # rows that were there before count only where they stay; only then does the filter
+        # tell old and new ones apart, or at least keep the count to the partitions loaded
+        added_to = mode is SaveMode.APPEND and may_hold_rows
+        condition = config.filter if added_to else None
         rows_before = None
         if config.verify is not Verify.OFF:
-            step("Counting the sink of")
+            step("counting the sink")
             # analysed before anything is written, so a filter the sink cannot take fails here
-            before = verify.sink_rows(spark, sink, config.filter, converted)
-            counts = may_hold_rows and mode is SaveMode.APPEND
-            rows_before = verify.count_rows(before) if counts else 0
+            before = verify.sink_rows(spark, sink, condition, converted)
+            rows_before = verify.count_rows(before) if added_to else 0
 
-        overwrite = mode is SaveMode.OVERWRITE
-        step("Writing", f"INSERT {'OVERWRITE' if overwrite else 'INTO'} {sink} {rows.columns}")
-        source_rows = insert(spark, projected, sink, overwrite, config.rebalance)
-        if source_rows is None:
-            log.warning("%s: the write gave no row count, counting the source", spec.source)
-            source_rows = verify.count_rows(rows)
+        step("writing")
+        if mode is SaveMode.OVERWRITE and not is_empty(spark.table(sink)):
+            source_rows = replace(spark, projected, sink, config.rebalance)
+        else:
+            source_rows = insert(spark, projected, sink, mode is SaveMode.OVERWRITE, config.rebalance)
         if source_rows == 0 and not _may_truncate(config):
             return outcome(SKIPPED_EMPTY, source_rows=0)
         if config.verify is Verify.OFF:
             return outcome(COPIED, source_rows=source_rows)
 
-        step("Verifying")
-        after = verify.sink_rows(spark, sink, config.filter, converted)
+        step("verifying")
+        after = verify.sink_rows(spark, sink, condition, converted)
         if config.verify is Verify.RECOUNT:
             source_rows, sink_rows = verify.count_both(rows, after)
         else:
             sink_rows = verify.count_rows(after)
-            if sink_rows - rows_before != source_rows:
-                # a sink that shuffles the rows once more may have had lost tasks
-                # counted twice, so only a recount of the source can settle it
+            if sink_rows - rows_before != source_rows and is_repeatable(table, config.filter):
+                # either the count did not come, or a sink that shuffles the rows once more
+                # had lost tasks counted twice: a recount of the source settles it
                 source_rows = verify.count_rows(rows)
+        if source_rows is None:
+            return outcome(
+                FAILED,
+                rows_before=rows_before,
+                sink_rows=sink_rows,
+                verified=False,
+                error="verification failed: the write gave no count of its rows",
+            )
         added = sink_rows - rows_before
         verified = added == source_rows
         return outcome(
@@ -109,6 +125,18 @@ def transfer_table(
         )
 
 
+def _check_verification(config: TransferConfig, table: DataFrame) -> None:
+    """Refuse checks that would evaluate a filter again which picks other rows each time."""
+    again = config.verify is Verify.RECOUNT or (
+        config.verify is Verify.OBSERVED and config.save_mode is SaveMode.APPEND
+    )
+    if again and not is_repeatable(table, config.filter):
+        raise ConfigError(
+            "the filter picks other rows each time it is evaluated, so this load cannot be "
+            "verified by counting under it; overwrite with verify='observed', or do not verify"
+        )
+
+
 def _may_truncate(config: TransferConfig) -> bool:
     return config.save_mode is SaveMode.OVERWRITE and config.on_empty is OnEmpty.TRUNCATE
 

@@ -7,13 +7,14 @@ preserve.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from tableferry.config import ConfigError
+from tableferry.config import ConfigError, TableSpec, TypesRelation
 from tableferry.functions.names import quote
 
 LOGICAL_TYPE = "logical_type"
@@ -55,3 +56,43 @@ def tag_logical_types(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def _key(rows: DataFrame, column: str) -> str:
     sensitive = rows.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     return column if sensitive else column.lower()
+
+
+def discovered(
+    spark: SparkSession, relation: TypesRelation, tables: Sequence[TableSpec]
+) -> list[TableSpec]:
+    """The tables with the bitmap columns that the source's own list of columns shows.
+
+    Only the columns of these tables are read; types that a table was given by
+    hand go before those listed. A table without any listed column is an error: its
+    bitmaps would be copied as text.
+    """
+    reader = spark.read.options(**relation.options)
+    if relation.source_format == "catalog":
+        listed = reader.table(relation.table)
+    else:
+        listed = reader.format(relation.source_format).option(relation.table_key, relation.table).load()
+    name = F.col(quote(relation.table_column))
+    if relation.schema_column:
+        name = F.concat_ws(".", F.col(quote(relation.schema_column)), name)
+    rows = listed.select(
+        name.alias("table"),
+        F.col(quote(relation.column_column)).alias("column"),
+        F.lower(F.col(quote(relation.type_column))).alias("type"),
+    ).where(F.col("table").isin([t.source for t in tables]))
+    found: dict[str, dict[str, str]] = {}
+    for r in rows.collect():  # a row per column of the tables of this run
+        found.setdefault(r["table"], {})[r["column"]] = r["type"]
+    missing = [t.source for t in tables if t.source not in found]
+    if missing:
+        raise ConfigError(f"{relation.table} lists no columns of {missing}")
+    return [
+        replace(
+            t,
+            logical_types={
+                **{c: BITMAP for c, kind in found[t.source].items() if kind.split("(")[0].strip() == BITMAP},
+                **t.logical_types,
+            },
+        )
+        for t in tables
+    ]

@@ -22,34 +22,51 @@ def read_table(
     table: str,
     table_key: str = "path",
     options: dict[str, str] | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """Any table of any Spark reader: ``table`` goes under the option ``table_key``.
 
     A predicate that the source itself should evaluate is one more reader
     option; filters on the result are pushed down by Spark where the source
     supports it. The files of a table are listed anew, since Spark would
-    otherwise go by the listing of an earlier use in the same session.
+    otherwise go by the listing of an earlier use in the same session. With a
+    ``schema`` (DDL text) readers that would infer one from the rows need not.
     """
     reader = spark.read.options(**(options or {}))
+    if schema:
+        reader = reader.schema(schema)
     if source_format == CATALOG:
         spark.catalog.refreshTable(table)
         return reader.table(table)
     return reader.format(source_format).option(table_key, table).load()
 
 
-def open_source(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
-    """The filtered rows of one table, with its logical column types in the metadata."""
+def open_table(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
+    """All rows of one table, with its logical column types in the metadata."""
+    options = {**config.source_options, **spec.source_options}
+    _warn_of_one_task(config.source_format, spec.source, options)
     table = read_table(
-        spark,
-        config.source_format,
-        spec.source,
-        config.source_table_key,
-        {**config.source_options, **spec.source_options},
+        spark, config.source_format, spec.source, config.source_table_key, options, spec.schema
     )
     tagged = tag_logical_types(table, spec.logical_types)
     if log.isEnabledFor(logging.INFO):
         log.info("schema of %s:\n%s", spec.source, tagged.schema.treeString())
-    return apply_filter(tagged, config.filter)
+    return tagged
+
+
+def open_source(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
+    """The filtered rows of one table, with its logical column types in the metadata."""
+    return apply_filter(open_table(spark, config, spec), config.filter)
+
+
+def _warn_of_one_task(source_format: str, table: str, options: dict[str, str]) -> None:
+    given = {k.lower() for k in options}
+    if source_format.lower() == "jdbc" and not given & {"numpartitions", "partitioncolumn"}:
+        log.warning(
+            "%s is read by one task; give it partitionColumn, lowerBound, upperBound and "
+            "numPartitions as table options",
+            table,
+        )
 
 
 def schema_report(spark: SparkSession, config: TransferConfig) -> DataFrame:

@@ -7,14 +7,12 @@ Every partition read appends a line to a file, so tests can count scans. Options
 * ``ledger.partitions``, ``ledger.rows``: partitions, and rows in each of them
 * ``ledger.min``: predicate evaluated by the source: smallest ``id`` it returns
 * ``ledger.fail_first``: partition whose first read breaks off after some rows
-* ``ledger.kill_executor``: partition whose first read takes its executor down with it
 * ``ledger.grow``: rows that every later scan of a partition has on top
 """
 
 from __future__ import annotations
 
 import os
-import signal
 from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -52,27 +50,15 @@ class LedgerReader(DataSourceReader):
             os.fsync(f.fileno())
         rows = int(self.options.get("ledger.rows", 100))
         grown = rows + earlier * int(self.options.get("ledger.grow", 0))
-        kills = earlier == 0 and self.options.get("ledger.kill_executor") == str(number)
         breaks = earlier == 0 and self.options.get("ledger.fail_first") == str(number)
         for i in range(grown):
             if breaks and i == rows // 2:
                 raise RuntimeError("connection lost")
-            if kills and i == rows // 2:
-                kill_own_executor()
             key = number * 1_000_000 + i
             if key >= int(self.options.get("ledger.min", 0)):
                 yield key, f"{key},{key + 1}", self.options[KEY]
 
 
-def kill_own_executor() -> None:
-    """End the executor JVM above this worker (worker, daemon, JVM); never a driver."""
-    daemon = os.getppid()
-    jvm = int(Path(f"/proc/{daemon}/stat").read_text().rsplit(")", 1)[1].split()[1])
-    if "CoarseGrainedExecutorBackend" not in Path(f"/proc/{jvm}/cmdline").read_text():
-        raise RuntimeError("this worker has no executor of its own")
-    os.kill(jvm, signal.SIGKILL)
-
-
 def reads(log: Path, table: str) -> int:
     """Partition reads of a table so far."""
     return sum(line.rsplit(":", 1)[0] == table for line in log.read_text().splitlines())

@@ -6,6 +6,7 @@ from tableferry import (
     SaveMode,
     TableSpec,
     TransferConfig,
+    TypesRelation,
     Verify,
     config_report,
     from_settings,
@@ -202,3 +203,41 @@ def test_from_spark_conf_and_report(spark):
         keys = [r.key for r in rows if r.section == section]
         if section != "run":
             assert keys == sorted(keys)
+
+
+def test_settings_for_tables_that_are_not_copied():
+    for prefix in ("table.sink", "schema", "table.option", "logical"):
+        name = f"spark.source.{prefix}.db.aa" + (".x" if prefix in ("table.option", "logical") else "")
+        with pytest.raises(ConfigError, match="not copied"):
+            from_settings(settings(**{name: "other"}))
+
+
+@pytest.mark.parametrize(
+    "key", ["save.mod", "enable.result.verify", "verify.methods", "on.emty", "max.concurent"]
+)
+def test_near_misses_of_control_settings(key):
+    with pytest.raises(ConfigError, match="unknown setting"):
+        from_settings(settings(**{f"spark.sink.{key}": "x"}))
+
+
+def test_schema_and_types_settings():
+    config = from_settings(
+        settings(
+            **{
+                "spark.source.schema.db.a": "x INT",
+                "spark.source.types.format": "jdbc",
+                "spark.source.types.table": "information_schema.columns",
+                "spark.source.types.table.key": "dbtable",
+                "spark.source.types.option.url": "u",
+                "spark.source.types.schema.column": "table_schema",
+            }
+        )
+    )
+    assert [t.schema for t in config.tables] == ["x INT", None]
+    assert config.types == TypesRelation(
+        "jdbc", "information_schema.columns", "dbtable", {"url": "u"}, schema_column="table_schema"
+    )
+    with pytest.raises(ConfigError, match="unknown setting"):
+        from_settings(settings(**{"spark.source.types.tabel": "x"}))
+    with pytest.raises(ConfigError, match="types.format is required"):
+        from_settings(settings(**{"spark.source.types.table": "x"}))

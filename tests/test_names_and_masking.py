@@ -33,8 +33,12 @@ def test_quote_doubles_back_ticks():
 
 
 @pytest.mark.parametrize(
-    "key", ["db.password", "PASSWORD", "api_token", "secret.key", "credentials"]
-)
+    "key",
+    [
+        "db.password", "PASSWORD", "api_token", "secret.key", "credentials", "fs.s3a.access.key",
+        "fs.azure.account.key.x", "api.key", "ssl.passphrase", "keyPwd", "pwd", "accessKey",
+    ],
+)
 def test_secret_keys_are_masked_whole(key):
     assert mask_value(key, "anything") == MASK
 
@@ -45,9 +49,14 @@ def test_secret_keys_are_masked_whole(key):
         ("jdbc:x://h:1/db?user=u&password=p%23&ssl=true", "jdbc:x://h:1/db?user=u&password=***&ssl=true"),
         ("jdbc:x://h:1/db;Password = p;a=b", "jdbc:x://h:1/db;Password = ***;a=b"),
         ("jdbc:x://user:p@ss@host:1/db", "jdbc:x://user:***@host:1/db"),
+        ('{"password": "p", "user": "u"}', '{"password": "***", "user": "u"}'),
+        ("{'api_key': 'a\\'b', 'n': 1}", "{'api_key': \"***\", 'n': 1}"),
+        ("jdbc:y:thin:scott/tiger@host:1521/db", "jdbc:y:thin:scott/***@host:1521/db"),
+        ("user/pw@host", "user/***@host"),
+        ("jdbc:x://h/db?accessKey=k&fs.s3a.access.key=j", "jdbc:x://h/db?accessKey=***&fs.s3a.access.key=***"),
         ("s3a://bucket/path", "s3a://bucket/path"),
         ("http://host:8080/a", "http://host:8080/a"),
-        ("dt between '2022-01-01' and '2022-12-31'",) * 2,
+        ("day >= '2019-05-06' and day < '2019-05-09'",) * 2,
     ],
 )
 def test_secrets_inside_values(text, masked):
@@ -59,3 +68,19 @@ def test_secrets_inside_values(text, masked):
 def test_password_parameter_never_shows(secret):
     shown = mask_text(f"jdbc:x://h/db?password={secret}&a=1")
     assert shown == f"jdbc:x://h/db?password={MASK}&a=1"
+
+
+def test_a_pattern_of_the_user_s_own():
+    assert mask_value("my.plan", "x", "(?i)plan") == MASK
+    assert mask_value("a", "my plan", "plan") == MASK
+    assert mask_value("a", "b", "plan") == "b"
+
+
+@given(
+    st.sampled_from(["password", "apiKey", "pwd", "x.access.key"]),
+    st.text(st.characters(whitelist_categories=["L", "N"]), min_size=3),
+    st.sampled_from(["{k}={v}&z=1", '{{"{k}": "{v}"}}', "x://u:{v}@h {k}={v}", "u/{v}@h"]),
+)
+def test_no_form_shows_the_secret(key, secret, form):
+    text = form.format(k=key, v=secret + "QQ")
+    assert secret + "QQ" not in mask_text(text)

@@ -17,7 +17,7 @@ from tableferry import (
 from tableferry.__main__ import main
 from tableferry.plans import run as run_module
 from tableferry.plans import transfer as transfer_module
-from tableferry.plans.labels import labelled, shorten
+from tableferry.plans.labels import labelled
 from tableferry.plans.report import REPORT_SCHEMA
 
 from .oracle import SF_DIR
@@ -25,8 +25,6 @@ from .oracle import SF_DIR
 LABELS = [
     "spark.jobGroup.id",
     "spark.job.description",
-    "callSite.short",
-    "callSite.long",
     "spark.scheduler.pool",
 ]
 
@@ -182,11 +180,10 @@ def test_labels_are_set_and_given_back(spark, config, monkeypatch, fails):
         for key in LABELS:
             sc.setLocalProperty(key, None)
     groups = [s[0] for s in seen]
-    assert [g.split("-")[:2] for g in groups] == [["table", "1"], ["table", "2"]]
-    for (group, description, short, long, pool), name in zip(seen, ["region", "nation"]):
+    assert groups == ["tableferry-1", "tableferry-2"]
+    for (group, description, pool), name in zip(seen, ["region", "nation"]):
         assert pool == group
-        assert description.startswith("Writing") and name in short
-        assert len(long) <= 200
+        assert description.endswith(f"{name}.parquet: writing")
 
 
 def test_concurrent_tables_have_their_own_labels(spark, config, monkeypatch):
@@ -205,15 +202,12 @@ def test_concurrent_tables_have_their_own_labels(spark, config, monkeypatch):
     assert sc.getLocalProperty("spark.jobGroup.id") is None
 
 
-def test_labelled_group_name(spark):
-    with labelled(spark.sparkContext, "db.t", 2, 5):
-        assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "table-2-db_t"
-
-
-def test_shorten():
-    assert shorten("a\n  b") == "a b"
-    assert len(shorten("x" * 500)) == 200 and shorten("x" * 500).endswith("...")
-    assert shorten("x" * 200) == "x" * 200
+def test_labels_name_table_and_step(spark):
+    sc = spark.sparkContext
+    with labelled(sc, "db.t", 2, 5) as step:
+        step("writing")
+        assert sc.getLocalProperty("spark.jobGroup.id") == "tableferry-2"
+        assert sc.getLocalProperty("spark.job.description") == "table 2 of 5, db.t: writing"
 
 
 @pytest.fixture

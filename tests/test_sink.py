@@ -9,8 +9,10 @@ from tableferry.functions.names import qualified
 from tableferry.operators.rowfilter import is_empty
 from tableferry.operators.sink import (
     align_by_name,
+    can_be_swapped,
     create_sink,
     insert,
+    replace,
     sink_exists,
     sink_identifier,
 )
@@ -198,8 +200,7 @@ def test_char_and_varchar_columns(spark, database):
     assert sorted(map(tuple, sink.collect()), key=repr) == [("ab  ", "abc", "x"), (None, None, None)]
 
 
-def test_a_failed_overwrite_is_reported(spark, database, rows):
-    """Spark clears file tables before it writes; what is left can be read and loaded again."""
+def test_a_failed_overwrite_leaves_the_old_rows(spark, database, rows):
     source = qualified(database, "source")
     rows.write.saveAsTable(source)
     config = TransferConfig([TableSpec(source, "t")], "catalog", database)
@@ -208,9 +209,100 @@ def test_a_failed_overwrite_is_reported(spark, database, rows):
     failing = TransferConfig([TableSpec(source, "t")], "catalog", database, filter=breaks)
     outcome = run(spark, failing, fail_on_error=False).outcomes[0]
     assert outcome.status == "failed" and "broken" in outcome.error
-    assert spark.table(f"{database}.t").count() == 0
-    assert run(spark, config).outcomes[0].source_rows == 100
     assert spark.table(f"{database}.t").count() == 100
+    assert {t.name for t in spark.catalog.listTables(database)} == {"source", "t"}
+    config = TransferConfig([TableSpec(source, "t")], "catalog", database, filter="id < 40")
+    assert run(spark, config).outcomes[0].source_rows == 40
+    assert spark.table(f"{database}.t").count() == 40
+    assert {t.name for t in spark.catalog.listTables(database)} == {"source", "t"}
+
+
+def test_a_swapped_sink_keeps_its_definition(spark, database, rows):
+    sink = qualified(database, "t")
+    spark.sql(
+        f"CREATE TABLE {sink} (twice BIGINT COMMENT 'two', id BIGINT) USING orc "
+        "PARTITIONED BY (id) COMMENT 'mine' TBLPROPERTIES ('team' = 'it\\'s me')"
+    )
+    insert(spark, rows, sink)
+    assert replace(spark, rows.where("id < 5"), sink) == 5
+    shown = spark.sql(f"SHOW CREATE TABLE {sink}").first()[0]
+    assert "USING orc" in shown and "PARTITIONED BY (id)" in shown and "it\\'s me" in shown
+    assert "COMMENT 'two'" in shown and "COMMENT 'mine'" in shown
+    assert spark.table(sink).count() == 5
+
+
+def test_sinks_at_a_location_are_overwritten_in_place(spark, database, rows, tmp_path):
+    sink = qualified(database, "t")
+    create_sink(spark, config_for(database, sink_location=str(tmp_path)), sink, "t", rows.schema)
+    insert(spark, rows, sink)
+    assert not can_be_swapped(spark, sink)
+    assert replace(spark, rows.where("id < 5"), sink) == 5
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+@pytest.mark.parametrize(
+    "source, sink",
+    [
+        ("double", "int"), ("timestamp", "date"), ("bigint", "int"), ("bigint", "double"),
+        ("decimal(10,2)", "decimal(10,1)"), ("decimal(12,2)", "decimal(10,2)"), ("int", "decimal(9,0)"),
+        ("array<double>", "array<int>"), ("map<string,bigint>", "map<string,int>"),
+        ("struct<a:double>", "struct<a:int>"), ("struct<a:int,b:int>", "struct<b:int,a:int>"),
+        ("string", "int"), ("int", "string"), ("timestamp", "timestamp_ntz"), ("double", "float"),
+        ("string", "binary"),
+    ],
+)
+def test_narrower_sinks_are_refused(spark, database, source, sink):
+    rows = spark.sql(f"SELECT 1 AS id, CAST(NULL AS {source}) AS v")
+    spark.sql(f"CREATE TABLE {database}.t (id INT, v {sink}) USING parquet")
+    with pytest.raises(ConfigError, match="would change values: v"):
+        insert(spark, rows, qualified(database, "t"))
+    assert spark.table(f"{database}.t").count() == 0
+
+
+@pytest.mark.parametrize(
+    "source, sink, value",
+    [
+        ("tinyint", "smallint", "7"), ("int", "bigint", "-2147483648"), ("int", "double", "2147483647"),
+        ("smallint", "float", "32767"), ("float", "double", "0.5"), ("bigint", "decimal(19,0)", "9223372036854775807"),
+        ("decimal(10,2)", "decimal(12,3)", "12345678.91"), ("date", "timestamp", "date'2024-02-29'"),
+        ("array<int>", "array<bigint>", "array(1, 2)"),
+        ("struct<a:int>", "struct<a:bigint>", "named_struct('a', 3)"), ("string", "string", "'x'"),
+    ],
+)
+def test_wider_sinks_take_every_value(spark, database, source, sink, value):
+    rows = spark.sql(f"SELECT CAST({value} AS {source}) AS v")
+    spark.sql(f"CREATE TABLE {database}.t (v {sink}) USING parquet")
+    insert(spark, rows, qualified(database, "t"))
+    assert spark.table(f"{database}.t").where(F.col("v") == F.expr(f"CAST({value} AS {source})")).count() == 1
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+@pytest.mark.parametrize("provider", ["csv", "json"])
+def test_existing_sinks_that_change_values_are_refused(spark, database, provider, mode):
+    source = qualified(database, "source")
+    spark.sql("SELECT 'a\nb' AS s, timestamp'2024-01-01 00:00:00.123456' AS at").write.saveAsTable(source)
+    spark.sql(f"CREATE TABLE {database}.t (s STRING, at TIMESTAMP) USING {provider}")
+    spark.sql(f"INSERT INTO {database}.t VALUES ('old', timestamp'2020-01-01 00:00:00')")
+    config = TransferConfig([TableSpec(source, "t")], "catalog", database, save_mode=mode)
+    outcome = run(spark, config, fail_on_error=False).outcomes[0]
+    assert outcome.status == "failed" and outcome.error.startswith("ConfigError")
+    assert [r.s for r in spark.table(f"{database}.t").collect()] == ["old"]
+
+
+def test_existing_json_sinks_with_full_precision_are_loaded(spark, database):
+    source = qualified(database, "source")
+    spark.sql("SELECT timestamp'2024-01-01 00:00:00.123456' AS at").write.saveAsTable(source)
+    config = TransferConfig([TableSpec(source, "t")], "catalog", database, sink_format="json", save_mode="append")
+    for n in (1, 2):
+        run(spark, config)
+        assert spark.table(f"{database}.t").where("at = timestamp'2024-01-01 00:00:00.123456'").count() == n
+
+
+def test_a_sink_made_by_another_job_is_used(spark, database, rows):
+    sink = qualified(database, "t")
+    create_sink(spark, config_for(database), sink, "t", rows.schema)
+    create_sink(spark, config_for(database), sink, "t", rows.schema)
+    assert insert(spark, rows, sink) == 100
 
 
 def test_rows_of_another_session_are_seen(spark, database, rows):

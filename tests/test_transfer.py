@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tableferry import SinkNotEmpty, TableSpec, TransferConfig, transfer_table
+from tableferry import ConfigError, SinkNotEmpty, TableSpec, TransferConfig, transfer_table
 from tableferry.operators import sink as sink_module
 from tableferry.plans import transfer as transfer_module
 
@@ -158,12 +158,12 @@ def test_bitmap_metadata_reaches_the_sink(spark, database, write_source):
     assert (field.dataType.simpleString(), field.metadata["logical_type"]) == ("binary", "bitmap")
 
 
-def test_overwriting_the_source_is_refused(spark, database):
+def test_overwriting_the_source_keeps_its_rows(spark, database):
+    """The rows are read until the new ones are complete beside them."""
     copy(spark, nation(database))
-    itself = TransferConfig([f"{database}.nation"], "catalog", database)
-    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
-        copy(spark, itself)
-    assert spark.table(f"{database}.nation").count() == 25
+    itself = TransferConfig([f"{database}.nation"], "catalog", database, filter="n_regionkey = 1")
+    assert copy(spark, itself).source_rows == 5
+    assert spark.table(f"{database}.nation").count() == 5
 
 
 def test_source_view(spark, database):
@@ -172,17 +172,68 @@ def test_source_view(spark, database):
 
 
 def test_a_count_that_never_comes(spark, database, monkeypatch):
-    """The write is done, but its observation is not delivered: the source is counted."""
+    """The write is done, but its observation is not delivered."""
 
     class Lost(Observation):
-        get = property(lambda self: threading.Event().wait())
+        def _on(self, rows, *counts):
+            return rows
+
+        @property
+        def _jo(self):
+            return self
+
+        _jo = _jo.setter(lambda self, value: None)
+
+        def getOrEmpty(self):
+            return self
+
+        def isEmpty(self):
+            return True
 
     monkeypatch.setattr(sink_module, "Observation", Lost)
-    monkeypatch.setattr(sink_module, "OBSERVATION_WAIT", 0.2)
+    monkeypatch.setattr(sink_module, "OBSERVATION_LOOKS", 2)
+    threads = threading.active_count()
     got = copy(spark, nation(database, verify="observed"))
     assert (got.status, got.source_rows, got.sink_rows, got.verified) == ("copied", 25, 25, True)
+    # without verification nobody scans the source for a count
     got = copy(spark, nation(database, save_mode="append", filter="n_nationkey < 0"))
-    assert (got.status, got.source_rows) == ("skipped_empty", 0)
+    assert (got.status, got.source_rows) == ("copied", None)
+    assert threading.active_count() == threads
+
+
+def test_overwrites_are_verified_without_the_filter(spark, database):
+    """Rows that a bad overwrite left behind count, whether they meet the filter or not."""
+    copy(spark, nation(database))
+    got = copy(spark, nation(database, filter="n_regionkey = 1", verify="observed"))
+    assert (got.source_rows, got.rows_before, got.sink_rows, got.verified) == (5, 0, 5, True)
+
+
+def test_the_count_after_an_overwrite_reads_no_column(spark, database, monkeypatch):
+    seen = []
+    real = transfer_module.verify.count_rows
+
+    def watching(rows):
+        seen.append(rows.groupBy().count()._jdf.queryExecution().toString())
+        return real(rows)
+
+    monkeypatch.setattr(transfer_module.verify, "count_rows", watching)
+    copy(spark, nation(database, filter="n_regionkey = 1", verify="observed"))
+    (plan,) = seen
+    assert "ReadSchema: struct<>" in plan and "+- Filter" not in plan
+
+
+def test_a_filter_that_picks_other_rows_each_time(spark, database):
+    copy(spark, nation(database))
+    lucky = dict(filter="rand() < 0.5 and n_nationkey >= 0")
+    got = copy(spark, nation(database, verify="observed", **lucky))
+    assert got.status in ("copied", "skipped_empty")
+    assert got.source_rows in (0, spark.table(f"{database}.nation").count())
+    for settings in (dict(verify="recount"), dict(verify="observed", save_mode="append")):
+        before = spark.table(f"{database}.nation").count()
+        with pytest.raises(ConfigError, match="other rows each time"):
+            copy(spark, nation(database, **settings, **lucky))
+        assert spark.table(f"{database}.nation").count() == before
+    assert copy(spark, nation(database, save_mode="append", **lucky)).status in ("copied", "skipped_empty")
 
 
 def test_truncate_reaches_rows_outside_the_catalog(spark, database, tmp_path):
@@ -222,7 +273,7 @@ def test_a_load_is_one_job_of_one_stage(spark, database, tmp_path):
     config = ledger(database, tmp_path, save_mode="append")
     copy(spark, config)
     tracker = spark.sparkContext.statusTracker()
-    group = "table-1-db_t"
+    group = "tableferry-1"
     earlier = set(tracker.getJobIdsForGroup(group))
     copy(spark, config)
     jobs = set(tracker.getJobIdsForGroup(group)) - earlier
@@ -230,9 +281,17 @@ def test_a_load_is_one_job_of_one_stage(spark, database, tmp_path):
     assert [s.numTasks for s in stages] == [6]
 
 
-def test_observed_count_is_exact_when_a_task_is_retried(spark, database, tmp_path):
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_observed_count_is_exact_when_a_task_is_retried(spark, database, tmp_path, rebalance):
     breaks_off = {"ledger.fail_first": "3"}
-    config = ledger(database, tmp_path, options=breaks_off, verify="observed", save_mode="append")
+    config = ledger(
+        database,
+        tmp_path,
+        options=breaks_off,
+        verify="observed",
+        save_mode="append",
+        rebalance=rebalance,
+    )
     got = copy(spark, config)
     # the probe read partition 0, partition 3 was read twice
     assert reads(tmp_path / "log", "db.t") == 8
