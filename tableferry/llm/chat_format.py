@@ -18,7 +18,8 @@ conversation is asked for (its string, its digest) do its turns come together.
 Built-in functions only.
 
 Defined cases: null texts and roles are empty; a log without a starting event
-starts with its first delta; events of one message with equal ``seq`` go by kind (a
+starts with its first delta; a message's role is the last one that its events
+give; events of one message with equal ``seq`` go by kind (a
 start first), then text; messages go by the ``seq`` of their first event, then by
 name. Rows of a plain table are a message each, repeated rows too, ordered by turn
 (null first), role and text. A conversation without messages gives no row; null
@@ -84,32 +85,43 @@ def fold(events: DataFrame) -> DataFrame:
     named = clean.where("message is not null")
     # what counts is the last start and the deltas after it; earlier events end here
     last = named.groupBy("conv_id", "message").agg(
-        F.min("seq").alias("first"), F.max(F.when(starts, F.col("seq"))).alias("begun")
+        F.min("seq").alias("first"),
+        F.max(F.when(starts, F.col("seq"))).alias("begun"),
+        F.max(F.when(F.col("role") != "", F.struct("seq", "role"))).alias("given"),
     )
-    last = last.select(F.col("conv_id").alias("of"), F.col("message").alias("name"), "first", "begun")
-    live = named.join(last, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("message") == F.col("name"))).where(
-        "begun is null or seq >= begun"
+    last = last.select(
+        F.col("conv_id").alias("of"),
+        F.col("message").alias("name"),
+        "first",
+        "begun",
+        F.coalesce("given.role", F.lit("")).alias("role"),
+    )
+    live = (
+        named.drop("role")
+        .join(last, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("message") == F.col("name")))
+        .where("begun is null or seq >= begun")
+    )
+    event = F.struct("seq", (~starts).alias("later"), "kind", "text")
+    together = live.groupBy("conv_id", "message", "first", "role").agg(
+        F.array_sort(F.collect_list(event)).alias("log")
     )
-    event = F.struct("seq", (~starts).alias("later"), "kind", "role", "text")
-    together = live.groupBy("conv_id", "message", "first").agg(F.array_sort(F.collect_list(event)).alias("log"))
 
     def step(state: Column, e: Column) -> Column:
         begins = e["kind"].isin(*STARTS, "delete")
         return F.struct(
-            F.when(begins & (e["role"] != ""), e["role"])
-            .otherwise(F.when(state["role"] == "", e["role"]).otherwise(state["role"]))
-            .alias("role"),
-            F.when(begins, F.array(e["text"])).otherwise(F.array_append(state["parts"], e["text"])).alias("parts"),
+            F.when(begins, F.array(e["text"]))
+            .otherwise(F.array_append(state["parts"], e["text"]))
+            .alias("parts"),
             F.when(begins, e["kind"] == "delete").otherwise(state["gone"]).alias("gone"),
         )
 
     empty = F.struct(
-        F.lit("").alias("role"), F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone")
+        F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone")
     )
     folded = (
-        together.select("conv_id", "message", "first", F.aggregate("log", empty, step).alias("m"))
+        together.select("conv_id", "message", "first", "role", F.aggregate("log", empty, step).alias("m"))
         .where("not m.gone")
-        .select("conv_id", "message", "first", F.col("m.role").alias("role"), F.concat_ws("", "m.parts").alias("text"))
+        .select("conv_id", "message", "first", "role", F.concat_ws("", "m.parts").alias("text"))
     )
     return alone.unionByName(folded)
 

@@ -1,0 +1,24 @@
+import pytest
+from hypothesis import settings
+
+settings.register_profile("busy", deadline=None)  # other work may hold the cores
+settings.load_profile("busy")
+
+
+@pytest.fixture
+def documents(spark):
+    """A table of documents with columns of clashing names; ids and texts are given."""
+
+    def make(rows, **extra):
+        names = ["n", "text_", "doc", "host", "lines", "w", "component", "k", "spans", "items"]
+        data = [(i, t, "s", 1, *[f"own-{c}" for c in names]) for i, t in rows]
+        schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(
+            f"{c} string" for c in names
+        )
+        return spark.createDataFrame(data, schema).repartition(3)
+
+    return make
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,0 +1,102 @@
+import random
+
+import pytest
+
+from tableferry.llm import license_scan as S
+
+from .conftest import rows_of
+from .plain import alphanumeric
+
+DOCS = [
+    (1, "This is under the GNU General Public License, version 2. MIT license; mit   License"),
+    (2, "permit license and mit licenses are not it"),
+    (3, "cc-by cc by-sa CC BY"),
+    (4, None),
+    (5, ""),
+    (6, "GNU Genral Publik License applies"),
+    (7, "licnsed under the apache license"),
+    (8, "mit mit license license"),
+    (9, "All rigths reserved"),
+    (9, "All rigths reserved"),
+    (None, "gnu general public license"),
+    (10, "gnu lesser general public license"),
+    (11, "the general public came"),
+]
+
+
+def plain(text):
+    w = alphanumeric(text)
+    places, labels = [], set()
+    for phrase, label in S.PHRASES.items():
+        p = phrase.split()
+        for i in range(len(w) - len(p) + 1):
+            if w[i : i + len(p)] == p:
+                places.append(i)
+                labels.add(label)
+    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_exact_places(documents):
+    rng = random.Random(8)
+    words = "gnu general public license apache mit cc by a the".split()
+    docs = DOCS + [(100 + i, " ".join(rng.choices(words, k=rng.randrange(80)))) for i in range(80)]
+    found = S.scan(documents(docs)).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"
+    )
+    assert rows_of(found) == sorted(((i, *plain(t)) for i, t in docs), key=repr)
+
+
+def test_labels_of_near_notices(documents):
+    found = {r["doc_id"]: r for r in S.scan(documents(DOCS)).collect()}
+    assert found[6]["base_labels"] == "" and found[6]["labels"] == "gpl" and 0.8 < found[6]["score"] < 1
+    assert found[7]["labels"] == "apache" and found[7]["base_labels"] == "apache"
+    assert found[9]["labels"] == "all-rights-reserved"
+    assert found[10]["labels"] == "lgpl" and found[10]["base_labels"] == ""
+    assert found[1]["labels"] == "gpl,mit" and found[1]["score"] == 1
+    assert found[2]["labels"] == "" and found[4]["score"] == 0 and found[11]["labels"] == ""
+    assert [tuple(s) for s in found[6]["spans"]] == [("gpl", 0, 4, 2)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_every_near_place_is_found(seed):
+    """Up to the allowed edits within words, anywhere in a text: the seeds never miss it."""
+    rng = random.Random(seed)
+    notices = [S.Notice(p, label, S.CHARS_PER_EDIT) for p, label in S.NOTICES.items()]
+    for notice in notices:
+        text = notice.phrase.decode()
+        for _ in range(rng.randrange(1, notice.edits + 1)):
+            at = rng.choice([i for i, c in enumerate(text) if c != " " and 0 < i < len(text) - 1])
+            text = text[:at] + rng.choice(["", "q", text[at] + "q"]) + text[at + 1 :]
+        joined = f" some words {text} others ".encode()
+        spans = S.scan_text(joined, [], [notice])[2]
+        assert len(spans) == 1 and spans[0][0] == notice.label
+        assert spans[0][3] <= notice.edits
+        found = b" ".join(joined.split()[spans[0][1] : spans[0][1] + spans[0][2]]).decode()
+        assert distance(found, notice.phrase.decode()) <= notice.edits
+
+
+def test_all_spans_lie_within_the_edits():
+    rng = random.Random(3)
+    notice = S.Notice("apache license", "apache", 5)
+    for _ in range(200):
+        words = rng.choices(["apache", "license", "apach", "licence", "ap", "lice", "x"], k=8)
+        joined = f" {' '.join(words)} ".encode()
+        for _, first, n, edits, _ in S.scan_text(joined, [], [notice])[2]:
+            assert distance(" ".join(words[first : first + n]), "apache license") <= edits <= notice.edits
+        near = [
+            i for i in range(7) if distance(" ".join(words[i : i + 2]), "apache license") <= notice.edits
+        ]
+        assert bool(near) <= bool(S.scan_text(joined, [], [notice])[2])
+
+
+def test_empty_table(documents):
+    assert S.scan(documents([])).collect() == []

@@ -1,0 +1,83 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry.llm import packing as P
+
+from .conftest import rows_of
+
+COST = {8: 10, 16: 18, 32: 34}
+
+
+def plain_best_fit(lengths, cost):
+    """The same rule by looking at all open sequences."""
+    bins, into = [], []
+    left = sum(lengths)
+    for n in lengths:
+        fits = [i for i, b in enumerate(bins) if b["size"] - b["used"] >= n]
+        if fits:
+            own = min(fits, key=lambda i: (bins[i]["size"] - bins[i]["used"], i))
+        else:
+            size = min((c for c in cost if c >= n), key=lambda c: (cost[c] / min(c, left), c))
+            bins.append({"size": size, "used": 0})
+            own = len(bins) - 1
+        bins[own]["used"] += n
+        into.append(own)
+        left -= n
+    return into, [min(c for c in cost if c >= b["used"]) for b in bins]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_best_fit_rule(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.randrange(1, 33) for _ in range(rng.randrange(1, 80))), reverse=True)
+    into, start, capacity = P.best_fit(lengths, COST)
+    assert (into, capacity) == plain_best_fit(lengths, COST)
+    used = [0] * len(capacity)
+    for n, own, at in zip(lengths, into, start):
+        assert at == used[own]
+        used[own] += n
+    assert all(u <= c for u, c in zip(used, capacity))
+
+
+def test_last_sequences_are_cut_down():
+    assert P.best_fit([5], COST) == ([0], [0], [8])
+    assert P.best_fit([30, 20, 3], COST)[2] == [32, 32]
+
+
+@pytest.mark.parametrize("shard_items", [7, 1000])
+def test_every_token_has_one_place(documents, shard_items):
+    rng = random.Random(4)
+    docs = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 8, 20, 32, 33, 100]))) for i in range(90)]
+    docs += [(3, "a b c"), (3, "a b c"), (None, "x y"), (500, None)]
+    found = P.pack(documents(docs), cost=COST, shard_items=shard_items).collect()
+    total = {}
+    for r in found:
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["n_tokens"]
+    want = {}
+    for i, t in docs:
+        want[i] = want.get(i, 0) + len((t or "").split())
+    assert total == want
+    assert {r["doc_id"] for r in found if r["sequence"] is None} == {i for i, t in docs if not (t or "").split()}
+    places = sorted((r["sequence"], r["start"], r["n_tokens"], r["capacity"]) for r in found if r["n_tokens"])
+    for x, y in zip(places, places[1:]):
+        if x[0] == y[0]:
+            assert x[1] + x[2] == y[1] and x[3] == y[3]
+        else:
+            assert y[1] == 0
+    ends = {}
+    for s, at, n, c in places:
+        ends[s] = (at + n, c)
+    assert all(c == min(k for k in COST if k >= end) for end, c in ends.values())
+
+
+def test_long_documents_are_cut_into_whole_pieces(documents):
+    found = rows_of(P.pack(documents([(1, "w " * 70)]), cost=COST).select("piece", "n_tokens", "capacity"))
+    assert found == [(0, 32, 32), (1, 32, 32), (2, 6, 8)]
+
+
+def test_other_lengths_and_empty_table(documents):
+    docs = documents([(1, "abc"), (2, "")])
+    assert rows_of(P.pack(docs, n_tokens=F.length("text"), cost=COST).select("doc_id", "n_tokens")) == [(1, 3), (2, 0)]
+    assert P.pack(documents([])).collect() == []

@@ -1,0 +1,75 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tableferry.llm import quality_ranker as R
+from tableferry.llm.queries import read
+
+from .conftest import rows_of
+from .plain import spaced
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_documents_are_ranked_well(spark):
+    docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    found = R.rank(docs, labels).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").toPandas()
+    assert len(found) > 80
+    good, bad = (found.score[found.quality == q].to_numpy() for q in (1, 0))
+    auc = (good[:, None] > bad[None, :]).mean() + 0.5 * (good[:, None] == bad[None, :]).mean()
+    assert auc > 0.95
+    assert (found.predicted == found.quality).mean() > 0.9
+
+
+def test_learned_order_on_made_up_features():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(800, R.FEATURES))
+    good = x @ np.linspace(-1, 1, R.FEATURES) + rng.normal(size=800) * 0.1 > 0.5
+    ranker = R.fit(x, good)
+    score = ranker.score(x)
+    assert ((score >= 0.5) == good).mean() > 0.95
+    # as many below the threshold as are labelled bad
+    assert (score < 0.5).sum() == (~good).sum()
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (4, 1, 1)], [(None, 0, 0), (2, None, 0), (3, 7, 0)]])
+def test_without_both_labels_all_scores_are_even(spark, documents, labels):
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = rows_of(R.rank(documents([(1, "a"), (2, None), (2, None), (None, "b")]), frame))
+    assert [(r[0], r[2], r[3]) for r in found] == sorted(
+        [(1, 0.5, 1), (2, 0.5, 1), (2, 0.5, 1), (None, 0.5, 1)], key=repr
+    )
+
+
+def test_features_of_each_text():
+    rng = random.Random(2)
+    texts = [None, "", "a a a b", "x # % y\nA.B 12 é"] + [
+        " ".join(rng.choices(["a", "bb", "C.", "#"], k=rng.randrange(40))) for _ in range(30)
+    ]
+    found = R.features(pa.array(texts))
+    assert found.shape == (len(texts), R.FEATURES) and np.isfinite(found).all()
+    for row, text in zip(found, texts):
+        w = [x.lower() for x in spaced(text)]
+        n = max(1, len(w))
+        size = max(1, len((text or "").encode()))
+        windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        again = {i + j for i, x in enumerate(windows) if x in windows[:i] for j in range(5)}
+        assert row[0] == pytest.approx(np.log1p(len(w)))
+        assert row[5] == pytest.approx(sum(a == b for a, b in zip(w, w[1:])) / n)
+        assert row[6] == pytest.approx(len(again) / n)
+        assert row[7] == pytest.approx(len(set(w)) / n)
+        assert row[10] == pytest.approx(sum(c in "#*$%&|<>" for c in text or "") / size)
+        assert row[13] == pytest.approx(sum(c.isascii() and c.isupper() for c in text or "") / size)
+
+
+def test_features_do_not_depend_on_the_batch():
+    texts = ["one two", None, "a a a a a a", "é # ;"]
+    whole = R.features(pa.array(["skip", *texts])[1:])
+    assert np.array_equal(whole, np.concatenate([R.features(pa.array([t], pa.string())) for t in texts]))
+
+
+def test_empty_table(spark, documents):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert R.rank(documents([]), labels).collect() == []

@@ -1,0 +1,102 @@
+import itertools
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry.llm import url_filter as U
+
+from .conftest import rows_of
+
+URLS = [
+    "https://Blog.Example.NET/en/1?x#y", "http://example.net/de/1", "http://example.net", "http://a.org/fr/x",
+    "http://a.org/en/x", "http://sub.example.com/de/", "http://badexample.com/de/", "http://net/x", "x.net/y",
+    "http://a.net?q", "ftp://u://v.net/p", "://", "", None, "http://a.com/line\nbreak/x?y", "http://A.ORG/FR/",
+    "http://É.net/", "http://a.org#f/fr/", "http://example.net/en/", "http://net",
+]
+
+
+def plain(url):
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+    host, path = m.groups() if m else ("", "")
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    best = None
+    for verdict, rule in U.RULES:
+        of, _, begin = rule.partition("/")
+        if (host == of or host.endswith("." + of)) and path.startswith("/" + begin):
+            if best is None or len(rule) > len(best[1]):
+                best = (verdict, rule)
+    return host, path, best
+
+
+@pytest.fixture
+def pages(spark):
+    def make(urls, html="<p>cheap pills for the blog and the news of the day</p>"):
+        rows = [(i, u, html, "x", "y") for i, u in enumerate(urls)]
+        return spark.createDataFrame(
+            rows, "page_id long, url string, html string, host string, score string"
+        ).repartition(3)
+
+    return make
+
+
+def test_hosts_paths_and_rules(pages):
+    found = rows_of(U.filter_urls(pages(URLS)).select("page_id", "host", "path", "rule", "verdict"))
+    assert len(found) == len(URLS)
+    for i, host, path, rule, verdict in found:
+        want = plain(URLS[i])
+        assert (host, path) == want[:2]
+        assert rule == (want[2][1] if want[2] else None)
+        if want[2]:
+            assert verdict == want[2][0]
+
+
+def test_learned_verdicts(pages):
+    urls = [f"http://{n}.example.org/en/{i}" for i, n in enumerate(["dailynews", "blog", "theday"] * 20)]
+    urls += [f"http://{n}.example.org/en/{i}" for i, n in enumerate(["cheappills", "casinowin", "spamfarm"] * 4)]
+    urls += ["http://pillsnow.example.org/buy", None]
+    found = {r["page_id"]: r["verdict"] for r in U.filter_urls(pages(urls)).collect()}
+    assert all(found[i] == "allow" for i in range(60)) and found[len(urls) - 1] == "allow"
+    assert all(found[i] == "block" for i in range(60, 72)) and found[72] == "block"
+
+
+def test_all_allowed_without_seeds(pages):
+    found = U.filter_urls(pages(["http://a.example.org/x", "http://a.example.org/x", None]))
+    assert [r["verdict"] for r in found.collect()] == ["allow"] * 3
+
+
+def test_empty_table(pages):
+    assert U.filter_urls(pages([])).collect() == []
+
+
+def splits(piece):
+    for cuts in itertools.product([0, 1], repeat=len(piece) - 1):
+        out, word = [], piece[0]
+        for c, cut in zip(piece[1:], cuts):
+            if cut:
+                out.append(word)
+                word = c
+            else:
+                word += c
+        yield [*out, word]
+
+
+@pytest.mark.parametrize("piece", ["cheappills", "thenews", "ththre", "zzz", "a"])
+def test_best_split_is_the_most_probable(piece):
+    counts = {"cheap": 9, "pills": 5, "the": 80, "news": 7, "he": 30, "th": 3, "re": 4, "p": 1, "t": 2, "then": 6}
+
+    def cost(words):
+        return sum(math.log(counts[w] / 200) if w in counts else math.log(0.1 / 200) - 2.3 * len(w) for w in words)
+
+    found = U.best_split(piece, counts, 200.0)
+    assert "".join(found) == piece
+    assert cost(found) == pytest.approx(max(map(cost, splits(piece))))
+
+
+def test_segmentation_joins_the_whole_vocabulary(spark):
+    vocabulary = spark.createDataFrame([("cheap", 9), ("pills", 5), ("the", 80)], "word string, n long")
+    pieces = spark.createDataFrame([("cheappills",), ("thepills",), ("qq",), ("",)], "piece string")
+    found = dict(rows_of(U.segmented(pieces.where(F.col("piece") != ""), vocabulary)))
+    assert found["cheappills"] == ["cheap", "pills"] and found["thepills"] == ["the", "pills"]
+    assert found["qq"] == ["qq"]
