@@ -665,7 +665,7 @@ def insert_into_wider_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT "mode", 'failed' AS status, TRUE AS names_columns, CAST(o_orderkey AS BIGINT) AS o_orderkey,
-           CAST(o_totalprice AS INTEGER) AS o_totalprice
+           CAST(floor(o_totalprice) AS INTEGER) AS o_totalprice
     FROM orders, (SELECT unnest(['append', 'overwrite']) AS "mode")"""
 )
 def insert_into_narrower_sink_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -675,7 +675,7 @@ def insert_into_narrower_sink_refused(spark: SparkSession, sf_dir: str) -> DataF
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
-        F.round("o_totalprice").cast("int").alias("o_totalprice"),
+        F.floor("o_totalprice").cast("int").alias("o_totalprice"),
         F.to_date("o_orderdate").alias("o_orderdate"),
         "o_orderpriority",
     )
