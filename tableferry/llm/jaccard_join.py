@@ -1,6 +1,6 @@
 """N-gram Jaccard self-join and the groups it links, by R-trees over count vectors.
 
-Texts become sets of word shingles. Each set is hashed into ``groups`` counts:
+Texts become sets of word shingles. Each set is hashed into groups and counted:
 a point. The shingles that two sets share are at most the sum of the smaller of
 their counts, so a pair (or a whole tree node, by the largest counts in it) whose
 sum is too small for the similarity is passed over. What survives is verified
@@ -10,14 +10,16 @@ Points of unrelated texts of one length lie near each other, so a single tree ov
 all documents would be searched in quadratic time. The join therefore builds
 its trees in cells: two sets of similarity s share one of the first
 ``n - ceil(s n) + 1`` shingles in any common order, and the order here is rarest
-first, so cells stay small. The order comes from counts of all shingles of the
+first, so cells stay small. The place of the shingle in that order bounds the
+partner's size: the smaller set has it among its first ``n / 9`` or so. The order comes from counts of all shingles of the
 corpus in a table of a fixed size.
 
 Work on large groups stays in proportion to their rows:
 
 * equal sets are one class, collapsed before the shuffle;
-* each class is first linked to the centre of a cell it shares most with, and the
-  components of the verified links leave only cells that hold several of them;
+* each class is first compared with the centres (members drawn by hash) of cells
+  that it shares most with, and the components of the verified links leave only
+  cells that hold several of them (likewise for the pairs that the trees leave over);
 * those are cut into blocks of a bounded size. A block is a packed tree; blocks of
   one cell meet only if their bounds (sizes, components, counts) allow a link.
 
@@ -34,26 +36,46 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableferry.functions.names import quote
+
 from .components import components
-from .shared import Scratch, added_up, batches, text_column
+from .shared import Scratch, added_up, batches, sliced, text_column
 from .words import SPACED, Words, pieces, window_hashes
 
 SHINGLE = 5
 #: Similarity as a percentage
 SIMILARITY = 80
-GROUPS = 64
-ORDER_BITS = 18
-#: Rows of a cell that are dealt to one task, and points of a block
-DEAL = 2048
-BLOCK = 256
+#: Groups that a set's shingles are counted in: about half its size, a power of two within these
+LEAST_GROUPS, MOST_GROUPS = 64, 8192
 FAN_OUT = 16
+#: Counts that are compared at once
+COUNTS_AT_ONCE = 1 << 21
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Sizes of tables and work units. They change what a join costs, not what it finds.
+
+    ``order_bits``: entries of the table that orders shingles; ``deal``: rows of a
+    cell that go to one task; ``block``: points of a tree; ``centres``: others that
+    a class is compared with before everything else.
+    """
+
+    order_bits: int = 18
+    deal: int = 2048
+    block: int = 256
+    centres: int = 6
+
+
 _ID_BITS = 23
 
 
@@ -84,23 +106,49 @@ def prefix_length(n: int, similarity: int) -> int:
     return n - -(-similarity * n // 100) + 1
 
 
+def reach(n: Column, place: Column, similarity: int) -> Column:
+    """The largest partner that a set of size ``n`` can still be linked with if the first shingle
+    they share, in the common order, has this place (from 0) in the set."""
+    return F.floor((n - place) * (100 + similarity) / similarity) - n
+
+
+# ------------------------------------------------------------------ points
+
+
+def point_of(own: np.ndarray) -> bytes:
+    """The counts of a set by group: a byte that tells their width in bytes, then the counts."""
+    groups = 1 << (len(own) // 2).bit_length()
+    groups = min(max(groups, LEAST_GROUPS), MOST_GROUPS)
+    counts = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
+    width = np.min_scalar_type(counts.max())
+    return bytes([width.itemsize]) + counts.astype(width).tobytes()
+
+
+def folded(points: list[bytes]) -> np.ndarray:
+    """Points as rows over the fewest groups that any of them has: groups nest, so counts add up."""
+    groups = min((len(x) - 1) // x[0] for x in points)
+    out = np.empty((len(points), groups), np.int32)
+    for i, x in enumerate(points):
+        out[i] = np.frombuffer(x, f"u{x[0]}", offset=1).reshape(-1, groups).sum(axis=0)
+    return out
+
+
 # ------------------------------------------------------------------ classes
 
 
-def _measure(k: int, groups: int):
+def _measure(k: int, bits: int):
     """Per text its set's size, fingerprint and point; per task the counts of the order table."""
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << ORDER_BITS, np.int64)
-        for batch in each:
+        seen = np.zeros(1 << bits, np.int64)
+        for batch in sliced(each):
             sizes, prints, points = [], [], []
             for _, words in pieces(batch.column(1), SPACED):
                 for own in shingle_sets(words, k):
                     sizes.append(len(own))
                     prints.append(fingerprint(own) if len(own) else None)
-                    point = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
-                    points.append(point.astype(np.uint32).tobytes() if len(own) else None)
-                    seen += _buckets(own)
+                    points.append(point_of(own) if len(own) else None)
+                    seen += np.bincount(_bucket(own, bits), minlength=len(seen))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())]
             columns += [pa.array(points, pa.binary()), pa.nulls(len(sizes), pa.binary())]
             yield pa.record_batch(columns, ["doc_id", "n", "print", "point", "seen"])
@@ -114,13 +162,11 @@ def _measure(k: int, groups: int):
     return run
 
 
-def _buckets(own: np.ndarray) -> np.ndarray:
-    return np.bincount(
-        (own >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS
-    )
+def _bucket(own: np.ndarray, bits: int) -> np.ndarray:
+    return (own >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _prefixes(sent, k: int, similarity: int, limit: int):
+def _prefixes(sent, k: int, similarity: int, limit: int, sizes: Sizes):
     """Per text the rarest shingles; those in over ``limit`` sets get a salt, the others -1."""
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -133,14 +179,14 @@ def _prefixes(sent, k: int, similarity: int, limit: int):
                     shingles.append(None)
                     salts.append(None)
                     continue
-                count = often[(own >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
+                count = often[_bucket(own, sizes.order_bits)]
                 rare = np.argsort(count, kind="stable")[: prefix_length(len(own), similarity)]
                 mark = fingerprint(own)
                 spread = int.from_bytes(mark[:6], "little")
                 count = count[rare]
                 prints.append(mark)
                 shingles.append(own[rare].view(np.int64))
-                salts.append(np.where(count > limit, spread % (count // DEAL + 1), -1))
+                salts.append(np.where(count > limit, spread % (count // sizes.deal + 1), -1))
         columns = [
             pa.array(prints, pa.binary()),
             pa.array(shingles, pa.list_(pa.int64())),
@@ -156,12 +202,12 @@ def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Holds one row back at most. Salted rows are parts of a large cell and always stay.
     """
-    names = ["cell", "n", "cls", "centre"]
+    names = ["cell", "n", "cls", "centre", "reach"]
     last, centre, single = None, 0, None
     for batch in each:
         if not batch.num_rows:
             continue
-        cell, salt, n, cls = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        cell, salt, n, cls, far = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         new = np.empty(len(cell), bool)
         new[1:] = (cell[1:] != cell[:-1]) | (salt[1:] != salt[:-1])
         new[0] = last != (cell[0], salt[0])
@@ -170,11 +216,11 @@ def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.bincount(run + 1, minlength=len(start) + 1)[1:]
         company = np.concatenate(([True], size > 1))[run + 1] | (salt >= 0)
         centres = np.concatenate(([centre], cls[start]))[run + 1]
-        out = [cell[company], n[company], cls[company], centres[company]]
+        out = [x[company] for x in (cell, n, cls, centres, far)]
         if single is not None and not new[0]:
             out = [np.concatenate(([x], y)) for x, y in zip(single, out)]
         last, centre = (cell[-1], salt[-1]), centres[-1]
-        single = None if company[-1] else (cell[-1], n[-1], cls[-1], cls[-1])
+        single = None if company[-1] else (cell[-1], n[-1], cls[-1], cls[-1], far[-1])
         yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names)
 
 
@@ -253,48 +299,87 @@ def _verified(pairs, texts, classes, scratch, name, k, similarity) -> DataFrame:
 
 
 class Tree:
-    """A packed R-tree over count vectors in the order given, ``FAN_OUT`` entries a node."""
-
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        self.levels = [(points, sizes, sizes)]  # largest counts, smallest and largest size
-        while len(self.levels[-1][0]) > FAN_OUT:
-            most, low, high = self.levels[-1]
-            at = np.arange(0, len(most), FAN_OUT)
+    """A packed R-tree over the count vectors of a block, ``FAN_OUT`` entries a node.
+
+    A level holds for each entry the largest counts, the smallest and largest
+    size, the largest reach and the smallest and largest component below it.
+    """
+
+    def __init__(self, n, comp, far, points, height: int = 0):
+        self.levels = [(points, n, n, far, comp, comp)]
+        while len(self.levels[-1][0]) > FAN_OUT or len(self.levels) < height:
+            at = np.arange(0, len(self.levels[-1][0]), FAN_OUT)
+            combine = (np.maximum, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
             self.levels.append(
-                (
-                    np.maximum.reduceat(most, at),
-                    np.minimum.reduceat(low, at),
-                    np.maximum.reduceat(high, at),
-                )
+                tuple(f.reduceat(x, at) for f, x in zip(combine, self.levels[-1]))
             )
 
-    def within(self, point: np.ndarray, size: int, similarity: int) -> np.ndarray:
-        """Indices of the points whose bound and size leave a link with ``point`` possible."""
-        entries = np.arange(len(self.levels[-1][0]))
-        for level in range(len(self.levels) - 1, -1, -1):
-            most, low, high = (x[entries] for x in self.levels[level])
-            fits = (similarity * low <= 100 * size) & (100 * high >= similarity * size)
-            bound = np.minimum(most, point).sum(axis=1)
-            entries = entries[fits & (bound >= enough(low, size, similarity))]
-            if level:
-                below = len(self.levels[level - 1][0])
-                entries = (entries[:, None] * FAN_OUT + np.arange(FAN_OUT)).ravel()
-                entries = entries[entries < below]
-        return entries
-
-
-def _surviving(a, b, similarity: int, same: bool):
-    """Pairs of classes of two blocks, in different components, that the trees leave over."""
-    (cls_a, n_a, comp_a, points_a), (cls_b, n_b, comp_b, points_b) = a, b
-    tree = Tree(points_b, n_b)
-    for i in range(len(cls_a)):
-        found = tree.within(points_a[i], n_a[i], similarity)
-        found = found[comp_b[found] != comp_a[i]]
+    def below(self, level: int, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(place in entries, entry of the next level)`` for all children."""
+        begin = entries * FAN_OUT
+        count = np.minimum(begin + FAN_OUT, len(self.levels[level - 1][0])) - begin
+        parent = np.repeat(np.arange(len(entries)), count)
+        return parent, begin[parent] + np.arange(len(parent)) - (np.cumsum(count) - count)[parent]
+
+
+def _possible(a, b, i: np.ndarray, j: np.ndarray, similarity: int) -> np.ndarray:
+    """Which pairs of entries may hold a link between different components."""
+    most_a, low_a, high_a, far_a, first_a, last_a = (x[i] for x in a)
+    most_b, low_b, high_b, far_b, first_b, last_b = (x[j] for x in b)
+    one = (first_a == last_b) & (last_a == first_b)
+    out = (low_a <= far_b) & (low_b <= far_a) & ~one
+    out &= (similarity * low_a <= 100 * high_b) & (similarity * low_b <= 100 * high_a)
+    at = np.flatnonzero(out)
+    bound = np.minimum(most_a[at], most_b[at]).sum(axis=1, dtype=np.int64)
+    out[at] = bound >= enough(low_a[at], low_b[at], similarity)
+    return out
+
+
+def tree_join(a: Tree, b: Tree, similarity: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of points that may be linked, by descending both trees at once.
+
+    ``same``: the trees are one, and each pair is wanted once. Trees have equal height.
+    """
+    top = len(a.levels) - 1
+    most = max(1, COUNTS_AT_ONCE // a.levels[0][0].shape[1])
+    i, j = np.divmod(np.arange(len(a.levels[top][0]) * len(b.levels[top][0])), len(b.levels[top][0]))
+    todo = [(top, i, j)]
+    while todo:
+        level, i, j = todo.pop()
         if same:
-            found = found[found > i]
-        for j in found:
-            yield (int(cls_a[i]), int(cls_b[j])) if cls_a[i] < cls_b[j] else (int(cls_b[j]), int(cls_a[i]))
+            once = i <= j if level else i < j
+            i, j = i[once], j[once]
+        if len(i) > most:
+            todo += [(level, i[k : k + most], j[k : k + most]) for k in range(0, len(i), most)]
+            continue
+        fits = _possible(a.levels[level], b.levels[level], i, j, similarity)
+        i, j = i[fits], j[fits]
+        if not len(i):
+            continue
+        if not level:
+            yield i, j
+            continue
+        at, i = a.below(level, i)
+        at, j = b.below(level, j[at])
+        todo.append((level - 1, i[at], j))
+
+
+def _same_groups(a, b):
+    """Two blocks with their points over the same groups."""
+    groups = min(a[4].shape[1], b[4].shape[1])
+    return [(*x[:4], x[4].reshape(len(x[0]), -1, groups).sum(axis=1)) for x in (a, b)]
+
+
+def _surviving(a, b, similarity: int, same: bool) -> np.ndarray:
+    """Rows (smaller class, larger class) of two blocks in different components."""
+    height = max(len(Tree(*x[1:]).levels) for x in (a, b))
+    left = Tree(*a[1:], height=height)
+    right = left if same else Tree(*b[1:], height=height)
+    found = [
+        np.column_stack((np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])))
+        for i, j in tree_join(left, right, similarity, same)
+    ]
+    return np.concatenate([np.zeros((0, 2), np.int64), *found])
 
 
 def _within_bound(similarity: int):
@@ -302,12 +387,11 @@ def _within_bound(similarity: int):
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-        a, b = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(len(n_a), -1)
-            for i in (4, 5)
-        )
-        bound = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-        chosen = pa.array(bound >= enough(n_a, n_b, similarity))
+        bound = [
+            int(np.minimum(*folded([a, b])).sum())
+            for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+        ]
+        chosen = pa.array(np.array(bound, np.int64) >= enough(n_a, n_b, similarity))
         return pa.record_batch([batch.column(i).filter(chosen) for i in (0, 1)], ["a", "b"])
 
     return convert
@@ -323,133 +407,138 @@ def _plausible(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFra
 
 
 def _pack(block) -> bytes:
-    cls, n, comp, points = block
-    return b"".join(x.tobytes() for x in (cls, n, comp, points.astype(np.int64)))
+    *columns, points = block
+    return b"".join([*(x.tobytes() for x in columns), points.astype(np.int32).tobytes()])
 
 
-def _unpack(raw: bytes, groups: int):
-    values = np.frombuffer(raw, np.int64)
-    m = len(values) // (3 + groups)
-    return values[:m], values[m : 2 * m], values[2 * m : 3 * m], values[3 * m :].reshape(m, groups)
+def _unpack(raw: bytes, m: int):
+    columns = np.frombuffer(raw, np.int64, 4 * m).reshape(4, m)
+    return (*columns, np.frombuffer(raw, np.int32, offset=32 * m).reshape(m, -1))
 
 
 _BLOCKS = (
-    "a long, b long, cell long, id long, n_min long, n_max long, comp_min long, comp_max long, "
-    "most binary, block binary"
+    "a long, b long, cell long, id long, n_min long, n_max long, far_max long, comp_min long, "
+    "comp_max long, size long, leads boolean, block binary"
+)
+_BLOCK_SCHEMA = pa.schema(
+    [(x, pa.int64()) for x in "a b cell id n_min n_max far_max comp_min comp_max size".split()]
+    + [("leads", pa.bool_()), ("block", pa.binary())]
 )
 
 
-def _blocks(similarity: int, groups: int):
+def _blocks(similarity: int, most: int):
     """Of rows sorted by cell: pairs of the cells that fit in a block, blocks of the others."""
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task = TaskContext.get().partitionId()
-        serial = 0
+        task, serial = TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
 
-        def close(out, rows):
+        def close(out: list[dict], rows) -> None:
             nonlocal serial
-            cell, n, cls, comp, total, points = rows
-            points = np.frombuffer(b"".join(points), np.uint32).reshape(-1, groups).astype(np.int64)
-            block = (cls, n, comp, points)
+            cell, n, cls, comp, far, total, points = rows
+            block = (cls, n, comp, far, folded(list(points)))
             if len(cls) == total[0]:
-                for a, b in set(_surviving(block, block, similarity, True)):
-                    out.append((a, b, *[None] * 8))
+                found = _surviving(block, block, similarity, True)
+                out += [{"a": a, "b": b} for a, b in found.tolist()]
                 return
             serial += 1
+            bounds = {
+                "cell": cell[0],
+                "id": (task << 32) + serial,
+                "n_min": n.min(),
+                "n_max": n.max(),
+                "far_max": far.max(),
+                "comp_min": comp.min(),
+                "comp_max": comp.max(),
+                "size": len(cls),
+            }
             out.append(
-                (None, None, int(cell[0]), (task << 32) + serial, int(n.min()), int(n.max()),
-                 int(comp.min()), int(comp.max()), points.max(axis=0).tobytes(), _pack(block))
-            )
-
-        def batch_of(out):
-            schema = pa.schema([(x, pa.int64()) for x in _NAMES[:8]] + [(x, pa.binary()) for x in _NAMES[8:]])
-            return pa.RecordBatch.from_pylist([dict(zip(_NAMES, x)) for x in out], schema)
+                {k: int(v) for k, v in bounds.items()}
+                | {"leads": bool((far >= n).any()), "block": _pack(block)}
+            )
 
         for batch in each:
             if not batch.num_rows:
                 continue
-            out: list[tuple] = []
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
-            cols.append(np.array(batch.column(5).to_pylist(), object))
+            out: list[dict] = []
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]]
+            cols.append(np.array(batch.column(6).to_pylist(), object))
             if held:
                 cols = [np.concatenate((x, y)) for x, y in zip(held, cols)]
             cell = cols[0]
             cuts = [0, *(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
             for begin, end in zip(cuts, cuts[1:]):
-                while end - begin > BLOCK:
-                    close(out, [x[begin : begin + BLOCK] for x in cols])
-                    begin += BLOCK
+                while end - begin > most:
+                    close(out, [x[begin : begin + most] for x in cols])
+                    begin += most
                 if end < len(cell):
                     close(out, [x[begin:end] for x in cols])
                 else:
                     held = [x[begin:end] for x in cols]
-            yield batch_of(out)
+            yield pa.RecordBatch.from_pylist(out, _BLOCK_SCHEMA)
         if held:
             out = []
             close(out, held)
-            yield batch_of(out)
+            yield pa.RecordBatch.from_pylist(out, _BLOCK_SCHEMA)
 
     return run
 
 
-_NAMES = [x.split()[0] for x in _BLOCKS.split(", ")]
-
-
-def _block_pairs(similarity: int, groups: int):
+def _block_pairs(similarity: int):
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = set()
-        same, left, right = (batch.column(i) for i in range(3))
-        for s, a, b in zip(same, left, right):
-            a, b = _unpack(a.as_py(), groups), _unpack(b.as_py(), groups)
-            if np.minimum(a[3].max(axis=0), b[3].max(axis=0)).sum() >= enough(
-                int(a[1].min()), int(b[1].min()), similarity
-            ):
-                found.update(_surviving(a, b, similarity, s.as_py()))
-        rows = [{"a": a, "b": b} for a, b in found]
-        return pa.RecordBatch.from_pylist(rows, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        found = [np.zeros((0, 2), np.int64)]
+        for same, a, b, size_a, size_b in zip(*(c.to_pylist() for c in batch.columns)):
+            a, b = _unpack(a, size_a), _unpack(b, size_b)
+            found.append(_surviving(*_same_groups(a, b), similarity, same))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return convert
 
 
-def _tree_pairs(cells, classes, comps, scratch, similarity, groups) -> DataFrame:
-    """Candidate pairs across components, from the trees of the cells that hold several."""
+def _tree_pairs(cells, classes, comps, scratch, similarity, block) -> DataFrame:
+    """Candidate pairs across components, from the trees of the cells that hold several.
+
+    The smaller set of a pair must reach its own size (it leads); a cell without such a row holds no pair.
+    """
     labelled = cells.join(comps, F.col("cls") == F.col("node"), "left").select(
-        "cell", "n", "cls", F.coalesce("component", "cls").alias("comp")
+        "cell", "n", "cls", F.coalesce("component", "cls").alias("comp"), "reach"
     )
     labelled = scratch.keep(labelled, "labelled")
     several = (
         labelled.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("total"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .where("low < high")
+        .agg(
+            F.count(F.lit(1)).alias("total"),
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.max(F.col("reach") >= F.col("n")).alias("leads"),
+        )
+        .where("low < high and leads")
         .select("cell", "total")
     )
     rows = labelled.join(several, "cell").join(classes.select("cls", "point"), "cls")
-    rows = scratch.keep(rows.select("cell", "n", "cls", "comp", "total", "point"), "mixed")
-    packed = (
-        rows.repartitionByRange("cell", "comp", "n", "cls")  # also cuts up large cells
-        .sortWithinPartitions("cell", "comp", "n", "cls")
-        .mapInArrow(_blocks(similarity, groups), _BLOCKS)
-    )
-    packed = scratch.keep(packed, "blocks")
+    rows = scratch.keep(rows.select("cell", "n", "cls", "comp", "reach", "total", "point"), "mixed")
+    # rows that lead together, then rows of one component; a large cell is cut up too
+    order = ["cell", F.col("reach") >= F.col("n"), "comp", "n", "cls"]
+    packed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    packed = scratch.keep(packed.mapInArrow(_blocks(similarity, block), _BLOCKS), "blocks")
     pairs = packed.where("a is not null").select("a", "b")
     blocks = packed.where("a is null")
-    bounds = blocks.select("cell", "id", "n_min", "n_max", "comp_min", "comp_max")
+    bounds = blocks.drop("a", "b", "block")
     left = bounds.select("cell", *[F.col(c).alias(f"l_{c}") for c in bounds.columns[1:]])
     meet = left.join(bounds, "cell").where(
-        f"l_id <= id and l_n_min * {similarity} <= n_max * 100 and n_min * {similarity} <= l_n_max * 100 "
+        f"l_id <= id and (leads or l_leads) and l_n_min <= far_max and n_min <= l_far_max "
+        f"and l_n_min * {similarity} <= n_max * 100 and n_min * {similarity} <= l_n_max * 100 "
         "and not (comp_min = comp_max and l_comp_min = l_comp_max and comp_min = l_comp_min)"
     )
-    body = blocks.select("id", "block")
+    body = blocks.select("id", "block", "size")
     meet = (
         meet.select("l_id", "id")
-        .join(body.select(F.col("id").alias("l_id"), F.col("block").alias("l_block")), "l_id")
+        .join(body.select(*[F.col(c).alias(f"l_{c}") for c in body.columns]), "l_id")
         .join(body, "id")
-        .select((F.col("l_id") == F.col("id")).alias("same"), "l_block", "block")
+        .select((F.col("l_id") == F.col("id")).alias("same"), "l_block", "block", "l_size", "size")
     )
-    more = batches(meet, _block_pairs(similarity, groups), "a long, b long")
+    more = batches(meet, _block_pairs(similarity), "a long, b long")
     return scratch.keep(pairs.unionByName(more).distinct(), "candidates")
 
 
@@ -460,7 +549,7 @@ def near_duplicates(
     documents: DataFrame,
     shingle: int = SHINGLE,
     similarity: int = SIMILARITY,
-    groups: int = GROUPS,
+    sizes: Sizes = Sizes(),
 ) -> DataFrame:
     """Per row of ``documents``: ``doc_id, n_shingles, component_id``.
 
@@ -471,7 +560,7 @@ def near_duplicates(
     scratch = Scratch(spark, "jaccard")
     texts = documents.select(F.col("doc_id").cast("long"), text_column(documents))
     measured = scratch.keep(
-        texts.mapInArrow(_measure(shingle, groups), "doc_id long, n long, print binary, point binary, seen binary"),
+        texts.mapInArrow(_measure(shingle, sizes.order_bits), "doc_id long, n long, print binary, point binary, seen binary"),
         "measured",
     )
     often = added_up(measured.where("seen is not null"), "seen")
@@ -485,12 +574,12 @@ def near_duplicates(
     )
     classes = scratch.keep(classes, "classes")
     if often is None:
-        often = np.zeros(1 << ORDER_BITS, np.int64)
-    sets = classes.agg(F.sum("n")).first()[0] or 0
-    limit = int(4 * often.mean()) + DEAL
+        often = np.zeros(1 << sizes.order_bits, np.int64)
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    limit = int(4 * often.mean()) + sizes.deal
     prefixes = batches(
         texts.select("text"),
-        _prefixes(spark.sparkContext.broadcast(often), shingle, similarity, limit),
+        _prefixes(spark.sparkContext.broadcast(often), shingle, similarity, limit, sizes),
         "print binary, shingles array<long>, salts array<long>",
     )
     prefixes = (
@@ -498,30 +587,57 @@ def near_duplicates(
         .groupBy("print")
         .agg(F.first("shingles").alias("shingles"), F.first("salts").alias("salts"))
         .join(classes.select("print", "cls", "n"), "print")
-        .select("n", "cls", F.explode(F.arrays_zip("shingles", "salts")).alias("x"))
-        .select(F.col("x.shingles").alias("cell"), F.col("x.salts").alias("salt"), "n", "cls")
+        .select("n", "cls", F.posexplode(F.arrays_zip("shingles", "salts")).alias("place", "x"))
+        .select(
+            F.col("x.shingles").alias("cell"),
+            F.col("x.salts").alias("salt"),
+            "n",
+            "cls",
+            reach(F.col("n"), F.col("place"), similarity).alias("reach"),
+        )
     )
-    deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(sets / 5 / 4e6))
+    deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(shingles / 5 / 4e6))
     cells = scratch.keep(
         prefixes.repartition(deal, "cell", "salt")
-        .sortWithinPartitions("cell", "salt", "n", "cls")
-        .mapInArrow(_shared, "cell long, n long, cls long, centre long"),
+        .sortWithinPartitions("cell", "salt", F.xxhash64("cell", "cls"))
+        .mapInArrow(_shared, "cell long, n long, cls long, centre long, reach long"),
         "cells",
     )
+    times = cells.where("cls <> centre").groupBy("cls", "centre").agg(F.count(F.lit(1)).alias("times"))
+    first = Window.partitionBy("cls").orderBy(F.desc("times"), F.xxhash64("cls", "centre"))
     nearest = (
-        cells.where("cls <> centre")
-        .groupBy("cls", "centre")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .groupBy("cls")
-        .agg(F.max(F.struct("times", "centre")).alias("best"))
-        .select(F.col("cls").alias("a"), F.col("best.centre").alias("b"))
+        times.withColumn("rank", F.row_number().over(first))
+        .where(F.col("rank") <= sizes.centres)
+        .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
+        .distinct()
     )
     nearest = scratch.keep(_plausible(nearest, classes, similarity), "nearest")
     stars = _verified(nearest, texts, classes, scratch, "star", shingle, similarity)
     comps = components(stars, scratch, "star-components")
-    candidates = _tree_pairs(cells.select("cell", "n", "cls"), classes, comps, scratch, similarity, groups)
-    links = _verified(candidates, texts, classes, scratch, "tree", shingle, similarity)
-    return _named(members, classes, stars.unionByName(links), scratch)
+    candidates = _tree_pairs(
+        cells.drop("centre"), classes, comps, scratch, similarity, sizes.block
+    )
+    # a few of each class's pairs first: their links settle most of the others
+    few = scratch.keep(_few(candidates, sizes.centres), "few")
+    links = stars.unionByName(_verified(few, texts, classes, scratch, "few", shingle, similarity))
+    comps = components(links, scratch, "few-components")
+    rest = _apart(candidates.join(few, ["a", "b"], "left_anti"), comps)
+    rest = _verified(scratch.keep(rest, "rest"), texts, classes, scratch, "rest", shingle, similarity)
+    return _named(members, classes, links.unionByName(rest), scratch)
+
+
+def _few(pairs: DataFrame, most: int) -> DataFrame:
+    """Up to so many pairs of each class."""
+    both = pairs.select(F.col("a").alias("x"), "a", "b").unionByName(pairs.select(F.col("b").alias("x"), "a", "b"))
+    drawn = Window.partitionBy("x").orderBy(F.xxhash64("a", "b"))
+    return both.withColumn("rank", F.row_number().over(drawn)).where(F.col("rank") <= most).select("a", "b").distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose classes are not in one component yet."""
+    a, b = (comps.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b"))
+    known = pairs.join(a, "a", "left").join(b, "b", "left")
+    return known.where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
 
 
 def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -555,5 +671,5 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     """One document of each group stays: the one with the smallest id. Rows without an id stay."""
     found = near_duplicates(documents, **options)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    inside = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"))
+    inside = documents.select(F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"))
     return inside.join(gone, F.col("doc.doc_id") == F.col("gone"), "left_anti").select("doc.*")
