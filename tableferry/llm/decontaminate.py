@@ -23,6 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tableferry.functions.names import quote
 
 from .shared import Scratch, batches, text_column
 from .words import ALPHANUMERIC, pieces, window_hashes
@@ -37,6 +40,7 @@ SCAN = (
     "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
     "spans array<struct<first:long,n:long>>, clean_text string"
 )
+PARTIAL = "text string, spans array<struct<first:long,n:long>>, items array<string>"
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -143,23 +147,21 @@ def scan(
     windows = scratch.keep(benchmark_windows(benchmark, window), "windows")
     total = windows.agg(F.sum(F.length("words") + 64)).first()[0] or 0
     blocks = max(1, -(-total // broadcast_bytes))
-    kept = F.struct(*[F.col(f"`{c}`") for c in documents.columns]) if keep_rows else F.col("doc_id")
+    kept = F.struct(*[F.col(quote(c)) for c in documents.columns]) if keep_rows else F.col("doc_id")
     rows = documents.select(
         kept.alias("doc"),
         text_column(documents).alias("text"),
         F.lit(None).cast("array<struct<first:long,n:long>>").alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    kind = rows.schema["doc"].dataType.simpleString()
+    doc = [rows.schema["doc"]]
     for block in range(blocks):
         of_block = F.pmod(F.xxhash64("k", "hash", "item"), F.lit(blocks)) == block
         found = WindowSet(windows.where(of_block).select("k", "hash", "words", "item").collect())
         sent = spark.sparkContext.broadcast(found)
         last = block == blocks - 1
-        outcome = f"doc {kind}, " + (
-            SCAN if last else "text string, spans array<struct<first:long,n:long>>, items array<string>"
-        )
-        rows = batches(rows, _scanner(sent, last, one_in, clean), outcome)
+        rest = StructType.fromDDL(SCAN if last else PARTIAL).fields
+        rows = batches(rows, _scanner(sent, last, one_in, clean), StructType(doc + rest))
         if not last:
             rows = scratch.keep(rows, f"block-{block}")
             sent.unpersist()
@@ -223,7 +225,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, **options) -> DataF
     found = scan(documents, benchmark, keep_rows=True, clean=True, **options)
     return found.select(
         *[
-            F.col("clean_text").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c)
+            F.col("clean_text").alias(c) if c == "text" else F.col(f"doc.{quote(c)}").alias(c)
             for c in documents.columns
         ]
     )

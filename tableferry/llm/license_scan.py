@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches, text_column
+from .shared import sliced, text_column
 from .words import ALPHANUMERIC, pieces
 
 PHRASES = {
@@ -143,9 +143,8 @@ def scan(
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [Notice(p, label, chars_per_edit) for p, label in known]
-        for batch in each:
-            if batch.num_rows:
-                yield _scan_batch(batch, phrases, compiled)
+        for batch in sliced(each):
+            yield _scan_batch(batch, phrases, compiled)
 
     rows = documents.select(F.col("doc_id").cast("long"), text_column(documents))
     return rows.mapInArrow(run, SCAN)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.functions.names import quote
+
 from .shared import Scratch
 
 RATIO = 0.05
@@ -35,7 +37,7 @@ def _worded(line: Column) -> Column:
 
 
 def _host(name: str) -> Column:
-    return F.coalesce(F.concat(F.lit("h"), F.col(f"`{name}`").cast("string")), F.lit("null"))
+    return F.coalesce(F.concat(F.lit("h"), F.col(quote(name)).cast("string")), F.lit("null"))
 
 
 def boilerplate(
@@ -64,7 +66,7 @@ def cleaned(documents: DataFrame, **options) -> DataFrame:
     size = found.agg(F.sum(F.size("drop"))).first()[0] or 0
     if size <= BROADCAST_LINES:
         found = F.broadcast(found)
-    kept = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")
+    kept = F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc")
     pages = documents.select(
         kept,
         _host(options.get("host", "source")).alias("host"),
@@ -91,7 +93,7 @@ def drop_boilerplate(documents: DataFrame, **options) -> DataFrame:
     """All rows and columns; ``text`` without the boilerplate lines of its host."""
     return cleaned(documents, **options).select(
         *[
-            F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c)
+            F.col("text") if c == "text" else F.col(f"doc.{quote(c)}").alias(c)
             for c in documents.columns
         ]
     )

@@ -9,11 +9,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tableferry.functions.names import quote
 from tableferry.plans.workspace import shared_folder
 
 #: Partial results that one task adds up
 FAN_IN = 32
+#: Rows that a worker turns into Python objects at once
+SLICE_ROWS = 1024
 
 
 class Scratch:
@@ -36,16 +40,24 @@ class Scratch:
 
 
 def text_column(rows: DataFrame, name: str = "text") -> Column:
-    return F.col(f"`{name}`").cast("string")
+    return F.col(quote(name)).cast("string")
 
 
-def batches(rows: DataFrame, convert: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str):
-    """``convert`` on every Arrow batch; memory is bounded by the batch."""
+def sliced(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches as slices of at most SLICE_ROWS rows, none empty."""
+    for batch in each:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
+def batches(
+    rows: DataFrame, convert: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType
+) -> DataFrame:
+    """``convert`` on slices of every Arrow batch; memory is bounded by the batch."""
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in each:
-            if batch.num_rows:
-                yield convert(batch)
+        for batch in sliced(each):
+            yield convert(batch)
 
     return rows.mapInArrow(run, schema)
 

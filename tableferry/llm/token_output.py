@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,9 @@ ROW_GROUP_BYTES = 64 << 20
 PAGE_BYTES = 256 << 10
 #: Rows a file holds on average
 FILE_ROWS = 50_000
-#: Chunks a worker remembers
-REMEMBERED = 400_000
+#: Chunks a worker remembers, and text that it encodes at once
+REMEMBERED = 1_000_000
+PIECE_BYTES = 8 << 20
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
 
 
@@ -49,22 +51,34 @@ class Encoder:
     def __init__(self, path: str, end_id: int | None = END_ID):
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.code: dict[str, int] = {}  # place of each chunk in sizes
+        self.sizes = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)  # of all chunks, one after another
 
     def by_chunks(self) -> bool:
         whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
         chunks = self.tokenizer.encode_batch(_PROBE.split(), add_special_tokens=False)
         return whole == [i for c in chunks for i in c.ids]
 
-    def _ids(self, chunks: list[str]) -> list[np.ndarray]:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {c: self.known[c] for c in chunks if c in self.known}
+    def _codes(self, chunks: list[str]) -> np.ndarray:
+        new = [c for c in chunks if c not in self.code]
+        if self.code and len(self.code) + len(new) > REMEMBERED:
+            self._forget()
+            new = chunks
+        lists = []
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, np.int32)
-        return [self.known[c] for c in chunks]
+            lists += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        if new:
+            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+            self.sizes = np.concatenate((self.sizes, sizes))
+            self.ids = np.concatenate((self.ids, ids))
+        return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, where each text's ids end)``, with the end ids."""
@@ -72,29 +86,26 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         found = split.flatten().dictionary_encode()
-        ids = self._ids(found.dictionary.to_pylist())
-        sizes = np.array([len(x) for x in ids], np.int64)
-        place = np.cumsum(sizes) - sizes
-        flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-        word = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        n = sizes[word]
+        codes = self._codes(found.dictionary.to_pylist())
+        place = np.cumsum(self.sizes) - self.sizes
+        word = codes[found.indices.to_numpy(zero_copy_only=False)]
+        n = self.sizes[word]
         before = np.concatenate(([0], np.cumsum(n)))
         of_text = np.diff(before[np.concatenate(([0], np.cumsum(counts)))])
-        picked = np.repeat(place[word] - before[:-1], n) + np.arange(before[-1])
-        tokens = flat[picked]
+        tokens = self.ids[np.repeat(place[word] - before[:-1], n) + np.arange(before[-1])]
         ends = np.cumsum(of_text)
         if self.end_id is not None:
             tokens = np.insert(tokens, ends, self.end_id)
             ends = ends + np.arange(1, len(ends) + 1)
-        return tokens.astype(np.int32), ends
+        return tokens, ends
 
 
 def _encode(path: str, end_id: int | None):
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, end_id)
         for batch in each:
-            # a few MB of text at a time, so a batch of long texts stays small
-            step = max(1, batch.num_rows * (4 << 20) // max(1, batch.nbytes))
+            # some MB of text at a time, so a batch of long texts stays small
+            step = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 tokens, ends = encoder.encode(part.column(1))

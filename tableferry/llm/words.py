@@ -2,7 +2,7 @@
 
 Texts are read as UTF-8 bytes, so a word class is a table over the 256 byte
 values: each class here keeps every byte of a character outside ASCII. Columns
-are taken in pieces of a few MB, cut between texts, so memory does not follow
+are taken in pieces of half a MB, cut between texts, so memory does not follow
 the size of an Arrow batch; a text longer than a piece is a piece of its own.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -10,10 +10,10 @@ def documents(spark):
     """A table of documents with columns of clashing names; ids and texts are given."""
 
     def make(rows, **extra):
-        names = ["n", "text_", "doc", "host", "lines", "w", "component", "k", "spans", "items"]
+        names = ["n", "text_", "doc", "host", "lines", "w", "component", "k", "spans", "items", "a:b, c`d"]
         data = [(i, t, "s", 1, *[f"own-{c}" for c in names]) for i, t in rows]
         schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(
-            f"{c} string" for c in names
+            "`" + c.replace("`", "``") + "` string" for c in names
         )
         return spark.createDataFrame(data, schema).repartition(3)
 

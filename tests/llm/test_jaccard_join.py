@@ -114,7 +114,9 @@ def test_points_nest():
     assert rows.shape[1] == J.LEAST_GROUPS
     for row, own in zip(rows, (short, long)):
         assert np.array_equal(row, np.bincount((own % np.uint64(rows.shape[1])).astype(int), minlength=rows.shape[1]))
-    assert len(J.point_of(long)) == 2 * J.MOST_GROUPS
+    assert len(J.point_of(long)) == 1 + J.MOST_GROUPS
+    wide = np.arange(300, dtype=np.uint64) * np.uint64(J.MOST_GROUPS)
+    assert J.folded([J.point_of(wide)])[0].tolist() == [300] + [0] * 255
 
 
 def test_blocks_come_back():

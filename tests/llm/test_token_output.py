@@ -60,7 +60,7 @@ def test_read_back(spark, documents, tmp_path):
 
 
 def test_files_have_the_asked_layout(spark, documents, tmp_path):
-    docs = [(i, "some words that repeat " * 40) for i in range(3000)]
+    docs = [(i, "some words that repeat " * 40) for i in range(12_000)]
     T.write_tokens(documents(docs), str(tmp_path / "ids"), row_group_bytes=8 << 10, page_bytes=2 << 10)
     files = sorted((tmp_path / "ids").glob("part-*"))
     meta = pq.ParquetFile(files[0]).metadata
@@ -70,7 +70,7 @@ def test_files_have_the_asked_layout(spark, documents, tmp_path):
     assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
     assert all(c.has_offset_index and c.has_column_index for c in columns.values())
     order = [i for f in files for i in pq.read_table(f, columns=["doc_id"]).column(0).to_pylist()]
-    assert order == sorted(order) == list(range(3000))
+    assert order == sorted(order) == list(range(12_000))
 
 
 def test_metadata_reads_touch_no_tokens(spark, documents, tmp_path):
