@@ -57,6 +57,8 @@ SIMILARITY = 80
 #: Groups that a set's shingles are counted in: about half its size, a power of two within these
 LEAST_GROUPS, MOST_GROUPS = 64, 8192
 FAN_OUT = 16
+#: Rows of a cell up to which its pairs of sizes are looked at before anything else
+SHORT_RUN = 8
 #: Counts that are compared at once
 COUNTS_AT_ONCE = 1 << 21
 
@@ -197,6 +199,20 @@ def _prefixes(sent, k: int, similarity: int, limit: int, sizes: Sizes):
     return convert
 
 
+def _within_reach(run: np.ndarray, n: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Rows that may have a partner in their run: exact for short runs that lie within the batch.
+
+    ``run`` numbers the runs of rows; the first and last may go on outside, so all their rows stay.
+    """
+    size = np.bincount(run - run[0])
+    out = (size[run - run[0]] > SHORT_RUN) | (run == run[0]) | (run == run[-1])
+    for d in range(1, SHORT_RUN):
+        fits = (run[d:] == run[:-d]) & (n[d:] <= far[:-d]) & (n[:-d] <= far[d:])
+        out[d:] |= fits
+        out[:-d] |= fits
+    return out
+
+
 def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by cell: those of cells with company, with the cell's first class.
 
@@ -216,6 +232,7 @@ def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.bincount(run + 1, minlength=len(start) + 1)[1:]
         company = np.concatenate(([True], size > 1))[run + 1] | (salt >= 0)
         centres = np.concatenate(([centre], cls[start]))[run + 1]
+        company &= _within_reach(run, n, far) | (salt >= 0)
         out = [x[company] for x in (cell, n, cls, centres, far)]
         if single is not None and not new[0]:
             out = [np.concatenate(([x], y)) for x, y in zip(single, out)]
@@ -496,10 +513,13 @@ def _block_pairs(similarity: int):
     return convert
 
 
-def _tree_pairs(cells, classes, comps, scratch, similarity, block) -> DataFrame:
+def _tree_pairs(cells, classes, comps, compared, scratch, similarity, block) -> DataFrame:
     """Candidate pairs across components, from the trees of the cells that hold several.
 
-    The smaller set of a pair must reach its own size (it leads); a cell without such a row holds no pair.
+    The smaller set of a pair must reach its own size (it leads); a cell without
+    such a row holds no pair. A cell of up to SHORT_RUN rows is a single leaf: its
+    pairs are put together with those of all other such cells before the points
+    are fetched, as most of them are the same or have been compared before.
     """
     labelled = cells.join(comps, F.col("cls") == F.col("node"), "left").select(
         "cell", "n", "cls", F.coalesce("component", "cls").alias("comp"), "reach"
@@ -516,8 +536,19 @@ def _tree_pairs(cells, classes, comps, scratch, similarity, block) -> DataFrame:
         .where("low < high and leads")
         .select("cell", "total")
     )
-    rows = labelled.join(several, "cell").join(classes.select("cls", "point"), "cls")
-    rows = scratch.keep(rows.select("cell", "n", "cls", "comp", "reach", "total", "point"), "mixed")
+    rows = scratch.keep(labelled.join(several, "cell"), "mixed")
+    leaf = rows.where(F.col("total") <= SHORT_RUN).drop("total")
+    other = leaf.select("cell", *[F.col(c).alias(f"o_{c}") for c in leaf.columns if c != "cell"])
+    leaves = (
+        leaf.join(other, "cell")
+        .where("cls < o_cls and comp <> o_comp and n <= o_reach and o_n <= reach")
+        .select(F.col("cls").alias("a"), F.col("o_cls").alias("b"))
+        .distinct()
+        .join(compared, ["a", "b"], "left_anti")
+    )
+    leaves = _plausible(leaves, classes, similarity)
+    rows = rows.where(F.col("total") > SHORT_RUN).join(classes.select("cls", "point"), "cls")
+    rows = rows.select("cell", "n", "cls", "comp", "reach", "total", "point")
     # rows that lead together, then rows of one component; a large cell is cut up too
     order = ["cell", F.col("reach") >= F.col("n"), "comp", "n", "cls"]
     packed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -539,7 +570,8 @@ def _tree_pairs(cells, classes, comps, scratch, similarity, block) -> DataFrame:
         .select((F.col("l_id") == F.col("id")).alias("same"), "l_block", "block", "l_size", "size")
     )
     more = batches(meet, _block_pairs(similarity), "a long, b long")
-    return scratch.keep(pairs.unionByName(more).distinct(), "candidates")
+    found = pairs.unionByName(more).distinct().join(compared, ["a", "b"], "left_anti")
+    return scratch.keep(found.unionByName(leaves).distinct(), "candidates")
 
 
 # ------------------------------------------------------------------ the join
@@ -611,11 +643,12 @@ def near_duplicates(
         .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
         .distinct()
     )
-    nearest = scratch.keep(_plausible(nearest, classes, similarity), "nearest")
+    compared = scratch.keep(nearest, "compared")
+    nearest = scratch.keep(_plausible(compared, classes, similarity), "nearest")
     stars = _verified(nearest, texts, classes, scratch, "star", shingle, similarity)
     comps = components(stars, scratch, "star-components")
     candidates = _tree_pairs(
-        cells.drop("centre"), classes, comps, scratch, similarity, sizes.block
+        cells.drop("centre"), classes, comps, compared, scratch, similarity, sizes.block
     )
     # a few of each class's pairs first: their links settle most of the others
     few = scratch.keep(_few(candidates, sizes.centres), "few")

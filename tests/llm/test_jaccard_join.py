@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tableferry.llm import components as C
@@ -119,6 +120,35 @@ def test_points_nest():
     assert J.folded([J.point_of(wide)])[0].tolist() == [300] + [0] * 255
 
 
+@pytest.mark.parametrize("cut", [7, 50, 1000])
+def test_cells_keep_every_row_that_may_have_a_partner(cut):
+    """Whatever the batches; of short cells inside one batch only those rows stay."""
+    rng = np.random.default_rng(cut)
+    cell = np.sort(rng.integers(0, 120, 400))
+    n = rng.integers(5, 40, 400)
+    far = n + rng.integers(-6, 7, 400)
+    salt = np.where(cell % 40 == 0, 3, -1)
+    cls = np.arange(400)
+    batches = [
+        pa.record_batch([pa.array(x[i : i + cut]) for x in (cell, salt, n, cls, far)], list("abcde"))
+        for i in range(0, 400, cut)
+    ]
+    out = pa.Table.from_batches(J._shared(iter(batches))).to_pydict()
+    kept = set(out["cls"])
+    assert len(out["cls"]) == len(kept)
+    for i in range(400):
+        company = [j for j in range(400) if j != i and cell[j] == cell[i]]
+        partners = [j for j in company if n[i] <= far[j] and n[j] <= far[i]]
+        if partners or salt[i] >= 0:
+            assert i in kept
+        if not company and salt[i] < 0:
+            assert i not in kept
+        if cut == 1000 and len(company) < J.SHORT_RUN and not partners and salt[i] < 0 and 0 < cell[i] < cell[-1]:
+            assert i not in kept
+    first = {c: next(i for i in range(400) if cell[i] == c) for c in set(cell.tolist())}
+    assert all(k == first[c] for c, k in zip(out["cell"], out["centre"]))
+
+
 def test_blocks_come_back():
     rng = np.random.default_rng(0)
     block = (*rng.integers(0, 2**60, (4, 7)), rng.integers(0, 99, (7, 16)).astype(np.int32))
