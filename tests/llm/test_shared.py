@@ -6,8 +6,8 @@ from tableferry.llm import shared as S
 
 def test_vectors_are_added_up_over_many_partitions(spark, monkeypatch):
     monkeypatch.setattr(S, "FAN_IN", 3)
-    rows = [(np.arange(5, dtype=np.int64) * i).tobytes(),) for i in range(40)] + [(None,)]
-    frame = spark.createDataFrame([(bytes(r[0]) if r[0] else None,) for r in rows], "v binary")
+    rows = [((np.arange(5, dtype=np.int64) * i).tobytes(),) for i in range(40)] + [(None,)]
+    frame = spark.createDataFrame(rows, "v binary")
     assert S.added_up(frame.repartition(11), "v").tolist() == [780 * k for k in range(5)]
     assert S.added_up(frame.where("v is null"), "v") is None
     bits = [(bytes([1 << i, 255 * (i == 2)]),) for i in range(4)]
