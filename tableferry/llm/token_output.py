@@ -19,8 +19,10 @@ written. An empty table gives files without rows.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,13 +37,13 @@ from .shared import batches, text_column
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-ROW_GROUP_BYTES = 64 << 20
+ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 #: Rows a file holds on average
 FILE_ROWS = 50_000
 #: Chunks a worker remembers, and text that it encodes at once
-REMEMBERED = 1_000_000
-PIECE_BYTES = 8 << 20
+REMEMBERED = 300_000
+PIECE_BYTES = 4 << 20
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
 
 
@@ -58,6 +60,18 @@ class Encoder:
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)  # of all chunks, one after another
 
+    def _forget_all_but(self, chunks: list[str]) -> None:
+        code = np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
+        self.ids = self._ids_of(code)
+        self.sizes = self.sizes[code]
+        self.code = dict(zip(chunks, range(len(chunks))))
+
+    def _ids_of(self, code: np.ndarray) -> np.ndarray:
+        n = self.sizes[code]
+        place = (np.cumsum(self.sizes) - self.sizes)[code]
+        end = np.cumsum(n)
+        return self.ids[np.repeat(place - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+
     def by_chunks(self) -> bool:
         whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
         chunks = self.tokenizer.encode_batch(_PROBE.split(), add_special_tokens=False)
@@ -66,8 +80,7 @@ class Encoder:
     def _codes(self, chunks: list[str]) -> np.ndarray:
         new = [c for c in chunks if c not in self.code]
         if self.code and len(self.code) + len(new) > REMEMBERED:
-            self._forget()
-            new = chunks
+            self._forget_all_but([c for c in chunks if c in self.code])
         lists = []
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
@@ -87,22 +100,26 @@ class Encoder:
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         found = split.flatten().dictionary_encode()
         codes = self._codes(found.dictionary.to_pylist())
-        place = np.cumsum(self.sizes) - self.sizes
         word = codes[found.indices.to_numpy(zero_copy_only=False)]
-        n = self.sizes[word]
-        before = np.concatenate(([0], np.cumsum(n)))
-        of_text = np.diff(before[np.concatenate(([0], np.cumsum(counts)))])
-        tokens = self.ids[np.repeat(place[word] - before[:-1], n) + np.arange(before[-1])]
-        ends = np.cumsum(of_text)
+        before = np.concatenate(([0], np.cumsum(self.sizes[word])))
+        ends = before[np.cumsum(counts)]
+        tokens = self._ids_of(word)
         if self.end_id is not None:
             tokens = np.insert(tokens, ends, self.end_id)
             ends = ends + np.arange(1, len(ends) + 1)
         return tokens, ends
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, end_id: int | None) -> Encoder:
+    """One encoder per worker process, so tasks find the chunks of earlier ones."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for every core
+    return Encoder(path, end_id)
+
+
 def _encode(path: str, end_id: int | None):
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, end_id)
+        encoder = _encoder(path, end_id)
         for batch in each:
             # some MB of text at a time, so a batch of long texts stays small
             step = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
