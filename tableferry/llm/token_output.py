@@ -42,8 +42,8 @@ PAGE_BYTES = 256 << 10
 #: Rows a file holds on average
 FILE_ROWS = 50_000
 #: Chunks a worker remembers, and text that it encodes at once
-REMEMBERED = 300_000
-PIECE_BYTES = 4 << 20
+REMEMBERED = 1_500_000
+PIECE_BYTES = 8 << 20
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
 
 
