@@ -53,7 +53,8 @@ def op6_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.cleaned(read(spark, sf_dir, "documents")).select(
+    # its SQL has one ratio for lines of any length
+    return line_dedup.cleaned(read(spark, sf_dir, "documents"), long_words=None).select(
         F.col("doc.doc_id").alias("doc_id"),
         "n_lines",
         "n_dropped",

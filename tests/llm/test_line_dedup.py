@@ -51,3 +51,32 @@ def test_empty_table(table):
 def test_only_built_in_operators(table):
     plan = L.cleaned(table(pages()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_repeated_passages_go_however_large_the_host(table, monkeypatch, limit):
+    monkeypatch.setattr(L, "BROADCAST_LINES", limit)
+
+    def said(name, n):
+        return " ".join([name] * n)
+
+    on = {"three": 3, "two": 2, "four": 4}
+    rows = [(i, "a", f"own {i}\nshort of three" if i < 3 else f"own {i}") for i in range(200)]
+    for name, n in on.items():
+        rows += [(1000 + len(rows), "a", f"own {name} {i}\n {said(name, 51)}\nend {i}") for i in range(n)]
+    rows += [(2000 + i, "a", f"own {i}\n{said('fifty', 50)}") for i in range(4)]
+    rows += [(3000 + i, "a", f"copy\n{said('copied', 60)}") for i in range(4)]
+    rows += [(4000 + i, h, f"small {h} {i}\n{said('tiny', 51)}") for h, n in [("s", 3), ("t", 2), (None, 3)] for i in range(n)]
+
+    def want(host, text):
+        held = {line for h, t in {(h, t) for _, h, t in rows} if h == host for line in set(t.split("\n"))}
+        pages = {(h, t) for _, h, t in rows if h == host}
+        gone = {x for x in held if len(x.split()) > 50 and sum(x in t.split("\n") for _, t in pages) >= 3}
+        return "\n".join(x for x in text.split("\n") if x not in gone)
+
+    found = rows_of(L.drop_boilerplate(table(rows)).select("doc_id", "source", "text"))
+    assert found == sorted(((i, h, want(h, t)) for i, h, t in rows), key=repr)
+    texts = " ".join(t for _, _, t in found)
+    assert "three three" not in texts and "four four" not in texts and "fifty fifty" in texts
+    assert "two two" in texts and "copied copied" in texts and "short of three" in texts
+    assert rows_of(L.cleaned(table(rows), long_words=None).selectExpr("sum(n_dropped)")) == [(0,)]
