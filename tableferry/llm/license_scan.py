@@ -15,8 +15,10 @@ rows are scanned alike, row by row. Other columns do not matter.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -74,7 +76,12 @@ class Notice:
         )
 
     def places(self, joined: bytes) -> Iterator[tuple[int, int, int]]:
-        """``(start, end, edits)`` in bytes, without overlaps, from left to right."""
+        """``(start, end, edits)`` in bytes, without overlaps, from left to right.
+
+        Each seed's window is as long as one place may be, and is searched by itself. Of places
+        that overlap, the one with the fewest edits counts (then the first), and what
+        it leaves free of the windows around is searched again.
+        """
         windows = []
         for seed, offset in self.seeds:
             at = joined.find(seed)
@@ -84,24 +91,37 @@ class Notice:
                 # out to the blanks around, so that no word is cut
                 windows.append((joined.rfind(b" ", 0, begin + 1), joined.find(b" ", end) + 1))
                 at = joined.find(seed, at + 1)
-        done = 0
-        for begin, end in _united(windows):
-            for m in self.pattern.finditer(joined, max(begin, done), end):
-                text = m.group()
-                lead = len(text) - len(text.lstrip(b" "))
-                if text.strip(b" "):
-                    done = m.end()
-                    yield m.start() + lead, m.start() + len(text.rstrip(b" ")), sum(m.fuzzy_counts)
-
-
-def _united(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted(windows):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((begin, end))
-    return out
+        tried = [self._best(joined, *w) for w in set(windows)]
+        heap = [x for x in tried if x]
+        heapify(heap)
+        taken: list[tuple[int, int]] = []
+        found = []
+        while heap:
+            edits, start, stop, begin, end = heappop(heap)
+            at = bisect_left(taken, (begin, 0))
+            at -= at > 0 and taken[at - 1][1] > begin
+            inside = []
+            while at < len(taken) and taken[at][0] < end:
+                inside.append(taken[at])
+                at += 1
+            if not any(a < stop and start < b for a, b in inside):
+                found.append((start, stop, edits))
+                insort(taken, (start, stop))
+                inside = sorted([*inside, (start, stop)])
+            # what lies beside the places found may hold another
+            for a, b in [*inside, (end, end)]:
+                if a - begin >= self.length - self.edits and (x := self._best(joined, begin, a)):
+                    heappush(heap, x)
+                begin = max(begin, b)
+        yield from sorted(found)
+
+    def _best(self, joined: bytes, begin: int, end: int) -> tuple[int, int, int, int, int] | None:
+        """``(edits, start, stop, begin, end)`` of the place with the fewest edits between begin and end."""
+        m = self.pattern.search(joined, begin, end)
+        if not m or not (text := m.group()).strip(b" "):
+            return None
+        start = m.start() + len(text) - len(text.lstrip(b" "))
+        return sum(m.fuzzy_counts), start, m.start() + len(text.rstrip(b" ")), begin, end
 
 
 def _exact(joined: bytes, phrase: bytes) -> list[int]:

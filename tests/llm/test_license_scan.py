@@ -98,5 +98,59 @@ def test_all_spans_lie_within_the_edits():
         assert bool(near) <= bool(S.scan_text(joined, [], [notice])[2])
 
 
+def best_first(words, phrase, most):
+    """All spans of words within the edits, the fewest edits first, without overlaps."""
+    size = len(phrase.split())
+    near = []
+    for i in range(len(words)):
+        for n in range(max(1, size - most), size + most + 1):
+            if i + n <= len(words) and (d := distance(" ".join(words[i : i + n]), phrase)) <= most:
+                near.append((d, i, n))
+    out = []
+    for d, i, n in sorted(near):
+        if all(i + n <= j or j + m <= i for _, j, m in out):
+            out.append((d, i, n))
+    return near, sorted((i, n, d) for d, i, n in out)
+
+
+NEIGHBOURS = [
+    ("gnu general public license", "gnu genral public license " * 5 + "gnu general public license " + "gnu genral public license " * 2, 8),
+    ("mozilla public license", "mozila public license xx mozilla public license", 2),
+    ("all rights reserved", "al rights reserved all rights reserved all rigts reserved", 3),
+    ("gnu general public license", "gnu genral publik license " * 300, 300),
+]
+
+
+@pytest.mark.parametrize("phrase, text, n", NEIGHBOURS)
+def test_neighbouring_notices_are_all_found(phrase, text, n):
+    notice = S.Notice(phrase, "x", S.CHARS_PER_EDIT)
+    spans = S.scan_text(f" {text.strip()} ".encode(), [], [notice])[2]
+    assert len(spans) == n
+    assert [s[1:4] for s in spans] == best_first(text.split(), phrase, notice.edits)[1]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_blocks_of_notices_against_brute_force(seed):
+    rng = random.Random(seed)
+    for phrase in S.NOTICES:
+        notice = S.Notice(phrase, "x", S.CHARS_PER_EDIT)
+        words = []
+        for _ in range(rng.randrange(2, 8)):
+            text = list(phrase)
+            for _ in range(rng.choice([0, 0, 1, 2, notice.edits])):
+                at = rng.randrange(1, len(text) - 1)
+                text[at] = rng.choice(["", "q", text[at] + "q"]) if text[at] != " " else " "
+            words += "".join(text).split() + rng.choices(["xx", "a", *phrase.split()], k=rng.choice([0, 0, 1, 2]))
+        near, want = best_first(words, phrase, notice.edits)
+        spans = S.scan_text(f" {' '.join(words)} ".encode(), [], [notice])[2]
+        for _, i, n, edits, _ in spans:
+            assert distance(" ".join(words[i : i + n]), phrase) == edits
+        for (_, i, n, *_), (_, j, *_) in zip(spans, spans[1:]):
+            assert i + n <= j
+        # no place is left beside those found
+        assert all(any(j < i + n and i < j + m for _, j, m, *_ in spans) for _, i, n in near)
+        assert [s[3] for s in spans] == [d for _, _, d in want]
+
+
 def test_empty_table(documents):
     assert S.scan(documents([])).collect() == []
