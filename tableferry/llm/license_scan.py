@@ -6,6 +6,11 @@ into k + 1 parts; where it stands, at least one part stands unchanged (pigeonhol
 Only where an exact search finds a part does the ``regex`` library match the
 whole phrase with at most k errors, which verifies the place and gives its span and edits.
 
+The short phrases are looked for in the same way with one edit in all, of one byte, between the first and
+last letter of one of their words of at least LONG_WORD letters ("mit licence",
+"apche license"). Not searched: edits elsewhere ("mit licens", "fit license"), two
+edits ("mit lisence"), phrases of shorter words only ("cc bi").
+
 Exact places are counted with overlaps, on word boundaries. Everything is
 one pass over the texts, a batch at a time, without a shuffle.
 
@@ -48,6 +53,8 @@ NOTICES = {
     "bsd 3 clause license": "bsd",
     "bsd 2 clause license": "bsd",
 }
+#: Words of a short phrase from so many letters on may have an edit
+LONG_WORD = 6
 #: One edit for each so many characters of a notice
 CHARS_PER_EDIT = 9
 
@@ -124,6 +131,29 @@ class Notice:
         return sum(m.fuzzy_counts), start, m.start() + len(text.rstrip(b" ")), begin, end
 
 
+class Spelling(Notice):
+    """A short phrase; one of its long words may have an edit, but not in its first or last letter."""
+
+    def __init__(self, phrase: str, label: str):
+        super().__init__(phrase, label, len(phrase))
+        words = [regex.escape(w).encode() for w in phrase.split(" ")]
+        ways = []
+        for i, w in enumerate(phrase.split(" ")):
+            if len(w) >= LONG_WORD:
+                # a word that only goes on after this one is another word
+                own = rb"(?!%b[^ ])%b(?:%b){e<=1:[^ ]}%b" % (
+                    words[i], *(regex.escape(x).encode() for x in (w[0], w[1:-1], w[-1]))
+                )
+                ways.append(b" ".join([*words[:i], own, *words[i + 1 :]]))
+        self.pattern = regex.compile(rb"(?b)(?<![^ ])(?:" + b"|".join(ways) + rb")(?![^ ])") if ways else None
+
+
+def spellings(phrases: Mapping[str, str], notices: Mapping[str, str]) -> list[Spelling]:
+    """Of the phrases that are not searched as notices and have a word long enough."""
+    found = [Spelling(p, label) for p, label in phrases.items() if notices.get(p) != label]
+    return [x for x in found if x.pattern]
+
+
 def _exact(joined: bytes, phrase: bytes) -> list[int]:
     """Byte places of a phrase on word boundaries; the text is padded with blanks."""
     padded, out = b" " + phrase + b" ", []
@@ -136,7 +166,7 @@ def _exact(joined: bytes, phrase: bytes) -> list[int]:
 
 def scan_text(joined: bytes, phrases, notices) -> tuple:
     """``(first words of exact places, their labels, fuzzy spans)`` of words joined and padded by blanks."""
-    places, base, spans = [], set(), []
+    places, base, spans, held = [], set(), [], set()
     for phrase, label in phrases:
         if found := _exact(joined, phrase):
             base.add(label)
@@ -146,6 +176,12 @@ def scan_text(joined: bytes, phrases, notices) -> tuple:
             for begin, end, edits in notice.places(joined):
                 first = joined.count(b" ", 0, begin) - 1
                 n = joined.count(b" ", begin, end) + 1
+                ends = {(notice.label, first), (notice.label, first + n - 1)}
+                if isinstance(notice, Spelling):
+                    if ends <= held:  # part of a longer notice
+                        continue
+                else:
+                    held.update((notice.label, first + i) for i in range(n))
                 spans.append((notice.label, first, n, edits, 1 - edits / notice.length))
     return places, base, spans
 
@@ -158,11 +194,11 @@ def scan(
 ) -> DataFrame:
     """Per row the columns of SCAN; ``score`` is 1 for an exact phrase, else the closest notice's share
     of unchanged characters, 0 if there is none."""
-    phrases = [(p.encode(), label) for p, label in (phrases or PHRASES).items()]
-    known = list((notices or NOTICES).items())
+    short, known = dict(phrases or PHRASES), dict(notices or NOTICES)
+    phrases = [(p.encode(), label) for p, label in short.items()]
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = [Notice(p, label, chars_per_edit) for p, label in known]
+        compiled = [Notice(p, label, chars_per_edit) for p, label in known.items()] + spellings(short, known)
         for batch in sliced(each):
             yield _scan_batch(batch, phrases, compiled)
 

@@ -98,6 +98,43 @@ def test_all_spans_lie_within_the_edits():
         assert bool(near) <= bool(S.scan_text(joined, [], [notice])[2])
 
 
+def test_short_phrases_with_an_edit_in_a_long_word(documents):
+    near = {
+        "Released under the MIT Licence.": ("mit", 1 - 1 / 11),
+        "the MIT lisense": ("mit", 1 - 1 / 11),
+        "Apache Licence 2.0": ("apache", 1 - 1 / 14),
+        "under the Apche License": ("apache", 1 - 1 / 14),
+        "Apacche license": ("apache", 1 - 1 / 14),
+        "GNU general public licence": ("gpl", 1 - 1 / 26),
+    }
+    others = ["mit licenses", "mit licensee", "apache licensed", "fit license", "permit licence", "cc bi", "mit lic ense", "mit", "a licence"]
+    docs = [(i, t) for i, t in enumerate([*near, *others])]
+    found = {r["doc_id"]: r for r in S.scan(documents(docs)).collect()}
+    for i, t in docs:
+        label, score = near.get(t, ("", 0))
+        assert (found[i]["labels"], found[i]["base_labels"]) == (label, ""), t
+        assert abs(found[i]["score"] - score) < 1e-9, t
+
+
+def test_short_phrases_inside_notices_count_once(documents):
+    text = "licensed under the mit licence and mit licence"
+    spans = S.scan(documents([(1, text)])).collect()[0]["spans"]
+    assert [tuple(s) for s in spans] == [("mit", 0, 5, 1), ("mit", 6, 2, 1)]
+
+
+@pytest.mark.parametrize("phrase", ["mit license", "apache license"])
+def test_every_single_edit_of_a_short_phrase(phrase):
+    spelling = S.Spelling(phrase, "x")
+    at = 0
+    for word in phrase.split():
+        for i in range(1, len(word) - 1) if len(word) >= S.LONG_WORD else ():
+            for new in ["", "q", word[i] + "q"]:
+                text = phrase[: at + i] + new + phrase[at + i + 1 :]
+                spans = S.scan_text(f" so {text} on ".encode(), [], [spelling])[2]
+                assert [s[1:4] for s in spans] == [(1, 2, 1)], text
+        at += len(word) + 1
+
+
 def best_first(words, phrase, most):
     """All spans of words within the edits, the fewest edits first, without overlaps."""
     size = len(phrase.split())
