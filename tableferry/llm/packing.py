@@ -4,7 +4,10 @@ Items go in by falling length. Each goes to the open sequence with the least
 room that still takes it, whatever that sequence's length. If none does, a new one is opened, of
 the permitted length with the least cost for each token it can hope to hold: the
 item and whatever is still to be packed. In the end every sequence is
-cut down to the shortest permitted length that holds its contents.
+cut down to the shortest permitted length that holds its contents. What a sequence can
+hope to hold is a guess, so each shard is also packed with the shortest permitted lengths
+left out of the openings, up to the longest length only, and the cheapest of these packings counts:
+none costs more than sequences of one fixed length.
 
 Documents are dealt by hash into shards of about ``shard_items`` items, each packed by
 one task; the number of shards follows the data, so a task's work is bounded and
@@ -27,17 +30,28 @@ from pyspark.sql import functions as F
 
 from .quality_rules import words
 
-#: Permitted lengths and what a sequence of each costs: its tokens and a fixed part
-SEQUENCE_COST = {n: n + 64 for n in (256, 512, 1024, 2048, 4096, 8192)}
+#: Permitted lengths and what a sequence of each costs: its tokens, attention, which grows with the
+#: square of the length (as much as the rest at 8192), and a fixed part
+SEQUENCE_COST = {n: n + n * n / 8192 + 64 for n in (256, 512, 1024, 2048, 4096, 8192)}
 SHARD_ITEMS = 50_000
 
 PACKED = "doc_id long, piece int, n_tokens long, sequence long, capacity int, start int"
 
 
-def best_fit(lengths: list[int], cost: Mapping[int, float]) -> tuple[list[int], list[int], list[int]]:
+Packing = tuple[list[int], list[int], list[int]]
+
+
+def cheapest(lengths: list[int], cost: Mapping[int, float]) -> Packing:
+    """The best fit of least cost, whichever length the openings begin at."""
+    tries = (best_fit(lengths, cost, shortest) for shortest in sorted(cost))
+    return min(tries, key=lambda x: sum(cost[c] for c in x[2]))
+
+
+def best_fit(lengths: list[int], cost: Mapping[int, float], shortest: int = 0) -> Packing:
     """``(sequence of each item, start of each item in it, capacity of each sequence)``.
 
-    ``lengths`` fall and none is over the largest permitted length.
+    ``lengths`` fall and none is over the largest permitted length. No sequence is opened
+    shorter than ``shortest``.
     """
     permitted = sorted(cost)
     left = sum(lengths)
@@ -50,7 +64,7 @@ def best_fit(lengths: list[int], cost: Mapping[int, float]) -> tuple[list[int],
             room, own = rooms.pop(at)
         else:
             size = min(
-                (c for c in permitted if c >= n), key=lambda c: (cost[c] / min(c, left), c)
+                (c for c in permitted if c >= max(n, shortest)), key=lambda c: (cost[c] / min(c, left), c)
             )
             own, room = len(capacity), size
             capacity.append(size)
@@ -71,7 +85,7 @@ def _pack(cost: Mapping[int, float]):
             zip(*(table.column(c).to_pylist() for c in ("n", "doc_id", "piece", "shard"))),
             key=lambda x: (-x[0], x[1] is not None, x[1] or 0, x[2]),
         )
-        into, start, capacity = best_fit([x[0] for x in order], cost)
+        into, start, capacity = cheapest([x[0] for x in order], cost)
         shard = order[0][3]
         return pa.table(
             {

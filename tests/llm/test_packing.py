@@ -81,3 +81,29 @@ def test_other_lengths_and_empty_table(documents):
     docs = documents([(1, "abc"), (2, "")])
     assert rows_of(P.pack(docs, n_tokens=F.length("text"), cost=COST).select("doc_id", "n_tokens")) == [(1, 3), (2, 0)]
     assert P.pack(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_several_lengths_cost_no_more_than_one(seed):
+    """Under the production costs; texts mostly short, some long."""
+    rng = random.Random(seed)
+    lengths = [min(8192, int(rng.lognormvariate(rng.choice([4, 5.5, 7]), 0.8)) + 1) for _ in range(3000)]
+    lengths = sorted(lengths + [8192] * 3 + [5000] * 20, reverse=True)
+    into, start, capacity = P.cheapest(lengths, P.SEQUENCE_COST)
+    total = sum(P.SEQUENCE_COST[c] for c in capacity)
+    fixed = P.best_fit(lengths, P.SEQUENCE_COST, max(P.SEQUENCE_COST))[2]
+    assert total < 0.9 * sum(P.SEQUENCE_COST[c] for c in fixed)
+    assert len(set(capacity)) > 2
+    used = [0] * len(capacity)
+    for n, own, at in zip(lengths, into, start):
+        assert at == used[own]
+        used[own] += n
+    assert all(u <= c for u, c in zip(used, capacity)) and sum(used) == sum(lengths)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_the_cheapest_opening_counts(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.randrange(1, 33) for _ in range(rng.randrange(1, 60))), reverse=True)
+    least = [sum(COST[c] for c in P.best_fit(lengths, COST, x)[2]) for x in COST]
+    assert sum(COST[c] for c in P.cheapest(lengths, COST)[2]) == min(least)
