@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality_rules import words
+from .shared import Scratch
 
 #: Permitted lengths and what a sequence of each costs: its tokens, attention, which grows with the
 #: square of the length (as much as the rest at 8192), and a fixed part
@@ -115,11 +116,13 @@ def pack(
     longest = max(cost)
     if n_tokens is None:
         n_tokens = F.size(words(F.col("text").cast("string")))
+    # kept, as the pieces are counted before they are dealt and texts shall be read once
     sizes = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(n_tokens, F.lit(0)).cast("long").alias("n"),
         F.xxhash64("doc_id", "text").alias("spread"),
     )
+    sizes = Scratch(documents.sparkSession, "packing").keep(sizes, "sizes")
     pieces = sizes.select(
         "doc_id",
         "spread",
@@ -132,8 +135,9 @@ def pack(
             )
         ).alias("piece", "n"),
     )
-    # over the sizes alone: a look at whole texts here would read them twice
-    shards = max(1, -(-documents.count() // shard_items))
+    # of the pieces, not of the documents: a long text has many
+    items = sizes.agg(F.sum(F.ceil(F.col("n") / longest))).first()[0] or 0
+    shards = max(1, -(-items // shard_items))
     packed = (
         pieces.where("n > 0")
         .select("doc_id", "piece", "n", F.pmod(F.xxhash64("spread", "piece"), F.lit(shards)).alias("shard"))

@@ -107,3 +107,13 @@ def test_the_cheapest_opening_counts(seed):
     lengths = sorted((rng.randrange(1, 33) for _ in range(rng.randrange(1, 60))), reverse=True)
     least = [sum(COST[c] for c in P.best_fit(lengths, COST, x)[2]) for x in COST]
     assert sum(COST[c] for c in P.cheapest(lengths, COST)[2]) == min(least)
+
+
+def test_shards_follow_the_pieces_of_long_documents(documents):
+    docs = [(i, "w " * (32 * 100)) for i in range(4)]
+    found = P.pack(documents(docs), cost=COST, shard_items=40).collect()
+    assert len(found) == 400
+    shards = {}
+    for r in found:
+        shards[r["sequence"] >> 24] = shards.get(r["sequence"] >> 24, 0) + 1
+    assert len(shards) == 10 and max(shards.values()) < 80
