@@ -21,8 +21,8 @@ Defined cases: null texts and roles are empty; a log without a starting event
 starts with its first delta; a message's role is the last one that its events
 give; events of one message with equal ``seq`` go by kind (a
 start first), then text; messages go by the ``seq`` of their first event, then by
-name. Rows of a plain table are a message each, repeated rows too, ordered by turn
-(null first), role and text. A conversation without messages gives no row; null
+name. Rows of a plain table are a message each, repeated rows too, with a name made for
+them, and ordered by turn (null first), role and text. A conversation without messages gives no row; null
 ids are one conversation. Other columns do not matter.
 """
 
@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<s>", "</s>"
+#: What the names given to rows of a plain table begin with
+ROW = "\0row "
 STARTS = ("message", "edit", "regenerate")
 ASSISTANT = "assistant"
 
@@ -52,23 +54,40 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("&#10;"), F.lit("\n")))
 
 
+def named(events: DataFrame) -> DataFrame:
+    """Each event as a message of its own, named by what it holds and, as rows may repeat, a number.
+
+    Equal rows are counted and dealt out again, so the names are the same whenever they are made.
+    """
+    held = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("seq", "kind", "role", "text")]
+    whole = F.concat(*[x for h in held for x in (F.length(h).cast("string"), F.lit(":"), h)])
+    name = F.concat(F.lit(ROW), F.md5(whole.cast("binary")), F.lit(" "), F.col("copy").cast("string"))
+    return (
+        events.groupBy("conv_id", "seq", "kind", "role", "text")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+        .select("conv_id", name.alias("message"), "seq", "kind", "role", "text")
+    )
+
+
 def as_events(conversations: DataFrame) -> DataFrame:
-    """The rows of a plain table of turns as one ``message`` event each."""
-    return conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
-        F.lit(None).cast("string").alias("message"),
-        F.col("turn").cast("long").alias("seq"),
-        F.lit("message").alias("kind"),
-        F.col("role").cast("string").alias("role"),
-        F.col("text").cast("string").alias("text"),
+    """The rows of a plain table of turns as one ``message`` event each, of a message of its own."""
+    return named(
+        conversations.select(
+            F.col("conv_id").cast("long").alias("conv_id"),
+            F.col("turn").cast("long").alias("seq"),
+            F.lit("message").alias("kind"),
+            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        )
     )
 
 
 def fold(events: DataFrame) -> DataFrame:
     """Final messages ``(conv_id, message, first, role, text)``.
 
-    Events without a message name stand for themselves; the others are grouped
-    by conversation and message.
+    Events are grouped by conversation and message; those without a message name
+    are given one each.
     """
     clean = events.select(
         "conv_id",
@@ -78,13 +97,11 @@ def fold(events: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    alone = clean.where("message is null and kind <> 'delete'").select(
-        "conv_id", "message", F.col("seq").alias("first"), "role", "text"
-    )
+    own = named(clean.where("message is null"))
+    clean = clean.where("message is not null").unionByName(own)
     starts = F.col("kind").isin(*STARTS, "delete")
-    named = clean.where("message is not null")
     # what counts is the last start and the deltas after it; earlier events end here
-    last = named.groupBy("conv_id", "message").agg(
+    last = clean.groupBy("conv_id", "message").agg(
         F.min("seq").alias("first"),
         F.max(F.when(starts, F.col("seq"))).alias("begun"),
         F.max(F.when(F.col("role") != "", F.struct("seq", "role"))).alias("given"),
@@ -97,7 +114,7 @@ def fold(events: DataFrame) -> DataFrame:
         F.coalesce("given.role", F.lit("")).alias("role"),
     )
     live = (
-        named.drop("role")
+        clean.drop("role")
         .join(last, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("message") == F.col("name")))
         .where("begun is null or seq >= begun")
     )
@@ -118,12 +135,11 @@ def fold(events: DataFrame) -> DataFrame:
     empty = F.struct(
         F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone")
     )
-    folded = (
+    return (
         together.select("conv_id", "message", "first", "role", F.aggregate("log", empty, step).alias("m"))
         .where("not m.gone")
         .select("conv_id", "message", "first", "role", F.concat_ws("", "m.parts").alias("text"))
     )
-    return alone.unionByName(folded)
 
 
 def rendered(messages: DataFrame) -> DataFrame:
@@ -163,7 +179,8 @@ def read_back(turns: DataFrame) -> DataFrame:
 
 def turn_order() -> Column:
     """What turns of a conversation are sorted by."""
-    return F.struct("first", "message", "role", "text")
+    name = F.when(~F.col("message").startswith(ROW), F.col("message"))
+    return F.struct("first", name.alias("message"), "role", "text")
 
 
 def in_order(turns: DataFrame, *values: str) -> DataFrame:

@@ -106,3 +106,28 @@ def test_empty_table_and_no_python(spark):
     assert result.collect() == []
     plan = result._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_a_table_go_through_the_fold(spark):
+    """Later events find the message of a row by its name; repeated rows are messages of their own."""
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, None, None, None), (None, 2, "user", "hi")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    events = C.as_events(frame)
+    names = [r["message"] for r in events.where("conv_id = 1").collect()]
+    assert None not in names and len(set(names)) == 4
+    assert rows_of(events.select("conv_id", "seq", "role", "text")) == sorted(
+        ((c, t, r or "", x or "") for c, t, r, x in rows), key=repr
+    )
+    said = events.where("role = 'assistant'").selectExpr("conv_id", "message", "2L as seq", "'delta' as kind", "'' as role", "' indeed' as text")
+    gone = events.where("role = 'user' and conv_id = 1").limit(1)
+    gone = gone.selectExpr("conv_id", "message", "9L as seq", "'delete' as kind", "'' as role", "'' as text")
+    found = C.fold(events.unionByName(said).unionByName(gone))
+    assert rows_of(found.select("conv_id", "first", "role", "text")) == sorted(
+        [(1, 0, "user", "hi"), (1, 1, "assistant", "yes indeed"), (1, None, "", ""), (None, 2, "user", "hi")], key=repr
+    )
+
+
+def test_events_without_a_name_stand_for_themselves(spark):
+    log = [(1, None, 0, "message", "user", "a")] * 2 + [(1, None, 1, "delta", "user", "b"), (1, None, 2, "delete", None, None), (1, "m", 3, "message", "user", "c")]
+    found = C.fold(spark.createDataFrame(log, EVENTS))
+    assert rows_of(found.select("first", "text")) == [(0, "a"), (0, "a"), (1, "b"), (3, "c")]
