@@ -701,8 +701,41 @@ def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Sc
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. Rows without an id stay."""
-    found = near_duplicates(documents, **options)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    inside = documents.select(F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"))
-    return inside.join(gone, F.col("doc.doc_id") == F.col("gone"), "left_anti").select("doc.*")
+    """One row of each group stays: the one with the smallest id (null last), then text hash.
+
+    Groups are those of texts, so repeated rows and rows without an id are members like others,
+    and rows of one id whose texts are not linked belong to groups of their own. Rows
+    without a shingle are in no group; all of them stay.
+    """
+    scratch = Scratch(documents.sparkSession, "kept")
+    text = F.xxhash64(text_column(documents))
+    # a text's hash stands in for the id: rows of one text are one node
+    found = near_duplicates(documents.select(text.alias("doc_id"), text_column(documents).alias("text")), **options)
+    of_text = found.where("n_shingles > 0").select(F.col("doc_id").alias("key"), F.col("component_id").alias("comp"))
+    doc_id = F.col("doc_id").cast("long")
+    first = documents.select(text.alias("key"), F.struct(doc_id.isNull().alias("none"), doc_id.alias("id")).alias("who"))
+    first = first.groupBy("key").agg(F.min("who").alias("who"), F.count(F.lit(1)).alias("n"))
+    each = scratch.keep(of_text.distinct().join(first, "key"), "texts")
+    best = (
+        each.groupBy("comp")
+        .agg(F.min(F.struct("who", "key")).alias("best"), F.sum("n").alias("n"))
+        .where("n > 1")
+        .select("comp", "best")
+    )
+    chosen = each.join(best, "comp").select(
+        F.col("key").alias("of"), (F.col("key") == F.col("best.key")).alias("stays"), F.col("best.who.id").alias("keep")
+    )
+    chosen = scratch.keep(chosen, "chosen")
+    inside = documents.select(
+        F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"), text.alias("key"), doc_id.alias("id")
+    )
+    alone = inside.join(chosen.select("of"), F.col("key") == F.col("of"), "left_anti").select("doc")
+    # equal rows of the text and id that stay: any of them
+    one = (
+        inside.join(chosen.where("stays"), F.col("key") == F.col("of"))
+        .where(F.col("id").eqNullSafe(F.col("keep")))
+        .groupBy("key")
+        .agg(F.first("doc").alias("doc"))
+        .select("doc")
+    )
+    return alone.unionByName(one).select("doc.*")

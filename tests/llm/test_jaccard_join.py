@@ -74,6 +74,18 @@ def test_one_of_each_group_stays_with_all_columns(documents):
     assert rows_of(kept) == sorted((tuple(r) for r in table.collect() if r["doc_id"] in stays), key=repr)
 
 
+def test_one_row_of_each_group_stays_with_repeated_and_missing_ids(documents):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    docs = [(7, a), (7, b), (3, b), (3, b), (9, a), (9, a), (None, a), (9, c)]
+    docs += [(None, d), (None, d), (None, d + " more"), (5, None), (5, None), (None, ""), (4, "")]
+    kept = J.keep_one(documents(docs)).select("doc_id", "text")
+    want = [(7, a), (3, b), (9, c), (5, None), (5, None), (None, ""), (4, "")]
+    found = [tuple(r) for r in kept.collect()]
+    last = [r for r in found if (r[1] or "").startswith("d0 ")]
+    assert len(last) == 1 and last[0] in [(None, d), (None, d + " more")]
+    assert sorted((r for r in found if r not in last), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(documents):
     assert J.near_duplicates(documents([])).collect() == []
 
