@@ -164,7 +164,15 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
         .limit(sample_rows)
     )
     texts = documents.select(F.col("doc_id").cast("long"), text_column(documents).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    # an id may repeat among the documents: one text, chosen by hash, for each sampled label
+    chosen = chosen.groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("labels"))
+    one = F.min(F.struct(F.xxhash64("text").alias("at"), "text")).alias("one")
+    rows = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality", "labels")
+        .agg(one)
+        .select("doc_id", "one.text", "quality", F.explode(F.sequence(F.lit(1).cast("long"), "labels")))
+    )
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = features(batch.column(1))

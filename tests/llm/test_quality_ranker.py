@@ -70,6 +70,21 @@ def test_features_do_not_depend_on_the_batch():
     assert np.array_equal(whole, np.concatenate([R.features(pa.array([t], pa.string())) for t in texts]))
 
 
+def test_rows_of_a_repeated_id_are_not_collected(spark, documents, monkeypatch):
+    learned = []
+    monkeypatch.setattr(R, "fit", lambda rows, good, **o: learned.append((rows, good)) or R.Ranker(np.zeros(R.FEATURES), np.ones(R.FEATURES), np.zeros(R.FEATURES), 0.0))
+    ids = [i for i in range(60) if i % 2]
+    docs = [(i, f"text {i} " * 9) for i in ids] + [(ids[0], f"other {j} " * (j + 1)) for j in range(300)] + [(ids[1], None)] * 2
+    labels = spark.createDataFrame([(i, i % 3 // 2, 0) for i in ids] + [(ids[2], 1, 0)] * 2, "doc_id long, quality int, toxic int")
+    kept = labels.where(~R.held_out(R.F.col("doc_id"))).count()
+    for table in (documents(docs), documents(docs[::-1])):
+        R.train(table, labels)
+    assert [len(rows) for rows, _ in learned] == [kept, kept]
+    assert np.array_equal(learned[0][0], learned[1][0]) and np.array_equal(learned[0][1], learned[1][1])
+    R.train(documents(docs), labels, sample_rows=5)
+    assert len(learned[2][0]) == 5
+
+
 def test_empty_table(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
     assert R.rank(documents([]), labels).collect() == []
