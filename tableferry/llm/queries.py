@@ -13,6 +13,7 @@ from . import (
     jaccard_join,
     license_scan,
     line_dedup,
+    merkle,
     packing,
     quality_ranker,
     quality_rules,
@@ -85,6 +86,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    # tampering adds 1 to n_chars of one row in seven; its leaf travels beside the true one
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    chars = F.col("n_chars") + F.when(tampered, 1).otherwise(0)
+    shown = merkle.leaf([chars if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    proofs = merkle.Manifest(docs, also={"shown": shown}).proofs()
+    folded = merkle.folded(F.col("shown"), F.col("siblings"), F.col("left"))
+    found = proofs.withColumn("folded_root", folded)
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.concat_ws("", "siblings").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_output,
         op9_chat_format,
         op10_license_scan,
+        op13_merkle_manifest,
     )
 }
 
@@ -106,6 +128,22 @@ def _lower(text: str) -> str:
     return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _crc32(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal digits: eight shifts for each of them."""
+    shifted = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295], {digits}), lambda c, b: {shifted}), 4294967295)"
+
+
+def _said(chars: str) -> str:
+    """A document's hash, with ``chars`` for its ``n_chars``."""
+    texts = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", chars, "text")]
+    return f"sha256({' || '.join(f"coalesce(strlen({t}) || ':' || {t}, '-')" for t in texts)})"
+
+
+#: The level above ``nodes``
+_PAIRED = "list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))"
+
 _ALPHANUMERIC = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 
@@ -238,4 +276,44 @@ ORACLES: dict[str, str] = {
             CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM one GROUP BY conv_id
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, lang, {_said('n_chars')} AS leaf, {_said(f"n_chars + ({_crc32('doc_id')} % 7 = 0)::INT")} AS shown
+            FROM documents
+        ),
+        tree AS (
+            SELECT lang, 0 AS level, list(leaf ORDER BY doc_id NULLS FIRST, leaf) AS nodes FROM d GROUP BY lang
+            UNION ALL SELECT lang, level + 1, {_PAIRED} FROM tree WHERE len(nodes) > 1
+        ),
+        sub AS (SELECT lang, nodes[1] AS subroot FROM tree WHERE len(nodes) = 1),
+        crown AS (
+            SELECT 0 AS level, list(subroot ORDER BY lang NULLS FIRST) AS nodes FROM sub
+            UNION ALL SELECT level + 1, {_PAIRED} FROM crown WHERE len(nodes) > 1
+        ),
+        placed AS (
+            SELECT *, row_number() OVER () AS id,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree_pos
+            FROM d
+        ),
+        step AS (
+            SELECT id, level AS up, pos >> level AS place, nodes
+            FROM placed JOIN tree ON tree.lang IS NOT DISTINCT FROM placed.lang WHERE len(nodes) > 1
+            UNION ALL SELECT id, 1000 + level, tree_pos >> level, nodes FROM placed, crown WHERE len(nodes) > 1
+        ),
+        way AS (
+            SELECT id, coalesce(string_agg(nodes[xor(place, 1) + 1], '' ORDER BY up), '') AS siblings,
+                list(CASE WHEN place % 2 = 1 THEN 'L' || nodes[place]
+                    ELSE 'R' || coalesce(nodes[place + 2], '') END ORDER BY up) AS steps
+            FROM step GROUP BY id
+        ),
+        proof AS (
+            SELECT placed.*, subroot, (SELECT nodes[1] FROM crown WHERE len(nodes) = 1) AS root,
+                sha256(coalesce(siblings, '')) AS proof_sha256,
+                list_reduce(list_concat([shown], coalesce(steps, [])), lambda node, s:
+                    CASE WHEN s[1] = 'L' THEN sha256(s[2:] || node) ELSE sha256(node || s[2:]) END) AS folded_root
+            FROM placed JOIN sub ON sub.lang IS NOT DISTINCT FROM placed.lang LEFT JOIN way USING (id)
+        )
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM proof
+    """,
 }
