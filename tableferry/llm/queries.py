@@ -19,6 +19,7 @@ from . import (
     quality_rules,
     token_output,
     url_filter,
+    warc,
 )
 from .shared import Scratch
 
@@ -86,6 +87,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "archives").path("warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.Salvage(spark, path).records.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     # tampering adds 1 to n_chars of one row in seven; its leaf travels beside the true one
@@ -119,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_output,
         op9_chat_format,
         op10_license_scan,
+        op11_warc,
         op13_merkle_manifest,
     )
 }
@@ -276,6 +290,21 @@ ORACLES: dict[str, str] = {
             CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM one GROUP BY conv_id
     """,
+    "op11_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END
+                AS record_type,
+            CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, lang, {_said('n_chars')} AS leaf, {_said(f"n_chars + ({_crc32('doc_id')} % 7 = 0)::INT")} AS shown
