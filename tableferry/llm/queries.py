@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    collocations,
     decontaminate,
     jaccard_join,
     license_scan,
@@ -99,6 +100,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     # tampering adds 1 to n_chars of one row in seven; its leaf travels beside the true one
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat_format,
         op10_license_scan,
         op11_warc,
+        op12_collocations,
         op13_merkle_manifest,
     )
 }
@@ -305,6 +311,45 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
         FROM f
     """,
+    "op12_collocations": f"""
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                unnest(regexp_split_to_array({_lower('text')}, '[.,;:!?\\x0A-\\x0D]')) AS p
+            FROM documents
+        ),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+        at_ AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+        gram AS (
+            SELECT lang, w[i:i + m - 1] AS g, m, count(*) AS f
+            FROM (SELECT *, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM at_) GROUP BY ALL
+        ),
+        size AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE m = 1 GROUP BY lang),
+        often AS (SELECT * FROM gram WHERE f >= 100),
+        cand AS (SELECT lang, g, m, f AS a FROM often WHERE m > 1),
+        cut AS (
+            SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, n,
+                CAST(1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
+            JOIN often x ON x.lang = c.lang AND x.g = c.g[:k]
+            JOIN often y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+            JOIN size ON size.lang = c.lang
+        ),
+        worst AS (
+            SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+        ),
+        inside AS (
+            SELECT lang, g[s:s + k - 1] AS g, max(a) AS cover
+            FROM (SELECT *, unnest(range(1, m - k + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS k FROM cand))
+            GROUP BY ALL
+        ),
+        ranked AS (
+            SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM worst LEFT JOIN inside USING (lang, g)
+            WHERE cover IS NULL OR cover < a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score
+        FROM ranked QUALIFY rank <= 2000
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, lang, {_said('n_chars')} AS leaf, {_said(f"n_chars + ({_crc32('doc_id')} % 7 = 0)::INT")} AS shown
