@@ -49,16 +49,21 @@ class SaveMode(Enum):
 
 
 class Verify(Enum):
-    """How row counts are checked after a write.
+    """How the sink is checked after a write.
 
     ``OBSERVED`` counts the source rows inside the write itself, so the source
     is scanned once. ``RECOUNT`` scans the source a second time, which also
-    notices a first read that came up short.
+    notices a first read that came up short. Both count the whole sink before and
+    after an append; ``ADDED`` counts as ``OBSERVED`` does, but after an append the rows in
+    its new files alone. ``FINGERPRINT`` compares sums of row hashes as well, so changed
+    values are noticed, after an append in its new files.
     """
 
     OFF = "off"
     OBSERVED = "observed"
     RECOUNT = "recount"
+    ADDED = "added"
+    FINGERPRINT = "fingerprint"
 
 
 class OnEmpty(Enum):

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import re
-import uuid
+from collections.abc import Callable
 from contextlib import suppress
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -20,9 +20,9 @@ from pyspark.sql.types import (
 
 from tableferry.config import ConfigError, TransferConfig
 from tableferry.functions.names import identifier_parts, qualified, quote
+from tableferry.operators.fingerprint import ROWS, row_count
 from tableferry.operators.types import fits
 
-ROWS = "rows"
 # looks at a count that Spark has not delivered yet, each of a tenth of a second
 OBSERVATION_LOOKS = 100
 
@@ -36,9 +36,6 @@ _FULL_PRECISION = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
-# properties that the catalog writes itself
-_OWN_PROPERTIES = ("spark.sql.", "option.", "transient", "comment", "owner")
-
 _ARGUMENTS = ("tableName", "source", "schema", "description")
 
 
@@ -101,7 +98,7 @@ def create_sink(
             raise
 
 
-def _described(spark: SparkSession, sink: str) -> dict[str, str]:
+def described(spark: SparkSession, sink: str) -> dict[str, str]:
     """What the catalog says of a table beside its columns."""
     rows = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {sink}").collect()]
     names = [name for name, _ in rows]
@@ -121,7 +118,7 @@ def _holds_times(kind: DataType) -> bool:
 
 def check_existing(spark: SparkSession, sink: str, rows: DataFrame) -> None:
     """Refuse a sink that the catalog has already if its files would change values of the rows."""
-    known = _described(spark, sink)
+    known = described(spark, sink)
     check_format(known.get("Provider", ""))
     if known.get("Provider", "").lower() == "json" and _holds_times(rows.schema):
         found = known.get("Storage Properties", "")
@@ -185,8 +182,22 @@ def insert(
     """Write rows by column name into an existing table; returns how many were written.
 
     None means that Spark did not tell, see :func:`_value`.
+    """
+    written = insert_observed(spark, rows, sink, overwrite, rebalance)
+    return written[ROWS] if written else None
 
-    One job without a shuffle: the count is taken by an observation on the rows
+
+def insert_observed(
+    spark: SparkSession,
+    rows: DataFrame,
+    sink: str,
+    overwrite: bool = False,
+    rebalance: bool = False,
+    facts: Callable[[StructType], list[Column]] = row_count,
+) -> dict[str, int] | None:
+    """Write rows by column name into an existing table; returns facts about the rows written.
+
+    One job without a shuffle: the facts are taken by an observation on the rows
     that go to the writer. It sits directly under the write, in the result
     stage, where Spark counts each task once however often it is retried;
     ``rebalance`` (even output files after a selective filter, for one shuffle)
@@ -194,11 +205,12 @@ def insert(
     """
     if overwrite:
         check_whole_overwrite(spark, sink)
-    aligned = align_by_name(rows, spark.table(sink))
+    table = spark.table(sink)
+    aligned = align_by_name(rows, table)
     if rebalance:
         aligned = aligned.hint("rebalance")
     written = Observation()
-    observed = aligned.observe(written, F.count(F.lit(1)).alias(ROWS))
+    observed = aligned.observe(written, *facts(table.schema))
     try:
         observed.write.insertInto(sink, overwrite=overwrite)
     except Exception:
@@ -209,73 +221,15 @@ def insert(
     return _value(written)
 
 
-def can_be_swapped(spark: SparkSession, sink: str) -> bool:
-    """Whether the catalog can put another table in the sink's place.
-
-    That takes a managed table of the session catalog. Tables at a location of
-    their own stay where their readers look for them, and other catalogs commit
-    an overwrite as a whole themselves, or not at all.
-    """
-    known = _described(spark, sink)
-    return known.get("Type") == "MANAGED" and known.get("Catalog", "spark_catalog") == "spark_catalog"
-
-
-def replace(spark: SparkSession, rows: DataFrame, sink: str, rebalance: bool = False) -> int | None:
-    """Overwrite a sink that holds rows; they are there until the new ones are written.
-
-    The rows go to a table of the same definition beside the sink, which then
-    takes its name. If anything fails the sink is as it was. Sinks that cannot be
-    swapped are overwritten in place.
-    """
-    if not can_be_swapped(spark, sink):
-        return insert(spark, rows, sink, overwrite=True, rebalance=rebalance)
-    align_by_name(rows, spark.table(sink))  # before a table is made
-    *place, name = identifier_parts(sink)
-    mark = uuid.uuid4().hex
-    incoming = qualified(*place, f"{name}__incoming_{mark}")
-    retired = qualified(*place, f"{name}__retired_{mark}")
-    spark.sql(f"CREATE TABLE {incoming} LIKE {sink}")
-    try:
-        _copy_properties(spark, sink, incoming)
-        written = insert(spark, rows, incoming, rebalance=rebalance)
-        spark.sql(f"ALTER TABLE {sink} RENAME TO {retired}")
-        try:
-            spark.sql(f"ALTER TABLE {incoming} RENAME TO {sink}")
-        except Exception:
-            spark.sql(f"ALTER TABLE {retired} RENAME TO {sink}")
-            raise
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-        raise
-    spark.sql(f"DROP TABLE {retired}")
-    spark.catalog.refreshTable(sink)
-    return written
-
-
-def _copy_properties(spark: SparkSession, sink: str, to: str) -> None:
-    """The comment and properties of a table, which CREATE TABLE LIKE leaves out."""
-
-    def text(value: str) -> str:
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    if comment := _described(spark, sink).get("Comment"):
-        spark.sql(f"COMMENT ON TABLE {to} IS {text(comment)}")
-    own = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {sink}").collect()}
-    own = {k: v for k, v in own.items() if not k.startswith(_OWN_PROPERTIES)}
-    if own:
-        listed = ", ".join(f"{text(k)} = {text(v)}" for k, v in own.items())
-        spark.sql(f"ALTER TABLE {to} SET TBLPROPERTIES ({listed})")
-
-
-def _value(written: Observation) -> int | None:
-    """The observed count, or None if it does not come although the write is done.
+def _value(written: Observation) -> dict[str, int] | None:
+    """The observed facts, or None if they do not come although the write is done.
 
-    Spark delivers it through its event queue, which drops events under heavy
+    Spark delivers them through its event queue, which drops events under heavy
     load, and not at all for providers that run the rows in a query of their
     own; ``Observation.get`` would then wait for ever. So this looks, a bounded
-    number of times, whether it has come.
+    number of times, whether they have come.
     """
     for _ in range(OBSERVATION_LOOKS):
         if not written._jo.getOrEmpty().isEmpty():  # waits a tenth of a second at most
-            return written.get[ROWS]
+            return dict(written.get)
     return None

@@ -7,6 +7,7 @@ returns what a reader of those sinks, or of the run report, sees.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from tableferry.operators.projection import compare_conversions
 from tableferry.operators.verify import count_rows, verification_counts
 from tableferry.plans.report import RunReport
 from tableferry.plans.run import run
-from tableferry.plans.workspace import new_database, shared_folder
+from tableferry.plans.workspace import for_one_call, new_database, shared_folder
 from tableferry.sources.logical import tag_logical_types
 from tableferry.sources.scan import CATALOG, open_source, preview, read_table
 
@@ -217,7 +218,7 @@ _ODD_NAMES = {
 def transfer_special_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column names with a dot, a space, a back-tick and a keyword survive."""
     database = new_database(spark)
-    view = f"{database}_odd_events"
+    view = for_one_call(f"{database}_odd_events")
     read_table(spark, "parquet", f"{sf_dir}/events.parquet").select(
         *[F.col(name).alias(odd) for name, odd in _ODD_NAMES.items()]
     ).createOrReplaceTempView(view)
@@ -252,6 +253,7 @@ def filter_column_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         register_source_views=True,
     )
     run(spark, config)
+    for_one_call(f"source_{name}")
     return _union(
         [
             spark.sql(
@@ -408,6 +410,12 @@ def copy_all_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _copy_all(spark, sf_dir, verify=Verify.OBSERVED)
 
 
+@query(_COPIED_SQL)
+def copy_all_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables at the same time; hashes of all rows, taken inside the writes, agree with the sinks'."""
+    return _copy_all(spark, sf_dir, concurrent=True, verify=Verify.FINGERPRINT)
+
+
 # Whole numbers, texts and one fraction of each table that no other query shows, in one shape:
 # (table, two numbers, three texts, a fraction)
 _CONTENTS = {
@@ -537,6 +545,34 @@ def append_filtered_recounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT v.verify, r.load, COUNT(*) FILTER (o_orderstatus = 'F' OR r.load = 1) AS source_rows,
+           CASE WHEN r.load = 1 THEN CAST(0 AS BIGINT) END AS rows_before,
+           COUNT(*) FILTER (o_orderstatus = 'F' OR r.load = 1) AS sink_rows, TRUE AS verified
+    FROM orders, (SELECT unnest([1, 2]) AS load) r, (SELECT unnest(['added', 'fingerprint']) AS verify) v
+    GROUP BY ALL"""
+)
+def append_added_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After an append its own files are looked at, not the rows that were there."""
+    loads = []
+    for method in (Verify.ADDED, Verify.FINGERPRINT):
+        first = _config(spark, sf_dir, {"orders": "orders"}, verify=method)
+        second = _config(
+            spark,
+            sf_dir,
+            {"orders": "orders"},
+            sink_schema=first.sink_schema,
+            filter="o_orderstatus = 'F'",
+            save_mode=SaveMode.APPEND,
+            verify=method,
+        )
+        for i, config in ((1, first), (2, second)):
+            report = run(spark, config).to_df(spark)
+            loads.append(report.withColumns({"verify": F.lit(method.value), "load": F.lit(i)}))
+    return _union(loads).select("verify", "load", "source_rows", "rows_before", "sink_rows", "verified")
+
+
 # --- save modes ------------------------------------------------------------
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -815,6 +851,33 @@ def run_totals_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.totals(spark).withColumn("rows_copied", F.lit(copied).cast("long"))
 
 
+# --- sinks at a location of their own ---------------------------------------
+
+
+def _at_location(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
+    """Overwrite a loaded sink at a location; the sink, and the status of that load."""
+    first = _config(spark, sf_dir, {"customer": "customer"}, filter=_OLD)
+    at = f"{shared_folder(spark)}/{first.sink_schema}/at"
+    run(spark, replace(first, sink_location=at))
+    second = replace(first, sink_location=at, verify=Verify.FINGERPRINT, **settings)
+    outcome = run(spark, second, fail_on_error=False).outcomes[0]
+    return _sink(spark, second, "customer").withColumn("status", F.lit(outcome.status))
+
+
+@query(f"SELECT {_CUSTOMER}, 'copied' AS status FROM customer WHERE c_nationkey < 12")
+def overwrite_at_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink at a location of its own is replaced as a whole."""
+    return _at_location(spark, sf_dir, filter="c_nationkey < 12")
+
+
+@query(f"SELECT {_CUSTOMER}, 'failed' AS status FROM customer WHERE {_OLD}")
+def overwrite_at_location_fails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that breaks off halfway leaves a sink at a location as it was."""
+    middle = read_table(spark, "parquet", f"{sf_dir}/customer.parquet").agg(F.expr("CAST(AVG(c_custkey) AS BIGINT)")).first()[0]
+    breaks = f"c_custkey < {middle} OR raise_error('connection lost') IS NULL"
+    return _at_location(spark, sf_dir, filter=breaks)
+
+
 # --- sink formats ----------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from tableferry.config import TableSpec, TransferConfig
 from tableferry.functions.masking import mask_text
+from tableferry.operators.swap import recover
 from tableferry.plans.report import FAILED, RunReport, TableOutcome, TransferFailed
 from tableferry.plans.transfer import transfer_table
 from tableferry.sources.logical import discovered
@@ -33,12 +34,18 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
     Tables go one after another, or up to ``max_concurrent`` at a time, each as
     its own Spark jobs. Outcomes keep the order of the list either way. If any
     table failed, :class:`TransferFailed` is raised at the end, unless
-    ``fail_on_error`` is off.
+    ``fail_on_error`` is off. Overwrites that a job began and did not live to
+    finish are settled first.
     """
 
     if config.types:
         config = replace(config, tables=discovered(spark, config.types, config.tables), types=None)
 
+    try:
+        recover(spark, config.sink_schema, [spec.sink_name for spec in config.tables])
+    except Exception as error:  # the tables themselves will tell what is wrong with the schema
+        log.warning("looking for swaps that died: %s", describe(error))
+
     def isolated(order: int, spec: TableSpec) -> TableOutcome:
         try:
             return transfer_table(spark, config, spec, order)

@@ -7,17 +7,19 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.config import ConfigError, OnEmpty, SaveMode, TableSpec, TransferConfig, Verify
-from tableferry.operators import verify
+from tableferry.operators import newfiles, verify
+from tableferry.operators.fingerprint import PARTS, ROWS, facts, row_count
 from tableferry.operators.projection import bitmap_text_columns, project
 from tableferry.operators.rowfilter import apply_filter, is_empty, is_repeatable
 from tableferry.operators.sink import (
     check_existing,
     create_sink,
     insert,
-    replace,
+    insert_observed,
     sink_exists,
     sink_identifier,
 )
+from tableferry.operators.swap import replace
 from tableferry.plans.labels import labelled
 from tableferry.plans.report import (
     COPIED,
@@ -75,6 +77,10 @@ def transfer_table(
         # rows that were there before count only where they stay; only then does the filter
         # tell old and new ones apart, or at least keep the count to the partitions loaded
         added_to = mode is SaveMode.APPEND and may_hold_rows
+        if config.verify in (Verify.ADDED, Verify.FINGERPRINT):
+            step("writing and verifying")
+            status, found = _checked_write(spark, config, table, projected, sink, added_to)
+            return outcome(status, **found)
         condition = config.filter if added_to else None
         rows_before = None
         if config.verify is not Verify.OFF:
@@ -125,6 +131,71 @@ def transfer_table(
         )
 
 
+def _checked_write(
+    spark: SparkSession,
+    config: TransferConfig,
+    table: DataFrame,
+    projected: DataFrame,
+    sink: str,
+    added_to: bool,
+) -> tuple[str, dict]:
+    """Write, and compare facts about the rows written with those about the rows found.
+
+    After an append the rows found are those of its new files, so what the sink held and what other
+    jobs append meanwhile does not matter. Facts can be added up: for a sink that is not
+    made of files they are taken before and after, and subtracted.
+    """
+    by_value = config.verify is Verify.FINGERPRINT
+    measured = facts if by_value else row_count
+
+    def of_sink() -> dict[str, int]:
+        spark.catalog.refreshTable(sink)
+        whole = spark.table(sink)
+        return whole.agg(*measured(whole.schema)).first().asDict()
+
+    writes = newfiles.writes_of(spark, sink) if added_to else None
+    before = of_sink() if added_to and writes is None else None
+
+    def write(spark: SparkSession, rows: DataFrame, to: str, overwrite: bool, rebalance: bool):
+        return insert_observed(spark, rows, to, overwrite, rebalance, measured)
+
+    overwrite = config.save_mode is SaveMode.OVERWRITE
+    if overwrite and not is_empty(spark.table(sink)):
+        written = replace(spark, projected, sink, config.rebalance, write)
+    else:
+        written = write(spark, projected, sink, overwrite, config.rebalance)
+    if written and written[ROWS] == 0 and not _may_truncate(config):
+        return SKIPPED_EMPTY, {"source_rows": 0}
+
+    schema = spark.table(sink).schema
+    if writes is not None:
+        found = newfiles.facts_by_write(spark, sink, writes, measured(schema)) or [dict.fromkeys([ROWS, *PARTS] if by_value else [ROWS], 0)]
+    elif before:
+        found = [{k: v - before[k] for k, v in of_sink().items()}]
+    else:
+        found = [of_sink()]
+    if written not in found and is_repeatable(table, config.filter):
+        # the facts did not come, or a sink that shuffles the rows once more had lost tasks counted twice
+        written = projected.agg(*measured(schema)).first().asDict()
+    # of several jobs' appends, the one that fits or else the nearest is this one's
+    own = min(found, key=lambda f: (f != written, abs(f[ROWS] - (written or f)[ROWS])))
+    verified = written is not None and own == written
+    error = None
+    if written is None:
+        error = "verification failed: the write gave no facts about its rows"
+    elif own[ROWS] != written[ROWS]:
+        error = f"verification failed: {written[ROWS]} source rows, {own[ROWS]} new sink rows"
+    elif not verified:
+        error = f"verification failed: the values of the {own[ROWS]} new sink rows are not those of the source"
+    return COPIED if verified else FAILED, {
+        "source_rows": written[ROWS] if written else None,
+        "rows_before": before[ROWS] if before else None if added_to else 0,
+        "sink_rows": own[ROWS] + (before[ROWS] if before else 0),
+        "verified": verified,
+        "error": error,
+    }
+
+
 def _check_verification(config: TransferConfig, table: DataFrame) -> None:
     """Refuse checks that would evaluate a filter again which picks other rows each time."""
     again = config.verify is Verify.RECOUNT or (

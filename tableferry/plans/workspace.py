@@ -1,4 +1,4 @@
-"""Databases for sink tables that only live as long as a query's result is needed."""
+"""Databases and views that only live as long as a query's result is needed."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from tableferry.functions.names import quote
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _created: list[str] = []
+_views: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,7 +44,15 @@ def new_database(spark: SparkSession) -> str:
     return name
 
 
+def for_one_call(view: str) -> str:
+    """Note a temporary view that is to go with the databases."""
+    _views.append(view)
+    return view
+
+
 def release(spark: SparkSession) -> None:
-    """Drop the databases made so far, with their tables: results must have been read."""
+    """Drop the databases made so far, with their tables, and noted views: results must have been read."""
+    while _views:
+        spark.catalog.dropTempView(_views.pop())
     while _created:
         spark.sql(f"DROP DATABASE IF EXISTS {quote(_created.pop())} CASCADE")

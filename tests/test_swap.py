@@ -1,0 +1,224 @@
+"""Overwrites that fail or die at any step."""
+
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableferry import TableSpec, TransferConfig, run
+from tableferry.functions.names import qualified
+from tableferry.operators import swap as S
+from tableferry.operators.sink import create_sink, insert
+
+
+class Killed(BaseException):
+    """Stands for the end of the process: no handler of the library runs."""
+
+
+@pytest.fixture
+def rows(spark):
+    return spark.range(100).select("id", (F.col("id") % 3).alias("part"), F.lit("old").alias("v"))
+
+
+@pytest.fixture(params=["managed", "external", "external partitioned", "managed partitioned"])
+def sink(request, spark, database, rows, tmp_path):
+    name = qualified(database, "t_x")
+    by = "PARTITIONED BY (part)" if "partitioned" in request.param else ""
+    place = f"LOCATION '{tmp_path}/at/t_x'" if "external" in request.param else ""
+    spark.sql(
+        f"CREATE TABLE {name} (id BIGINT, v STRING, part BIGINT) USING parquet {by} {place} "
+        "COMMENT 'mine' TBLPROPERTIES ('team' = 'it\\'s me')"
+    )
+    insert(spark, rows, name)
+    return name
+
+
+def tables(spark, sink):
+    database = sink.split(".")[0]
+    return sorted(t.name for t in spark.catalog.listTables(database.strip("`")) if not t.isTemporary)
+
+
+def held(spark, sink):
+    return [tuple(r) for r in spark.table(sink).groupBy("v").count().collect()]
+
+
+def new(rows):
+    return rows.where("id < 7").withColumn("v", F.lit("new"))
+
+
+def folders(tmp_path):
+    at = tmp_path / "at"
+    return sorted(p.name for p in at.iterdir()) if at.exists() else []
+
+
+def test_an_overwrite_keeps_the_definition(spark, sink, rows, tmp_path):
+    for n in (7, 3):
+        assert S.replace(spark, new(rows).where(f"id < {n}"), sink) == n
+        assert held(spark, sink) == [("new", n)]
+        shown = spark.sql(f"SHOW CREATE TABLE {sink}").first()[0]
+        assert "COMMENT 'mine'" in shown and "it\\'s me" in shown and "tableferry" not in shown
+        assert ("PARTITIONED BY (part)" in shown) == any(c.isPartition for c in spark.catalog.listColumns(sink))
+        assert tables(spark, sink) == ["t_x"]
+        assert folders(tmp_path) in ([], ["t_x"])
+    insert(spark, rows, sink)
+    assert sorted(held(spark, sink)) == [("new", 3), ("old", 100)]
+
+
+def test_an_overwrite_that_fails_midway_leaves_the_old_rows(spark, sink, rows, tmp_path):
+    breaks = rows.where("id < 99 OR raise_error('broken') IS NULL")
+    before = folders(tmp_path)
+    with pytest.raises(Exception, match="broken"):
+        S.replace(spark, breaks, sink)
+    assert held(spark, sink) == [("old", 100)]
+    assert tables(spark, sink) == ["t_x"] and folders(tmp_path) == before
+
+
+def steps(monkeypatch, hook):
+    """Every step of a swap goes through ``hook(step, *arguments)``."""
+    for name in ("_call", "_move", "_delete"):
+        real = getattr(S, name)
+        monkeypatch.setattr(S, name, lambda *a, real=real: hook(lambda: real(*a), a[1:]))
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_swap_that_dies_at_any_step_is_settled_by_the_next_run(spark, sink, rows, monkeypatch, tmp_path, when):
+    made = []
+    with monkeypatch.context() as m:
+        steps(m, lambda step, arguments: (step(), made.append(arguments)))
+        S.replace(spark, rows.withColumn("v", F.lit("old")), sink)
+    schema = sink.split(".")[0]
+    aside = next(i for i, a in enumerate(made) if "__retired_" in a[-1] and (len(a) == 2 or "RENAME" in a[-1]))
+    assert aside == 4 and len(made) >= 8  # make, comment, properties, phase, aside, forward, ...
+    source = spark.range(1).select("id", F.lit(0).cast("long").alias("part"), F.lit("next").alias("v"))
+    source.write.saveAsTable(qualified(schema.strip("`"), "source"))
+    for last in range(len(made)):
+        count = iter(range(100))
+
+        def dies(step, _, last=last, count=count):
+            now = next(count) == last
+            if now and when == "before":
+                raise Killed
+            step()
+            if now:
+                raise Killed
+
+        with monkeypatch.context() as m:
+            steps(m, dies)
+            with pytest.raises(Killed):
+                S.replace(spark, new(rows), sink)
+        spark.catalog.clearCache()
+        config = TransferConfig([TableSpec(f"{schema}.source", "t_x")], "catalog", schema, save_mode="ignore")
+        run(spark, config)
+        stepped = last > aside or (last == aside and when == "after")
+        assert held(spark, sink) == [("new", 7) if stepped else ("old", 100)], (last, when)
+        assert tables(spark, sink) == ["source", "t_x"], (last, when)
+        assert folders(tmp_path) in ([], ["t_x"]), (last, when)
+        S.replace(spark, rows, sink)
+        assert held(spark, sink) == [("old", 100)]
+
+
+def test_a_swap_that_dies_while_it_writes(spark, sink, rows, tmp_path):
+    def dies(spark, rows, table, *rest):
+        insert(spark, rows, table, *rest)
+        raise Killed
+
+    with pytest.raises(Killed):
+        S.replace(spark, new(rows), sink, write=dies)
+    assert len(tables(spark, sink)) == 2
+    schema, name = sink.split(".", 1)
+    assert S.recover(spark, schema, ["other"]) == []
+    assert S.recover(spark, schema, ["T_X"]) == ["`T_X`: incoming rows dropped"]
+    assert tables(spark, sink) == ["t_x"] and held(spark, sink) == [("old", 100)]
+    assert S.recover(spark, schema, ["t_x"]) == [] and len(folders(tmp_path)) <= 1
+
+
+def test_a_live_swap_is_left_alone(spark, sink, rows, monkeypatch):
+    schema = sink.split(".")[0]
+    seen = []
+
+    def looks(spark, rows, table, *rest):
+        monkeypatch.setattr(S, "_own_marks", {})  # as another job sees it
+        seen.append(S.recover(spark, schema, ["t_x"]))
+        return insert(spark, rows, table, *rest)
+
+    assert S.replace(spark, new(rows), sink, write=looks) == 7
+    assert seen == [[]] and held(spark, sink) == [("new", 7)]
+
+
+def test_a_lease_is_renewed_and_runs_out(spark, sink, rows, monkeypatch):
+    schema = sink.split(".")[0]
+    monkeypatch.setattr(S, "LEASE_SECONDS", 2)
+    found = []
+
+    def slow(spark, rows, table, *rest):
+        time.sleep(4)
+        found.append(S.recover(spark, schema, ["t_x"]))
+        raise Killed
+
+    monkeypatch.setattr(S, "_own_marks", _Unknown())
+    with pytest.raises(Killed):
+        S.replace(spark, new(rows), sink, write=slow)
+    assert found == [[]]
+    time.sleep(3)
+    assert S.recover(spark, schema, ["t_x"]) == ["`t_x`: incoming rows dropped"]
+
+
+class _Unknown(dict):
+    """No swap is known as one of this process."""
+
+    def get(self, key, default=None):
+        return default
+
+
+def test_a_job_between_its_renames_is_waited_for(spark, sink, rows, monkeypatch):
+    schema = sink.split(".")[0]
+    monkeypatch.setattr(S, "_own_marks", _Unknown())
+    kind = S._FolderSwap if "EXTERNAL" in str(spark.sql(f"DESCRIBE EXTENDED {sink}").collect()) else S._Swap
+    real, done = kind.forward, []
+
+    def slow(swap):
+        other = threading.Thread(target=lambda: done.append(S.recover(spark, schema, ["t_x"])))
+        other.start()
+        time.sleep(1)
+        real(swap)
+        other.join()
+
+    with monkeypatch.context() as m:
+        m.setattr(kind, "forward", slow)
+        S.replace(spark, new(rows), sink)
+    assert done == [[]] and held(spark, sink) == [("new", 7)] and tables(spark, sink) == ["t_x"]
+
+
+def test_tables_with_such_names_that_are_not_ours_stay(spark, sink, rows):
+    schema = sink.split(".")[0].strip("`")
+    for kind in ("incoming", "retired"):
+        rows.write.saveAsTable(qualified(schema, f"t_x__{kind}_{'0' * 31}{len(kind) % 10}"))
+    assert S.recover(spark, schema, ["t_x"]) == []
+    assert len(tables(spark, sink)) == 3
+
+
+def test_readers_of_the_folder_see_the_new_rows(spark, database, rows, tmp_path):
+    config = TransferConfig(["t"], "parquet", database, sink_location=str(tmp_path / "at"))
+    sink = qualified(database, "t")
+    create_sink(spark, config, sink, "t", rows.schema)
+    insert(spark, rows, sink)
+    assert S.replace(spark, new(rows), sink) == 7
+    assert spark.table(sink).count() == 7
+    assert spark.read.parquet(str(tmp_path / "at" / "t")).count() == 7
+
+
+def test_object_stores_are_written_in_place(spark, database, rows, tmp_path, monkeypatch):
+    sink = qualified(database, "t")
+    create_sink(spark, TransferConfig(["t"], "parquet", database, sink_location=str(tmp_path)), sink, "t", rows.schema)
+    assert S.can_be_swapped(spark, sink)
+    monkeypatch.setattr(S, "renames_at_once", lambda *a: False)
+    assert not S.can_be_swapped(spark, sink)
+
+
+def test_a_sink_without_files_is_written_in_place(spark, database, rows, monkeypatch):
+    monkeypatch.setattr(S, "can_be_swapped", lambda *a: False)
+    sink = qualified(database, "t")
+    rows.write.saveAsTable(sink)
+    assert S.replace(spark, new(rows), sink) == 7
+    assert held(spark, sink) == [("new", 7)]

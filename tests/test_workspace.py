@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tableferry.plans.workspace import new_database, release, shared_folder
+from tableferry.plans.workspace import for_one_call, new_database, release, shared_folder
 
 
 def session(master, folder=None):
@@ -36,3 +36,23 @@ def test_databases_do_not_collide_and_are_dropped(spark):
     release(spark)
     assert not spark.catalog.databaseExists(first)
     assert not spark.catalog.databaseExists(second)
+
+
+def test_noted_views_are_dropped(spark):
+    spark.range(2).createOrReplaceTempView(for_one_call("a_view_of_one_call"))
+    assert spark.table("a_view_of_one_call").count() == 2
+    release(spark)
+    assert not spark.catalog.tableExists("a_view_of_one_call")
+
+
+def test_queries_leave_no_views(spark):
+    from tableferry.plans.catalogue import QUERIES
+
+    from .oracle import SF_DIR
+
+    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    for name in ("filter_column_view", "transfer_special_column_names"):
+        QUERIES[name](spark, SF_DIR).count()
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} > before
+    release(spark)
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} == before
