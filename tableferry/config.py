@@ -81,7 +81,8 @@ class TableSpec:
     such as ``{"uv": "bitmap"}``; letter case of the type does not matter.
     ``source_options`` add to the reader options of the run, for instance to
     split the scan of a large table. ``schema`` is DDL text for readers that
-    would otherwise scan the rows once more to infer one.
+    would otherwise scan the rows once more to infer one. ``split_column`` has the scan of a
+    source that cannot split itself cut into up to ``splits`` ranges of even size.
     """
 
     source: str
@@ -89,6 +90,8 @@ class TableSpec:
     logical_types: Mapping[str, str] = field(default_factory=dict)
     source_options: Mapping[str, str] = field(default_factory=dict)
     schema: str | None = None
+    split_column: str | None = None
+    splits: int = 16
 
     @property
     def sink_name(self) -> str:
@@ -124,6 +127,12 @@ class TransferConfig:
     Sinks are catalog tables ``sink_schema.<sink name>`` of ``sink_format``.
     ``declare_sink_schema=False`` and ``sink_table_key`` are for providers that
     look up the schema themselves, under a table name given as an option.
+
+    A run with a ``load_id`` keeps a ledger, a table named ``ledger`` in
+    ``sink_schema``: repeated under the same id it copies only the tables that are not
+    done, and an append is never there twice. ``source_predicate_key`` is the reader
+    option through which the source takes a predicate of its own: it then gets the filter of
+    the run (if that is text) and the ranges of split tables.
     """
 
     tables: Sequence[TableSpec | str]
@@ -147,6 +156,9 @@ class TransferConfig:
     rebalance: bool = False
     register_source_views: bool = False
     types: TypesRelation | None = None
+    load_id: str | None = None
+    ledger: str = "tableferry_loads"
+    source_predicate_key: str | None = None
 
     def __post_init__(self) -> None:
         def put(name: str, value: object) -> None:
@@ -172,10 +184,21 @@ class TransferConfig:
             raise ConfigError("max_concurrent must be at least 1")
         if self.rows_per_file is not None and self.rows_per_file < 1:
             raise ConfigError("rows_per_file must be at least 1")
+        if self.load_id is not None and not self.load_id.strip():
+            raise ConfigError("load_id is empty")
         if any(k.lower() == "path" for k in self.sink_options):
             raise ConfigError("one path cannot serve several sink tables; use sink_location")
         taken: dict[str, str] = {}
+        if self.load_id is not None:
+            taken[self.ledger.lower()] = "the ledger"
         for spec in self.tables:
+            if spec.splits < 1:
+                raise ConfigError("splits must be at least 1")
+            if spec.split_column and not self.source_predicate_key and self.source_format != "jdbc":
+                raise ConfigError(
+                    f"{spec.source!r} can be split if the source takes a predicate: name its option "
+                    "as source_predicate_key"
+                )
             if not spec.source.strip() or not spec.sink_name:
                 raise ConfigError(f"no usable table name in {spec.source!r}")
             key = spec.sink_name.lower()  # catalogs ignore the case of table names
@@ -207,6 +230,9 @@ SOURCE_TABLE_OPTION_PREFIX = "spark.source.table.option."
 SOURCE_LOGICAL_PREFIX = "spark.source.logical."
 SOURCE_SCHEMA_PREFIX = "spark.source.schema."
 SOURCE_TYPES_PREFIX = "spark.source.types."
+SOURCE_SPLIT_PREFIX = "spark.source.split.column."
+SOURCE_SPLITS = "spark.source.split.count"
+SOURCE_PREDICATE_KEY = "spark.source.predicate.key"
 FILTER_QUERY = "spark.filter.query"
 SINK_PREFIX = "spark.sink."
 # Names under the sink prefix that steer the job and are not sink options.
@@ -226,6 +252,8 @@ SINK_CONTROL_KEYS = frozenset(
         "declare.schema",
         "rows.per.file",
         "rebalance",
+        "load.id",
+        "ledger",
     }
 )
 
@@ -323,12 +351,21 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
     options = _per_table(settings, SOURCE_TABLE_OPTION_PREFIX, names)
     sinks = _one_per_table(settings, SOURCE_TABLE_SINK_PREFIX, names)
     schemas = _one_per_table(settings, SOURCE_SCHEMA_PREFIX, names)
+    split = _one_per_table(settings, SOURCE_SPLIT_PREFIX, names)
     optional = {}
     if number("max.concurrent") is not None:
         optional["max_concurrent"] = number("max.concurrent")
+    if "ledger" in sink:
+        optional["ledger"] = sink["ledger"]
+    try:
+        splits = int(settings.get(SOURCE_SPLITS, TableSpec.splits))
+    except ValueError:
+        raise ConfigError(f"{SOURCE_SPLITS}={settings[SOURCE_SPLITS]!r} is not a whole number") from None
     return TransferConfig(
         tables=[
-            TableSpec(name, sinks.get(name), logical[name], options[name], schemas.get(name))
+            TableSpec(
+                name, sinks.get(name), logical[name], options[name], schemas.get(name), split.get(name), splits
+            )
             for name in names
         ],
         source_format=required(SOURCE_FORMAT),
@@ -356,6 +393,8 @@ def from_settings(settings: Mapping[str, str], sink_prefix: str = SINK_PREFIX) -
         rebalance=flag("rebalance", False),
         register_source_views=True,
         types=_types_relation(settings),
+        load_id=sink.get("load.id"),
+        source_predicate_key=settings.get(SOURCE_PREDICATE_KEY),
         **optional,
     )
 
@@ -380,6 +419,8 @@ def config_report(spark: SparkSession, config: TransferConfig) -> DataFrame:
         "bitmap_to_binary": config.bitmap_to_binary,
         "on.empty": config.on_empty.value,
         "filter": config.filter,
+        "load.id": config.load_id,
+        "source.predicate.key": config.source_predicate_key,
     }
     sections = {
         "run": {k: "" if v is None else str(v) for k, v in run.items()},

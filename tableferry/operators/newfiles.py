@@ -1,57 +1,57 @@
-"""The rows that one append added to a sink of files, read from its new files alone.
+"""The rows that one append added to a sink of files.
 
-Spark puts an id of the write into the name of every file that it writes. The ids that
-a sink has after an append and had not before are those of this append and of others
-that ran meanwhile; which one is whose, their facts tell. Files of earlier writes are not
-opened: Spark prunes them by name while it plans the scan.
+An append can put a mark of its own into the names of the files that it writes. Its rows are then
+those of the files with the mark, whatever the sink held before and whatever other jobs append
+meanwhile: Spark prunes all others by name while it plans the scan and does not open them. The files
+of an append that went wrong can be removed without touching any other.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.operators.sink import described
+from tableferry.operators.storage import delete_file
 
 #: Providers whose tables are files
 FILES = ("parquet", "orc", "json", "avro")
 
-# fixed value: the id of a write in the names of its files
-_WRITE = r"-([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})[-.]c[0-9]+"
+#: Fixed value: the setting of the name that files of a write begin with
+FILE_NAME = "mapreduce.output.basename"
 
 
-def writes_of(spark: SparkSession, sink: str) -> set[str] | None:
-    """Ids of the writes that a sink's files are from; None if rows cannot be told by their file."""
-    if described(spark, sink).get("Provider", "").lower() not in FILES:
-        return None
-    spark.catalog.refreshTable(sink)
-    try:
-        rows_of(spark, sink, [""])
-    except AnalysisException:  # Spark hides the files of tables with CHAR columns
-        return None
-    names = (path.rsplit("/", 1)[-1] for path in spark.table(sink).inputFiles())
-    return {found[1] if (found := re.search(_WRITE, name)) else name for name in names}
+def begin_of_names(mark: str) -> str:
+    return f"part-{mark}"
 
 
-def rows_of(spark: SparkSession, sink: str, writes: Sequence[str]) -> DataFrame:
-    """The rows of some writes, with the id as ``write``."""
+def rows_of(spark: SparkSession, sink: str, mark: str) -> DataFrame:
+    """The rows of the append with this mark."""
     table = spark.table(sink)
     name = table.metadataColumn("_metadata")["file_name"]
-    found = F.regexp_extract(name, _WRITE, 1)
-    write = F.when(found != "", found).otherwise(name)
-    return table.withColumn("write", write).where(write.isin(*writes))
-
-
-def facts_by_write(
-    spark: SparkSession, sink: str, before: set[str], facts: Sequence[Column]
-) -> list[dict[str, int]]:
-    """``facts`` for each write since ``before``."""
-    new = sorted((writes_of(spark, sink) or set()) - before)
-    if not new:
-        return []
-    found = rows_of(spark, sink, new).groupBy("write").agg(*facts).collect()
-    return [{k: v for k, v in r.asDict().items() if k != "write"} for r in found]
+    return table.where(name.startswith(begin_of_names(mark) + "-"))
+
+
+def can_be_told(spark: SparkSession, sink: str, described: dict[str, str]) -> bool:
+    """Whether rows can be told by their file: not of other catalogs, and Spark hides the files of
+    tables with CHAR columns."""
+    if described.get("Provider", "").lower() not in FILES:
+        return False
+    if described.get("Catalog", "spark_catalog") != "spark_catalog":
+        return False
+    try:
+        rows_of(spark, sink, "")
+    except AnalysisException:
+        return False
+    return True
+
+
+def remove(spark: SparkSession, sink: str, mark: str) -> int:
+    """Delete the files of the append with this mark; returns how many there were."""
+    spark.catalog.refreshTable(sink)
+    begin = begin_of_names(mark) + "-"
+    own = [path for path in spark.table(sink).inputFiles() if path.rsplit("/", 1)[-1].startswith(begin)]
+    for path in own:
+        delete_file(spark, path)
+    if own:
+        spark.catalog.refreshTable(sink)
+    return len(own)

@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 from tableferry.config import ConfigError, TransferConfig
 from tableferry.functions.names import identifier_parts, qualified, quote
 from tableferry.operators.fingerprint import ROWS, row_count
+from tableferry.operators.newfiles import FILE_NAME, begin_of_names
 from tableferry.operators.types import fits
 
 # looks at a count that Spark has not delivered yet, each of a tenth of a second
@@ -194,9 +195,12 @@ def insert_observed(
     overwrite: bool = False,
     rebalance: bool = False,
     facts: Callable[[StructType], list[Column]] = row_count,
+    mark: str | None = None,
 ) -> dict[str, int] | None:
     """Write rows by column name into an existing table; returns facts about the rows written.
 
+    With a ``mark`` the files of an append are named after it (:mod:`tableferry.operators.newfiles`).
+
     One job without a shuffle: the facts are taken by an observation on the rows
     that go to the writer. It sits directly under the write, in the result
     stage, where Spark counts each task once however often it is retried;
@@ -212,7 +216,12 @@ def insert_observed(
     written = Observation()
     observed = aligned.observe(written, *facts(table.schema))
     try:
-        observed.write.insertInto(sink, overwrite=overwrite)
+        if mark:
+            to = sink.replace("{", "{{").replace("}", "}}")
+            named = f"'{FILE_NAME}' = '{begin_of_names(mark)}'"
+            spark.sql(f"INSERT INTO {to} WITH ({named}) SELECT * FROM {{rows}}", rows=observed)
+        else:
+            observed.write.insertInto(sink, overwrite=overwrite)
     except Exception:
         # an overwrite removes the old files first: forget the listing that has them
         with suppress(Exception):

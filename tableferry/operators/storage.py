@@ -28,6 +28,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def delete_file(spark: SparkSession, uri: str) -> None:
+    """Delete one file, named as Spark names the files of a table: by its URI."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, False)
+
+
 def move_folder(spark: SparkSession, path: str, to: str) -> None:
     """Rename a folder; the new name must be free, or the folder would go into the one that has it."""
     place, system = _at(spark, path)

@@ -19,6 +19,7 @@ from tableferry.functions.bitmap import bytes_to_text
 from tableferry.functions.names import qualified, quote
 from tableferry.operators.projection import compare_conversions
 from tableferry.operators.verify import count_rows, verification_counts
+from tableferry.plans.ledger import ledger_rows
 from tableferry.plans.report import RunReport
 from tableferry.plans.run import run
 from tableferry.plans.workspace import for_one_call, new_database, shared_folder
@@ -851,6 +852,52 @@ def run_totals_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.totals(spark).withColumn("rows_copied", F.lit(copied).cast("long"))
 
 
+@query(
+    """
+    SELECT c.*, 2 AS loads, 'copied' AS status
+    FROM customer c, (SELECT unnest([1, 2]) AS load)"""
+)
+def append_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a table, each run twice: a repeated load adds nothing."""
+    database = new_database(spark)
+    for load in ("monday", "tuesday"):
+        for _ in range(2):
+            config = _config(
+                spark,
+                sf_dir,
+                {"customer": "customer"},
+                sink_schema=database,
+                save_mode=SaveMode.APPEND,
+                verify=Verify.FINGERPRINT,
+                load_id=load,
+            )
+            status = run(spark, config).outcomes[0].status
+    loads = ledger_rows(spark, config).where("state = 'copied'").count()
+    return _sink(spark, config, "customer").withColumns({"loads": F.lit(loads), "status": F.lit(status)})
+
+
+@query(
+    """
+    SELECT s.sink, s.first, 'copied' AS second, s.attempts,
+           CASE s.sink WHEN 'orders' THEN (SELECT COUNT(*) FROM orders)
+                       ELSE (SELECT COUNT(*) FROM customer) END AS rows_in_sink
+    FROM (VALUES ('orders', 'failed', 2), ('customer', 'copied', 1)) s(sink, first, attempts)"""
+)
+def run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of which one table failed; run again, it copies that one alone."""
+    sinks = ["orders", "customer"]
+    config = _config(spark, sf_dir, {t: t for t in sinks}, load_id="once", verify=Verify.ADDED, save_mode=SaveMode.APPEND)
+    orders = qualified(config.sink_schema, "orders")
+    spark.sql(f"CREATE TABLE {orders} (other BIGINT) USING parquet")  # does not take the rows
+    first = run(spark, config, fail_on_error=False)
+    spark.sql(f"DROP TABLE {orders}")
+    second = run(spark, config)
+    begun = ledger_rows(spark, config).where("state = 'begun'").groupBy("sink").agg(F.count(F.lit(1)).cast("int").alias("attempts"))
+    rows = [(t, first.outcome(t).status, second.outcome(t).status) for t in sinks]
+    found = _union([_sink(spark, config, t).agg(F.lit(t).alias("sink"), F.count(F.lit(1)).alias("rows_in_sink")) for t in sinks])
+    return spark.createDataFrame(rows, "sink string, first string, second string").join(begun, "sink").join(found, "sink")
+
+
 # --- sinks at a location of their own ---------------------------------------
 
 

@@ -8,14 +8,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.config import TableSpec, TransferConfig
 from tableferry.functions.masking import mask_text
 from tableferry.operators.swap import recover
+from tableferry.plans.ledger import Ledger
 from tableferry.plans.report import FAILED, RunReport, TableOutcome, TransferFailed
 from tableferry.plans.transfer import transfer_table
 from tableferry.sources.logical import discovered
+from tableferry.sources.scan import open_table
 
 log = logging.getLogger(__name__)
 
@@ -28,13 +30,36 @@ def describe(error: Exception) -> str:
     return mask_text(text.strip())
 
 
+def _opened(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame | None:
+    """The source of a table; None if it cannot be opened, which its own transfer will tell."""
+    try:
+        return open_table(spark, config, spec)
+    except Exception:
+        return None
+
+
+def _size(table: DataFrame | None) -> int:
+    """Bytes that Spark expects of a source; very many where the source does not say."""
+    if table is None:
+        return 0
+    try:
+        return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return 0
+
+
+def longest_first(numbered: list[tuple[int, TableSpec]], sizes: dict[int, int]) -> list[tuple[int, TableSpec]]:
+    """The tables in the order in which they should begin: large ones first, else as listed."""
+    return sorted(numbered, key=lambda one: (-sizes.get(one[0], 0), one[0]))
+
+
 def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True) -> RunReport:
     """Copy every table; one that fails does not stop the others.
 
     Tables go one after another, or up to ``max_concurrent`` at a time, each as
     its own Spark jobs. Outcomes keep the order of the list either way. If any
     table failed, :class:`TransferFailed` is raised at the end, unless
-    ``fail_on_error`` is off. Overwrites that a job began and did not live to
+    ``fail_on_error`` is off. Of several at a time the larger ones begin first. Overwrites that a job began and did not live to
     finish are settled first.
     """
 
@@ -46,9 +71,25 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
     except Exception as error:  # the tables themselves will tell what is wrong with the schema
         log.warning("looking for swaps that died: %s", describe(error))
 
-    def isolated(order: int, spec: TableSpec) -> TableOutcome:
+    ledger = Ledger(spark, config) if config.load_id else None
+    attempts = ledger.attempts() if ledger else {}
+
+    def loaded(order: int, spec: TableSpec, table: DataFrame | None) -> TableOutcome:
+        given = () if table is None else (table,)
+        if ledger is None:
+            return transfer_table(spark, config, spec, order, *given)
+        attempt = attempts.get(spec.sink_name)
+        if earlier := ledger.done(spec, order, attempt):
+            log.info("%s: done by an earlier run of load %s", spec.source, config.load_id)
+            return earlier
+        ledger.begin(spec, attempt)
+        outcome = transfer_table(spark, config, spec, order, *given)
+        ledger.end(spec, outcome)
+        return outcome
+
+    def isolated(order: int, spec: TableSpec, table: DataFrame | None = None) -> TableOutcome:
         try:
-            return transfer_table(spark, config, spec, order)
+            return loaded(order, spec, table)
         except Exception as error:
             reason = describe(error)
             log.error("%s failed: %s", spec.source, reason)
@@ -66,12 +107,18 @@ def run(spark: SparkSession, config: TransferConfig, fail_on_error: bool = True)
         with ThreadPoolExecutor(min(config.max_concurrent, len(numbered))) as pool:
             # each table gets its own copy of the caller's Spark properties: a shared
             # one would mix up the job labels of tables that run at the same time
-            waiting = [
-                pool.submit(inheritable_thread_target(spark)(isolated), order, spec)
-                for order, spec in numbered
-            ]
+            def submit(*work):
+                return pool.submit(inheritable_thread_target(spark)(work[0]), *work[1:])
+
+            opened: dict[int, DataFrame] = {}
+            if len(numbered) > config.max_concurrent:
+                # a large table that begins last would run alone
+                looked = {order: submit(_opened, spark, config, spec) for order, spec in numbered}
+                opened = {order: w.result() for order, w in looked.items()}
+                numbered = longest_first(numbered, {o: _size(t) for o, t in opened.items()})
+            waiting = {order: submit(isolated, order, spec, opened.get(order)) for order, spec in numbered}
             try:
-                outcomes = [w.result() for w in waiting]
+                outcomes = [waiting[order].result() for order in sorted(waiting)]
             except BaseException:  # an interrupt: tables not yet begun stay undone
                 pool.shutdown(wait=False, cancel_futures=True)
                 raise

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.config import ConfigError, OnEmpty, SaveMode, TableSpec, TransferConfig, Verify
 from tableferry.operators import newfiles, verify
-from tableferry.operators.fingerprint import PARTS, ROWS, facts, row_count
+from tableferry.operators.fingerprint import ROWS, facts, row_count
 from tableferry.operators.projection import bitmap_text_columns, project
 from tableferry.operators.rowfilter import apply_filter, is_empty, is_repeatable
 from tableferry.operators.sink import (
     check_existing,
     create_sink,
+    described,
     insert,
     insert_observed,
     sink_exists,
@@ -21,6 +23,7 @@ from tableferry.operators.sink import (
 )
 from tableferry.operators.swap import replace
 from tableferry.plans.labels import labelled
+from tableferry.plans.ledger import mark_of
 from tableferry.plans.report import (
     COPIED,
     FAILED,
@@ -38,11 +41,15 @@ class SinkNotEmpty(RuntimeError):
 
 
 def transfer_table(
-    spark: SparkSession, config: TransferConfig, spec: TableSpec, order: int = 1
+    spark: SparkSession,
+    config: TransferConfig,
+    spec: TableSpec,
+    order: int = 1,
+    table: DataFrame | None = None,
 ) -> TableOutcome:
     """Copy one table. Errors are raised, a failed verification is an outcome.
 
-    The source is opened once, so that every job sees the same listing of it,
+    The source is opened once, unless it is given as ``table``, so that every job sees the same listing of it,
     and is scanned in full once.
     """
     total = len(config.tables)
@@ -54,7 +61,7 @@ def transfer_table(
 
     with labelled(spark.sparkContext, spec.source, order, total) as step:
         step("looking at the source")
-        table = open_table(spark, config, spec)
+        table = open_table(spark, config, spec) if table is None else table
         rows = apply_filter(table, config.filter)
         projected = project(rows, config.bitmap_to_binary)
         converted = bitmap_text_columns(rows) if config.bitmap_to_binary else []
@@ -79,7 +86,7 @@ def transfer_table(
         added_to = mode is SaveMode.APPEND and may_hold_rows
         if config.verify in (Verify.ADDED, Verify.FINGERPRINT):
             step("writing and verifying")
-            status, found = _checked_write(spark, config, table, projected, sink, added_to)
+            status, found = _checked_write(spark, config, spec, table, projected, sink, added_to)
             return outcome(status, **found)
         condition = config.filter if added_to else None
         rows_before = None
@@ -93,7 +100,7 @@ def transfer_table(
         if mode is SaveMode.OVERWRITE and not is_empty(spark.table(sink)):
             source_rows = replace(spark, projected, sink, config.rebalance)
         else:
-            source_rows = insert(spark, projected, sink, mode is SaveMode.OVERWRITE, config.rebalance)
+            source_rows = _insert(spark, config, spec, projected, sink)
         if source_rows == 0 and not _may_truncate(config):
             return outcome(SKIPPED_EMPTY, source_rows=0)
         if config.verify is Verify.OFF:
@@ -131,9 +138,20 @@ def transfer_table(
         )
 
 
+def _insert(
+    spark: SparkSession, config: TransferConfig, spec: TableSpec, projected: DataFrame, sink: str
+) -> int | None:
+    mark = mark_of(config, spec)
+    if mark and newfiles.can_be_told(spark, sink, described(spark, sink)):
+        written = insert_observed(spark, projected, sink, False, config.rebalance, mark=mark)
+        return written[ROWS] if written else None
+    return insert(spark, projected, sink, config.save_mode is SaveMode.OVERWRITE, config.rebalance)
+
+
 def _checked_write(
     spark: SparkSession,
     config: TransferConfig,
+    spec: TableSpec,
     table: DataFrame,
     projected: DataFrame,
     sink: str,
@@ -141,25 +159,26 @@ def _checked_write(
 ) -> tuple[str, dict]:
     """Write, and compare facts about the rows written with those about the rows found.
 
-    After an append the rows found are those of its new files, so what the sink held and what other
-    jobs append meanwhile does not matter. Facts can be added up: for a sink that is not
-    made of files they are taken before and after, and subtracted.
+    After an append the rows found are those of its own files, so what the sink held and what other
+    jobs append meanwhile does not matter. Facts can be added up: where rows cannot be told by
+    their files they are taken before and after, and subtracted.
     """
     by_value = config.verify is Verify.FINGERPRINT
     measured = facts if by_value else row_count
+    overwrite = config.save_mode is SaveMode.OVERWRITE
 
-    def of_sink() -> dict[str, int]:
-        spark.catalog.refreshTable(sink)
-        whole = spark.table(sink)
-        return whole.agg(*measured(whole.schema)).first().asDict()
+    def of(rows: DataFrame) -> dict[str, int]:
+        return rows.agg(*measured(schema)).first().asDict()
 
-    writes = newfiles.writes_of(spark, sink) if added_to else None
-    before = of_sink() if added_to and writes is None else None
+    schema = spark.table(sink).schema
+    mark = None
+    if config.save_mode is SaveMode.APPEND and newfiles.can_be_told(spark, sink, described(spark, sink)):
+        mark = mark_of(config, spec) or uuid.uuid4().hex
+    before = of(spark.table(sink)) if added_to and not mark else None
 
     def write(spark: SparkSession, rows: DataFrame, to: str, overwrite: bool, rebalance: bool):
-        return insert_observed(spark, rows, to, overwrite, rebalance, measured)
+        return insert_observed(spark, rows, to, overwrite, rebalance, measured, mark)
 
-    overwrite = config.save_mode is SaveMode.OVERWRITE
     if overwrite and not is_empty(spark.table(sink)):
         written = replace(spark, projected, sink, config.rebalance, write)
     else:
@@ -167,31 +186,25 @@ def _checked_write(
     if written and written[ROWS] == 0 and not _may_truncate(config):
         return SKIPPED_EMPTY, {"source_rows": 0}
 
-    schema = spark.table(sink).schema
-    if writes is not None:
-        found = newfiles.facts_by_write(spark, sink, writes, measured(schema)) or [dict.fromkeys([ROWS, *PARTS] if by_value else [ROWS], 0)]
-    elif before:
-        found = [{k: v - before[k] for k, v in of_sink().items()}]
-    else:
-        found = [of_sink()]
-    if written not in found and is_repeatable(table, config.filter):
+    spark.catalog.refreshTable(sink)
+    found = of(newfiles.rows_of(spark, sink, mark) if mark else spark.table(sink))
+    if before:
+        found = {k: v - before[k] for k, v in found.items()}
+    if written != found and is_repeatable(table, config.filter):
         # the facts did not come, or a sink that shuffles the rows once more had lost tasks counted twice
-        written = projected.agg(*measured(schema)).first().asDict()
-    # of several jobs' appends, the one that fits or else the nearest is this one's
-    own = min(found, key=lambda f: (f != written, abs(f[ROWS] - (written or f)[ROWS])))
-    verified = written is not None and own == written
+        written = of(projected)
     error = None
     if written is None:
         error = "verification failed: the write gave no facts about its rows"
-    elif own[ROWS] != written[ROWS]:
-        error = f"verification failed: {written[ROWS]} source rows, {own[ROWS]} new sink rows"
-    elif not verified:
-        error = f"verification failed: the values of the {own[ROWS]} new sink rows are not those of the source"
-    return COPIED if verified else FAILED, {
+    elif found[ROWS] != written[ROWS]:
+        error = f"verification failed: {written[ROWS]} source rows, {found[ROWS]} new sink rows"
+    elif found != written:
+        error = f"verification failed: the values of the {found[ROWS]} new sink rows are not those of the source"
+    return FAILED if error else COPIED, {
         "source_rows": written[ROWS] if written else None,
         "rows_before": before[ROWS] if before else None if added_to else 0,
-        "sink_rows": own[ROWS] + (before[ROWS] if before else 0),
-        "verified": verified,
+        "sink_rows": found[ROWS] + (before[ROWS] if before else 0),
+        "verified": error is None,
         "error": error,
     }
 

@@ -10,6 +10,7 @@ from tableferry.config import TableSpec, TransferConfig
 from tableferry.functions.names import quote
 from tableferry.operators.rowfilter import apply_filter
 from tableferry.sources.logical import native_schema, tag_logical_types
+from tableferry.sources.splits import both, ends_of_ranges, predicates, united
 
 log = logging.getLogger(__name__)
 
@@ -42,18 +43,50 @@ def read_table(
 
 
 def open_table(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
-    """All rows of one table, with its logical column types in the metadata."""
-    options = {**config.source_options, **spec.source_options}
-    _warn_of_one_task(config.source_format, spec.source, options)
-    table = read_table(
-        spark, config.source_format, spec.source, config.source_table_key, options, spec.schema
-    )
+    """All rows of one table, with its logical column types in the metadata.
+
+    A source that takes a predicate gets the filter of the run, which Spark evaluates again on
+    what comes, and the ranges of a table that is to be split.
+    """
+    table = _split(spark, config, spec) if spec.split_column else _scan(spark, config, spec)
     tagged = tag_logical_types(table, spec.logical_types)
     if log.isEnabledFor(logging.INFO):
         log.info("schema of %s:\n%s", spec.source, tagged.schema.treeString())
     return tagged
 
 
+def _scan(spark: SparkSession, config: TransferConfig, spec: TableSpec, within: str | None = None) -> DataFrame:
+    """One scan of the source, of a range of its rows if one is given."""
+    options = {**config.source_options, **spec.source_options}
+    if key := config.source_predicate_key:
+        wanted = config.filter if isinstance(config.filter, str) else None
+        if said := both(options.get(key), wanted, within):
+            options[key] = said
+    if within is None and not spec.split_column:
+        _warn_of_one_task(config.source_format, spec.source, options)
+    return read_table(
+        spark, config.source_format, spec.source, config.source_table_key, options, spec.schema
+    )
+
+
+def _split(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
+    """Scans of disjoint ranges side by side.
+
+    Spark evaluates the ranges too, so rows come once even if the source takes no notice of them.
+    """
+    whole = _scan(spark, config, spec)
+    column = quote(spec.split_column)
+    ends = ends_of_ranges(apply_filter(whole, config.filter), spec.split_column, spec.splits)
+    ranges = predicates(spec.split_column, ends)
+    if not ranges:
+        return whole
+    if config.source_format.lower() == "jdbc" and not config.source_predicate_key:
+        options = {**config.source_options, **spec.source_options}
+        return spark.read.jdbc(options.pop("url"), spec.source, predicates=ranges, properties=options)
+    checks = predicates(column, ends)
+    return united([_scan(spark, config, spec, r).where(check) for r, check in zip(ranges, checks)])
+
+
 def open_source(spark: SparkSession, config: TransferConfig, spec: TableSpec) -> DataFrame:
     """The filtered rows of one table, with its logical column types in the metadata."""
     return apply_filter(open_table(spark, config, spec), config.filter)
@@ -63,8 +96,8 @@ def _warn_of_one_task(source_format: str, table: str, options: dict[str, str]) -
     given = {k.lower() for k in options}
     if source_format.lower() == "jdbc" and not given & {"numpartitions", "partitioncolumn"}:
         log.warning(
-            "%s is read by one task; give it partitionColumn, lowerBound, upperBound and "
-            "numPartitions as table options",
+            "%s is read by one task; give it a split column, or partitionColumn, lowerBound, "
+            "upperBound and numPartitions as table options",
             table,
         )
 

@@ -1,0 +1,57 @@
+"""A source for tests that cannot split its scan and takes a predicate as an option.
+
+Every scan appends the number of rows that it gives away to a file. Options:
+
+* ``table``: table id
+* ``where``: predicate that the source evaluates
+* ``log``: file that records scans
+* ``rows``: rows in all; ``k`` is null for one in ten, 7 for a third, else the number of the row
+* ``deaf``: take no notice of the predicate
+"""
+
+from __future__ import annotations
+
+import os
+import re
+
+from pyspark.sql.datasource import DataSource, DataSourceReader
+
+FORMAT = "predicated"
+
+
+class PredicateSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self) -> str:
+        return "id bigint, k bigint"
+
+    def reader(self, schema) -> PredicateReader:
+        return PredicateReader(dict(self.options))
+
+
+def key(i: int) -> int | None:
+    return None if i % 10 == 0 else 7 if i % 3 == 0 else i
+
+
+def meets(where: str, row: dict) -> bool:
+    """SQL's AND, OR, =, IS NULL over two columns, as Python says them; null compares as false."""
+    said = re.sub(r"(\w+) IS NULL", r"(\1 is None)", where)
+    said = re.sub(r"(\w+) (<=|>=|<|>|=) (-?\d+)", r"(\1 is not None and \1 \2 \3)", said)
+    said = re.sub(r"(?<![<>!=])=(?!=)", "==", said).replace("AND", "and").replace("OR", "or")
+    return bool(eval(said, {}, row))
+
+
+class PredicateReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+
+    def read(self, partition):
+        where = "" if "deaf" in self.options else self.options.get("where", "")
+        rows = [(i, key(i)) for i in range(int(self.options["rows"]))]
+        found = [r for r in rows if not where or meets(where, {"id": r[0], "k": r[1]})]
+        with open(self.options["log"], "a") as f:
+            f.write(f"{len(found)}\n")
+            os.fsync(f.fileno())
+        yield from found
