@@ -47,8 +47,9 @@ TOP = 2000
 #: Words of a shard that one automaton is built from
 FRAGMENT_WORDS = 1 << 19
 #: Text of a range, and the most ranges
-RANGE_BYTES = 12 << 20
+RANGE_BYTES = 8 << 20
 MOST_RANGES = 50_000
+MOST_TASKS = 100_000
 #: About so many words are sampled for the cuts, of which one n-gram in MARK_EVERY comes to the driver
 SAMPLE_WORDS = 4_000_000
 MARK_EVERY = 32
@@ -459,7 +460,8 @@ class Phrases:
         )
         self.cuts = self._cuts(rows)
         parts = rows.mapInArrow(_cut(FRAGMENT_WORDS, self.cuts), "range int, lang string, automaton binary")
-        self.tasks = max(1, min(len(self.cuts) + 1, 20_000))
+        # several times the ranges, so that few of them meet in one task by chance
+        self.tasks = min(4 * (len(self.cuts) + 1), MOST_TASKS)
         parts = parts.repartition(self.tasks, "range", "lang").sortWithinPartitions("range", "lang")
         self.ranges = self.scratch.keep(parts.mapInArrow(_union(least, self.cuts), _UNION), "ranges")
         shared = self.ranges.select("lang", F.explode("opened").alias("o")).groupBy("lang", "o.phrase").agg(F.sum("o.a").alias("a"))
