@@ -17,11 +17,13 @@ corpus in a table of a fixed size.
 Work on large groups stays in proportion to their rows:
 
 * equal sets are one class, collapsed before the shuffle;
-* each class is first compared with the centres (members drawn by hash) of cells
-  that it shares most with, and the components of the verified links leave only
-  cells that hold several of them (likewise for the pairs that the trees leave over);
-* those are cut into blocks of a bounded size. A block is a packed tree; blocks of
-  one cell meet only if their bounds (sizes, components, counts) allow a link.
+* in the first round each cell is cut into blocks, each block is a tree, and the trees are joined with
+  themselves: a row gives away its best candidates by the bound, a few of them. Cells of one block
+  that had no more are done. The points are coarse here, 64 groups, as they go along with every row;
+* links come out of verified candidates, and components out of links. Of the cells that are not done, those that hold
+  several components are looked at again, in a second round with a few candidates for each pair of components,
+  and in a third without any limit. Blocks of one cell meet only if their bounds (sizes, components,
+  counts) allow a link.
 
 No step caps partners or candidates. Shingles are compared by 64-bit hashes.
 
@@ -40,6 +42,7 @@ from dataclasses import dataclass
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -48,14 +51,14 @@ from pyspark.sql import functions as F
 from tableferry.functions.names import quote
 
 from .components import components
-from .shared import Scratch, added_up, batches, sliced, text_column
+from .shared import SLICE_ROWS, Scratch, added_up, batches, sliced, text_column
 from .words import SPACED, Words, pieces, window_hashes
 
 SHINGLE = 5
 #: Similarity as a percentage
 SIMILARITY = 80
-#: Groups that a set's shingles are counted in: about half its size, a power of two within these
-LEAST_GROUPS, MOST_GROUPS = 64, 8192
+#: Groups that a set's shingles are counted in: its size up to the next power of two, within these
+LEAST_GROUPS, MOST_GROUPS = 64, 16384
 FAN_OUT = 16
 #: Rows of a cell up to which its pairs of sizes are looked at before anything else
 SHORT_RUN = 8
@@ -68,14 +71,14 @@ class Sizes:
     """Sizes of tables and work units. They change what a join costs, not what it finds.
 
     ``order_bits``: entries of the table that orders shingles; ``deal``: rows of a
-    cell that go to one task; ``block``: points of a tree; ``centres``: others that
-    a class is compared with before everything else.
+    cell that go to one task; ``block``: points of a tree; ``few``: candidates of a row in the first
+    round, and twice as many of two components in the second.
     """
 
     order_bits: int = 18
     deal: int = 2048
     block: int = 256
-    centres: int = 6
+    few: int = 3
 
 
 _ID_BITS = 23
@@ -118,21 +121,40 @@ def reach(n: Column, place: Column, similarity: int) -> Column:
 
 
 def point_of(own: np.ndarray) -> bytes:
-    """The counts of a set by group: a byte that tells their width in bytes, then the counts."""
-    groups = 1 << (len(own) // 2).bit_length()
-    groups = min(max(groups, LEAST_GROUPS), MOST_GROUPS)
+    """The counts of a set by group: a byte that tells their width in bytes, 0 for half a byte, then the counts."""
+    groups = min(max(1 << len(own).bit_length(), LEAST_GROUPS), MOST_GROUPS)
     counts = np.bincount((own % np.uint64(groups)).astype(np.int64), minlength=groups)
+    if counts.max() < 16:
+        return b"\0" + (counts[0::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
     width = np.min_scalar_type(counts.max())
     return bytes([width.itemsize]) + counts.astype(width).tobytes()
 
 
+def _counts(point: bytes) -> np.ndarray:
+    if point[0]:
+        return np.frombuffer(point, f"u{point[0]}", offset=1)
+    pairs = np.frombuffer(point, np.uint8, offset=1)
+    return np.column_stack((pairs & 15, pairs >> 4)).ravel()
+
+
 def folded(points: list[bytes]) -> np.ndarray:
     """Points as rows over the fewest groups that any of them has: groups nest, so counts add up."""
-    groups = min((len(x) - 1) // x[0] for x in points)
-    out = np.empty((len(points), groups), np.int32)
-    for i, x in enumerate(points):
-        out[i] = np.frombuffer(x, f"u{x[0]}", offset=1).reshape(-1, groups).sum(axis=0)
-    return out
+    rows = [_counts(x) for x in points]
+    groups = min(len(x) for x in rows)
+    return np.stack([x.reshape(-1, groups).sum(axis=0, dtype=np.int32) for x in rows])
+
+
+def coarse(points: list[bytes]) -> np.ndarray:
+    """Points over LEAST_GROUPS groups in a byte each: a scale, then the counts in its units, rounded up."""
+    counts = np.stack([_counts(x).reshape(-1, LEAST_GROUPS).sum(axis=0, dtype=np.int64) for x in points])
+    scale = np.maximum(1, -(-counts.max(axis=1) // 255))
+    return np.column_stack((scale, -(-counts // scale[:, None]))).astype(np.uint8)
+
+
+def _from_coarse(column: pa.Array) -> np.ndarray:
+    """Counts that are not below the true ones."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), LEAST_GROUPS + 1)
+    return raw[:, 1:].astype(np.int32) * raw[:, :1]
 
 
 # ------------------------------------------------------------------ classes
@@ -316,51 +338,63 @@ def _verified(pairs, texts, classes, scratch, name, k, similarity) -> DataFrame:
 
 
 class Tree:
-    """A packed R-tree over the count vectors of a block, ``FAN_OUT`` entries a node.
+    """Packed R-trees over the count vectors of blocks, one for each, ``FAN_OUT`` entries a node.
 
     A level holds for each entry the largest counts, the smallest and largest
-    size, the largest reach and the smallest and largest component below it.
+    size, the largest reach and the smallest and largest component below it. ``block``
+    numbers the block of each row, ascending; nodes end where their block ends.
     """
 
-    def __init__(self, n, comp, far, points, height: int = 0):
+    def __init__(self, n, comp, far, points, block=None, height: int = 0):
         self.levels = [(points, n, n, far, comp, comp)]
-        while len(self.levels[-1][0]) > FAN_OUT or len(self.levels) < height:
-            at = np.arange(0, len(self.levels[-1][0]), FAN_OUT)
+        self.begins: list[np.ndarray] = [np.arange(len(n) + 1)]
+        block = np.zeros(len(n), np.int64) if block is None else block
+        self.trees = 1 + int((block[1:] != block[:-1]).sum())
+        while len(self.levels[-1][0]) > self.trees or len(self.levels) < height:
+            new = np.concatenate(([True], block[1:] != block[:-1]))
+            start = np.flatnonzero(new)
+            place = np.arange(len(block)) - np.repeat(start, np.diff(np.append(start, len(block))))
+            at = np.flatnonzero(place % FAN_OUT == 0)
             combine = (np.maximum, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
             self.levels.append(
                 tuple(f.reduceat(x, at) for f, x in zip(combine, self.levels[-1]))
             )
+            self.begins.append(np.append(at, len(block)))
+            block = block[at]
 
     def below(self, level: int, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(place in entries, entry of the next level)`` for all children."""
-        begin = entries * FAN_OUT
-        count = np.minimum(begin + FAN_OUT, len(self.levels[level - 1][0])) - begin
+        begin = self.begins[level][entries]
+        count = self.begins[level][entries + 1] - begin
         parent = np.repeat(np.arange(len(entries)), count)
         return parent, begin[parent] + np.arange(len(parent)) - (np.cumsum(count) - count)[parent]
 
 
-def _possible(a, b, i: np.ndarray, j: np.ndarray, similarity: int) -> np.ndarray:
-    """Which pairs of entries may hold a link between different components."""
-    most_a, low_a, high_a, far_a, first_a, last_a = (x[i] for x in a)
-    most_b, low_b, high_b, far_b, first_b, last_b = (x[j] for x in b)
+def _possible(a, b, i: np.ndarray, j: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of entries that may hold a link between different components, and how far
+    the bound is above what the link needs."""
+    most_a, low_a, high_a, far_a, first_a, last_a = (x[i] if k else None for k, x in enumerate(a))
+    most_b, low_b, high_b, far_b, first_b, last_b = (x[j] if k else None for k, x in enumerate(b))
     one = (first_a == last_b) & (last_a == first_b)
     out = (low_a <= far_b) & (low_b <= far_a) & ~one
     out &= (similarity * low_a <= 100 * high_b) & (similarity * low_b <= 100 * high_a)
     at = np.flatnonzero(out)
-    bound = np.minimum(most_a[at], most_b[at]).sum(axis=1, dtype=np.int64)
-    out[at] = bound >= enough(low_a[at], low_b[at], similarity)
-    return out
+    bound = np.minimum(a[0][i[at]], b[0][j[at]]).sum(axis=1, dtype=np.int64)
+    need = enough(low_a[at], low_b[at], similarity)
+    fits = bound >= need
+    return at[fits], (bound / need)[fits]
 
 
-def tree_join(a: Tree, b: Tree, similarity: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of points that may be linked, by descending both trees at once.
+def tree_join(a: Tree, b: Tree, similarity: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of points that may be linked, by descending both trees at once, and their bounds.
 
-    ``same``: the trees are one, and each pair is wanted once. Trees have equal height.
+    ``same``: the trees are the same, each is joined with itself, and each pair is wanted once.
+    Trees have equal height.
     """
     top = len(a.levels) - 1
     most = max(1, COUNTS_AT_ONCE // a.levels[0][0].shape[1])
-    i, j = np.divmod(np.arange(len(a.levels[top][0]) * len(b.levels[top][0])), len(b.levels[top][0]))
-    todo = [(top, i, j)]
+    roots = np.arange(a.trees)
+    todo = [(top, roots, roots)]
     while todo:
         level, i, j = todo.pop()
         if same:
@@ -369,16 +403,27 @@ def tree_join(a: Tree, b: Tree, similarity: int, same: bool) -> Iterator[tuple[n
         if len(i) > most:
             todo += [(level, i[k : k + most], j[k : k + most]) for k in range(0, len(i), most)]
             continue
-        fits = _possible(a.levels[level], b.levels[level], i, j, similarity)
+        fits, bound = _possible(a.levels[level], b.levels[level], i, j, similarity)
         i, j = i[fits], j[fits]
         if not len(i):
             continue
         if not level:
-            yield i, j
+            yield i, j, bound
             continue
         at, i = a.below(level, i)
-        at, j = b.below(level, j[at])
-        todo.append((level - 1, i[at], j))
+        again, j = b.below(level, j[at])
+        todo.append((level - 1, i[again], j))
+
+
+def _first_of(keys: np.ndarray, few: int) -> np.ndarray:
+    """Which places are among the first ``few`` of their key."""
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate(([True], keys[order][1:] != keys[order][:-1]))
+    start = np.flatnonzero(new)
+    rank = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
+    out = np.empty(len(keys), bool)
+    out[order] = rank < few
+    return out
 
 
 def _same_groups(a, b):
@@ -387,16 +432,84 @@ def _same_groups(a, b):
     return [(*x[:4], x[4].reshape(len(x[0]), -1, groups).sum(axis=1)) for x in (a, b)]
 
 
-def _surviving(a, b, similarity: int, same: bool) -> np.ndarray:
-    """Rows (smaller class, larger class) of two blocks in different components."""
+def _surviving(a, b, similarity: int, same: bool, few: int | None = None) -> np.ndarray:
+    """Rows (smaller class, larger class) of two blocks in different components.
+
+    With ``few``, the best pairs by their bounds: so many for each row and for each two components.
+    """
     height = max(len(Tree(*x[1:]).levels) for x in (a, b))
     left = Tree(*a[1:], height=height)
     right = left if same else Tree(*b[1:], height=height)
-    found = [
-        np.column_stack((np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])))
-        for i, j in tree_join(left, right, similarity, same)
-    ]
-    return np.concatenate([np.zeros((0, 2), np.int64), *found])
+    found = list(tree_join(left, right, similarity, same))
+    if not found:
+        return np.zeros((0, 2), np.int64)
+    i, j, bound = (np.concatenate(x) for x in zip(*found))
+    if few is not None:
+        best = np.argsort(-bound, kind="stable")
+        i, j = i[best], j[best]
+        chosen = _first_of(i, few)
+        i, j = i[chosen], j[chosen]
+        ends = np.sort(np.column_stack((a[2][i], b[2][j])), axis=1)
+        _, key = np.unique(ends, axis=0, return_inverse=True)
+        chosen = _first_of(key.ravel(), few)
+        i, j = i[chosen], j[chosen]
+    return np.column_stack((np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])))
+
+
+def _first_round(similarity: int, most: int, few: int):
+    """Rows (cell, n, cls, reach, point) sorted by cell: candidates (a, b), and cells that are not done.
+
+    Each cell is cut into blocks of ``most`` rows. All blocks of a batch are joined with themselves at once.
+    """
+
+    def joined(cols: list[np.ndarray], block: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        cell, n, cls, far, points = cols
+        tree = Tree(n, cls, far, points, block)
+        found = list(tree_join(tree, tree, similarity, True))
+        if not found:
+            return [np.zeros(0, np.int64)] * 2, np.zeros(0, np.int64)
+        i, j, bound = (np.concatenate(x) for x in zip(*found))
+        best = np.argsort(-bound, kind="stable")
+        i, j = i[best], j[best]
+        chosen = _first_of(i, few)
+        left = np.unique(cell[i[~chosen]])
+        i, j = i[chosen], j[chosen]
+        return [np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])], left
+
+    def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        last, cut = None, False  # the last cell, and whether a block of it has been joined
+
+        def out(cols: list[np.ndarray], block: np.ndarray, long: np.ndarray) -> pa.RecordBatch:
+            (a, b), left = joined(cols, block)
+            pairs = np.unique(np.column_stack((a, b)), axis=0)
+            cells = np.unique(np.concatenate((left, long)))
+            none, empty = pa.nulls(len(cells), pa.int64()), pa.nulls(len(pairs), pa.int64())
+            columns = [pa.concat_arrays([pa.array(pairs[:, k]), none]) for k in (0, 1)]
+            return pa.record_batch([*columns, pa.concat_arrays([empty, pa.array(cells)])], ["a", "b", "cell"])
+
+        for batch in each:
+            for part in range(0, batch.num_rows, 4 * SLICE_ROWS):
+                rows = batch.slice(part, 4 * SLICE_ROWS)
+                cols = [rows.column(k).to_numpy(zero_copy_only=False) for k in range(4)] + [_from_coarse(rows.column(4))]
+                if held:
+                    cols = [np.concatenate((x, y)) for x, y in zip(held, cols)]
+                cell = cols[0]
+                start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+                size = np.diff(np.append(start, len(cell)))
+                long = size > most
+                long[0] |= cut and cell[0] == last
+                # the last cell may go on: only whole blocks of it are joined yet
+                upto = int(start[-1] + size[-1] // most * most)
+                place = np.arange(len(cell)) - np.repeat(start, size)
+                if upto:
+                    yield out([x[:upto] for x in cols], np.cumsum(place[:upto] % most == 0), cell[start[long]])
+                cut = upto > start[-1] or bool(len(start) == 1 and cut and cell[0] == last)
+                last, held = cell[-1], [x[upto:] for x in cols]
+        if held and len(held[0]):
+            yield out(held, np.zeros(len(held[0]), np.int64), held[0][:1] if cut else held[0][:0])
+
+    return run
 
 
 def _within_bound(similarity: int):
@@ -443,7 +556,7 @@ _BLOCK_SCHEMA = pa.schema(
 )
 
 
-def _blocks(similarity: int, most: int):
+def _blocks(similarity: int, most: int, few: int | None):
     """Of rows sorted by cell: pairs of the cells that fit in a block, blocks of the others."""
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +568,7 @@ def _blocks(similarity: int, most: int):
             cell, n, cls, comp, far, total, points = rows
             block = (cls, n, comp, far, folded(list(points)))
             if len(cls) == total[0]:
-                found = _surviving(block, block, similarity, True)
+                found = _surviving(block, block, similarity, True, few)
                 out += [{"a": a, "b": b} for a, b in found.tolist()]
                 return
             serial += 1
@@ -501,30 +614,42 @@ def _blocks(similarity: int, most: int):
     return run
 
 
-def _block_pairs(similarity: int):
+def _block_pairs(similarity: int, few: int | None):
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [np.zeros((0, 2), np.int64)]
         for same, a, b, size_a, size_b in zip(*(c.to_pylist() for c in batch.columns)):
             a, b = _unpack(a, size_a), _unpack(b, size_b)
-            found.append(_surviving(*_same_groups(a, b), similarity, same))
+            found.append(_surviving(*_same_groups(a, b), similarity, same, few))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return convert
 
 
-def _tree_pairs(cells, classes, comps, compared, scratch, similarity, block) -> DataFrame:
+def _first_candidates(cells, classes, scratch, similarity, sizes: Sizes) -> tuple[DataFrame, DataFrame]:
+    """Candidates of the first round, and the cells that are not done by them."""
+    points = batches(classes.select("cls", "point"), _coarse, "cls long, point binary")
+    rows = cells.join(points, "cls").select("cell", "n", "cls", "reach", "point")
+    rows = rows.repartition("cell").sortWithinPartitions("cell", "n", "cls")
+    found = scratch.keep(rows.mapInArrow(_first_round(similarity, sizes.block, sizes.few), "a long, b long, cell long"), "first")
+    return found.where("a is not null").select("a", "b").distinct(), found.where("a is null").select("cell").distinct()
+
+
+def _coarse(batch: pa.RecordBatch) -> pa.RecordBatch:
+    points = coarse(batch.column(1).to_pylist())
+    return pa.record_batch([batch.column(0), pa.array([x.tobytes() for x in points], pa.binary())], ["cls", "point"])
+
+
+def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, block, few) -> DataFrame:
     """Candidate pairs across components, from the trees of the cells that hold several.
 
     The smaller set of a pair must reach its own size (it leads); a cell without
-    such a row holds no pair. A cell of up to SHORT_RUN rows is a single leaf: its
-    pairs are put together with those of all other such cells before the points
-    are fetched, as most of them are the same or have been compared before.
+    such a row holds no pair. ``compared`` pairs are left out.
     """
     labelled = cells.join(comps, F.col("cls") == F.col("node"), "left").select(
         "cell", "n", "cls", F.coalesce("component", "cls").alias("comp"), "reach"
     )
-    labelled = scratch.keep(labelled, "labelled")
+    labelled = scratch.keep(labelled, f"{name}-labelled")
     several = (
         labelled.groupBy("cell")
         .agg(
@@ -536,23 +661,13 @@ def _tree_pairs(cells, classes, comps, compared, scratch, similarity, block) ->
         .where("low < high and leads")
         .select("cell", "total")
     )
-    rows = scratch.keep(labelled.join(several, "cell"), "mixed")
-    leaf = rows.where(F.col("total") <= SHORT_RUN).drop("total")
-    other = leaf.select("cell", *[F.col(c).alias(f"o_{c}") for c in leaf.columns if c != "cell"])
-    leaves = (
-        leaf.join(other, "cell")
-        .where("cls < o_cls and comp <> o_comp and n <= o_reach and o_n <= reach")
-        .select(F.col("cls").alias("a"), F.col("o_cls").alias("b"))
-        .distinct()
-        .join(compared, ["a", "b"], "left_anti")
-    )
-    leaves = _plausible(leaves, classes, similarity)
-    rows = rows.where(F.col("total") > SHORT_RUN).join(classes.select("cls", "point"), "cls")
+    rows = scratch.keep(labelled.join(several, "cell"), f"{name}-mixed")
+    rows = rows.join(classes.select("cls", "point"), "cls")
     rows = rows.select("cell", "n", "cls", "comp", "reach", "total", "point")
     # rows that lead together, then rows of one component; a large cell is cut up too
     order = ["cell", F.col("reach") >= F.col("n"), "comp", "n", "cls"]
     packed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    packed = scratch.keep(packed.mapInArrow(_blocks(similarity, block), _BLOCKS), "blocks")
+    packed = scratch.keep(packed.mapInArrow(_blocks(similarity, block, few), _BLOCKS), f"{name}-blocks")
     pairs = packed.where("a is not null").select("a", "b")
     blocks = packed.where("a is null")
     bounds = blocks.drop("a", "b", "block")
@@ -569,9 +684,9 @@ def _tree_pairs(cells, classes, comps, compared, scratch, similarity, block) ->
         .join(body, "id")
         .select((F.col("l_id") == F.col("id")).alias("same"), "l_block", "block", "l_size", "size")
     )
-    more = batches(meet, _block_pairs(similarity), "a long, b long")
+    more = batches(meet, _block_pairs(similarity, few), "a long, b long")
     found = pairs.unionByName(more).distinct().join(compared, ["a", "b"], "left_anti")
-    return scratch.keep(found.unionByName(leaves).distinct(), "candidates")
+    return scratch.keep(found, f"{name}-candidates")
 
 
 # ------------------------------------------------------------------ the join
@@ -632,45 +747,23 @@ def near_duplicates(
     cells = scratch.keep(
         prefixes.repartition(deal, "cell", "salt")
         .sortWithinPartitions("cell", "salt", F.xxhash64("cell", "cls"))
-        .mapInArrow(_shared, "cell long, n long, cls long, centre long, reach long"),
+        .mapInArrow(_shared, "cell long, n long, cls long, centre long, reach long")
+        .drop("centre"),
         "cells",
     )
-    times = cells.where("cls <> centre").groupBy("cls", "centre").agg(F.count(F.lit(1)).alias("times"))
-    first = Window.partitionBy("cls").orderBy(F.desc("times"), F.xxhash64("cls", "centre"))
-    nearest = (
-        times.withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= sizes.centres)
-        .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
-        .distinct()
-    )
-    compared = scratch.keep(nearest, "compared")
-    nearest = scratch.keep(_plausible(compared, classes, similarity), "nearest")
-    stars = _verified(nearest, texts, classes, scratch, "star", shingle, similarity)
-    comps = components(stars, scratch, "star-components")
-    candidates = _tree_pairs(
-        cells.drop("centre"), classes, comps, compared, scratch, similarity, sizes.block
-    )
-    # a few of each class's pairs first: their links settle most of the others
-    few = scratch.keep(_few(candidates, sizes.centres), "few")
-    links = stars.unionByName(_verified(few, texts, classes, scratch, "few", shingle, similarity))
-    comps = components(links, scratch, "few-components")
-    rest = _apart(candidates.join(few, ["a", "b"], "left_anti"), comps)
-    rest = _verified(scratch.keep(rest, "rest"), texts, classes, scratch, "rest", shingle, similarity)
-    return _named(members, classes, links.unionByName(rest), scratch)
-
-
-def _few(pairs: DataFrame, most: int) -> DataFrame:
-    """Up to so many pairs of each class."""
-    both = pairs.select(F.col("a").alias("x"), "a", "b").unionByName(pairs.select(F.col("b").alias("x"), "a", "b"))
-    drawn = Window.partitionBy("x").orderBy(F.xxhash64("a", "b"))
-    return both.withColumn("rank", F.row_number().over(drawn)).where(F.col("rank") <= most).select("a", "b").distinct()
-
-
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs whose classes are not in one component yet."""
-    a, b = (comps.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in ("a", "b"))
-    known = pairs.join(a, "a", "left").join(b, "b", "left")
-    return known.where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
+    candidates, open_cells = _first_candidates(cells, classes, scratch, similarity, sizes)
+    compared = scratch.keep(_plausible(candidates, classes, similarity), "first-plausible")
+    links = _verified(compared, texts, classes, scratch, "first", shingle, similarity)
+    comps = components(links, scratch, "first-components")
+    cells = scratch.keep(cells.join(open_cells, "cell"), "open")
+    # a few links of two components make them one, which settles most of their other pairs
+    for name, few in (("second", 2 * sizes.few), ("third", None)):
+        more = _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, sizes.block, few)
+        links = links.unionByName(_verified(more, texts, classes, scratch, name, shingle, similarity))
+        if few is not None:
+            compared = compared.unionByName(more)
+            comps = components(links, scratch, f"{name}-components")
+    return _named(members, classes, links, scratch)
 
 
 def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -680,10 +773,9 @@ def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Sc
     same = (
         of_id.join(twice, "doc_id")
         .join(classes.select("print", "cls"), "print")
-        .groupBy("doc_id")
-        .agg(F.min("cls").alias("a"), F.collect_set("cls").alias("all"))
-        .select("a", F.explode("all").alias("b"))
+        .select("doc_id", F.col("cls").alias("b"))
     )
+    same = same.join(same.groupBy("doc_id").agg(F.min("b").alias("a")), "doc_id").select("a", "b")
     comps = components(links.unionByName(same), scratch, "components")
     comps = scratch.keep(
         classes.join(comps, F.col("cls") == F.col("node"), "left").select(
@@ -729,13 +821,32 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     inside = documents.select(
         F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"), text.alias("key"), doc_id.alias("id")
     )
-    alone = inside.join(chosen.select("of"), F.col("key") == F.col("of"), "left_anti").select("doc")
-    # equal rows of the text and id that stay: any of them
+    # whole texts are dealt out only where their key may be among those of groups
+    bits = added_up(chosen.select("of").mapInArrow(_bitmap, "v binary"), "v", np.bitwise_or, np.uint8)
+    maybe = _in_bitmap(documents.sparkSession, bits)
+    alone = inside.where(~maybe("key")).select("doc")
+    there = inside.where(maybe("key"))
+    alone = alone.unionByName(there.join(chosen.select("of"), F.col("key") == F.col("of"), "left_anti").select("doc"))
+    # of several rows of the text and id that stay the least, by all columns
     one = (
-        inside.join(chosen.where("stays"), F.col("key") == F.col("of"))
+        there.join(chosen.where("stays"), F.col("key") == F.col("of"))
         .where(F.col("id").eqNullSafe(F.col("keep")))
         .groupBy("key")
-        .agg(F.first("doc").alias("doc"))
+        .agg(F.min_by("doc", F.to_json("doc", {"ignoreNullFields": "false"})).alias("doc"))
         .select("doc")
     )
     return alone.unionByName(one).select("doc.*")
+
+
+def _in_bitmap(spark, bits: np.ndarray | None):
+    """Whether a 64-bit value may be among those of a bitmap."""
+    sent = spark.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(values: pd.Series) -> pd.Series:
+        if sent.value is None:
+            return pd.Series(np.zeros(len(values), bool))
+        at = _id_bit(values.to_numpy())
+        return pd.Series((sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+    return maybe
