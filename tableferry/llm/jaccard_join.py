@@ -42,7 +42,6 @@ from dataclasses import dataclass
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -62,8 +61,10 @@ LEAST_GROUPS, MOST_GROUPS = 64, 16384
 FAN_OUT = 16
 #: Rows of a cell up to which its pairs of sizes are looked at before anything else
 SHORT_RUN = 8
+#: Blocks that a task has ready before it gives them away
+HELD_BYTES = 4 << 20
 #: Counts that are compared at once
-COUNTS_AT_ONCE = 1 << 21
+COUNTS_AT_ONCE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -538,12 +539,13 @@ def _plausible(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFra
 
 def _pack(block) -> bytes:
     *columns, points = block
-    return b"".join([*(x.tobytes() for x in columns), points.astype(np.int32).tobytes()])
+    kind = np.min_scalar_type(points.max(initial=0))
+    return b"".join([bytes([kind.itemsize]), *(x.astype(np.int64).tobytes() for x in columns), points.astype(kind).tobytes()])
 
 
 def _unpack(raw: bytes, m: int):
-    columns = np.frombuffer(raw, np.int64, 4 * m).reshape(4, m)
-    return (*columns, np.frombuffer(raw, np.int32, offset=32 * m).reshape(m, -1))
+    columns = np.frombuffer(raw, np.int64, 4 * m, 1).reshape(4, m)
+    return (*columns, np.frombuffer(raw, f"u{raw[0]}", offset=1 + 32 * m).reshape(m, -1).astype(np.int32))
 
 
 _BLOCKS = (
@@ -587,9 +589,7 @@ def _blocks(similarity: int, most: int, few: int | None):
                 | {"leads": bool((far >= n).any()), "block": _pack(block)}
             )
 
-        for batch in each:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(each):
             out: list[dict] = []
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]]
             cols.append(np.array(batch.column(6).to_pylist(), object))
@@ -605,6 +605,9 @@ def _blocks(similarity: int, most: int, few: int | None):
                     close(out, [x[begin:end] for x in cols])
                 else:
                     held = [x[begin:end] for x in cols]
+                if sum(len(x["block"]) for x in out if "block" in x) > HELD_BYTES:
+                    yield pa.RecordBatch.from_pylist(out, _BLOCK_SCHEMA)
+                    out = []
             yield pa.RecordBatch.from_pylist(out, _BLOCK_SCHEMA)
         if held:
             out = []
@@ -617,7 +620,8 @@ def _blocks(similarity: int, most: int, few: int | None):
 def _block_pairs(similarity: int, few: int | None):
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [np.zeros((0, 2), np.int64)]
-        for same, a, b, size_a, size_b in zip(*(c.to_pylist() for c in batch.columns)):
+        for row in range(batch.num_rows):
+            same, a, b, size_a, size_b = (c[row].as_py() for c in batch.columns)
             a, b = _unpack(a, size_a), _unpack(b, size_b)
             found.append(_surviving(*_same_groups(a, b), similarity, same, few))
         pairs = np.unique(np.concatenate(found), axis=0)
@@ -821,32 +825,15 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     inside = documents.select(
         F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"), text.alias("key"), doc_id.alias("id")
     )
-    # whole texts are dealt out only where their key may be among those of groups
-    bits = added_up(chosen.select("of").mapInArrow(_bitmap, "v binary"), "v", np.bitwise_or, np.uint8)
-    maybe = _in_bitmap(documents.sparkSession, bits)
-    alone = inside.where(~maybe("key")).select("doc")
-    there = inside.where(maybe("key"))
-    alone = alone.unionByName(there.join(chosen.select("of"), F.col("key") == F.col("of"), "left_anti").select("doc"))
+    # one way at every size: whole rows are dealt out once, beside the keys of groups
+    there = inside.join(chosen.hint("merge"), F.col("key") == F.col("of"), "left")
+    alone = there.where(F.col("of").isNull()).select("doc")
     # of several rows of the text and id that stay the least, by all columns
     one = (
-        there.join(chosen.where("stays"), F.col("key") == F.col("of"))
+        there.where("stays")
         .where(F.col("id").eqNullSafe(F.col("keep")))
         .groupBy("key")
         .agg(F.min_by("doc", F.to_json("doc", {"ignoreNullFields": "false"})).alias("doc"))
         .select("doc")
     )
     return alone.unionByName(one).select("doc.*")
-
-
-def _in_bitmap(spark, bits: np.ndarray | None):
-    """Whether a 64-bit value may be among those of a bitmap."""
-    sent = spark.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def maybe(values: pd.Series) -> pd.Series:
-        if sent.value is None:
-            return pd.Series(np.zeros(len(values), bool))
-        at = _id_bit(values.to_numpy())
-        return pd.Series((sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
-
-    return maybe
