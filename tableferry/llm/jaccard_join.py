@@ -284,7 +284,8 @@ def _wanted_sets(sent, k: int):
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column(0)
-        maybe = sent.value[_id_bit(ids.fill_null(0).to_numpy(zero_copy_only=False))]
+        at = _id_bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
+        maybe = (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
         maybe |= ids.is_null().to_numpy(zero_copy_only=False)
         prints, sets = [], []
         for _, words in pieces(batch.column(1).filter(pa.array(maybe)), SPACED):
@@ -322,8 +323,8 @@ def _verified(pairs, texts, classes, scratch, name, k, similarity) -> DataFrame:
     )
     ids = wanted.where("doc_id is not null").select("doc_id")
     bits = added_up(ids.mapInArrow(_bitmap, "v binary"), "v", np.bitwise_or, np.uint8)
-    bits = np.unpackbits(bits).astype(bool) if bits is not None else np.zeros(1 << _ID_BITS, bool)
-    sent = spark.sparkContext.broadcast(bits)
+    # workers keep what is broadcast as long as they live, so the bits stay packed
+    sent = spark.sparkContext.broadcast(np.zeros(1 << _ID_BITS - 3, np.uint8) if bits is None else bits)
     sets = batches(texts, _wanted_sets(sent, k), "print binary, set binary")
     sets = sets.groupBy("print").agg(F.first("set").alias("set"))
     sets = scratch.keep(sets.join(wanted.select("print", "cls"), "print").select("cls", "set"), f"{name}-sets")
@@ -822,16 +823,14 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
         F.col("key").alias("of"), (F.col("key") == F.col("best.key")).alias("stays"), F.col("best.who.id").alias("keep")
     )
     chosen = scratch.keep(chosen, "chosen")
-    inside = documents.select(
-        F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"), text.alias("key"), doc_id.alias("id")
-    )
-    # one way at every size: whole rows are dealt out once, beside the keys of groups
-    there = inside.join(chosen.hint("merge"), F.col("key") == F.col("of"), "left")
-    alone = there.where(F.col("of").isNull()).select("doc")
+    inside = documents.select(F.struct(*[F.col(quote(c)) for c in documents.columns]).alias("doc"), text.alias("key"))
+    # one way at every size: whole rows are dealt out once, which both joins read
+    of_group = F.col("key") == F.col("of")
+    alone = inside.join(chosen.select("of").hint("merge"), of_group, "left_anti").select("doc")
+    stay = inside.join(chosen.where("stays").select("of", "keep").hint("merge"), of_group)
     # of several rows of the text and id that stay the least, by all columns
     one = (
-        there.where("stays")
-        .where(F.col("id").eqNullSafe(F.col("keep")))
+        stay.where(F.col("doc.doc_id").cast("long").eqNullSafe(F.col("keep")))
         .groupBy("key")
         .agg(F.min_by("doc", F.to_json("doc", {"ignoreNullFields": "false"})).alias("doc"))
         .select("doc")
