@@ -23,7 +23,8 @@ give; events of one message with equal ``seq`` go by kind (a
 start first), then text; messages go by the ``seq`` of their first event, then by
 name. Rows of a plain table are a message each, repeated rows too, with a name made for
 them, and ordered by turn (null first), role and text. A conversation without messages gives no row; null
-ids are one conversation. Other columns do not matter.
+ids are one conversation; an empty table gives none. Texts and logs of any length are whole: a message is
+one string and one task's work, in proportion to its events. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -31,11 +32,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Scratch
+
 OPEN, CLOSE = "<s>", "</s>"
 #: What the names given to rows of a plain table begin with
 ROW = "\0row "
 STARTS = ("message", "edit", "regenerate")
 ASSISTANT = "assistant"
+#: Names of repeated rows (32 letters each) that are sent to every task; more are joined by a shuffle
+BROADCAST_NAMES = 200_000
 
 
 def escape(text: Column) -> Column:
@@ -57,16 +62,28 @@ def unescape_role(role: Column) -> Column:
 def named(events: DataFrame) -> DataFrame:
     """Each event as a message of its own, named by what it holds and, as rows may repeat, a number.
 
-    Equal rows are counted and dealt out again, so the names are the same whenever they are made.
+    Only hashes are counted for it. Rows that stand once are named where they are; equal
+    rows are counted and dealt out again. So the names are the same whenever they are made.
     """
-    held = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("seq", "kind", "role", "text")]
-    whole = F.concat(*[x for h in held for x in (F.length(h).cast("string"), F.lit(":"), h)])
-    name = F.concat(F.lit(ROW), F.md5(whole.cast("binary")), F.lit(" "), F.col("copy").cast("string"))
-    return (
-        events.groupBy("conv_id", "seq", "kind", "role", "text")
+    columns = ["conv_id", "seq", "kind", "role", "text"]
+    held = [F.col(c).cast("string") for c in columns]
+    sized = [(F.coalesce(F.length(h).cast("string"), F.lit("-")), F.coalesce(h, F.lit(""))) for h in held]
+    whole = F.concat(*[x for size, h in sized for x in (size, F.lit(":"), h)])
+    rows = events.select(*columns, F.md5(whole.cast("binary")).alias("held"))
+    twice = rows.groupBy("held").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("held")
+    twice = Scratch(events.sparkSession, "chats").keep(twice, "twice")
+    twice = twice.hint("broadcast" if twice.count() <= BROADCAST_NAMES else "merge")
+    once = rows.join(twice, "held", "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    many = (
+        rows.join(twice, "held", "left_semi")
+        .groupBy("held", *columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
-        .select("conv_id", name.alias("message"), "seq", "kind", "role", "text")
+        .drop("copies")
+    )
+    name = F.concat(F.lit(ROW), F.col("held"), F.lit(" "), F.col("copy").cast("string"))
+    return once.unionByName(many).select(
+        "conv_id", name.alias("message"), *columns[1:]
     )
 
 
@@ -87,7 +104,8 @@ def fold(events: DataFrame) -> DataFrame:
     """Final messages ``(conv_id, message, first, role, text)``.
 
     Events are grouped by conversation and message; those without a message name
-    are given one each.
+    are given one each. A message is its last start and the deltas after it, found by
+    place in the sorted log, so the work is in proportion to the log.
     """
     clean = events.select(
         "conv_id",
@@ -97,48 +115,29 @@ def fold(events: DataFrame) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    own = named(clean.where("message is null"))
-    clean = clean.where("message is not null").unionByName(own)
+    nameless = clean.where("message is null")
+    if not nameless.isEmpty():
+        clean = clean.where("message is not null").unionByName(named(nameless))
     starts = F.col("kind").isin(*STARTS, "delete")
-    # what counts is the last start and the deltas after it; earlier events end here
-    last = clean.groupBy("conv_id", "message").agg(
+    event = F.struct("seq", (~starts).alias("later"), "kind", "text")
+    together = clean.groupBy("conv_id", "message").agg(
         F.min("seq").alias("first"),
-        F.max(F.when(starts, F.col("seq"))).alias("begun"),
         F.max(F.when(F.col("role") != "", F.struct("seq", "role"))).alias("given"),
+        F.array_sort(F.collect_list(event)).alias("log"),
     )
-    last = last.select(
-        F.col("conv_id").alias("of"),
-        F.col("message").alias("name"),
-        "first",
-        "begun",
-        F.coalesce("given.role", F.lit("")).alias("role"),
-    )
-    live = (
-        clean.drop("role")
-        .join(last, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("message") == F.col("name")))
-        .where("begun is null or seq >= begun")
-    )
-    event = F.struct("seq", (~starts).alias("later"), "kind", "text")
-    together = live.groupBy("conv_id", "message", "first", "role").agg(
-        F.array_sort(F.collect_list(event)).alias("log")
-    )
-
-    def step(state: Column, e: Column) -> Column:
-        begins = e["kind"].isin(*STARTS, "delete")
-        return F.struct(
-            F.when(begins, F.array(e["text"]))
-            .otherwise(F.array_append(state["parts"], e["text"]))
-            .alias("parts"),
-            F.when(begins, e["kind"] == "delete").otherwise(state["gone"]).alias("gone"),
-        )
-
-    empty = F.struct(
-        F.array().cast("array<string>").alias("parts"), F.lit(False).alias("gone")
-    )
+    begun = F.array_max(F.transform("log", lambda e, i: F.when(e["later"], 0).otherwise(i + 1)))
+    last = F.get("log", F.col("begun") - 1)
+    live = F.slice("log", F.greatest(F.col("begun"), F.lit(1)), F.size("log"))
     return (
-        together.select("conv_id", "message", "first", "role", F.aggregate("log", empty, step).alias("m"))
-        .where("not m.gone")
-        .select("conv_id", "message", "first", "role", F.concat_ws("", "m.parts").alias("text"))
+        together.withColumn("begun", begun)
+        .where(F.coalesce(last["kind"] != "delete", F.lit(True)))
+        .select(
+            "conv_id",
+            "message",
+            "first",
+            F.coalesce("given.role", F.lit("")).alias("role"),
+            F.array_join(F.transform(live, lambda e: e["text"]), "").alias("text"),
+        )
     )
 
 
@@ -162,43 +161,64 @@ def rendered(messages: DataFrame) -> DataFrame:
     )
 
 
+def turn_role(turn: Column) -> Column:
+    after = F.length(F.lit(OPEN))
+    return unescape_role(F.substring(turn, after + 1, F.instr(turn, "\n") - after - 1))
+
+
+def turn_text(turn: Column) -> Column:
+    end = F.instr(turn, "\n")
+    return unescape(F.substring(turn, end + 1, F.length(turn) - end - F.length(F.lit(CLOSE))))
+
+
+def masked_text(turn: Column, start: Column, length: Column) -> Column:
+    """What stands under the loss mask, null if there is none."""
+    return unescape(F.substring(turn, start + 1, length))
+
+
 def read_back(turns: DataFrame) -> DataFrame:
     """Rendered turns with the ``role`` and ``text`` they hold and, under the mask, ``loss_text``."""
-    end = F.instr("turn", "\n")
-    after = F.length(F.lit(OPEN))
-    text = F.substring("turn", end + 1, F.length("turn") - end - F.length(F.lit(CLOSE)))
+    turn = F.col("turn")
     return turns.select(
         "*",
-        unescape_role(F.substring("turn", after + 1, end - after - 1)).alias("role"),
-        unescape(text).alias("text"),
-        unescape(
-            F.substring("turn", F.col("loss_start") + 1, F.col("loss_length"))
-        ).alias("loss_text"),
+        turn_role(turn).alias("role"),
+        turn_text(turn).alias("text"),
+        masked_text(turn, F.col("loss_start"), F.col("loss_length")).alias("loss_text"),
     )
 
 
-def turn_order() -> Column:
-    """What turns of a conversation are sorted by."""
-    name = F.when(~F.col("message").startswith(ROW), F.col("message"))
-    return F.struct("first", name.alias("message"), "role", "text")
-
+def in_order(turns: DataFrame) -> DataFrame:
+    """Per conversation its ``turns``, by first event, name (of other than plain rows), role and text.
 
-def in_order(turns: DataFrame, *values: str) -> DataFrame:
-    """Per conversation the array ``turns`` of these values, in turn order."""
-    entry = F.struct(turn_order().alias("at"), *values)
-    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("turns"))
+    Each text travels once, in its rendered turn; all else is read from that afterwards.
+    """
+    name = F.when(~F.col("message").startswith(ROW), F.col("message"))
+    entry = F.struct("first", name.alias("message"), "turn", "loss_start", "loss_length")
+    whole = turns.groupBy("conv_id").agg(F.collect_list(entry).alias("turns"))
+    read = F.transform(
+        "turns",
+        lambda t: F.struct(
+            t["first"].alias("first"),
+            t["message"].alias("message"),
+            turn_role(t["turn"]).alias("role"),
+            turn_text(t["turn"]).alias("text"),
+            t["turn"].alias("turn"),
+            masked_text(t["turn"], t["loss_start"], t["loss_length"]).alias("loss_text"),
+        ),
+    )
+    return whole.select("conv_id", F.array_sort(read).alias("turns"))
 
 
 def conversations(turns: DataFrame) -> DataFrame:
-    """One string per conversation, ``formatted``, from turns read back."""
-    return in_order(turns, "turn").select("conv_id", F.array_join("turns.turn", "").alias("formatted"))
+    """One string per conversation, ``formatted``, from rendered turns."""
+    return in_order(turns).select("conv_id", F.array_join("turns.turn", "").alias("formatted"))
 
 
 def digests(turns: DataFrame) -> DataFrame:
     """Per conversation counts and digests of its turns as read back from the output."""
-    said = F.transform("turns", lambda t: F.concat(t["at"]["role"], F.lit("\n"), t["at"]["text"], F.lit("\n")))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return (
-        in_order(read_back(turns), "loss_text", "turn")
+        in_order(turns)
         .select(
             "conv_id",
             F.size("turns").cast("long").alias("n_turns"),

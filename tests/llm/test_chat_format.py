@@ -131,3 +131,38 @@ def test_events_without_a_name_stand_for_themselves(spark):
     log = [(1, None, 0, "message", "user", "a")] * 2 + [(1, None, 1, "delta", "user", "b"), (1, None, 2, "delete", None, None), (1, "m", 3, "message", "user", "c")]
     found = C.fold(spark.createDataFrame(log, EVENTS))
     assert rows_of(found.select("first", "text")) == [(0, "a"), (0, "a"), (1, "b"), (3, "c")]
+
+
+def test_a_message_of_many_deltas(spark):
+    """In proportion to the log; a start in the middle, several of one place, and null places."""
+    n = 100_000
+    log = spark.range(n).selectExpr(
+        "1L as conv_id", "'m' as message", "id as seq", f"if(id = {n // 2}, 'edit', 'delta') as kind", "'assistant' as role", "concat(id, ' ') as text"
+    )
+    found = C.fold(log.repartition(4)).collect()
+    assert [r["text"] for r in found] == ["".join(f"{i} " for i in range(n // 2, n))]
+    odd = [(1, "m", 3, "message", "user", "b"), (1, "m", 3, "edit", "", "a"), (1, "m", 3, "delta", "", "!"), (1, "m", 2, "delta", "", "x"), (1, "m", None, "message", "", "y")]
+    odd += [(1, "o", None, "delta", "user", "1"), (1, "o", 0, "delta", "", "2"), (1, "o", None, "edit", "", "0")]
+    found = C.fold(spark.createDataFrame(odd, EVENTS).repartition(3))
+    assert rows_of(found.select("message", "first", "role", "text")) == [("m", 2, "user", "b!"), ("o", 0, "user", "012")]
+
+
+def test_very_long_texts(spark):
+    text = "<&é " * 500_000
+    frame = spark.createDataFrame([(1, 0, "assistant", text), (1, 1, "user", text)], "conv_id long, turn long, role string, text string")
+    assert rows_of(C.digests(C.rendered(C.fold(C.as_events(frame))))) == [(1, *digest([("assistant", text), ("user", text)]))]
+
+
+def test_repeated_rows_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(C, "BROADCAST_NAMES", 0)
+    test_rows_of_a_table_go_through_the_fold(spark)
+
+
+def test_rows_that_stand_once_are_named_without_a_shuffle(spark, tmp_path):
+    rows = [(i // 4, i % 4, "user", f"text {i}") for i in range(40)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.write.parquet(str(tmp_path / "turns"))
+    events = C.as_events(spark.read.parquet(str(tmp_path / "turns")))
+    assert sorted(r["text"] for r in events.collect()) == sorted(r[3] for r in rows)
+    once = events._jdf.queryExecution().optimizedPlan().toString().split("LeftSemi")[0]
+    assert "LeftAnti" in once and "Window" not in once and "Repartition" not in once
