@@ -15,7 +15,9 @@ Exact places are counted with overlaps, on word boundaries. Everything is
 one pass over the texts, a batch at a time, without a shuffle.
 
 Defined cases: a null text counts as empty: no words, no places, score 0. Repeated
-rows are scanned alike, row by row. Other columns do not matter.
+rows are scanned alike, row by row. Of overlapping places with equally few edits the first
+counts. A text of any length is searched whole, by one task, in proportion to its length and
+to its notices. An empty table gives no row. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -167,15 +170,25 @@ def _exact(joined: bytes, phrase: bytes) -> list[int]:
 def scan_text(joined: bytes, phrases, notices) -> tuple:
     """``(first words of exact places, their labels, fuzzy spans)`` of words joined and padded by blanks."""
     places, base, spans, held = [], set(), [], set()
+    blanks = None  # places of all blanks, looked for once and only where something is found
+
+    def blanks_before(at: list[int]) -> list[int]:
+        nonlocal blanks
+        if blanks is None:
+            blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+        return np.searchsorted(blanks, at).tolist()
+
     for phrase, label in phrases:
         if found := _exact(joined, phrase):
             base.add(label)
-            places += [joined.count(b" ", 0, at) - 1 for at in found]
+            places += [n - 1 for n in blanks_before(found)]
     for notice in notices:
         if any(seed in joined for seed, _ in notice.seeds):
-            for begin, end, edits in notice.places(joined):
-                first = joined.count(b" ", 0, begin) - 1
-                n = joined.count(b" ", begin, end) + 1
+            found = list(notice.places(joined))
+            firsts = blanks_before([x[0] for x in found]) if found else []
+            stops = blanks_before([x[1] for x in found]) if found else []
+            for (_, _, edits), before, until in zip(found, firsts, stops):
+                first, n = before - 1, until - before + 1
                 ends = {(notice.label, first), (notice.label, first + n - 1)}
                 if isinstance(notice, Spelling):
                     if ends <= held:  # part of a longer notice

@@ -191,3 +191,11 @@ def test_blocks_of_notices_against_brute_force(seed):
 
 def test_empty_table(documents):
     assert S.scan(documents([])).collect() == []
+
+
+def test_many_notices_in_a_very_long_text(documents):
+    n = 100_000
+    found = S.scan(documents([(1, "a mit license " * n)])).first()
+    assert (found["n_words"], found["n_base"], found["first_word"], found["last_word"]) == (3 * n, n, 1, 3 * n - 2)
+    assert len(found["spans"]) == n and {s["n"] for s in found["spans"]} == {2}
+    assert [s["first"] for s in found["spans"]] == list(range(1, 3 * n, 3))
