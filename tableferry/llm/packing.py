@@ -9,14 +9,15 @@ hope to hold is a guess, so each shard is also packed with the shortest permitte
 left out of the openings, up to the longest length only, and the cheapest of these packings counts:
 none costs more than sequences of one fixed length.
 
-Documents are dealt by hash into shards of about ``shard_items`` items, each packed by
+Documents are dealt by a hash of their place in the table (so equal rows part) into shards of about ``shard_items`` items, each packed by
 one task; the number of shards follows the data, so a task's work is bounded and
 what is lost is at most a few part-filled sequences per shard. A document longer
 than the longest sequence is cut into pieces of that length and a rest: nothing is dropped.
 
 Defined cases: rows without words (null or empty text) are not packed and come
 back with a null sequence; ties in length go by id (null first), then by place
-in the shard; repeated rows are packed once each. Other columns do not matter.
+in the shard; repeated rows are packed once each; an empty table gives no row. Other columns do
+not matter.
 """
 
 from __future__ import annotations
@@ -120,7 +121,8 @@ def pack(
     sizes = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(n_tokens, F.lit(0)).cast("long").alias("n"),
-        F.xxhash64("doc_id", "text").alias("spread"),
+        # written down before it is used, so it stays the same for the rest
+        F.monotonically_increasing_id().alias("spread"),
     )
     sizes = Scratch(documents.sparkSession, "packing").keep(sizes, "sizes")
     pieces = sizes.select(

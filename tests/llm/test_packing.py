@@ -117,3 +117,13 @@ def test_shards_follow_the_pieces_of_long_documents(documents):
     for r in found:
         shards[r["sequence"] >> 24] = shards.get(r["sequence"] >> 24, 0) + 1
     assert len(shards) == 10 and max(shards.values()) < 80
+
+
+def test_equal_rows_part(documents):
+    """A row that is repeated in all of the table fills as many shards as other rows do."""
+    found = P.pack(documents([(7, "a b c")] * 4000), cost=COST, shard_items=500).collect()
+    assert len(found) == 4000
+    shards = {}
+    for r in found:
+        shards[r["sequence"] >> 24] = shards.get(r["sequence"] >> 24, 0) + 1
+    assert len(shards) == 8 and max(shards.values()) < 700
