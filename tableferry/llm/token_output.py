@@ -13,8 +13,9 @@ for which this does not hold is refused: the chunks of a probe text are compared
 the whole.
 
 Defined cases: a null text counts as empty and has the end id alone; null ids
-come first; repeated ids stay in one file, in order of their texts. Other columns are not
-written. An empty table gives files without rows.
+come first; rows of one id go by the first letters of their texts, then a hash of them, over as
+many files as they need. A text of any length is encoded whole, by one task. Other columns are
+not written. An empty table gives files without rows.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ FILE_ROWS = 50_000
 #: Chunks a worker remembers, and text that it encodes at once
 REMEMBERED = 1_500_000
 PIECE_BYTES = 8 << 20
+#: Letters of a text by which rows of one id are ordered
+HEAD = 32
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
 
 
@@ -151,7 +154,12 @@ def write_tokens(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(documents).alias("text"))
     files = max(1, -(-documents.count() // file_rows))
     files = max(files, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = texts.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    # one id may be on a third of all rows, with one text: such rows part by the task that read them
+    order = ["doc_id", "head", "hash", "task"]
+    rows = texts.select(
+        "*", F.left("text", F.lit(HEAD)).alias("head"), F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("task")
+    )
+    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "text")
     rows = rows.mapInArrow(_encode(tokenizer, end_id), "doc_id long, n_tokens long, tokens array<int>")
     rows.write.options(
         **{
@@ -180,8 +188,9 @@ def file_starts(files: DataFrame) -> DataFrame:
     per_file = sizes.groupBy("file").agg(
         F.sum("n_tokens").alias("ids"), F.min("doc_id").alias("first_id")
     )
-    # files hold disjoint ranges of ids; this window sees a row a file
-    earlier = Window.orderBy(F.col("first_id").asc_nulls_first(), "file")
+    # files hold ranges in the order of their numbers; this window sees a row a file
+    number = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).try_cast("long")
+    earlier = Window.orderBy(F.col("first_id").asc_nulls_first(), number, "file")
     before = F.sum("ids").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
     return per_file.select("file", F.coalesce(before, F.lit(0)).alias("before"))
 

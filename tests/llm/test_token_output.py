@@ -89,3 +89,29 @@ def test_other_tokenizers_are_refused_if_blanks_matter(documents, tmp_path):
 def test_empty_table(spark, documents, tmp_path):
     T.write_tokens(documents([]), str(tmp_path / "ids"))
     assert T.digests(spark, str(tmp_path / "ids")).collect() == []
+
+
+def test_one_id_fills_several_files(spark, documents, tmp_path):
+    """Null ids on most rows, half of them with one text: ids stay in order, starts whole."""
+    docs = [(None, "the same text")] * 3000 + [(None, f"text {i}") for i in range(3000)] + [(i, "x") for i in range(500)]
+    T.write_tokens(documents(docs).repartition(12), str(tmp_path / "ids"), file_rows=500)
+    files = sorted((tmp_path / "ids").glob("part-*"))
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in files]
+    assert sum(rows) == 6500 and sum(r > 0 for r in rows) > 8 and max(rows) < 1700
+    order = [i for f in files for i in pq.read_table(f, columns=["doc_id"]).column(0).to_pylist()]
+    assert order == [None] * 6000 + list(range(500))
+    found = T.digests(spark, str(tmp_path / "ids")).orderBy("start").collect()
+    at = 0
+    for r in found:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    want = {t: len(ids(t)) for _, t in docs}
+    assert len(found) == 6500 and at == sum(want[t] for _, t in docs)
+    crc = sorted(zlib.crc32(np.array(ids(t), "<u4").tobytes()) for _, t in docs)
+    assert sorted(r["ids_crc32"] for r in found) == crc
+
+
+def test_a_very_long_text(spark, documents, tmp_path):
+    docs = [(1, "some words, repeated. " * 100_000), (2, "end")]
+    T.write_tokens(documents(docs), str(tmp_path / "ids"))
+    assert rows_of(T.digests(spark, str(tmp_path / "ids"))) == expected(docs)
