@@ -9,20 +9,24 @@ Training labels are weak: an url that holds a seed word counts as unwanted, any
 other as wanted. All counts cover all pages.
 
 Everything is keyed by distinct sites (host, path) and distinct pieces. The candidate
-words of a piece are its substrings (a piece gives at most ``length * LONGEST``), joined
-with the counts of the vocabulary; no vocabulary or model is broadcast. Joins from
-sites to pieces have a small side unique in its key, so Spark can split pieces
-that most sites share.
+words of a piece are its substrings of up to KEY letters (``length * KEY`` at most, with the
+piece's number beside them), joined with the counts of the vocabulary; words longer than
+that are found by their first KEY letters and looked for in the piece. No vocabulary or model is
+broadcast. Joins from sites to pieces have a small side unique in its key, so Spark can split
+pieces that most sites share.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
 words, and is allowed. Rows are judged one by one, repeated ones alike; without any
-unwanted url, or any wanted one, the model allows all. Other columns do not matter.
+unwanted url, or any wanted one, the model allows all; a score of 0 is allowed. Of equally probable
+splits the one whose last word is shortest counts, and so on to the left. Urls of any length are
+judged whole, a piece by one task in proportion to its length. An empty table gives no row. Other
+columns do not matter.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,8 +45,11 @@ SEEDS = (
     "adult", "bet", "casino", "cheap", "escort", "farm", "gambling", "loan", "lottery", "malware",
     "phishing", "pills", "poker", "porn", "replica", "sex", "spam", "viagra", "warez", "xxx",
 )
-#: Longest word of the unigram model
-LONGEST = 20
+#: Letters of a word that pieces are joined with the vocabulary by; runs of letters that are no known
+#: word are read as words of up to this length
+KEY = 20
+#: Places of a piece whose substrings are made at once, and rows of a batch of them
+PLACES, ROWS = 4096, 50_000
 SMOOTHING = 1.0
 
 
@@ -75,13 +82,17 @@ def pieces_of(text: Column) -> Column:
 def best_split(piece: str, counts: dict[str, int], total: float) -> list[str]:
     """The split of most probable words; unknown words cost more the longer they are."""
     best = [(0.0, 0)]
+    longer = sorted({len(w) for w in counts if len(w) > KEY})
     for end in range(1, len(piece) + 1):
         options = []
-        for begin in range(max(0, end - LONGEST), end):
+        for begin in range(max(0, end - KEY), end):
             word = piece[begin:end]
             n = counts.get(word)
             p = math.log(n / total) if n else math.log(0.1 / total) - 2.3 * len(word)
             options.append((best[begin][0] + p, begin))
+        for size in longer:
+            if size <= end and (n := counts.get(piece[end - size : end])):
+                options.append((best[end - size][0] + math.log(n / total), end - size))
         best.append(max(options))
     out, end = [], len(piece)
     while end:
@@ -96,42 +107,57 @@ def unigrams(pages: DataFrame, extra: Iterable[str] = SEEDS) -> DataFrame:
     found = pages.select(
         F.explode(F.split(F.lower(F.col("html").cast("string")), r"[^\p{L}]+")).alias("word")
     )
-    counted = (
-        found.where((F.length("word") > 0) & (F.length("word") <= LONGEST))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = found.where(F.length("word") > 0).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     own = pages.sparkSession.createDataFrame([(w,) for w in extra], "word string")
     own = own.select("word", F.lit(20).cast("long").alias("n"))
     return counted.unionByName(own).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _substrings(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(id, key)`` for the substrings of up to KEY letters, some places at a time."""
+    ids: list[int] = []
+    keys: list[str] = []
+
+    def full() -> pa.RecordBatch:
+        out = pa.record_batch([pa.array(ids, pa.int64()), pa.array(keys, pa.string())], ["id", "key"])
+        ids.clear()
+        keys.clear()
+        return out
+
+    for batch in each:
+        for own, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            for at in range(0, len(piece), PLACES):
+                here = range(at, min(at + PLACES, len(piece)))
+                some = {piece[i:j] for i in here for j in range(i + 1, min(i + KEY, len(piece)) + 1)}
+                keys += some
+                ids += [own] * len(some)
+                if len(keys) >= ROWS:
+                    yield full()
+    yield full()
+
+
 def segmented(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(piece, words)`` for distinct pieces."""
     total = float(vocabulary.agg(F.sum("n")).first()[0] or 1)
-    begins = F.sequence(F.lit(1), F.length("piece"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("piece") - F.col("begin") + 1))
-    substrings = (
-        pieces.select("piece", F.explode(begins).alias("begin"))
-        .select("piece", "begin", F.explode(sizes).alias("size"))
-        .select("piece", F.col("piece").substr(F.col("begin"), F.col("size")).alias("word"))
-        .distinct()
-    )
+    scratch = Scratch(pieces.sparkSession, "pieces")
+    pieces = scratch.keep(pieces.select(F.monotonically_increasing_id().alias("id"), "piece"), "pieces")
+    keyed = vocabulary.select(F.left("word", F.lit(KEY)).alias("key"), "word", "n")
     known = (
-        substrings.join(vocabulary, "word")
-        .groupBy("piece")
-        .agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("n"))
+        pieces.mapInArrow(_substrings, "id long, key string")
+        .join(keyed, "key")
+        .groupBy("id")
+        .agg(F.collect_set(F.struct("word", "n")).alias("known"))
     )
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = batch.column(0).to_pylist()
         out = [
-            best_split(piece, dict(zip(known or (), n or ())), total)
-            for piece, known, n in zip(own, batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            best_split(piece, {x["word"]: x["n"] for x in known or ()}, total)
+            for piece, known in zip(own, batch.column(1).to_pylist())
         ]
         return pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["piece", "words"])
 
-    rows = pieces.join(known, "piece", "left").select("piece", "known", "n")
+    rows = pieces.join(known, "id", "left").select("piece", "known")
     return batches(rows, convert, "piece string, words array<string>")
 
 

@@ -100,3 +100,19 @@ def test_segmentation_joins_the_whole_vocabulary(spark):
     found = dict(rows_of(U.segmented(pieces.where(F.col("piece") != ""), vocabulary)))
     assert found["cheappills"] == ["cheap", "pills"] and found["thepills"] == ["the", "pills"]
     assert found["qq"] == ["qq"]
+
+
+def test_words_of_any_length(spark):
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    vocabulary = spark.createDataFrame([(long, 4), (long[:30] + "xyz", 900), ("the", 80), ("news", 9)], "word string, n long")
+    pieces = spark.createDataFrame([("the" + long + "news",), (long[:40],)], "piece string")
+    found = dict(rows_of(U.segmented(pieces, vocabulary)))
+    assert found["the" + long + "news"] == ["the", long, "news"]
+    assert found[long[:40]] == [long[:20], long[20:40]]
+
+
+def test_a_host_of_many_letters(pages):
+    urls = ["http://" + "dailynews" * 12_000 + "/en", "http://cheappills.org/x", "http://blog.org/" + "é" * 30_000]
+    found = {r["page_id"]: r for r in U.filter_urls(pages(urls)).collect()}
+    assert [len(found[i]["host"]) for i in range(3)] == [108_000, 14, 8]
+    assert found[1]["verdict"] == "block" and found[0]["verdict"] == "allow"
