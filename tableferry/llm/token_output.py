@@ -43,8 +43,10 @@ PAGE_BYTES = 256 << 10
 #: Rows a file holds on average
 FILE_ROWS = 50_000
 #: Chunks a worker remembers, and text that it encodes at once
-REMEMBERED = 1_500_000
-PIECE_BYTES = 8 << 20
+REMEMBERED = 1_000_000
+PIECE_BYTES = 4 << 20
+#: Stands between chunks that are encoded together
+MARK = "\x02"
 #: Letters of a text by which rows of one id are ordered
 HEAD = 32
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
@@ -56,6 +58,8 @@ class Encoder:
     def __init__(self, path: str, end_id: int | None = END_ID):
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
+        mark = self._ids(MARK)
+        self.mark = mark[0] if len(mark) == 1 else -1  # no id, so all go one by one
         self._forget()
 
     def _forget(self) -> None:
@@ -80,20 +84,33 @@ class Encoder:
         chunks = self.tokenizer.encode_batch(_PROBE.split(), add_special_tokens=False)
         return whole == [i for c in chunks for i in c.ids]
 
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one after another, and their numbers.
+
+        The chunks are encoded as one text with marks between, which is faster than one by one;
+        should one of them hold the mark, its id stands too often and they go one by one.
+        """
+        whole = self._ids(f" {MARK} ".join(chunks))
+        marks = whole == self.mark
+        if np.count_nonzero(marks) == len(chunks) - 1:
+            at = np.concatenate(([-1], np.flatnonzero(marks), [len(whole)]))
+            return whole[~marks], np.diff(at) - 1
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
     def _codes(self, chunks: list[str]) -> np.ndarray:
         new = [c for c in chunks if c not in self.code]
         if self.code and len(self.code) + len(new) > REMEMBERED:
             self._forget_all_but([c for c in chunks if c in self.code])
-        lists = []
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            lists += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         if new:
+            parts = [self._encoded(new[at : at + 4096]) for at in range(0, len(new), 4096)]
             self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.ids = np.concatenate((self.ids, ids))
+            self.sizes = np.concatenate((self.sizes, *(p[1] for p in parts)))
+            self.ids = np.concatenate((self.ids, *(p[0] for p in parts)))
         return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -53,6 +53,14 @@ def test_a_full_memory_changes_nothing(monkeypatch):
         assert tokens.tolist() == ids(text)
 
 
+@pytest.mark.parametrize("texts", [["a b", "\x02", "c \x02 d"], ["x\x02y z"], ["\x02\x02 q"], ["", " "], ["one"]])
+def test_chunks_that_hold_the_mark(texts):
+    encoder = T.Encoder(T.TOKENIZER)
+    assert encoder.mark >= 0
+    tokens, ends = encoder.encode(pa.array(texts, pa.string()))
+    assert [p.tolist() for p in np.split(tokens, ends)[:-1]] == [ids(t) for t in texts]
+
+
 def test_read_back(spark, documents, tmp_path):
     docs = DOCS + [(i, f"text number {i} " * (i % 7)) for i in range(20, 120)]
     T.write_tokens(documents(docs), str(tmp_path / "ids"), file_rows=30)
