@@ -44,7 +44,9 @@ PAGE_BYTES = 256 << 10
 FILE_ROWS = 50_000
 #: Chunks a worker remembers, and text that it encodes at once
 REMEMBERED = 1_000_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 6 << 20
+#: Chunks that are encoded as one text
+TOGETHER = 16_384
 #: Stands between chunks that are encoded together
 MARK = "\x02"
 #: Letters of a text by which rows of one id are ordered
@@ -103,15 +105,21 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
 
     def _codes(self, chunks: list[str]) -> np.ndarray:
-        new = [c for c in chunks if c not in self.code]
+        found = list(map(self.code.get, chunks))
+        new = [c for c, f in zip(chunks, found) if f is None]
         if self.code and len(self.code) + len(new) > REMEMBERED:
-            self._forget_all_but([c for c in chunks if c in self.code])
+            self._forget_all_but([c for c, f in zip(chunks, found) if f is not None])
+            found = list(map(self.code.get, chunks))
+        at = len(self.code)
         if new:
-            parts = [self._encoded(new[at : at + 4096]) for at in range(0, len(new), 4096)]
-            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
+            parts = [self._encoded(new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
+            self.code.update(zip(new, range(at, at + len(new))))
             self.sizes = np.concatenate((self.sizes, *(p[1] for p in parts)))
             self.ids = np.concatenate((self.ids, *(p[0] for p in parts)))
-        return np.fromiter(map(self.code.__getitem__, chunks), np.int64, len(chunks))
+        # the new ones have the next places, in their order
+        codes = np.fromiter((-1 if f is None else f for f in found), np.int64, len(found))
+        codes[codes < 0] = np.arange(at, at + len(new))
+        return codes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, where each text's ids end)``, with the end ids."""
