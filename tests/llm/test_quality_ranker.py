@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -88,3 +89,52 @@ def test_rows_of_a_repeated_id_are_not_collected(spark, documents, monkeypatch):
 def test_empty_table(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
     assert R.rank(documents([]), labels).collect() == []
+
+
+def plain_fit(rows, good, pairs):
+    """Bradley-Terry by many small steps up the mean log-likelihood of the same pairs, number by number."""
+    n = len(rows[0])
+    mean = [sum(r[j] for r in rows) / len(rows) for j in range(n)]
+    scale = [math.sqrt(sum((r[j] - mean[j]) ** 2 for r in rows) / len(rows)) for j in range(n)]
+    x = [[(r[j] - mean[j]) / scale[j] for j in range(n)] for r in rows]
+    draw = np.random.default_rng(R.SEED)
+    better = draw.choice([i for i, g in enumerate(good) if g], pairs)
+    worse = draw.choice([i for i, g in enumerate(good) if not g], pairs)
+    d = [[x[a][j] - x[b][j] for j in range(n)] for a, b in zip(better, worse)]
+    w = [0.0] * n
+    for _ in range(1500):
+        slope = [-R.PENALTY * v for v in w]
+        for row in d:
+            miss = 1 / (1 + math.exp(sum(a * b for a, b in zip(row, w))))
+            for j in range(n):
+                slope[j] += row[j] * miss / pairs
+        w = [v + 0.5 * s for v, s in zip(w, slope)]
+    raw = [sum(a * b for a, b in zip(r, w)) for r in x]
+    bad = good.count(False)
+    low, high = sorted(raw)[bad - 1 : bad + 1]
+    return w, [1 / (1 + math.exp((low + high) / 2 - v)) for v in raw]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fit_threshold_and_score_against_plain_steps(seed):
+    rng = random.Random(seed)
+    good = [rng.random() < 0.4 for _ in range(50)] + [True, False]
+    rows = [[rng.gauss(g, 1.2), rng.gauss(0, 3), rng.gauss(-g / 2, 1)] for g in good]
+    found = R.fit(np.array(rows), np.array(good), pairs=120)
+    weights, scores = plain_fit(rows, good, 120)
+    assert found.weights == pytest.approx(weights, abs=1e-3)
+    assert found.score(np.array(rows)) == pytest.approx(scores, abs=2e-3)
+
+
+def test_equal_scores_at_the_threshold_count_as_good():
+    x = np.array([[0.0], [1.0], [1.0], [2.0]])
+    ranker = R.fit(x, np.array([False, False, True, True]), pairs=50)
+    assert ranker.score(x)[1] == ranker.score(x)[2] == 0.5
+
+
+def test_a_very_long_text(spark, documents):
+    text = "Some words, more. " * 150_000
+    found = R.features(pa.array([text, "Some words, more. "]))
+    assert found[0][0] == pytest.approx(np.log1p(450_000)) and found[0][7] == pytest.approx(3 / 450_000)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert len(R.rank(documents([(1, text), (2, "x"), (3, text)]), labels).collect()) == 3

@@ -1,8 +1,11 @@
 import itertools
 import math
+import random
 import re
+from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tableferry.llm import url_filter as U
@@ -116,3 +119,41 @@ def test_a_host_of_many_letters(pages):
     found = {r["page_id"]: r for r in U.filter_urls(pages(urls)).collect()}
     assert [len(found[i]["host"]) for i in range(3)] == [108_000, 14, 8]
     assert found[1]["verdict"] == "block" and found[0]["verdict"] == "allow"
+
+
+def plain_scores(urls, html):
+    """Naive Bayes over all urls, one after another: ``(score, verdict of the model)`` of each."""
+    counts = Counter(w for u in urls for w in regex.split(r"[^\p{L}]+", (html or "").lower()) if w)
+    counts.update({w: 20 for w in U.SEEDS})
+    total = float(sum(counts.values()))
+    words = []
+    for u in urls:
+        host, path, _ = plain(u)
+        pieces = [p for p in regex.split(r"[^\p{L}\p{N}]+", f"{host} {path}".lower()) if p]
+        pieces = ["0" if regex.fullmatch(r"\p{N}+", p) else p for p in pieces]
+        words.append([w for p in pieces for w in U.best_split(p, counts, total)])
+    unwanted = [bool(set(own) & set(U.SEEDS)) for own in words]
+    bad = Counter(w for own, x in zip(words, unwanted) if x for w in own)
+    good = Counter(w for own, x in zip(words, unwanted) if not x for w in own)
+    n = len(bad | good)
+
+    def odds(w):
+        return math.log((bad[w] + 1) / (bad.total() + n)) - math.log((good[w] + 1) / (good.total() + n))
+
+    prior = math.log(sum(unwanted) / (len(urls) - sum(unwanted)))
+    scores = [prior + sum(odds(w) for w in own) for own in words]
+    return [(s, "block" if s > 0 and plain(u)[:2] != ("", "") else "allow") for s, u in zip(scores, urls)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_scores_and_verdicts_against_plain_counts(pages, seed):
+    rng = random.Random(seed)
+    names = ["cheappills", "dailynews", "blogfarm", "theday", "pillsnow", "news", "42", "x7y"]
+    urls = [f"http://{rng.choice(names)}.{rng.choice(names)}.org/{rng.choice(names)}/{rng.randrange(5)}?q" for _ in range(60)]
+    urls += urls[:9] + [None, "", "http://net/casino", "http://example.net/en/casino"]
+    html = "<p>cheap pills for the blog and the news of the day now</p>"
+    found = {r["page_id"]: r for r in U.filter_urls(pages(urls, html)).collect()}
+    for i, (score, verdict) in enumerate(plain_scores(urls, html)):
+        ruled = plain(urls[i])[2]
+        assert found[i]["score"] == pytest.approx(score, abs=1e-6)
+        assert found[i]["verdict"] == (ruled[0] if ruled else verdict)
