@@ -20,7 +20,9 @@ some, by the hash of host and text. Built-in functions only.
 
 Defined cases: a null host is a host of its own; a null text stays null and has
 no lines; lines without a word are kept and never counted. Every row is a page,
-repeated ones too. Other columns pass through untouched, whatever their names.
+repeated ones too. A line on exactly the ratio of the pages stays, one on exactly ``min_pages`` or
+``long_pages`` may go; equal counts are treated alike. Pages of any length are cut whole, one by one. An
+empty table gives no row. Other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations

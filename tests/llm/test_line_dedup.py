@@ -80,3 +80,13 @@ def test_repeated_passages_go_however_large_the_host(table, monkeypatch, limit):
     assert "three three" not in texts and "four four" not in texts and "fifty fifty" in texts
     assert "two two" in texts and "copied copied" in texts and "short of three" in texts
     assert rows_of(L.cleaned(table(rows), long_words=None).selectExpr("sum(n_dropped)")) == [(0,)]
+
+
+def test_a_very_long_text(table):
+    """Many lines on one page, and one line of many words; both whole."""
+    many = "\n".join(f"line {i}" for i in range(100_000))
+    wide = "word " * 200_000
+    rows = [(i, "a", f"own {i}\nfooter\nend {i}") for i in range(30)] + [(50, "a", many + "\nfooter"), (51, "a", wide + "\nfooter")]
+    found = {r["doc_id"]: r for r in L.cleaned(table(rows)).select("doc.doc_id", "text", "n_lines", "n_dropped").collect()}
+    assert found[50]["text"] == many and (found[50]["n_lines"], found[50]["n_dropped"]) == (100_001, 1)
+    assert found[51]["text"] == wide and found[3]["text"] == "own 3\nend 3"
