@@ -2,17 +2,22 @@
 
 Each rule rejects texts by an expression of its own. Rules run one after
 another inside one CASE expression, which stops at the first that rejects.
-Their order is chosen from a sample: per rule the time it takes and the share it
-rejects, most rejections per second first. Order changes what a scan costs,
-never what it keeps: a text is kept if no rule rejects it.
+Their order is chosen from a sample of rows from all over the table: per rule the time it
+takes for a row and the share it rejects, most rejections per second first. Order changes what
+a scan costs, never what it keeps: a text is kept if no rule rejects it.
+
+Where the counts are results themselves (``judge``) they are made once, and the cascade decides
+on them; where only the rows matter (``keep_good``) a rule's counts are made when it is reached.
 
 Words are runs of characters other than blanks, tabs and line ends. Everything
 is built-in Spark expressions on one row at a time: no shuffle and no Python.
 Windows of words are compared by 64-bit hashes within a text.
 
 Defined cases: a null or empty text has no words and fails the rule of fewest
-words like any short one. Rows are judged one by one, repeated ones alike. All
-columns pass through, whatever their names.
+words like any short one. Rows are judged one by one, repeated ones alike. A count exactly
+on a rule's bound passes; of rules of equal worth the cheaper one runs first. Texts of any length are judged
+whole, one by one. An empty table gives no row, and rules in the order given. All columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,13 +28,17 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Scratch, text_column
+
 BLANKS = r"[ \t-\r]+"
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
-#: The sample for the estimates of cost and selectivity, which only order the rules: so
-#: many of the first rows that Spark comes upon, of texts up to so many characters
+#: About so many rows of the whole table, chosen by a hash of their place, are the sample for the
+#: estimates of cost and selectivity, which only order the rules; without one the given order stays
 SAMPLE_ROWS = 500
-SAMPLE_CHARS = 100_000
+#: A rule is timed on the sample repeated up to about so many characters, so that the rule and not the
+#: start of a job is what counts
+TIMED_CHARS = 4_000_000
 
 
 def words(text: Column) -> Column:
@@ -96,24 +105,54 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def few(n: Column) -> Column:
+    return n < 10
+
+
+def repetitive(n: Column, repeated: Column) -> Column:
+    return 100 * repeated > 20 * n
+
+
+def noisy(n: Column, of_symbols: Column) -> Column:
+    return 10 * of_symbols > n
+
+
+def odd_words(n: Column, chars: Column) -> Column:
+    return (chars < 2 * n) | (chars > 15 * n)
+
+
+def copied_lines(n: Column, duplicates: Column) -> Column:
+    return (n >= 4) & (2 * duplicates > n)
+
+
 #: Rules as functions of the text and its words; true for what they reject. The first two
 #: are the base, whose words of fewest and share of repeats are fixed.
 Rule = Callable[[Column, Column], Column]
-BASE: dict[str, Rule] = {
-    "few_words": lambda text, w: F.size(w) < 10,
+RULES: dict[str, Rule] = {
+    "few_words": lambda text, w: few(F.size(w)),
     "repeated_words": lambda text, w: let(
-        window_hashes(w), lambda h: 100 * repeated_words(h) > 20 * F.size(w)
-    ),
-}
-RULES: dict[str, Rule] = BASE | {
-    "symbols": lambda text, w: 10 * symbols(text) > F.size(w),
-    "word_length": lambda text, w: let(
-        word_chars(w), lambda c: (c < 2 * F.size(w)) | (c > 15 * F.size(w))
+        window_hashes(w), lambda h: repetitive(F.size(w), repeated_words(h))
     ),
+    "symbols": lambda text, w: noisy(F.size(w), symbols(text)),
+    "word_length": lambda text, w: let(word_chars(w), lambda c: odd_words(F.size(w), c)),
     "duplicate_lines": lambda text, w: let(
-        lines(text), lambda x: (F.size(x) >= 4) & (2 * duplicate_lines(x) > F.size(x))
+        lines(text), lambda x: copied_lines(F.size(x), duplicate_lines(x))
     ),
 }
+BASE = ("few_words", "repeated_words")
+#: The same rules on the columns of ``metrics``: the test and the counts that it takes
+ON_COUNTS: dict[str, tuple[Callable[..., Column], tuple[str, ...]]] = {
+    "few_words": (few, ("n_words",)),
+    "repeated_words": (repetitive, ("n_words", "n_repeat_words")),
+    "symbols": (noisy, ("n_words", "n_symbols")),
+    "word_length": (odd_words, ("n_words", "word_chars")),
+    "duplicate_lines": (copied_lines, ("n_lines", "n_dup_lines")),
+}
+
+
+def on_counts(name: str) -> Column:
+    test, counts = ON_COUNTS[name]
+    return test(*[F.col(c) for c in counts])
 
 
 def rejected_by(text: Column, rules: Mapping[str, Rule], order: list[str]) -> Column:
@@ -132,25 +171,44 @@ def _on(text: Column, rule: Rule) -> Callable[[Column], Column]:
     return lambda w: rule(text, w)
 
 
+def _sampled(documents: DataFrame, rows: int) -> DataFrame:
+    """About so many texts from all over the table, as a written table."""
+    one_in = max(1, documents.count() // rows)
+    found = documents.select(text_column(documents).alias("text"), F.monotonically_increasing_id().alias("at"))
+    found = found.where(F.pmod(F.xxhash64("at"), F.lit(one_in)) == 0).select("text")
+    return Scratch(documents.sparkSession, "rules").keep(found, "sample").coalesce(1)
+
+
+def _seconds(rows: DataFrame, of: Column) -> tuple[float, int]:
+    """The quicker of two passes over the rows, and in how many of them ``of`` is true."""
+    took = []
+    for _ in range(2):
+        begin = time.perf_counter()
+        n = rows.agg(F.count_if(of)).first()[0]
+        took.append(time.perf_counter() - begin)
+    return min(took), n
+
+
 def cascade_order(
     documents: DataFrame, rules: Mapping[str, Rule], sample_rows: int = SAMPLE_ROWS
 ) -> list[tuple[str, float, float]]:
-    """``(rule, seconds, share rejected)`` on a sample, most rejections per second first.
+    """``(rule, seconds a row, share rejected)`` on a sample, most rejections per second first.
 
-    The sample is taken from as few partitions as hold it, and is small enough for the driver.
+    The seconds are those beyond splitting the words, which all rules share. The sample is one task's
+    and never comes to the driver.
     """
-    texts = documents.select(F.col("text").cast("string").alias("text"))
-    taken = texts.where(F.length("text") <= SAMPLE_CHARS).take(sample_rows)
-    rows = len(taken)
-    sample = documents.sparkSession.createDataFrame(taken, "text string").coalesce(1).cache()
-    sample.count()
+    sample = _sampled(documents, sample_rows)
+    rows, chars = sample.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    if not rows:
+        return [(name, float("inf"), 0.0) for name in rules]
+    times = max(1, min(TIMED_CHARS // max(1, chars or 0), TIMED_CHARS // (100 * rows)))
+    many = sample.select("text", F.explode(F.sequence(F.lit(1), F.lit(times)))).select("text")
+    text = F.col("text")
+    shared, _ = _seconds(many, F.size(words(text)) < 0)
     found = []
     for name, rule in rules.items():
-        rejects = let(words(F.col("text")), _on(F.col("text"), rule))
-        begin = time.perf_counter()
-        n = sample.agg(F.count(F.when(rejects, 1))).first()[0]
-        found.append((name, time.perf_counter() - begin, n / max(1, rows)))
-    sample.unpersist()
+        took, n = _seconds(many, let(words(text), _on(text, rule)))
+        found.append((name, max(took - shared, 1e-4) / (rows * times), n / (rows * times)))
     return sorted(found, key=lambda x: (-x[2] / x[1], x[1]))
 
 
@@ -166,52 +224,46 @@ def keep_good(
 
 
 def metrics(documents: DataFrame) -> DataFrame:
-    """``doc_id``, the text, its words as ``w`` and the counts that the rules go by."""
+    """``doc_id`` and the counts that the rules go by."""
     text = F.col("text")
+
+    def of_lines(x: Column) -> Column:
+        return F.struct(F.size(x).cast("long").alias("n_lines"), duplicate_lines(x).alias("n_dup_lines"))
+
     return (
         documents.select("doc_id", F.col("text").cast("string").alias("text"))
         .select("doc_id", "text", words(text).alias("w"))
         .select("doc_id", "text", "w", window_hashes(F.col("w")).alias("h"))
         .select(
             "doc_id",
-            "text",
-            "w",
             F.size("w").cast("long").alias("n_words"),
             word_chars(F.col("w")).alias("word_chars"),
             symbols(text).alias("n_symbols"),
-            let(lines(text), duplicate_lines).alias("n_dup_lines"),
+            let(lines(text), of_lines).alias("of_lines"),
             repeated_words(F.col("h")).alias("n_repeat_words"),
         )
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "of_lines.*", "n_repeat_words")
     )
 
 
 def judge(documents: DataFrame) -> DataFrame:
     """Per row the counts, ``base_failed`` and ``kept``.
 
-    The counts are results, so all are made; the rules beyond the base run as
-    the cascade, on the rows that pass the base.
+    The counts are results, so all are made, once; the cascade, base rules included, reads them.
     """
-    own = {name: rule for name, rule in RULES.items() if name not in BASE}
-    order = [name for name, _, _ in cascade_order(documents, own)]
-
-    def verdict(w: Column) -> Column:
-        chain = F
-        for name in order:
-            chain = chain.when(own[name](F.col("text"), w), F.lit(False))
-        return chain.otherwise(F.lit(True))
-
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (
-        metrics(documents)
-        .withColumn("base_failed", base)
-        .select(
-            "doc_id",
-            "n_words",
-            "word_chars",
-            "n_symbols",
-            "n_dup_lines",
-            "n_repeat_words",
-            "base_failed",
-            (~F.col("base_failed") & verdict(F.col("w"))).alias("kept"),
-        )
+    chain = F
+    for name, _, _ in cascade_order(documents, RULES):
+        chain = chain.when(on_counts(name), F.lit(False))
+    base = F.lit(False)
+    for name in BASE:
+        base = base | on_counts(name)
+    return metrics(documents).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        base.alias("base_failed"),
+        chain.otherwise(F.lit(True)).alias("kept"),
     )

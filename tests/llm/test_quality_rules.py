@@ -60,6 +60,23 @@ def test_order_by_rejections_per_cost(documents, rows):
     assert rates == sorted(rates, reverse=True)
 
 
+def test_the_estimates_tell_rules_apart(documents):
+    """A dear rule and a cheap one that reject alike: the cheap one comes first, whatever order they are in."""
+    dear = lambda text, w: Q.let(Q.window_hashes(w), lambda h: Q.repeated_words(h) >= 0) & (F.size(w) > 30)
+    cheap = lambda text, w: F.size(w) > 30
+    docs = documents([(i, " ".join(f"w{i}-{j}" for j in range(200 if i % 2 else 20))) for i in range(60)])
+    for rules in ({"dear": dear, "cheap": cheap}, {"cheap": cheap, "dear": dear}):
+        (first, quick, share), (second, slow, same) = Q.cascade_order(docs, rules)
+        assert (first, second) == ("cheap", "dear") and quick < slow and share == same == 0.5
+
+
+def test_the_sample_comes_from_all_over(documents):
+    docs = documents([(i, f"text {i}") for i in range(3000)])
+    at = [int(r["text"].split()[1]) for r in Q._sampled(docs, 300).collect()]
+    assert 150 < len(at) < 600 and len(set(at)) == len(at)
+    assert all(sum(1 for x in at if lo <= x < lo + 1000) > 40 for lo in (0, 1000, 2000))
+
+
 def test_later_rules_are_not_evaluated(documents):
     """A rule that fails on what an earlier one rejects is never reached by it."""
     rules = {
