@@ -30,8 +30,10 @@ No step caps partners or candidates. Shingles are compared by 64-bit hashes.
 Defined cases: null and empty texts have an empty set and are linked with
 nothing; a text of fewer words than a shingle is one shingle. Rows of one id
 count as one document, linked with all that any of its texts is linked with;
-repeated rows give repeated rows. Rows without an id get no component. Other
-columns do not matter, whatever their names.
+repeated rows give repeated rows. Rows without an id get no component. Sets of exactly the
+similarity are linked; of equal bounds the candidate that a tree holds first is given away first,
+which changes the round a link is found in, not the groups. A text of any length is shingled whole, by one task; its set
+is held as 8 bytes a shingle. An empty table gives no row. Other columns do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -163,6 +165,7 @@ def _from_coarse(column: pa.Array) -> np.ndarray:
 
 def _measure(k: int, bits: int):
     """Per text its set's size, fingerprint and point; per task the counts of the order table."""
+    names = ["doc_id", "n", "print", "point", "seen", "key"]
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << bits, np.int64)
@@ -175,14 +178,11 @@ def _measure(k: int, bits: int):
                     points.append(point_of(own) if len(own) else None)
                     seen += np.bincount(_bucket(own, bits), minlength=len(seen))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary())]
-            columns += [pa.array(points, pa.binary()), pa.nulls(len(sizes), pa.binary())]
-            yield pa.record_batch(columns, ["doc_id", "n", "print", "point", "seen"])
-        row = [[None], [None], [None], [None], [seen.tobytes()]]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        yield pa.record_batch(
-            [pa.array(x, kind) for x, kind in zip(row, kinds)],
-            ["doc_id", "n", "print", "point", "seen"],
-        )
+            columns += [pa.array(points, pa.binary()), pa.nulls(len(sizes), pa.binary()), batch.column(2)]
+            yield pa.record_batch(columns, names)
+        row = [[None], [None], [None], [None], [seen.tobytes()], [None]]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+        yield pa.record_batch([pa.array(x, kind) for x, kind in zip(row, kinds)], names)
 
     return run
 
@@ -708,16 +708,30 @@ def near_duplicates(
     Two documents are linked if they share ``similarity`` percent of the union of
     their sets; a component is named by the smallest id that links lead to.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "jaccard")
-    texts = documents.select(F.col("doc_id").cast("long"), text_column(documents))
+    scratch = Scratch(documents.sparkSession, "jaccard")
+    texts = documents.select(
+        F.col("doc_id").cast("long"), text_column(documents), F.lit(None).cast("binary").alias("key")
+    )
+    return _named(*_joined(texts, scratch, shingle, similarity, sizes), scratch)
+
+
+def _joined(texts, scratch, shingle, similarity, sizes) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their sets' fingerprints, the classes of equal sets, and the links between these.
+
+    ``texts`` has an id, a text and a key that comes back with the row. Ids only help to find the
+    texts of a class again: unlike texts of one id stay apart here.
+    """
+    spark = scratch.spark
     measured = scratch.keep(
-        texts.mapInArrow(_measure(shingle, sizes.order_bits), "doc_id long, n long, print binary, point binary, seen binary"),
+        texts.mapInArrow(
+            _measure(shingle, sizes.order_bits),
+            "doc_id long, n long, print binary, point binary, seen binary, key binary",
+        ),
         "measured",
     )
     often = added_up(measured.where("seen is not null"), "seen")
-    members = measured.where("seen is null").select("doc_id", "n", "print")
-    # rows of one id belong together: each set stands with the smallest of its ids
+    members = measured.where("seen is null").select("doc_id", "n", "print", "key")
+    # each set stands with the smallest of its ids
     classes = (
         measured.where("print is not null")
         .groupBy("print")
@@ -768,7 +782,7 @@ def near_duplicates(
         if few is not None:
             compared = compared.unionByName(more)
             comps = components(links, scratch, f"{name}-components")
-    return _named(members, classes, links, scratch)
+    return members, classes, links
 
 
 def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -797,22 +811,35 @@ def _named(members: DataFrame, classes: DataFrame, links: DataFrame, scratch: Sc
     )
 
 
-def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """One row of each group stays: the one with the smallest id (null last), then text hash.
+def keep_one(
+    documents: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, sizes: Sizes = Sizes()
+) -> DataFrame:
+    """One row of each group stays: the one with the smallest id (null last), then MD5 of the text.
 
     Groups are those of texts, so repeated rows and rows without an id are members like others,
     and rows of one id whose texts are not linked belong to groups of their own. Rows
-    without a shingle are in no group; all of them stay.
+    without a shingle are in no group; all of them stay. Of equal texts of one id the least
+    row by all columns stays. Texts are told apart by 128 bits.
     """
     scratch = Scratch(documents.sparkSession, "kept")
-    text = F.xxhash64(text_column(documents))
-    # a text's hash stands in for the id: rows of one text are one node
-    found = near_duplicates(documents.select(text.alias("doc_id"), text_column(documents).alias("text")), **options)
-    of_text = found.where("n_shingles > 0").select(F.col("doc_id").alias("key"), F.col("component_id").alias("comp"))
+    whole = text_column(documents)
+    text = F.unhex(F.md5(whole))
+    # a text's hashes stand in for the id: rows of one text are one node
+    texts = documents.select(F.xxhash64(whole).alias("doc_id"), whole.alias("text"), text.alias("key"))
+    members, classes, links = _joined(texts, scratch, shingle, similarity, sizes)
+    comps = components(links, scratch, "components")
+    comps = classes.join(comps, F.col("cls") == F.col("node"), "left")
+    of_text = (
+        members.where("print is not null")
+        .select("key", "print")
+        .distinct()
+        .join(comps.select("print", F.coalesce("component", "cls").alias("comp")), "print")
+        .select("key", "comp")
+    )
     doc_id = F.col("doc_id").cast("long")
     first = documents.select(text.alias("key"), F.struct(doc_id.isNull().alias("none"), doc_id.alias("id")).alias("who"))
     first = first.groupBy("key").agg(F.min("who").alias("who"), F.count(F.lit(1)).alias("n"))
-    each = scratch.keep(of_text.distinct().join(first, "key"), "texts")
+    each = scratch.keep(of_text.join(first, "key"), "texts")
     best = (
         each.groupBy("comp")
         .agg(F.min(F.struct("who", "key")).alias("best"), F.sum("n").alias("n"))

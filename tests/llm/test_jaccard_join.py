@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tableferry.llm import components as C
 from tableferry.llm import jaccard_join as J
@@ -189,3 +190,19 @@ def test_components_of_graphs(spark, shape):
     found = dict(rows_of(C.components(frame, Scratch(spark, "test"), "c")))
     nodes = {x for e in edges if e[0] != e[1] for x in e}
     assert found == components(nodes, [e for e in edges if e[0] != e[1]])
+
+
+def test_very_long_texts(documents):
+    """Near copies of 150,000 words, one of unlike words and one long word."""
+    words = [f"w{i * 7919 % 1_000_003}" for i in range(150_000)]
+    far = words[:100_000] + [f"v{i}" for i in range(50_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:149_000] + ["other"] * 900)), (3, " ".join(far)), (4, "x" * 3_000_000)]
+    assert rows_of(J.near_duplicates(documents(docs))) == sorted(near_duplicates(docs), key=repr)
+    assert sorted(r["doc_id"] for r in J.keep_one(documents(docs)).collect()) == [1, 3, 4]
+
+
+def test_texts_of_one_64_bit_hash_stay_apart(documents, monkeypatch):
+    """Only the 128-bit key tells texts apart; the short hash merely helps to find them."""
+    docs = [(i, " ".join(f"{x}{j}" for j in range(30))) for i, x in enumerate("abcab")]
+    monkeypatch.setattr(J.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    assert sorted(r["doc_id"] for r in J.keep_one(documents(docs)).collect()) == [0, 1, 2]
