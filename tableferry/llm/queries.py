@@ -43,7 +43,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = url_filter.filter_urls(read(spark, sf_dir, "pages"))
+    pages = read(spark, sf_dir, "pages")
+    found = url_filter.filter_urls(pages, labels="contents", hold_out=url_filter.HOLD_OUT)
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -5,8 +5,12 @@ words by Viterbi search under a unigram model (words as often as the pages use
 them), so ``cheappills`` reads ``cheap pills``. A multinomial naive Bayes model over
 those words scores the urls that no rule decides.
 
-Training labels are weak: an url that holds a seed word counts as unwanted, any
-other as wanted. All counts cover all pages.
+Training labels come from elsewhere than the words that are scored: a listed rule labels its
+pages, the contents label the others. A page is unwanted by its contents if symbols or seed words fill
+more of its text (html without tags) than a share; a page without text and without a rule has no
+label. One host in ``hold_out`` (by a hash) gives no training row; ``held_out_error`` says how the
+model does there. With ``labels="seeds"`` an url that holds a seed word itself counts as
+unwanted, any other as wanted, as a start where there are no contents. Counts cover all other pages.
 
 Everything is keyed by distinct sites (host, path) and distinct pieces. The candidate
 words of a piece are its substrings of up to KEY letters (``length * KEY`` at most, with the
@@ -16,10 +20,10 @@ broadcast. Joins from sites to pieces have a small side unique in its key, so Sp
 pieces that most sites share.
 
 Defined cases: a null url, or one without ``://``, has empty host and path, no
-words, and is allowed. Rows are judged one by one, repeated ones alike; without any
-unwanted url, or any wanted one, the model allows all; a score of 0 is allowed. Of equally probable
+words, and is allowed. Rows are judged one by one, repeated ones alike; a share of exactly the bound is
+wanted; without any unwanted url, or any wanted one, to learn from, the model allows all; a score of 0 is allowed. Of equally probable
 splits the one whose last word is shortest counts, and so on to the left. Urls of any length are
-judged whole, a piece by one task in proportion to its length. An empty table gives no row. Other
+judged whole, a piece by one task in proportion to its length, and so are contents. An empty table gives no row. Other
 columns do not matter.
 """
 
@@ -51,6 +55,10 @@ KEY = 20
 #: Places of a piece whose substrings are made at once, and rows of a batch of them
 PLACES, ROWS = 4096, 50_000
 SMOOTHING = 1.0
+#: Contents with more symbols than a tenth of their words, or more seed words than a fiftieth, are unwanted
+SYMBOLS, WORDS_A_SYMBOL, WORDS_A_SEED = "[#*$%|]", 10, 50
+#: One host in so many is kept from training
+HOLD_OUT = 10
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -73,6 +81,15 @@ def matching_rule(host: Column, path: Column, rules: Iterable[tuple[str, str]])
     return out
 
 
+def unwanted_contents(html: Column, seeds: Iterable[str] = SEEDS) -> Column:
+    """True or false by the text of a page, null where it has none."""
+    text = F.regexp_replace(html.cast("string"), "<[^<>]*>", " ")
+    words = F.regexp_count(text, F.lit(r"\S+"))
+    symbols = F.regexp_count(text, F.lit(SYMBOLS))
+    listed = F.regexp_count(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{'|'.join(seeds)})(?!\p{{L}})"))
+    return F.when(words > 0, (WORDS_A_SYMBOL * symbols > words) | (WORDS_A_SEED * listed > words))
+
+
 def pieces_of(text: Column) -> Column:
     """Letters-or-digits runs, in lower case; runs of digits read as one word."""
     found = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda x: x != "")
@@ -166,35 +183,88 @@ def filter_urls(
     rules: Iterable[tuple[str, str]] = RULES,
     seeds: Iterable[str] = SEEDS,
     smoothing: float = SMOOTHING,
+    labels: str = "seeds",
+    hold_out: int = 0,
 ) -> DataFrame:
-    """Per row ``page_id, host, path, rule, verdict, score`` (log-odds that it is unwanted)."""
+    """Per row ``page_id, host, path, rule, verdict, score, learned, unwanted, held_out``.
+
+    ``score`` is the log-odds that the url is unwanted, ``learned`` the model's own verdict,
+    ``unwanted`` the label of ``labels="contents"`` (else null).
+    """
+    if labels not in ("seeds", "contents"):
+        raise ValueError(f"labels must be seeds or contents, not {labels!r}")
     seeds = list(seeds)
     scratch = Scratch(pages.sparkSession, "urls")
     host, path = split_url(F.col("url"))
-    urls = pages.select("page_id", host.alias("host"), path.alias("path"))
-    sites = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
+    urls = pages.select("page_id", host.alias("host"), path.alias("path"), "html").withColumn(
+        "ruled", matching_rule(F.col("host"), F.col("path"), rules)
+    )
+    by_contents = F.coalesce(F.col("ruled.verdict") == "block", unwanted_contents(F.col("html"), seeds))
+    urls = urls.select(
+        "page_id",
+        "host",
+        "path",
+        "ruled",
+        (by_contents if labels == "contents" else F.lit(None).cast("boolean")).alias("unwanted"),
+        (F.pmod(F.xxhash64("host"), F.lit(hold_out)) == 0 if hold_out else F.lit(False)).alias("held_out"),
+    )
+    urls = scratch.keep(urls, "pages")
+    sites = urls.groupBy("host", "path", "held_out").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("unwanted")).alias("bad"),
+        F.count_if(~F.col("unwanted")).alias("good"),
+    )
     sites = scratch.keep(sites.select(F.monotonically_increasing_id().alias("site"), "*"), "sites")
     parts = scratch.keep(
-        sites.select("site", "pages", F.explode(pieces_of(F.concat_ws(" ", "host", "path"))).alias("piece"))
-        .groupBy("site", "pages", "piece")
+        sites.select("site", F.explode(pieces_of(F.concat_ws(" ", "host", "path"))).alias("piece"))
+        .groupBy("site", "piece")
         .agg(F.count(F.lit(1)).alias("times")),
         "parts",
     )
     vocabulary = scratch.keep(unigrams(pages, seeds), "vocabulary")
-    words = segmented(parts.select("piece").distinct(), vocabulary)
-    words = words.withColumn(
-        "seeded", F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]).cast("array<string>"))
+    words = scratch.keep(segmented(parts.select("piece").distinct(), vocabulary), "words")
+    training = sites.where("not held_out")
+    if labels == "seeds":
+        listed = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]).cast("array<string>"))
+        seeded = parts.join(words.where(listed).select("piece"), "piece").select("site").distinct()
+        training = training.join(seeded.withColumn("listed", F.lit(True)), "site", "left").select(
+            "site",
+            F.when(F.col("listed"), F.col("pages")).otherwise(0).alias("bad"),
+            F.when(F.col("listed"), 0).otherwise(F.col("pages")).alias("good"),
+        )
+    odds, prior = _fitted(parts, words, training.select("site", "bad", "good"), smoothing, scratch)
+    scores = (
+        parts.join(odds, "piece").groupBy("site").agg(F.sum(F.col("times") * F.col("odds")).alias("odds"))
+    )
+    scored = sites.join(scores, "site", "left").select(
+        "host", "path", (F.coalesce("odds", F.lit(0.0)) + F.lit(prior)).alias("score")
     )
-    words = scratch.keep(words, "words")
+    empty = (F.col("host") == "") & (F.col("path") == "")
+    learned = F.when((F.col("score") > 0) & ~empty, "block").otherwise("allow")
+    return (
+        urls.join(scored, ["host", "path"])
+        .withColumn("learned", learned)
+        .select(
+            "page_id",
+            "host",
+            "path",
+            F.col("ruled.rule").alias("rule"),
+            F.coalesce("ruled.verdict", "learned").alias("verdict"),
+            "score",
+            "learned",
+            "unwanted",
+            "held_out",
+        )
+    )
+
 
-    unwanted = (
-        parts.join(words.where("seeded").select("piece"), "piece").select("site").distinct()
-    ).withColumn("unwanted", F.lit(1))
-    labelled = parts.join(unwanted, "site", "left")
-    weight = F.col("pages") * F.col("times")
+def _fitted(
+    parts: DataFrame, words: DataFrame, training: DataFrame, smoothing: float, scratch: Scratch
+) -> tuple[DataFrame, float]:
+    """``(piece, odds)`` under naive Bayes and the log-odds of the classes, from sites with ``bad`` and ``good`` pages."""
+    labelled = parts.join(training, "site", "left")
     per_piece = labelled.groupBy("piece").agg(
-        F.sum(F.when(F.col("unwanted") == 1, weight).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.col("unwanted").isNull(), weight).otherwise(0)).alias("good"),
+        *[F.sum(F.coalesce(c, F.lit(0)) * F.col("times")).alias(c) for c in ("bad", "good")]
     )
     per_word = (
         per_piece.join(words, "piece")
@@ -205,12 +275,8 @@ def filter_urls(
     per_word = scratch.keep(per_word, "per-word")
     sums = per_word.agg(F.count(F.lit(1)), F.sum("bad"), F.sum("good")).first()
     n, bad, good = (float(x or 0) for x in sums)
-    classes = sites.join(unwanted, "site", "left").agg(
-        F.sum(F.when(F.col("unwanted") == 1, F.col("pages"))), F.sum(F.when(F.col("unwanted").isNull(), F.col("pages")))
-    )
-    bad_pages, good_pages = (float(x or 0) for x in classes.first())
+    bad_pages, good_pages = (float(x or 0) for x in training.agg(F.sum("bad"), F.sum("good")).first())
     usable = bad_pages > 0 and good_pages > 0
-    prior = math.log(bad_pages / good_pages) if usable else -1.0
     odds = F.log((F.col("bad") + smoothing) / (bad + smoothing * n)) - F.log(
         (F.col("good") + smoothing) / (good + smoothing * n)
     )
@@ -221,26 +287,20 @@ def filter_urls(
         .groupBy("piece")
         .agg(F.sum("odds").alias("odds"))
     )
-    scores = (
-        parts.join(odds_of, "piece")
-        .groupBy("site")
-        .agg(F.sum(F.col("times") * F.col("odds")).alias("odds"))
-    )
-    scored = sites.join(scores, "site", "left").select(
-        "host", "path", (F.coalesce("odds", F.lit(0.0)) + F.lit(prior)).alias("score")
-    )
-    ruled = matching_rule(F.col("host"), F.col("path"), rules)
-    empty = (F.col("host") == "") & (F.col("path") == "")
-    learned = F.when((F.col("score") > 0) & ~empty, "block").otherwise("allow")
+    return odds_of, math.log(bad_pages / good_pages) if usable else -1.0
+
+
+def held_out_error(found: DataFrame) -> DataFrame:
+    """One row a value of ``held_out``: labelled pages, unwanted ones, and those the model gets wrong."""
+    wrong = (F.col("learned") == "block") != F.col("unwanted")
     return (
-        urls.join(scored, ["host", "path"])
-        .withColumn("ruled", ruled)
-        .select(
-            "page_id",
-            "host",
-            "path",
-            F.col("ruled.rule").alias("rule"),
-            F.coalesce("ruled.verdict", learned).alias("verdict"),
-            "score",
+        found.where("unwanted is not null")
+        .groupBy("held_out")
+        .agg(
+            F.count(F.lit(1)).alias("pages"),
+            F.count_if(F.col("unwanted")).alias("n_unwanted"),
+            F.count_if(F.col("unwanted") & (F.col("learned") == "allow")).alias("missed"),
+            F.count_if(~F.col("unwanted") & (F.col("learned") == "block")).alias("blocked_wanted"),
+            F.avg(wrong.cast("double")).alias("error"),
         )
     )
