@@ -57,8 +57,7 @@ def op6_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # its SQL has one ratio for lines of any length
-    return line_dedup.cleaned(read(spark, sf_dir, "documents"), long_words=None).select(
+    return line_dedup.cleaned(read(spark, sf_dir, "documents")).select(
         F.col("doc.doc_id").alias("doc_id"),
         "n_lines",
         "n_dropped",
@@ -263,11 +262,21 @@ ORACLES: dict[str, str] = {
             WHERE regexp_matches(line, {_SPACED}) GROUP BY ALL
         ),
         host AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
-        gone AS (
-            SELECT seen.source, list(line) AS lines
+        passage AS (
+            SELECT source, line
+            FROM (
+                SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line
+                FROM (SELECT DISTINCT source, text FROM documents)
+            )
+            WHERE len(regexp_extract_all(line, {_SPACED})) > 50 GROUP BY ALL HAVING count(*) >= 3
+        ),
+        often AS (
+            SELECT seen.source, line
             FROM seen JOIN host ON host.source IS NOT DISTINCT FROM seen.source
-            WHERE pages >= 5 AND pages > 0.05 * host_pages GROUP BY ALL
+            WHERE pages >= 5 AND pages > 0.05 * host_pages
+            UNION SELECT source, line FROM passage
         ),
+        gone AS (SELECT source, list(line) AS lines FROM often GROUP BY source),
         rest AS (
             SELECT doc_id, l, list_filter(l, lambda x: NOT list_contains(coalesce(lines, []), x)) AS r
             FROM d LEFT JOIN gone ON gone.source IS NOT DISTINCT FROM d.source
