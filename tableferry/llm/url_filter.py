@@ -271,6 +271,8 @@ def _fitted(
         .select(F.explode("words").alias("word"), "bad", "good")
         .groupBy("word")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        # a word of no training page says nothing; smoothing alone would side with the smaller class
+        .where("bad + good > 0")
     )
     per_word = scratch.keep(per_word, "per-word")
     sums = per_word.agg(F.count(F.lit(1)), F.sum("bad"), F.sum("good")).first()

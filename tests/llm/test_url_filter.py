@@ -209,11 +209,11 @@ def test_learning_from_rules_and_contents_against_plain_counts(spark, seed):
         if label is not None and not out:
             seen[label].update(words)
             classes[label] += 1
-    n = len({w for words, _, _ in said.values() for w in words})
+    n = len(seen[True] | seen[False])
     for i, url, html in rows:
         words, label, out = said[i]
         score = math.log(classes[True] / classes[False])
-        for w in words:
+        for w in (w for w in words if seen[True][w] or seen[False][w]):
             score += math.log((seen[True][w] + 1) / (seen[True].total() + n))
             score -= math.log((seen[False][w] + 1) / (seen[False].total() + n))
         assert (found[i]["unwanted"], found[i]["held_out"]) == (label, out)
