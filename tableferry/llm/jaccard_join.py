@@ -12,7 +12,8 @@ its trees in cells: two sets of similarity s share one of the first
 ``n - ceil(s n) + 1`` shingles in any common order, and the order here is rarest
 first, so cells stay small. The place of the shingle in that order bounds the
 partner's size: the smaller set has it among its first ``n / 9`` or so. The order comes from counts of all shingles of the
-corpus in a table of a fixed size.
+corpus in a table of a fixed size. Near copies share nearly all of their cells; short cells that begin with the
+same class are therefore gathered into one, in which a class stands once.
 
 Work on large groups stays in proportion to their rows:
 
@@ -63,6 +64,8 @@ LEAST_GROUPS, MOST_GROUPS = 64, 16384
 FAN_OUT = 16
 #: Rows of a cell up to which its pairs of sizes are looked at before anything else
 SHORT_RUN = 8
+#: Rows of a cell up to which it is gathered with others that begin with the same class
+GATHERED = 32
 #: Blocks that a task has ready before it gives them away
 HELD_BYTES = 4 << 20
 #: Counts that are compared at once
@@ -239,9 +242,10 @@ def _within_reach(run: np.ndarray, n: np.ndarray, far: np.ndarray) -> np.ndarray
 def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by cell: those of cells with company, with the cell's first class.
 
-    Holds one row back at most. Salted rows are parts of a large cell and always stay.
+    Holds one row back at most. Salted rows are parts of a large cell and always stay. ``short``: all rows of
+    the cell are here, at most GATHERED; said of no cell that may go on in another batch.
     """
-    names = ["cell", "n", "cls", "centre", "reach"]
+    names = ["cell", "n", "cls", "centre", "reach", "short"]
     last, centre, single = None, 0, None
     for batch in each:
         if not batch.num_rows:
@@ -256,12 +260,13 @@ def _shared(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         company = np.concatenate(([True], size > 1))[run + 1] | (salt >= 0)
         centres = np.concatenate(([centre], cls[start]))[run + 1]
         company &= _within_reach(run, n, far) | (salt >= 0)
-        out = [x[company] for x in (cell, n, cls, centres, far)]
+        short = (np.append(size, 0)[run] <= GATHERED) & (run > run[0]) & (run < run[-1]) & (salt < 0)
+        out = [x[company] for x in (cell, n, cls, centres, far, short)]
         if single is not None and not new[0]:
             out = [np.concatenate(([x], y)) for x, y in zip(single, out)]
         last, centre = (cell[-1], salt[-1]), centres[-1]
-        single = None if company[-1] else (cell[-1], n[-1], cls[-1], cls[-1], far[-1])
-        yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names)
+        single = None if company[-1] else (cell[-1], n[-1], cls[-1], cls[-1], far[-1], False)
+        yield pa.record_batch([*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(out[5].astype(bool))], names)
 
 
 # ------------------------------------------------------------- verification
@@ -279,14 +284,34 @@ def _bitmap(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["v"])
 
 
+def _sent_bits(ids: DataFrame):
+    """The fixed-size bitmap of ids, for all workers."""
+    bits = added_up(ids.mapInArrow(_bitmap, "v binary"), "v", np.bitwise_or, np.uint8)
+    # workers keep what is broadcast as long as they live, so the bits stay packed
+    return ids.sparkSession.sparkContext.broadcast(np.zeros(1 << _ID_BITS - 3, np.uint8) if bits is None else bits)
+
+
+def _maybe(ids: pa.Array, bits: np.ndarray) -> np.ndarray:
+    at = _id_bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    maybe = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return maybe | ids.is_null().to_numpy(zero_copy_only=False)
+
+
+def _points_of(wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """Sizes and points of the classes ``wanted(cls)``, and of few others: the rest is not dealt out."""
+    sent = _sent_bits(wanted)
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(_maybe(batch.column(0), sent.value)))
+
+    return batches(classes.select("cls", "n", "point"), convert, "cls long, n long, point binary")
+
+
 def _wanted_sets(sent, k: int):
     """The sets of the texts whose id may be wanted (a fixed-size bitmap; null ids always)."""
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column(0)
-        at = _id_bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
-        maybe = (sent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-        maybe |= ids.is_null().to_numpy(zero_copy_only=False)
+        maybe = _maybe(batch.column(0), sent.value)
         prints, sets = [], []
         for _, words in pieces(batch.column(1).filter(pa.array(maybe)), SPACED):
             for own in shingle_sets(words, k):
@@ -316,15 +341,11 @@ def _linked(similarity: int):
 
 def _verified(pairs, texts, classes, scratch, name, k, similarity) -> DataFrame:
     """The pairs of classes that are linked. Only the sets of classes in pairs are made again."""
-    spark = scratch.spark
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls")))
     wanted = scratch.keep(
         wanted.distinct().join(classes.select("cls", "print", "doc_id"), "cls"), f"{name}-wanted"
     )
-    ids = wanted.where("doc_id is not null").select("doc_id")
-    bits = added_up(ids.mapInArrow(_bitmap, "v binary"), "v", np.bitwise_or, np.uint8)
-    # workers keep what is broadcast as long as they live, so the bits stay packed
-    sent = spark.sparkContext.broadcast(np.zeros(1 << _ID_BITS - 3, np.uint8) if bits is None else bits)
+    sent = _sent_bits(wanted.where("doc_id is not null").select("doc_id"))
     sets = batches(texts, _wanted_sets(sent, k), "print binary, set binary")
     sets = sets.groupBy("print").agg(F.first("set").alias("set"))
     sets = scratch.keep(sets.join(wanted.select("print", "cls"), "print").select("cls", "set"), f"{name}-sets")
@@ -530,10 +551,12 @@ def _within_bound(similarity: int):
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    points = _points_of(pairs.select(F.explode(F.array("a", "b")).alias("cls")), classes)
     a, b = (
-        classes.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
+        points.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}"))
         for x in ("a", "b")
     )
+    pairs = pairs.distinct()
     rows = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "point_a", "point_b")
     return batches(rows, _within_bound(similarity), "a long, b long")
 
@@ -637,7 +660,7 @@ def _first_candidates(cells, classes, scratch, similarity, sizes: Sizes) -> tupl
     rows = cells.join(points, "cls").select("cell", "n", "cls", "reach", "point")
     rows = rows.repartition("cell").sortWithinPartitions("cell", "n", "cls")
     found = scratch.keep(rows.mapInArrow(_first_round(similarity, sizes.block, sizes.few), "a long, b long, cell long"), "first")
-    return found.where("a is not null").select("a", "b").distinct(), found.where("a is null").select("cell").distinct()
+    return found.where("a is not null").select("a", "b"), found.where("a is null").select("cell").distinct()
 
 
 def _coarse(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -667,7 +690,7 @@ def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, bloc
         .select("cell", "total")
     )
     rows = scratch.keep(labelled.join(several, "cell"), f"{name}-mixed")
-    rows = rows.join(classes.select("cls", "point"), "cls")
+    rows = rows.join(_points_of(rows.select("cls"), classes).drop("n"), "cls")
     rows = rows.select("cell", "n", "cls", "comp", "reach", "total", "point")
     # rows that lead together, then rows of one component; a large cell is cut up too
     order = ["cell", F.col("reach") >= F.col("n"), "comp", "n", "cls"]
@@ -763,11 +786,15 @@ def _joined(texts, scratch, shingle, similarity, sizes) -> tuple[DataFrame, Data
         )
     )
     deal = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(shingles / 5 / 4e6))
-    cells = scratch.keep(
+    shared = (
         prefixes.repartition(deal, "cell", "salt")
-        .sortWithinPartitions("cell", "salt", F.xxhash64("cell", "cls"))
-        .mapInArrow(_shared, "cell long, n long, cls long, centre long, reach long")
-        .drop("centre"),
+        .sortWithinPartitions("cell", "salt", "cls")
+        .mapInArrow(_shared, "cell long, n long, cls long, centre long, reach long, short boolean")
+    )
+    # a pair stays within reach of each other: of a class's places the one that reaches farthest counts
+    cells = scratch.keep(
+        shared.groupBy(F.when(F.col("short"), F.col("centre")).otherwise(F.col("cell")).alias("cell"), "n", "cls")
+        .agg(F.max("reach").alias("reach")),
         "cells",
     )
     candidates, open_cells = _first_candidates(cells, classes, scratch, similarity, sizes)

@@ -172,6 +172,60 @@ def test_cells_keep_every_row_that_may_have_a_partner(cut):
     assert all(k == first[c] for c, k in zip(out["cell"], out["centre"]))
 
 
+@pytest.mark.parametrize("cut", [7, 50, 1000])
+def test_only_whole_short_cells_are_gathered(cut):
+    """Whatever the batches, all rows of a cell say the same, and no large, salted or cut cell is short."""
+    rng = np.random.default_rng(cut)
+    cell = np.sort(np.concatenate((rng.integers(0, 120, 400), np.full(2 * J.GATHERED, 60))))
+    m = len(cell)
+    salt = np.where(cell % 40 == 3, 3, -1)
+    cols = (cell, salt, np.full(m, 9), np.arange(m), np.full(m, 9))
+    batches = [
+        pa.record_batch([pa.array(x[i : i + cut]) for x in cols], list("abcde")) for i in range(0, m, cut)
+    ]
+    out = pa.Table.from_batches(J._shared(iter(batches))).to_pydict()
+    says = {}
+    for c, short in zip(out["cell"], out["short"]):
+        says.setdefault(c, set()).add(short)
+    for c, said in says.items():
+        at = np.flatnonzero(cell == c)
+        whole = at[0] // cut == at[-1] // cut
+        assert len(said) == 1
+        assert said == {False} or (whole and len(at) <= J.GATHERED and c % 40 != 3)
+    assert cut == 7 or sum(True in said for said in says.values()) > 50
+
+
+def test_near_copies_meet_in_few_cells(documents, monkeypatch):
+    """Four near copies share some 50 rare shingles, but need not stand in 50 cells."""
+    rng = random.Random(3)
+    docs = []
+    for g in range(20):
+        base = [f"g{g}w{i}" for i in range(300)]
+        for _ in range(4):
+            copy = list(base)
+            copy[rng.randrange(300)] = "other"
+            docs.append(" ".join(copy))
+    docs, kept = list(enumerate(docs)), {}
+    keep = Scratch.keep
+
+    def kept_too(self, rows, name):
+        kept[name] = keep(self, rows, name)
+        return kept[name]
+
+    monkeypatch.setattr(Scratch, "keep", kept_too)
+    assert rows_of(J.near_duplicates(documents(docs))) == sorted(near_duplicates(docs), key=repr)
+    cells = kept["cells"].count()
+    assert 80 <= cells < 10 * len(docs)
+
+
+def test_points_are_fetched_for_wanted_classes_alone(spark):
+    classes = spark.range(20_000).selectExpr("id AS cls", "id AS n", "binary('x') AS point", "binary('y') AS print")
+    found = J._points_of(spark.createDataFrame([(7,), (7,), (9_999,)], "cls long"), classes)
+    assert found.columns == ["cls", "n", "point"]
+    ids = {r["cls"] for r in found.collect()}
+    assert {7, 9_999} <= ids and len(ids) < 20
+
+
 def test_blocks_come_back():
     rng = np.random.default_rng(0)
     block = (*rng.integers(0, 2**60, (4, 7)), rng.integers(0, 99, (7, 16)).astype(np.int32))
