@@ -10,7 +10,8 @@ The white space of the tokenizer's texts never becomes a token and no token
 spans it, so a text's ids are those of its blank-separated chunks in turn; each chunk is
 encoded once and remembered (up to a bounded number of chunks per worker). A tokenizer
 for which this does not hold is refused: the chunks of a probe text are compared with
-the whole.
+the whole. Marks that end a chunk after a letter or digit are looked up apart, and ASCII chunks in
+lower case, where probes and the tokenizer's added tokens show that this gives the same ids.
 
 Defined cases: a null text counts as empty and has the end id alone; null ids
 come first; rows of one id go by the first letters of their texts, then a hash of them, over as
@@ -21,6 +22,7 @@ not written. An empty table gives files without rows.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -51,9 +53,22 @@ TOGETHER = 16_384
 MARK = "\x02"
 #: Letters of a text by which rows of one id are ordered
 HEAD = 32
+#: Marks that are looked up apart from the chunk that they end
+TAILS = ".,;:!?#*$%&"
+_STEM_AND_TAIL = f"(?s)^(?P<stem>.*[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?P<tail>[{TAILS}]+)$"
+#: Added tokens may begin with this; chunks that hold it keep their case
+ADDED = "<"
 _PROBE = " Don't  stop,\n\tit's 42.5% <|endoftext|> ÉTÉ é naïve— x"
 
 
+def _gathered(ids: np.ndarray, sizes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The ids of many chunks, by the chunks' places in ``sizes``."""
+    n = sizes[code]
+    place = (np.cumsum(sizes) - sizes)[code]
+    end = np.cumsum(n)
+    return ids[np.repeat(place - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+
+
 class Encoder:
     """Ids of many texts; equal chunks are encoded once."""
 
@@ -62,6 +77,7 @@ class Encoder:
         self.end_id = end_id
         mark = self._ids(MARK)
         self.mark = mark[0] if len(mark) == 1 else -1  # no id, so all go one by one
+        self.tails, self.lower = self._by_tails(), self._in_lower_case()
         self._forget()
 
     def _forget(self) -> None:
@@ -76,16 +92,44 @@ class Encoder:
         self.code = dict(zip(chunks, range(len(chunks))))
 
     def _ids_of(self, code: np.ndarray) -> np.ndarray:
-        n = self.sizes[code]
-        place = (np.cumsum(self.sizes) - self.sizes)[code]
-        end = np.cumsum(n)
-        return self.ids[np.repeat(place - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        return _gathered(self.ids, self.sizes, code)
 
     def by_chunks(self) -> bool:
         whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
         chunks = self.tokenizer.encode_batch(_PROBE.split(), add_special_tokens=False)
         return whole == [i for c in chunks for i in c.ids]
 
+    def _added(self) -> list[str]:
+        return [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _by_tails(self) -> bool:
+        """Whether the marks that end a chunk after a letter or digit have the ids that they have alone."""
+        if any(x in token for token in self._added() for x in TAILS):
+            return False
+        stems, tails = ("word", "Été9", "x's", "naïvÿ", "7"), (*TAILS, "...", TAILS, TAILS[::-1])
+        return all(
+            np.array_equal(self._ids(s + t), np.concatenate((self._ids(s), self._ids(t)))) for s in stems for t in tails
+        )
+
+    def _in_lower_case(self) -> bool:
+        """Whether ASCII chunks without ADDED have the ids that they have in lower case."""
+        normalizer = self.tokenizer.normalizer
+        if normalizer is None or not all(ADDED in token for token in self._added()):
+            return False
+        upper = f"{string.ascii_uppercase} " + " ".join(string.ascii_uppercase)
+        return normalizer.normalize_str(upper) == normalizer.normalize_str(upper.lower())
+
+    def _parts(self, chunks: pa.Array) -> list[pa.Array]:
+        """Chunks as the parts that are looked up, which have the chunks' ids one after the other."""
+        parts = [chunks]
+        if self.tails:
+            found = pc.extract_regex(chunks, _STEM_AND_TAIL)
+            parts = [pc.coalesce(pc.struct_field(found, "stem"), chunks), pc.struct_field(found, "tail").fill_null("")]
+        if self.lower:
+            plain = pc.and_not(pc.string_is_ascii(parts[0]), pc.match_substring(parts[0], ADDED))
+            parts[0] = pc.if_else(plain, pc.ascii_lower(parts[0]), parts[0])
+        return parts
+
     def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks, one after another, and their numbers.
 
@@ -127,11 +171,15 @@ class Encoder:
         split = pc.ascii_split_whitespace(texts)
         counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         found = split.flatten().dictionary_encode()
-        codes = self._codes(found.dictionary.to_pylist())
-        word = codes[found.indices.to_numpy(zero_copy_only=False)]
-        before = np.concatenate(([0], np.cumsum(self.sizes[word])))
+        parts = self._parts(found.dictionary)
+        each = pa.concat_arrays(parts).dictionary_encode()
+        codes = self._codes(each.dictionary.to_pylist())[each.indices.to_numpy(zero_copy_only=False)]
+        codes = codes.reshape(len(parts), -1).T  # a row for each chunk
+        sizes = self.sizes[codes].sum(axis=1)
+        word = found.indices.to_numpy(zero_copy_only=False)
+        before = np.concatenate(([0], np.cumsum(sizes[word])))
         ends = before[np.cumsum(counts)]
-        tokens = self._ids_of(word)
+        tokens = _gathered(self._ids_of(codes.ravel()), sizes, word)
         if self.end_id is not None:
             tokens = np.insert(tokens, ends, self.end_id)
             ends = ends + np.arange(1, len(ends) + 1)

@@ -45,6 +45,25 @@ def test_chunks_give_the_ids_of_whole_texts(texts):
     assert [p.tolist() for p in parts] == [ids(t) for t in texts]
 
 
+def test_words_are_encoded_once_whatever_their_case_and_end_marks():
+    encoder = T.Encoder(T.TOKENIZER)
+    assert encoder.tails and encoder.lower
+    text = "Word word, WORD. word!? wOrD### word"
+    tokens, ends = encoder.encode(pa.array([text]))
+    assert tokens.tolist() == ids(text) and ends.tolist() == [len(tokens)]
+    assert set(encoder.code) == {"word", "", ",", ".", "!?", "###"}
+
+
+def test_marks_and_capitals_that_matter():
+    texts = [
+        "<|endoftext|>, <|ENDOFTEXT|>. A<|endoftext|>B! <|endoftext|>B,",
+        "H\u0331, h\u0331. H\u0331x, a\u0301; A\u0301: I\u0307, K\u212a, \u0130!",
+        "foo', [', foo,' x's# ... .,;:!?#*$%& a.b, 4.5% \x02, a\x02, É, éÉ. ΑΣ, ñ",
+    ]
+    tokens, ends = T.Encoder(T.TOKENIZER).encode(pa.array(texts))
+    assert [x.tolist() for x in np.split(tokens, ends[:-1])] == [ids(x) for x in texts]
+
+
 def test_a_full_memory_changes_nothing(monkeypatch):
     monkeypatch.setattr(T, "REMEMBERED", 3)
     encoder = T.Encoder(T.TOKENIZER)
