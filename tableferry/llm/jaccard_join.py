@@ -13,7 +13,8 @@ its trees in cells: two sets of similarity s share one of the first
 first, so cells stay small. The place of the shingle in that order bounds the
 partner's size: the smaller set has it among its first ``n / 9`` or so. The order comes from counts of all shingles of the
 corpus in a table of a fixed size. Near copies share nearly all of their cells; short cells that begin with the
-same class are therefore gathered into one, in which a class stands once.
+same class are therefore gathered into one, in which a class stands once, and large ones where that leaves no more
+pairs of rows than before. Rows without a partner of a fitting size in their cell go no further.
 
 Work on large groups stays in proportion to their rows:
 
@@ -23,8 +24,8 @@ Work on large groups stays in proportion to their rows:
   that had no more are done. The points are coarse here, 64 groups, as they go along with every row;
 * links come out of verified candidates, and components out of links. Of the cells that are not done, those that hold
   several components are looked at again, in a second round with a few candidates for each pair of components,
-  and in a third without any limit. Blocks of one cell meet only if their bounds (sizes, components,
-  counts) allow a link.
+  and those that had more than these in a third without any limit. Blocks of one cell meet only if their bounds
+  (sizes, components, counts) allow a link.
 
 No step caps partners or candidates. Shingles are compared by 64-bit hashes.
 
@@ -62,7 +63,7 @@ SIMILARITY = 80
 #: Groups that a set's shingles are counted in: its size up to the next power of two, within these
 LEAST_GROUPS, MOST_GROUPS = 64, 16384
 FAN_OUT = 16
-#: Rows of a cell up to which its pairs of sizes are looked at before anything else
+#: Rows of a cell up to which its pairs of sizes are looked at one by one
 SHORT_RUN = 8
 #: Rows of a cell up to which it is gathered with others that begin with the same class
 GATHERED = 32
@@ -226,16 +227,45 @@ def _prefixes(sent, k: int, similarity: int, limit: int, sizes: Sizes):
 
 
 def _within_reach(run: np.ndarray, n: np.ndarray, far: np.ndarray) -> np.ndarray:
-    """Rows that may have a partner in their run: exact for short runs that lie within the batch.
+    """Rows that may have a partner in their run: exact for runs that lie within the batch.
 
     ``run`` numbers the runs of rows; the first and last may go on outside, so all their rows stay.
     """
     size = np.bincount(run - run[0])
-    out = (size[run - run[0]] > SHORT_RUN) | (run == run[0]) | (run == run[-1])
+    out = (run == run[0]) | (run == run[-1])
     for d in range(1, SHORT_RUN):
         fits = (run[d:] == run[:-d]) & (n[d:] <= far[:-d]) & (n[:-d] <= far[d:])
         out[d:] |= fits
         out[:-d] |= fits
+    long = np.flatnonzero(size[run - run[0]] > SHORT_RUN)
+    out[long] |= _long_within_reach(run[long], n[long], far[long])
+    return out
+
+
+def _long_within_reach(run: np.ndarray, n: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The same for given rows by sorting: those that a row reaches begin its run, in the order of sizes."""
+    out = np.zeros(len(run), bool)
+    if not len(run):
+        return out
+    order = np.lexsort((n, run))
+    run, n, far = run[order], n[order], far[order]
+    first = np.searchsorted(run, run)
+    base = 1 + max(n.max(), far.max(), 0)
+    key = (run - run[0]) * base
+    upto = np.searchsorted(key + n, key + np.maximum(far, -1), "right")
+    here = np.arange(len(run))
+    # the largest reach of 1, 2, 4, ... rows from each one on
+    most = [far]
+    while 2 << len(most) - 1 <= len(far):
+        half = 1 << len(most) - 1
+        most.append(np.maximum(most[-1][:-half], most[-1][half:]))
+    for low, high in ((first, np.minimum(here, upto)), (here + 1, upto)):  # without the row itself
+        some = np.flatnonzero(low < high)
+        power = np.frexp(high[some] - low[some])[1] - 1
+        for k in np.unique(power):
+            at = some[power == k]
+            widest = np.maximum(most[k][low[at]], most[k][high[at] - (1 << k)])
+            out[order[at]] |= widest >= n[at]
     return out
 
 
@@ -455,8 +485,13 @@ def _same_groups(a, b):
     return [(*x[:4], x[4].reshape(len(x[0]), -1, groups).sum(axis=1)) for x in (a, b)]
 
 
-def _surviving(a, b, similarity: int, same: bool, few: int | None = None) -> np.ndarray:
-    """Rows (smaller class, larger class) of two blocks in different components.
+def _surviving(a, b, similarity: int, same: bool) -> np.ndarray:
+    """Rows (smaller class, larger class) of two blocks in different components."""
+    return _best(a, b, similarity, same, None)[0]
+
+
+def _best(a, b, similarity: int, same: bool, few: int | None) -> tuple[np.ndarray, bool]:
+    """Surviving rows of two blocks, and whether these are all.
 
     With ``few``, the best pairs by their bounds: so many for each row and for each two components.
     """
@@ -465,8 +500,9 @@ def _surviving(a, b, similarity: int, same: bool, few: int | None = None) -> np.
     right = left if same else Tree(*b[1:], height=height)
     found = list(tree_join(left, right, similarity, same))
     if not found:
-        return np.zeros((0, 2), np.int64)
+        return np.zeros((0, 2), np.int64), True
     i, j, bound = (np.concatenate(x) for x in zip(*found))
+    total = len(i)
     if few is not None:
         best = np.argsort(-bound, kind="stable")
         i, j = i[best], j[best]
@@ -476,7 +512,7 @@ def _surviving(a, b, similarity: int, same: bool, few: int | None = None) -> np.
         _, key = np.unique(ends, axis=0, return_inverse=True)
         chosen = _first_of(key.ravel(), few)
         i, j = i[chosen], j[chosen]
-    return np.column_stack((np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])))
+    return np.column_stack((np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j]))), len(i) == total
 
 
 def _first_round(similarity: int, most: int, few: int):
@@ -506,10 +542,7 @@ def _first_round(similarity: int, most: int, few: int):
         def out(cols: list[np.ndarray], block: np.ndarray, long: np.ndarray) -> pa.RecordBatch:
             (a, b), left = joined(cols, block)
             pairs = np.unique(np.column_stack((a, b)), axis=0)
-            cells = np.unique(np.concatenate((left, long)))
-            none, empty = pa.nulls(len(cells), pa.int64()), pa.nulls(len(pairs), pa.int64())
-            columns = [pa.concat_arrays([pa.array(pairs[:, k]), none]) for k in (0, 1)]
-            return pa.record_batch([*columns, pa.concat_arrays([empty, pa.array(cells)])], ["a", "b", "cell"])
+            return _pairs_and_cells(pairs, np.unique(np.concatenate((left, long))))
 
         for batch in each:
             for part in range(0, batch.num_rows, 4 * SLICE_ROWS):
@@ -583,7 +616,7 @@ _BLOCK_SCHEMA = pa.schema(
 
 
 def _blocks(similarity: int, most: int, few: int | None):
-    """Of rows sorted by cell: pairs of the cells that fit in a block, blocks of the others."""
+    """Of rows sorted by cell: pairs of the cells that fit in a block, these cells if they had more, blocks of the others."""
 
     def run(each: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, serial = TaskContext.get().partitionId(), 0
@@ -594,8 +627,9 @@ def _blocks(similarity: int, most: int, few: int | None):
             cell, n, cls, comp, far, total, points = rows
             block = (cls, n, comp, far, folded(list(points)))
             if len(cls) == total[0]:
-                found = _surviving(block, block, similarity, True, few)
+                found, whole = _best(block, block, similarity, True, few)
                 out += [{"a": a, "b": b} for a, b in found.tolist()]
+                out += [] if whole else [{"cell": int(cell[0])}]
                 return
             serial += 1
             bounds = {
@@ -641,22 +675,56 @@ def _blocks(similarity: int, most: int, few: int | None):
     return run
 
 
+def _pairs_and_cells(pairs: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
+    """Pairs (a, b), then cells that are not done."""
+    none, empty = pa.nulls(len(cells), pa.int64()), pa.nulls(len(pairs), pa.int64())
+    columns = [pa.concat_arrays([pa.array(pairs[:, k]), none]) for k in (0, 1)]
+    return pa.record_batch([*columns, pa.concat_arrays([empty, pa.array(cells)])], ["a", "b", "cell"])
+
+
 def _block_pairs(similarity: int, few: int | None):
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.zeros((0, 2), np.int64)]
+        found, left = [np.zeros((0, 2), np.int64)], set()
         for row in range(batch.num_rows):
-            same, a, b, size_a, size_b = (c[row].as_py() for c in batch.columns)
+            cell, same, a, b, size_a, size_b = (c[row].as_py() for c in batch.columns)
             a, b = _unpack(a, size_a), _unpack(b, size_b)
-            found.append(_surviving(*_same_groups(a, b), similarity, same, few))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            pairs, whole = _best(*_same_groups(a, b), similarity, same, few)
+            found.append(pairs)
+            left |= set() if whole else {cell}
+        return _pairs_and_cells(np.unique(np.concatenate(found), axis=0), np.array(sorted(left), np.int64))
 
     return convert
 
 
+def _gathered(cells: DataFrame) -> DataFrame:
+    """``cells``, with the large ones that begin with the same class as one.
+
+    Only where the rows of that one, squared, are no more than the squares of the rows before: cells of unlike
+    classes stay as they are. A pair that shared a cell shares one still.
+    """
+    large = cells.groupBy("cell").agg(F.min("cls").alias("centre"), F.count(F.lit(1)).cast("double").alias("total"))
+    large = large.where(F.col("total") > GATHERED)
+    many = (
+        large.groupBy("centre")
+        .agg(F.sum(F.col("total") * F.col("total")).alias("before"), F.count(F.lit(1)).alias("n_cells"))
+        .where("n_cells > 1")
+    )
+    large = large.join(many, "centre").select("cell", "centre", "before")
+    after = cells.join(large, "cell").select("centre", "before", "cls").distinct()
+    after = after.groupBy("centre", "before").agg(F.count(F.lit(1)).cast("double").alias("total"))
+    after = after.where("total * total <= before").select("centre")
+    moved = large.join(after, "centre").select("cell", "centre")
+    return (
+        cells.join(moved, "cell", "left")
+        .groupBy(F.coalesce("centre", "cell").alias("cell"), "n", "cls")
+        .agg(F.max("reach").alias("reach"))
+    )
+
+
 def _first_candidates(cells, classes, scratch, similarity, sizes: Sizes) -> tuple[DataFrame, DataFrame]:
     """Candidates of the first round, and the cells that are not done by them."""
-    points = batches(classes.select("cls", "point"), _coarse, "cls long, point binary")
+    points = _points_of(cells.select("cls"), classes).select("cls", "point")
+    points = batches(points, _coarse, "cls long, point binary")
     rows = cells.join(points, "cls").select("cell", "n", "cls", "reach", "point")
     rows = rows.repartition("cell").sortWithinPartitions("cell", "n", "cls")
     found = scratch.keep(rows.mapInArrow(_first_round(similarity, sizes.block, sizes.few), "a long, b long, cell long"), "first")
@@ -668,8 +736,8 @@ def _coarse(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([batch.column(0), pa.array([x.tobytes() for x in points], pa.binary())], ["cls", "point"])
 
 
-def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, block, few) -> DataFrame:
-    """Candidate pairs across components, from the trees of the cells that hold several.
+def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, block, few) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs across components, from the trees of the cells that hold several, and the cells that had more.
 
     The smaller set of a pair must reach its own size (it leads); a cell without
     such a row holds no pair. ``compared`` pairs are left out.
@@ -697,7 +765,7 @@ def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, bloc
     packed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     packed = scratch.keep(packed.mapInArrow(_blocks(similarity, block, few), _BLOCKS), f"{name}-blocks")
     pairs = packed.where("a is not null").select("a", "b")
-    blocks = packed.where("a is null")
+    blocks = packed.where("block is not null")
     bounds = blocks.drop("a", "b", "block")
     left = bounds.select("cell", *[F.col(c).alias(f"l_{c}") for c in bounds.columns[1:]])
     meet = left.join(bounds, "cell").where(
@@ -707,14 +775,16 @@ def _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, bloc
     )
     body = blocks.select("id", "block", "size")
     meet = (
-        meet.select("l_id", "id")
+        meet.select("cell", "l_id", "id")
         .join(body.select(*[F.col(c).alias(f"l_{c}") for c in body.columns]), "l_id")
         .join(body, "id")
-        .select((F.col("l_id") == F.col("id")).alias("same"), "l_block", "block", "l_size", "size")
+        .select("cell", (F.col("l_id") == F.col("id")).alias("same"), "l_block", "block", "l_size", "size")
     )
-    more = batches(meet, _block_pairs(similarity, few), "a long, b long")
-    found = pairs.unionByName(more).distinct().join(compared, ["a", "b"], "left_anti")
-    return scratch.keep(found, f"{name}-candidates")
+    met = scratch.keep(batches(meet, _block_pairs(similarity, few), "a long, b long, cell long"), f"{name}-met")
+    pairs = pairs.unionByName(met.where("a is not null").select("a", "b"))
+    found = pairs.distinct().join(compared, ["a", "b"], "left_anti")
+    left = packed.where("a is null and block is null").select("cell").unionByName(met.where("a is null").select("cell"))
+    return scratch.keep(found, f"{name}-candidates"), left.distinct()
 
 
 # ------------------------------------------------------------------ the join
@@ -797,6 +867,7 @@ def _joined(texts, scratch, shingle, similarity, sizes) -> tuple[DataFrame, Data
         .agg(F.max("reach").alias("reach")),
         "cells",
     )
+    cells = scratch.keep(_gathered(cells), "gathered")
     candidates, open_cells = _first_candidates(cells, classes, scratch, similarity, sizes)
     compared = scratch.keep(_plausible(candidates, classes, similarity), "first-plausible")
     links = _verified(compared, texts, classes, scratch, "first", shingle, similarity)
@@ -804,11 +875,14 @@ def _joined(texts, scratch, shingle, similarity, sizes) -> tuple[DataFrame, Data
     cells = scratch.keep(cells.join(open_cells, "cell"), "open")
     # a few links of two components make them one, which settles most of their other pairs
     for name, few in (("second", 2 * sizes.few), ("third", None)):
-        more = _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, sizes.block, few)
-        links = links.unionByName(_verified(more, texts, classes, scratch, name, shingle, similarity))
+        more, left = _tree_pairs(cells, classes, comps, compared, scratch, name, similarity, sizes.block, few)
+        # blocks count in the groups of their smallest set, pairs in all that both have
+        likely = scratch.keep(_plausible(more, classes, similarity), f"{name}-plausible")
+        links = links.unionByName(_verified(likely, texts, classes, scratch, name, shingle, similarity))
         if few is not None:
             compared = compared.unionByName(more)
             comps = components(links, scratch, f"{name}-components")
+            cells = scratch.keep(cells.join(left, "cell"), f"{name}-open")
     return members, classes, links
 
 

@@ -218,6 +218,72 @@ def test_near_copies_meet_in_few_cells(documents, monkeypatch):
     assert 80 <= cells < 10 * len(docs)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_rows_of_long_cells_stay_only_with_a_partner(seed):
+    """Cells of any length inside a batch: a row stays if a row other than itself is within reach both ways."""
+    rng = np.random.default_rng(seed)
+    run = np.sort(rng.choice(40, 900, p=rng.dirichlet(np.full(40, 0.3))))
+    run = np.cumsum(np.append(0, run[1:] != run[:-1])) - 1  # -1: goes on from the batch before
+    n = rng.integers(1, 400, len(run))
+    far = n + rng.integers(-40, 15, len(run))
+    found = J._within_reach(run, n, far)
+    for i in range(len(run)):
+        fits = (run == run[i]) & (n <= far[i]) & (n[i] <= far)
+        fits[i] = False
+        assert found[i] == (fits.any() or run[i] in (run[0], run[-1]))
+    inner = (run > run[0]) & (run < run[-1])
+    assert found[inner].any() and not found[inner].all()
+
+
+def _cells(spark, members):
+    rows = [(cell, 100, cls, 100 + cell % 5) for cell, classes in members.items() for cls in classes]
+    return spark.createDataFrame(rows, "cell long, n long, cls long, reach long")
+
+
+def test_large_cells_of_one_group_are_gathered(spark):
+    """Of 50 cells of one large group a few are left, in which each class stands with its farthest reach."""
+    rng = random.Random(4)
+    group = range(1000, 1100)
+    members = {c: sorted({1000, *rng.sample(group, 70)}) for c in range(50)}
+    members |= {c: [1000, *range(100 * c, 100 * c + 60)] for c in range(50, 53)}  # begins alike, unlike otherwise
+    members[53] = [7, 8]
+    cells = J._gathered(_cells(spark, {c: x for c, x in members.items() if c < 50 or c == 53})).collect()
+    assert len({r["cell"] for r in cells}) == 2 and len(cells) == 100 + 2
+    assert {r["cls"] for r in cells} == {*group, 7, 8}
+    farthest = {cls: max(100 + c % 5 for c, x in members.items() if c < 50 and cls in x) for cls in group}
+    assert all(r["reach"] == farthest[r["cls"]] for r in cells if r["cls"] in farthest)
+    unlike = {c: x for c, x in members.items() if c >= 50}
+    assert rows_of(J._gathered(_cells(spark, unlike))) == rows_of(_cells(spark, unlike))
+
+
+def _kept(monkeypatch):
+    kept, keep = {}, Scratch.keep
+
+    def kept_too(self, rows, name):
+        kept[name] = keep(self, rows, name)
+        return kept[name]
+
+    monkeypatch.setattr(Scratch, "keep", kept_too)
+    return kept
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_only_cells_that_had_more_come_to_the_third_round(documents, monkeypatch, block):
+    """30 texts of one passage, whose sizes fit and of which only pairs are near copies."""
+    rng = random.Random(8)
+    passage, docs = [f"p{i}" for i in range(90)], []
+    for g in range(15):
+        own = passage + [f"g{g}w{i}" for i in range(60)]
+        docs += [" ".join(own), " ".join(own[:-1] + ["other"])]
+    rng.shuffle(docs)
+    docs, kept = list(enumerate(docs)), _kept(monkeypatch)
+    wide = J.Sizes(order_bits=1, block=block, few=1000)  # no row has as many candidates
+    assert rows_of(J.near_duplicates(documents(docs), sizes=wide)) == sorted(near_duplicates(docs), key=repr)
+    assert kept["third-labelled"].count() == 0
+    tight = J.Sizes(order_bits=1, block=block, few=1)
+    assert rows_of(J.near_duplicates(documents(docs), sizes=tight)) == sorted(near_duplicates(docs), key=repr)
+
+
 def test_points_are_fetched_for_wanted_classes_alone(spark):
     classes = spark.range(20_000).selectExpr("id AS cls", "id AS n", "binary('x') AS point", "binary('y') AS print")
     found = J._points_of(spark.createDataFrame([(7,), (7,), (9_999,)], "cls long"), classes)
